@@ -114,3 +114,27 @@ PRICE_INCREASE = ("CAST(CASE WHEN {t} > 0 THEN {m} - {tot} / {t} WHEN {t} IS NOT
 
 def price_increase(m: str, t: str, tot: str) -> str:
     return PRICE_INCREASE.format(m=m, t=t, tot=tot)
+
+
+def choice_sql(key: str, salt: str, values, weights=None) -> str:
+    """SQL twin of the synthetic weighted choice (same md5 thresholds)."""
+    weights = weights or [1.0] * len(values)
+    total = float(sum(weights))
+    h = hash32(key, salt)
+    arms, acc = [], 0.0
+    for v, w in zip(values[:-1], weights[:-1]):
+        acc += w
+        arms.append(f"WHEN {h} < {int(acc / total * 2**32)} THEN '{v}'")
+    return f"(CASE {' '.join(arms)} ELSE '{values[-1]}' END)"
+
+
+def steps_sql(key: str, salt: str, lo: float, hi: float, step: float, dtype: str = "DOUBLE") -> str:
+    n = int(round((hi - lo) / step)) + 1
+    return f"CAST({lo} + ({hash32(key, salt)} % {n}) * {step} AS {dtype})"
+
+
+PROFILE_TABLE_ROWS = """
+profile_rows AS (
+  SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+         event_type AS model_id, count(*) AS count, avg(value) AS avg_value
+  FROM events GROUP BY 1, 2, 3)"""
