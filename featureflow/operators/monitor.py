@@ -40,7 +40,7 @@ def window_features(df: DataFrame, keys: Sequence[str], ts: str, start: dt.datet
 def profile_metrics(df: DataFrame, ts: str, granularity: str, columns: Sequence[str],
                     model_col: str | None = None, slice_cols: Sequence[str] = (),
                     table_metrics: Mapping[str, Column] | None = None, log_type: str = "INPUT",
-                    digits: int = 4) -> DataFrame:
+                    digits: int = 6) -> DataFrame:
     """Per window x model x slice x column: count, nulls, mean, std, min, max, distinct.
 
     * one ``:table`` row per window x model x slice with the row count and the
@@ -48,6 +48,8 @@ def profile_metrics(df: DataFrame, ts: str, granularity: str, columns: Sequence[
     * ``model_id = '*'`` rows aggregate all models (grouping sets, one pass);
     * slices: ``slice_key`` null = whole data, else one row per slice value.
     Columns are unpivoted with one ``explode`` (numeric columns cast to double).
+    Moments are rounded half-up to ``digits`` decimals (default 6); means are taken
+    from the rounded sum, so they do not depend on the summation order.
     """
     table_metrics = dict(table_metrics or {})
     model = F.col(model_col).cast("string") if model_col else F.lit(None).cast("string")
@@ -66,12 +68,12 @@ def profile_metrics(df: DataFrame, ts: str, granularity: str, columns: Sequence[
         F.struct(F.lit(c).alias("column_name"), F.col(f"_c_{c}").alias("x")) for c in columns])).alias("_u"))
     cols_unp = cols_unp.select(*keys, "_model", "_u.column_name", "_u.x")
     col_aggs = [F.count(F.lit(1)).alias("count"), F.count_if(F.col("x").isNull()).alias("num_nulls"),
-                round_metric(F.avg("x"), digits).alias("mean"),
+                _mean(F.col("x"), digits).alias("mean"),
                 round_metric(F.stddev_samp("x"), digits).alias("stddev"),
                 F.min("x").alias("min"), F.max("x").alias("max"), F.count_distinct("x").alias("num_distinct")]
     per_col = _with_all_models(cols_unp, [*keys, "column_name"], col_aggs)
     # table rows: row count + per-row metric inputs averaged (e.g. squared error -> MSE)
-    t_aggs = [F.count(F.lit(1)).alias("count")] + [round_metric(F.avg(f"_tm_{k}"), digits).alias(k)
+    t_aggs = [F.count(F.lit(1)).alias("count")] + [_mean(F.col(f"_tm_{k}"), digits).alias(k)
                                                    for k in table_metrics]
     per_table = _with_all_models(base, keys, t_aggs).withColumn("column_name", F.lit(":table"))
     out = per_col.unionByName(per_table, allowMissingColumns=True)
@@ -79,6 +81,13 @@ def profile_metrics(df: DataFrame, ts: str, granularity: str, columns: Sequence[
     return out
 
 
+def _mean(x: Column, digits: int) -> Column:
+    """Mean from the sum rounded to ``digits`` decimals: the sum of the same values
+    gives the same rounded sum in any summation order, so the mean no longer
+    depends on how partial aggregates were merged."""
+    return round_metric(round_metric(F.sum(x), digits) / F.count(x), digits)
+
+
 def _with_all_models(df: DataFrame, keys: Sequence[str], aggs: list[Column]) -> DataFrame:
     """Aggregate per model and over all models ('*') in one grouping-sets pass."""
     g = df.groupingSets([[*keys, "_model"], list(keys)], *keys, "_model").agg(
@@ -96,14 +105,14 @@ def drift_categorical(base: DataFrame, current: DataFrame, col: str, eps: float
     b = base.groupBy(F.col(col).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("nb"))
     c = current.groupBy(F.col(col).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("nc"))
     j = b.join(c, "v", "full_outer").fillna(0, ["nb", "nc"]).withColumn("_all", F.lit(0))
-    tot = j.groupBy("_all").agg(F.sum("nb").alias("NB"), F.sum("nc").alias("NC"))
+    tot = j.groupBy("_all").agg(F.sum("nb").alias("_tb"), F.sum("nc").alias("_tc"))
     j = j.join(F.broadcast(tot), "_all")  # exactly one row
-    pb = F.col("nb") / F.col("NB")
-    pc = F.col("nc") / F.col("NC")
+    pb = F.col("nb") / F.col("_tb")
+    pc = F.col("nc") / F.col("_tc")
     pbe, pce = F.greatest(pb, F.lit(eps)), F.greatest(pc, F.lit(eps))
     m = (pb + pc) / 2
     kl = lambda p: F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
-    expected = pb * F.col("NC")
+    expected = pb * F.col("_tc")
     chi = F.when(expected > 0, (F.col("nc") - expected) ** 2 / expected).otherwise(0.0)
     return j.groupBy().agg(
         F.lit(col).alias("column_name"),
@@ -124,9 +133,9 @@ def drift_ks(base: DataFrame, current: DataFrame, col: str, digits: int = 4) ->
          .where(F.col("x").isNotNull()))
     g = u.groupBy("x").agg(F.sum("ib").alias("nb"), F.sum("ic").alias("nc")).withColumn("_all", F.lit(0))
     rs = running_sums(g, ["_all"], "x", ["nb", "nc"])
-    tot = g.groupBy("_all").agg(F.sum("nb").alias("NB"), F.sum("nc").alias("NC"))
+    tot = g.groupBy("_all").agg(F.sum("nb").alias("_tb"), F.sum("nc").alias("_tc"))
     j = rs.join(F.broadcast(tot), "_all")  # exactly one row
-    d = F.abs(F.col("cum_nb") / F.col("NB") - F.col("cum_nc") / F.col("NC"))
+    d = F.abs(F.col("cum_nb") / F.col("_tb") - F.col("cum_nc") / F.col("_tc"))
     return j.groupBy().agg(F.lit(col).alias("column_name"), round_metric(F.max(d), digits).alias("ks"))
 
 

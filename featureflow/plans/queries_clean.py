@@ -186,7 +186,7 @@ def profile(t):
 
 
 @query("metric_row_filter", W(S.PROFILE_TABLE_ROWS) + f"""
-SELECT window_start, window_end, model_id, count, {S.r4('avg_value')} AS avg_value FROM profile_rows""")
+SELECT window_start, window_end, model_id, count, {S.r6('avg_value')} AS avg_value FROM profile_rows""")
 def q_metric_row_filter(spark, d):
     p = CL.filter_metric_rows(profile(_t(spark, d)))
     return p.select("window_start", "window_end", "model_id", "count", "avg_value")

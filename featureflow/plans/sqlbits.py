@@ -16,6 +16,11 @@ def r4(x: str) -> str:
     return f"(floor(CAST({x} AS DOUBLE) * 10000.0 + 0.5) / 10000.0)"
 
 
+def r6(x: str) -> str:
+    """Half-up rounding to 6 digits, computed in IEEE doubles."""
+    return f"(floor(CAST({x} AS DOUBLE) * 1000000.0 + 0.5) / 1000000.0)"
+
+
 def hash32(key: str, salt: str) -> str:
     return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{salt}'), 1, 8))::BIGINT)"
 
@@ -136,5 +141,6 @@ def steps_sql(key: str, salt: str, lo: float, hi: float, step: float, dtype: str
 PROFILE_TABLE_ROWS = """
 profile_rows AS (
   SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
-         event_type AS model_id, count(*) AS count, avg(value) AS avg_value
+         event_type AS model_id, count(*) AS count,
+         floor(floor(sum(value) * 1000000.0 + 0.5) / 1000000.0 / count(value) * 1000000.0 + 0.5) / 1000000.0 AS avg_value
   FROM events GROUP BY 1, 2, 3)"""
