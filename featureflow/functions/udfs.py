@@ -6,10 +6,10 @@ from __future__ import annotations
 import datetime as dt
 import pandas as pd
 from pyspark.sql.functions import pandas_udf, udf
-from pyspark.sql.types import LongType
+from pyspark.sql.types import DoubleType, LongType
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def flags_udf(*cols: pd.Series) -> pd.Series:
     """Count of "Yes" over any number of columns (Arrow-batched)."""
     out = pd.Series(0.0, index=cols[0].index)

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from featureflow.functions import columns as C
 
@@ -62,8 +62,9 @@ def parse_number(df: DataFrame, col: str, blank: float = 0.0, out: str | None =
 
 
 def coerce_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Cast to double, errors -> null."""
-    return df.withColumns({c: C.coerce_numeric_expr(c) for c in cols})
+    """Cast to double, errors -> null (numeric columns are cast directly)."""
+    return df.withColumns({c: F.col(c).cast("double") if isinstance(df.schema[c].dataType, NumericType)
+                           else C.coerce_numeric_expr(c) for c in cols})
 
 
 def fill_missing(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from featureflow.functions.columns import key_hash32
 from featureflow.operators import aggregate as AG
@@ -33,6 +34,12 @@ CAT_FEATURES = ("contract", "device_protection", "internet_service", "multiple_l
 MAX_LEVELS = 10_000  # a categorical column with more levels is not one-hot material
 
 
+def to_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Numeric columns -> double directly; anything else through text, errors -> null."""
+    return df.withColumns({c: F.col(c).cast("double") if isinstance(df.schema[c].dataType, NumericType)
+                           else F.col(c).cast("string").try_cast("double") for c in cols})
+
+
 def _level_name(col: str, level: str) -> str:
     return f"{col}_{re.sub(r'[^0-9A-Za-z]+', '_', str(level)).strip('_').lower() or 'blank'}"
 
@@ -88,7 +95,7 @@ class Preprocessor:
     scale: dict[str, tuple[float, float]] = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = df.withColumns({c: F.col(c).cast("string").try_cast("double") for c in self.num_cols})
+        out = to_numeric(df, self.num_cols)
         out = AG.impute_mean(out, self.num_cols, self.means)
         out = AG.standardize(out, self.num_cols, self.scale)
         out = one_hot(out, self.levels, drop_first=self.bool_cols, unknown_indicator=self.cat_cols)
@@ -107,7 +114,7 @@ def preprocess_fit(train: DataFrame, bool_cols: Sequence[str], num_cols: Sequenc
                    cat_cols: Sequence[str]) -> Preprocessor:
     """L2: fit on the training rows only: numeric coercion, mean imputation,
     population standardisation, drop-first / indicator one-hot."""
-    num = train.withColumns({c: F.col(c).cast("string").try_cast("double") for c in num_cols})
+    num = to_numeric(train, num_cols)
     means = AG.fit_means(num, num_cols)
     scale = AG.fit_standardize(AG.impute_mean(num, num_cols, means), num_cols)
     levels = fit_levels(train, [*bool_cols, *cat_cols])
@@ -126,9 +133,9 @@ def train_gbt(train: DataFrame, val: DataFrame | None, features: Sequence[str],
     data = train.withColumn("_is_val", F.lit(False))
     if val is not None:
         data = data.unionByName(val.withColumn("_is_val", F.lit(True)))
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=seed,
-                        validationIndicatorCol="_is_val" if val is not None else None,
-                        validationTol=0.01, **p)
+    gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=seed, validationTol=0.01, **p)
+    if val is not None:
+        gbt = gbt.setValidationIndicatorCol("_is_val")
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"), gbt])
     return pipe.fit(data.withColumn(label, F.col(label).cast("double")))
 

@@ -11,8 +11,9 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType
 
+from featureflow.functions.columns import round_metric
 from featureflow.operators.feature_table import merge_features
 
 
@@ -69,14 +70,23 @@ def latest_table(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.parquet(v)
 
 
+def _event_time(src: DataFrame, ts: str):
+    """Watermarks need TIMESTAMP; zone-less event times are cast (session zone = UTC)
+    and window bounds cast back, so output types equal the batch plans'."""
+    if isinstance(src.schema[ts].dataType, TimestampNTZType):
+        return src.withColumn(ts, F.col(ts).cast("timestamp")), lambda c: c.cast("timestamp_ntz")
+    return src, lambda c: c
+
+
 def stream_window_features(src: DataFrame, keys: Sequence[str], ts: str, length: str, slide: str | None,
                            delay: str, aggs: Mapping[str, Column], out_path: str, checkpoint: str) -> None:
     """Windowed features with a watermark; append mode emits each window once,
     after the watermark passes its end. Late rows beyond ``delay`` are dropped."""
+    src, back = _event_time(src, ts)
     w = F.window(F.col(ts), length, slide) if slide else F.window(F.col(ts), length)
     agg = (src.withWatermark(ts, delay).groupBy(w.alias("window"), *keys)
            .agg(*[v.alias(k) for k, v in aggs.items()])
-           .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+           .select(back(F.col("window.start")).alias("window_start"), back(F.col("window.end")).alias("window_end"),
                    *keys, *aggs.keys()))
     (agg.writeStream.outputMode("append").format("parquet").option("path", out_path)
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
@@ -89,7 +99,7 @@ def stream_score(src: DataFrame, score: Callable[[DataFrame], DataFrame], out_pa
 
 
 def stream_profile(src: DataFrame, ts: str, granularity: str, columns: Sequence[str], model_col: str,
-                   delay: str, out_path: str, checkpoint: str) -> None:
+                   delay: str, out_path: str, checkpoint: str, digits: int = 6) -> None:
     """Profile metrics per closed window on a stream (append mode + watermark).
 
     The batch form's grouping sets and exact distinct counts are not available to a
@@ -97,6 +107,7 @@ def stream_profile(src: DataFrame, ts: str, granularity: str, columns: Sequence[
     into (its model, '*') and the ':table' row from one extra unpivot entry: still a
     single stateful aggregation, emitted once per window after the watermark passes.
     """
+    src, back = _event_time(src, ts)
     models = F.explode(F.array(F.col(model_col).cast("string"), F.lit("*")))
     entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns]
     entries.append(F.struct(F.lit(":table").alias("column_name"), F.lit(None).cast("double").alias("x")))
@@ -105,11 +116,12 @@ def stream_profile(src: DataFrame, ts: str, granularity: str, columns: Sequence[
            .select(ts, "model_id", "u.column_name", "u.x"))
     agg = unp.groupBy(F.window(F.col(ts), granularity).alias("window"), "model_id", "column_name").agg(
         F.count(F.lit(1)).alias("count"), F.count_if(F.col("x").isNull()).alias("_nulls"),
-        F.avg("x").alias("mean"), F.stddev_samp("x").alias("stddev"), F.min("x").alias("min"),
-        F.max("x").alias("max"))
-    out = agg.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                     "model_id", "column_name", "count",
+        F.sum("x").alias("_sum"), F.count("x").alias("_n"), F.stddev_samp("x").alias("_sd"),
+        F.min("x").alias("min"), F.max("x").alias("max"))
+    out = agg.select(back(F.col("window.start")).alias("window_start"),
+                     back(F.col("window.end")).alias("window_end"), "model_id", "column_name", "count",
                      F.when(F.col("column_name") != ":table", F.col("_nulls")).alias("num_nulls"),
-                     "mean", "stddev", "min", "max")
+                     round_metric(round_metric(F.col("_sum"), digits) / F.col("_n"), digits).alias("mean"),
+                     round_metric(F.col("_sd"), digits).alias("stddev"), "min", "max")
     (out.writeStream.outputMode("append").format("parquet").option("path", out_path)
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
