@@ -30,7 +30,8 @@ def choose_champion(model_info: DataFrame, aliases: DataFrame, strict: bool = Tr
     )).alias("a")).select("model_name", "a.*")
     cand = model_info.join(a, ["model_name", "model_version"], "inner")
     latest = latest_per_key(cand, ["model_name", "model_version"], ["validation_timestamp"])
-    w = Window.partitionBy("model_name").orderBy(F.desc("f1_score"), F.asc("previous_alias"))
+    incumbent_first = F.when(F.col("previous_alias") == CHAMPION, 0).otherwise(1)
+    w = Window.partitionBy("model_name").orderBy(F.desc("f1_score"), incumbent_first)
     ranked = latest.withColumn("_rn", F.row_number().over(w)).withColumn(
         "_n", F.count(F.lit(1)).over(Window.partitionBy("model_name")))
     if strict:

@@ -403,7 +403,8 @@ latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model_name,
                                                       ORDER BY validation_timestamp DESC) AS rn FROM cand)
            WHERE rn = 1),
 dec AS (SELECT model_name, model_version, f1_score, previous_alias,
-               CASE WHEN row_number() OVER (PARTITION BY model_name ORDER BY f1_score DESC, previous_alias) = 1
+               CASE WHEN row_number() OVER (PARTITION BY model_name ORDER BY f1_score DESC,
+                                             CASE WHEN previous_alias = 'champion' THEN 0 ELSE 1 END) = 1
                     THEN 'champion' ELSE 'challenger' END AS new_alias
         FROM latest)"""
 
