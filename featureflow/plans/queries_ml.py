@@ -16,7 +16,7 @@ from featureflow.plans import fixtures as FX
 from featureflow.plans import sqlbits as S
 from featureflow.plans.queries import _t, training_set
 from featureflow.plans.registry import query
-from featureflow.session import scratch_path
+from featureflow.session import materialize, scratch_path
 from featureflow.streaming import streams as ST
 
 W = S.with_
@@ -34,6 +34,14 @@ def _labeled(t):
     return ts.withColumn("label", C.decode_label("churn"))
 
 
+def _model_input(t):
+    """Training set with label, preprocessed with statistics fitted on the train split,
+    materialised once: every fit / search / scoring job below reads it."""
+    data = materialize(_labeled(t).select("customer_id", "split", "label", *BOOL, *NUM, *CAT))
+    pre = ML.preprocess_fit(CL.split_of(data, "train"), BOOL, NUM, CAT)
+    return materialize(pre.transform(data)), pre.feature_columns()
+
+
 @query("one_hot", W(S.SUBSCRIBERS, S.CHURN_FEATURES) + "SELECT customer_id, "
        + "CAST(senior_citizen = 'Yes' AND senior_citizen IS NOT NULL AS DOUBLE) AS senior_citizen_yes, "
        + ", ".join(f"CAST(coalesce(contract = '{s}', false) AS DOUBLE) AS contract_{s.lower()}" for s in SEGMENTS)
@@ -70,10 +78,7 @@ def q_preprocess(spark, d):
 
 
 def _fit_gbt(t, params=None):
-    data = _labeled(t).select("customer_id", "split", "label", *BOOL, *NUM, *CAT)
-    pre = ML.preprocess_fit(CL.split_of(data, "train"), BOOL, NUM, CAT)
-    x = pre.transform(data)
-    feats = pre.feature_columns()
+    x, feats = _model_input(t)
     model = ML.train_gbt(CL.split_of(x, "train"), CL.split_of(x, "validate"), feats, "label",
                          params or {"maxIter": 20, "maxDepth": 3})
     return model, x, feats
@@ -87,11 +92,7 @@ def q_gbt_scores(spark, d):
 
 @query("search_trials")
 def q_search_trials(spark, d):
-    t = _t(spark, d)
-    data = _labeled(t).select("customer_id", "split", "label", *BOOL, *NUM, *CAT)
-    pre = ML.preprocess_fit(CL.split_of(data, "train"), BOOL, NUM, CAT)
-    x = pre.transform(data)
-    feats = pre.feature_columns()
+    x, feats = _model_input(_t(spark, d))
     tr, va = CL.split_of(x, "train"), CL.split_of(x, "validate")
 
     def objective(params):
@@ -108,11 +109,8 @@ def q_search_trials(spark, d):
 
 @query("bake_off")
 def q_bake_off(spark, d):
-    t = _t(spark, d)
-    data = _labeled(t).select("customer_id", "split", "label", *BOOL, *NUM, *CAT)
-    pre = ML.preprocess_fit(CL.split_of(data, "train"), BOOL, NUM, CAT)
-    x = pre.transform(data)
-    res = ML.bake_off(CL.split_of(x, "train"), CL.split_of(x, "validate"), pre.feature_columns(), "label")
+    x, feats = _model_input(_t(spark, d))
+    res = ML.bake_off(CL.split_of(x, "train"), CL.split_of(x, "validate"), feats, "label")
     return spark.createDataFrame([(r["family"], r["f1"], r["accuracy"]) for r in res],
                                  "family string, f1 double, accuracy double")
 

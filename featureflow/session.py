@@ -71,3 +71,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused, never cleared)."""
     return f"{shared_dir(spark)}/featureflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut the lineage of a frame that several jobs will read (ML fits, searches):
+    a reliable checkpoint under the shared folder -- survives executor loss, unlike
+    a local checkpoint, and is never written to a machine-local temp folder."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
