@@ -74,6 +74,16 @@ def churn_labels(t: Tables) -> DataFrame:
     return assign_split(subscribers(t).select("customer_id", "transaction_ts", "churn"), "customer_id")
 
 
+def churn_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """(labels, features) as the feature job hands them to training: the raw table is
+    computed once and written under the shared folder (a reliable checkpoint), and
+    both tables are projections of it -- as separate written tables would be."""
+    from featureflow.session import materialize
+    sub = materialize(subscribers(t))
+    labels = assign_split(sub.select("customer_id", "transaction_ts", "churn"), "customer_id")
+    return labels, clean_churn_features(sub).drop("churn")
+
+
 def monthly_features(t: Tables) -> DataFrame:
     """Per (customer, month) running order totals; ``feature_ts`` = end of month.
 

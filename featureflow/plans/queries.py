@@ -30,11 +30,11 @@ r4 = C.round_metric
 
 
 def training_set(t: Tables, bucket: str | None = "7 days") -> DataFrame:
-    labels = FX.churn_labels(t)
+    labels, features = FX.churn_tables(t)
     return LK.create_training_set(
         labels,
         lookups=[
-            LK.FeatureLookup(FX.churn_features(t), ["customer_id"], "transaction_ts"),
+            LK.FeatureLookup(features, ["customer_id"], "transaction_ts"),
             LK.FeatureLookup(FX.monthly_features(t), ["customer_id"], "transaction_ts", feature_ts="feature_ts",
                              feature_names=["cum_orders", "cum_spend"]),
         ],
