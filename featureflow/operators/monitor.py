@@ -40,7 +40,7 @@ def window_features(df: DataFrame, keys: Sequence[str], ts: str, start: dt.datet
 def profile_metrics(df: DataFrame, ts: str, granularity: str, columns: Sequence[str],
                     model_col: str | None = None, slice_cols: Sequence[str] = (),
                     table_metrics: Mapping[str, Column] | None = None, log_type: str = "INPUT",
-                    digits: int = 6) -> DataFrame:
+                    digits: int = 6, exact_distinct: bool = True) -> DataFrame:
     """Per window x model x slice x column: count, nulls, mean, std, min, max, distinct.
 
     * one ``:table`` row per window x model x slice with the row count and the
@@ -48,6 +48,8 @@ def profile_metrics(df: DataFrame, ts: str, granularity: str, columns: Sequence[
     * ``model_id = '*'`` rows aggregate all models (grouping sets, one pass);
     * slices: ``slice_key`` null = whole data, else one row per slice value.
     Columns are unpivoted with one ``explode`` (numeric columns cast to double).
+    ``exact_distinct=False`` swaps the exact distinct count (an extra aggregation
+    level per grouping set) for HyperLogLog++ sketches merged map-side.
     Moments are rounded half-up to ``digits`` decimals (default 6); means are taken
     from the rounded sum, so they do not depend on the summation order.
     """
@@ -70,7 +72,8 @@ def profile_metrics(df: DataFrame, ts: str, granularity: str, columns: Sequence[
     col_aggs = [F.count(F.lit(1)).alias("count"), F.count_if(F.col("x").isNull()).alias("num_nulls"),
                 _mean(F.col("x"), digits).alias("mean"),
                 round_metric(F.stddev_samp("x"), digits).alias("stddev"),
-                F.min("x").alias("min"), F.max("x").alias("max"), F.count_distinct("x").alias("num_distinct")]
+                F.min("x").alias("min"), F.max("x").alias("max"),
+                (F.count_distinct("x") if exact_distinct else F.approx_count_distinct("x")).alias("num_distinct")]
     per_col = _with_all_models(cols_unp, [*keys, "column_name"], col_aggs)
     # table rows: row count + per-row metric inputs averaged (e.g. squared error -> MSE)
     t_aggs = [F.count(F.lit(1)).alias("count")] + [_mean(F.col(f"_tm_{k}"), digits).alias(k)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
@@ -29,8 +30,9 @@ def stream_features(src: DataFrame, transform: Callable[[DataFrame], DataFrame],
     """Feature upsert on a stream: every micro-batch is transformed, de-duplicated
     per key (newest ``order_col`` wins) and merged into the table's next version.
 
-    ``foreachBatch`` is at-least-once; the merge is idempotent, so a replayed batch
-    leaves the table unchanged. Versions live under ``table_path/v=<batch id>``.
+    ``foreachBatch`` is at-least-once; the merge is idempotent and a version is
+    written to its own directory (``v=<batch id>``, overwritten on replay) before it
+    is recorded in the version log, so a replayed batch leaves the table unchanged.
     """
     spark = src.sparkSession
 
@@ -40,27 +42,26 @@ def stream_features(src: DataFrame, transform: Callable[[DataFrame], DataFrame],
             from featureflow.operators.lookup import latest_snapshot
             upd = latest_snapshot(upd, keys, order_col)
         current = _latest_version(spark, table_path)
-        target = spark.read.parquet(current) if current else None
-        merged = upd if target is None else merge_features(target, upd, keys)
+        merged = upd if current is None else merge_features(spark.read.parquet(current), upd, keys)
         out = f"{table_path}/v={batch_id:09d}"
+        if out == current:  # replay of a batch whose version was already recorded
+            return
         merged.write.mode("overwrite").parquet(out)
+        spark.createDataFrame([(batch_id, out)], "batch_id long, path string") \
+            .write.mode("append").parquet(f"{table_path}/_log")
 
     (src.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
 
 
 def _latest_version(spark: SparkSession, table_path: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
+    """Newest recorded version of a versioned table (None if nothing is recorded)."""
+    try:
+        log = spark.read.parquet(f"{table_path}/_log")
+    except AnalysisException:
         return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith("v="))
-    for n in reversed(names):
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table_path}/{n}/_SUCCESS")):
-            return f"{table_path}/{n}"
-    return None
+    row = log.orderBy(F.desc("batch_id")).select("path").first()
+    return None if row is None else row["path"]
 
 
 def latest_table(spark: SparkSession, table_path: str) -> DataFrame:
