@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.functions import columns as C
-from featureflow.operators import clean as CL
 from featureflow.operators import lookup as LK
 from featureflow.plans import fixtures as FX
 from featureflow.plans import sqlbits as S

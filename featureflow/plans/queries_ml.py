@@ -3,7 +3,6 @@ Structured Streaming (X)."""
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
