@@ -85,21 +85,27 @@ def score_counts(df: DataFrame, score: str, label: str, positive=1, group_cols:
             .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
 
 
+def _attach_totals(df: DataFrame, g: DataFrame, gc: list[str], aggs: dict[str, Column]) -> DataFrame:
+    """Per-group totals next to each row: a join with one row per group when grouped
+    (broadcast: its size is the number of groups), scalar subqueries when not."""
+    if gc:
+        tot = g.groupBy(*gc).agg(*[v.alias(k) for k, v in aggs.items()])
+        return df.join(F.broadcast(tot), gc, "inner")
+    return df.withColumns({k: g.agg(v).scalar() for k, v in aggs.items()})
+
+
 def running_sums(g: DataFrame, group_cols: Sequence[str], order_col: str, value_cols: Sequence[str],
                  descending: bool = False, inclusive: bool = True, n_buckets: int = N_BUCKETS) -> DataFrame:
     """Per-group running sums of ``value_cols`` in ``order_col`` order, without ever
     placing a whole group in one task (two-level: bucket offsets + in-bucket sums).
 
     Adds ``cum_<v>`` columns (inclusive of the current row unless ``inclusive=False``).
-    ``order_col`` values must be distinct within a group (reduce first).
+    ``order_col`` values must be distinct within a group (reduce first). The offset
+    window runs over bucket totals only (at most ``n_buckets`` rows per group).
     """
     gc = list(group_cols)
-    if not gc:
-        raise ValueError("running_sums needs at least one group column (use a constant)")
     x = F.col(order_col).cast("double")
-    rng = g.groupBy(*gc).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    # one row per group: a broadcast whose size is the number of groups (splits, models)
-    gb = g.join(F.broadcast(rng), gc, "inner")
+    gb = _attach_totals(g, g, gc, {"_lo": F.min(x), "_hi": F.max(x)})
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(n_buckets))
     b = F.when(width > 0, F.least(F.floor((x - F.col("_lo")) / width), F.lit(n_buckets - 1))).otherwise(0)
     if descending:
@@ -117,23 +123,14 @@ def running_sums(g: DataFrame, group_cols: Sequence[str], order_col: str, value_
                                   for v in value_cols])
 
 
-def _grouped(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
-    """Ungrouped input gets a constant group so every step stays an equi-join."""
-    gc = list(group_cols)
-    if gc:
-        return df, gc, gc
-    return df.withColumn("_all", F.lit(0)), ["_all"], []
-
-
 def roc_curve(df: DataFrame, score: str = "score", label: str = "label", positive=1,
               group_cols: Sequence[str] = ()) -> DataFrame:
     """One point per distinct score threshold t (predict positive if score >= t)."""
-    df, gc, keep = _grouped(df, group_cols)
+    gc = list(group_cols)
     g = score_counts(df, score, label, positive, gc)
     rs = running_sums(g, gc, "score", ["pos", "neg"], descending=True)
-    tot = g.groupBy(*gc).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    j = rs.join(F.broadcast(tot), gc, "inner")  # one row per group
-    return j.select(*keep, F.col("score").alias("threshold"),
+    j = _attach_totals(rs, g, gc, {"_P": F.sum("pos"), "_N": F.sum("neg")})
+    return j.select(*gc, F.col("score").alias("threshold"),
                     _safe_div(F.col("cum_pos"), F.col("_P")).alias("tpr"),
                     _safe_div(F.col("cum_neg"), F.col("_N")).alias("fpr"))
 
@@ -141,12 +138,11 @@ def roc_curve(df: DataFrame, score: str = "score", label: str = "label", positiv
 def pr_curve(df: DataFrame, score: str = "score", label: str = "label", positive=1,
              group_cols: Sequence[str] = ()) -> DataFrame:
     """Precision / recall per distinct score threshold."""
-    df, gc, keep = _grouped(df, group_cols)
+    gc = list(group_cols)
     g = score_counts(df, score, label, positive, gc)
     rs = running_sums(g, gc, "score", ["pos", "neg"], descending=True)
-    tot = g.groupBy(*gc).agg(F.sum("pos").alias("_P"))
-    j = rs.join(F.broadcast(tot), gc, "inner")  # one row per group
-    return j.select(*keep, F.col("score").alias("threshold"),
+    j = _attach_totals(rs, g, gc, {"_P": F.sum("pos")})
+    return j.select(*gc, F.col("score").alias("threshold"),
                     _safe_div(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
                     _safe_div(F.col("cum_pos"), F.col("_P")).alias("recall"))
 
@@ -154,14 +150,14 @@ def pr_curve(df: DataFrame, score: str = "score", label: str = "label", positive
 def roc_auc(df: DataFrame, score: str = "score", label: str = "label", positive=1,
             group_cols: Sequence[str] = (), digits: int | None = 4) -> DataFrame:
     """Area under the ROC curve = P(score+ > score-) + 0.5 P(tie) (rank-sum form)."""
-    df, gc, keep = _grouped(df, group_cols)
+    gc = list(group_cols)
     g = score_counts(df, score, label, positive, gc)
     rs = running_sums(g, gc, "score", ["neg"], descending=False, inclusive=False)
     part = rs.groupBy(*gc).agg(
         F.sum(F.col("pos") * (F.col("cum_neg") + F.lit(0.5) * F.col("neg"))).alias("_u"),
         F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     auc = _safe_div(F.col("_u"), F.col("_P") * F.col("_N"))
-    out = part.select(*keep, (round_metric(auc, digits) if digits is not None else auc).alias("auc"))
+    out = part.select(*gc, (round_metric(auc, digits) if digits is not None else auc).alias("auc"))
     return out
 
 

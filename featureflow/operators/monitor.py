@@ -107,9 +107,8 @@ def drift_categorical(base: DataFrame, current: DataFrame, col: str, eps: float
     """
     b = base.groupBy(F.col(col).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("nb"))
     c = current.groupBy(F.col(col).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("nc"))
-    j = b.join(c, "v", "full_outer").fillna(0, ["nb", "nc"]).withColumn("_all", F.lit(0))
-    tot = j.groupBy("_all").agg(F.sum("nb").alias("_tb"), F.sum("nc").alias("_tc"))
-    j = j.join(F.broadcast(tot), "_all")  # exactly one row
+    j = b.join(c, "v", "full_outer").fillna(0, ["nb", "nc"])
+    j = j.withColumns({"_tb": j.agg(F.sum("nb")).scalar(), "_tc": j.agg(F.sum("nc")).scalar()})
     pb = F.col("nb") / F.col("_tb")
     pc = F.col("nc") / F.col("_tc")
     pbe, pce = F.greatest(pb, F.lit(eps)), F.greatest(pc, F.lit(eps))
@@ -134,10 +133,9 @@ def drift_ks(base: DataFrame, current: DataFrame, col: str, digits: int = 4) ->
     u = (base.select(F.col(col).cast("double").alias("x"), F.lit(1).alias("ib"), F.lit(0).alias("ic"))
          .unionByName(current.select(F.col(col).cast("double").alias("x"), F.lit(0).alias("ib"), F.lit(1).alias("ic")))
          .where(F.col("x").isNotNull()))
-    g = u.groupBy("x").agg(F.sum("ib").alias("nb"), F.sum("ic").alias("nc")).withColumn("_all", F.lit(0))
-    rs = running_sums(g, ["_all"], "x", ["nb", "nc"])
-    tot = g.groupBy("_all").agg(F.sum("nb").alias("_tb"), F.sum("nc").alias("_tc"))
-    j = rs.join(F.broadcast(tot), "_all")  # exactly one row
+    g = u.groupBy("x").agg(F.sum("ib").alias("nb"), F.sum("ic").alias("nc"))
+    rs = running_sums(g, [], "x", ["nb", "nc"])
+    j = rs.withColumns({"_tb": g.agg(F.sum("nb")).scalar(), "_tc": g.agg(F.sum("nc")).scalar()})
     d = F.abs(F.col("cum_nb") / F.col("_tb") - F.col("cum_nc") / F.col("_tc"))
     return j.groupBy().agg(F.lit(col).alias("column_name"), round_metric(F.max(d), digits).alias("ks"))
 
