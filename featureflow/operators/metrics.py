@@ -91,7 +91,8 @@ def _attach_totals(df: DataFrame, g: DataFrame, gc: list[str], aggs: dict[str, C
     if gc:
         tot = g.groupBy(*gc).agg(*[v.alias(k) for k, v in aggs.items()])
         return df.join(F.broadcast(tot), gc, "inner")
-    return df.withColumns({k: g.agg(v).scalar() for k, v in aggs.items()})
+    one = g.agg(F.struct(*[v.alias(k) for k, v in aggs.items()])).scalar()  # one subquery for all totals
+    return df.withColumns({k: one[k] for k in aggs})
 
 
 def running_sums(g: DataFrame, group_cols: Sequence[str], order_col: str, value_cols: Sequence[str],

@@ -108,7 +108,8 @@ def drift_categorical(base: DataFrame, current: DataFrame, col: str, eps: float
     b = base.groupBy(F.col(col).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("nb"))
     c = current.groupBy(F.col(col).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("nc"))
     j = b.join(c, "v", "full_outer").fillna(0, ["nb", "nc"])
-    j = j.withColumns({"_tb": j.agg(F.sum("nb")).scalar(), "_tc": j.agg(F.sum("nc")).scalar()})
+    tot = j.agg(F.struct(F.sum("nb").alias("b"), F.sum("nc").alias("c"))).scalar()
+    j = j.withColumns({"_tb": tot["b"], "_tc": tot["c"]})
     pb = F.col("nb") / F.col("_tb")
     pc = F.col("nc") / F.col("_tc")
     pbe, pce = F.greatest(pb, F.lit(eps)), F.greatest(pc, F.lit(eps))
@@ -135,7 +136,8 @@ def drift_ks(base: DataFrame, current: DataFrame, col: str, digits: int = 4) ->
          .where(F.col("x").isNotNull()))
     g = u.groupBy("x").agg(F.sum("ib").alias("nb"), F.sum("ic").alias("nc"))
     rs = running_sums(g, [], "x", ["nb", "nc"])
-    j = rs.withColumns({"_tb": g.agg(F.sum("nb")).scalar(), "_tc": g.agg(F.sum("nc")).scalar()})
+    tot = g.agg(F.struct(F.sum("nb").alias("b"), F.sum("nc").alias("c"))).scalar()
+    j = rs.withColumns({"_tb": tot["b"], "_tc": tot["c"]})
     d = F.abs(F.col("cum_nb") / F.col("_tb") - F.col("cum_nc") / F.col("_tc"))
     return j.groupBy().agg(F.lit(col).alias("column_name"), round_metric(F.max(d), digits).alias("ks"))
 
