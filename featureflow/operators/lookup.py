@@ -35,10 +35,39 @@ def _bucket(ts: Column, bucket: str) -> Column:
     return F.window(ts, bucket).start
 
 
+# A key is "hot" when it holds more rows than this and more than 1 / shuffle-partitions of all rows.
+HOT_KEY_MIN_ROWS = 1_000_000
+
+
+def choose_bucket(lab: DataFrame, feat: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_MIN_ROWS) -> str | None:
+    """Pick the as-of plan from the data: ``None`` (one window partition per key) unless
+    one key would give a task more than its share, else a time-bucket width that
+    splits that key into pieces of about the target size.
+
+    One partial aggregation over the keys and times of both sides; two numbers and a
+    time span come back to the driver.
+    """
+    spark = lab.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    u = lab.select(*keys, "_ts").unionByName(feat.select(*keys, "_ts"))
+    per = u.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_ts").alias("lo"), F.max("_ts").alias("hi"))
+    r = per.agg(F.sum("n").alias("total"),
+                F.max_by(F.struct("n", "lo", "hi"), "n").alias("top")).first()
+    if r is None or r["top"] is None:
+        return None
+    total, top = r["total"], r["top"]
+    target = max(min_rows, total // max(parts, 1))
+    if top["n"] <= target or top["lo"] is None:
+        return None
+    span = max((top["hi"] - top["lo"]).total_seconds(), 1.0)
+    width = max(1, int(span * target / top["n"]))
+    return f"{width} seconds"
+
+
 def lookup_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], label_ts: str,
                 feature_ts: str | None = None, feature_cols: Sequence[str] | None = None,
                 tie_breakers: Sequence[str] = (), max_age: str | None = None,
-                bucket: str | None = "7 days") -> DataFrame:
+                bucket: str | None = "auto", hot_key_rows: int = HOT_KEY_MIN_ROWS) -> DataFrame:
     """Each label row gets the newest feature row with feature_ts <= label_ts.
 
     * ``keys`` exist under the same names on both sides.
@@ -47,7 +76,10 @@ def lookup_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], lab
       or dropped.
     * ``max_age`` (an interval string such as ``'30 days'``): older matches -> nulls.
     * ``bucket``: time-bucket width that splits each key's rows over tasks;
-      ``None`` uses one window partition per key (fine when keys are not skewed).
+      ``None`` uses one window partition per key (fine when keys are not skewed);
+      ``"auto"`` (default) measures the largest key first (``choose_bucket``) and
+      buckets only when one key would hold more than ``hot_key_rows`` rows and more
+      than its share of a shuffle partition.
     """
     feature_ts = feature_ts or label_ts
     keys = list(keys)
@@ -70,6 +102,8 @@ def lookup_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], lab
     feat = features.where(valid).select(*[F.col(k) for k in keys], F.col(feature_ts).alias("_ts"),
                                         F.lit(0).alias("_side"), fv.alias("_fv"))
 
+    if bucket == "auto":
+        bucket = choose_bucket(lab, feat, keys, hot_key_rows)
     if bucket is None:
         allr = lab.unionByName(feat, allowMissingColumns=True)
         w = Window.partitionBy(*keys).orderBy("_ts", "_side", "_fv").rowsBetween(*_RUNNING)
@@ -151,7 +185,7 @@ class FeatureFunction:
 
 def create_training_set(labels: DataFrame, lookups: Sequence[FeatureLookup] = (),
                         functions: Sequence[FeatureFunction] = (), label: str | None = None,
-                        exclude_columns: Sequence[str] = (), bucket: str | None = "7 days") -> DataFrame:
+                        exclude_columns: Sequence[str] = (), bucket: str | None = "auto") -> DataFrame:
     """Labels + point-in-time features + on-demand features - excluded columns (lazy)."""
     df = labels
     for lk in lookups:

@@ -10,12 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from featureflow.functions.columns import round_metric
-from featureflow.operators.feature_table import merge_features
+from featureflow.operators.feature_table import feature_table, upsert_table
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = 1) -> DataFrame:
@@ -26,13 +25,13 @@ def read_stream(spark: SparkSession, path: str, schema: StructType, max_files: i
 
 
 def stream_features(src: DataFrame, transform: Callable[[DataFrame], DataFrame], keys: Sequence[str],
-                    table_path: str, checkpoint: str, order_col: str | None = None) -> None:
+                    table_path: str, checkpoint: str, order_col: str | None = None, n_buckets: int = 64) -> None:
     """Feature upsert on a stream: every micro-batch is transformed, de-duplicated
-    per key (newest ``order_col`` wins) and merged into the table's next version.
+    per key (newest ``order_col`` wins) and upserted into the stored table.
 
-    ``foreachBatch`` is at-least-once; the merge is idempotent and a version is
-    written to its own directory (``v=<batch id>``, overwritten on replay) before it
-    is recorded in the version log, so a replayed batch leaves the table unchanged.
+    ``foreachBatch`` is at-least-once; the upsert is idempotent and rewrites only the
+    key-hash partitions the batch touches (``upsert_table``), so a replayed batch
+    leaves the table unchanged and a small batch does not rewrite a large table.
     """
     spark = src.sparkSession
 
@@ -41,34 +40,14 @@ def stream_features(src: DataFrame, transform: Callable[[DataFrame], DataFrame],
         if order_col is not None:
             from featureflow.operators.lookup import latest_snapshot
             upd = latest_snapshot(upd, keys, order_col)
-        current = _latest_version(spark, table_path)
-        merged = upd if current is None else merge_features(spark.read.parquet(current), upd, keys)
-        out = f"{table_path}/v={batch_id:09d}"
-        if out == current:  # replay of a batch whose version was already recorded
-            return
-        merged.write.mode("overwrite").parquet(out)
-        spark.createDataFrame([(batch_id, out)], "batch_id long, path string") \
-            .write.mode("append").parquet(f"{table_path}/_log")
+        upsert_table(spark, upd, keys, table_path, n_buckets)
 
     (src.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
 
 
-def _latest_version(spark: SparkSession, table_path: str) -> str | None:
-    """Newest recorded version of a versioned table (None if nothing is recorded)."""
-    try:
-        log = spark.read.parquet(f"{table_path}/_log")
-    except AnalysisException:
-        return None
-    row = log.orderBy(F.desc("batch_id")).select("path").first()
-    return None if row is None else row["path"]
-
-
 def latest_table(spark: SparkSession, table_path: str) -> DataFrame:
-    v = _latest_version(spark, table_path)
-    if v is None:
-        raise FileNotFoundError(table_path)
-    return spark.read.parquet(v)
+    return feature_table(spark, table_path)
 
 
 def _event_time(src: DataFrame, ts: str):

@@ -32,3 +32,29 @@ def test_latest_snapshot(spark):
     df = spark.createDataFrame([(1, 1, 5.0), (1, 3, 6.0), (1, 3, 7.0), (2, 2, 1.0)], "k bigint, t int, v double")
     got = _rows(FT.latest_snapshot(df, ["k"], "t", ["v"]))
     assert got == [(1, 3, 7.0), (2, 2, 1.0)]
+
+
+def test_upsert_table_rewrites_only_touched_buckets(spark):
+    import glob
+    import os
+
+    from featureflow.session import scratch_path
+    path = scratch_path(spark, "ft")
+    base = spark.createDataFrame([(k, float(k), "a") for k in range(200)], "k bigint, x double, s string")
+    FT.upsert_table(spark, base, ["k"], path, n_buckets=16)
+    before = {f: os.path.getmtime(f) for f in glob.glob(path.replace("file:", "") + "/_bucket=*/*.parquet")}
+    upd = spark.createDataFrame([(3, 30.0, 1), (500, 5.0, 2)], "k bigint, x double, extra int")
+    FT.upsert_table(spark, upd, ["k"], path, n_buckets=16)
+    FT.upsert_table(spark, upd, ["k"], path, n_buckets=16)  # replay: unchanged
+    got = {r.k: (r.x, r.s, r.extra) for r in FT.feature_table(spark, path).collect()}
+    assert len(got) == 201 and got[3] == (30.0, "a", 1) and got[500] == (5.0, None, 2) and got[7] == (7.0, "a", None)
+    after = {f: os.path.getmtime(f) for f in glob.glob(path.replace("file:", "") + "/_bucket=*/*.parquet")}
+
+    def by_bucket(files):
+        out = {}
+        for f, m in files.items():
+            out.setdefault(os.path.basename(os.path.dirname(f)), set()).add((f, m))
+        return out
+    b0, b1 = by_bucket(before), by_bucket(after)
+    changed = [b for b in set(b0) | set(b1) if b0.get(b) != b1.get(b)]
+    assert 1 <= len(changed) <= 2  # only the buckets of keys 3 and 500 were replaced

@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from featureflow.operators import lookup as LK
 
@@ -89,3 +90,21 @@ def test_training_set_composition(spark):
     rows = {r.customer_id: r for r in ts.collect()}
     assert ts.columns == ["customer_id", "churn", "m", "t", "tot", "api"]
     assert rows[1].api == pytest.approx(-5.0) and rows[2].m is None and rows[2].api is None
+
+
+def test_auto_bucket_decision(spark):
+    rng = random.Random(11)
+    base = D(2024, 1, 1)
+    labels = [(i, 0 if i % 3 else i, base + dt.timedelta(minutes=rng.randint(0, 60 * 24 * 20))) for i in range(300)]
+    feats = [(0 if j % 3 else j, base + dt.timedelta(minutes=rng.randint(0, 60 * 24 * 20)), 5000 + j, float(j))
+             for j in range(400)]
+    L = spark.createDataFrame(labels, "lid bigint, k bigint, ts timestamp_ntz")
+    Fd = spark.createDataFrame(feats, "k bigint, fts timestamp_ntz, fid bigint, v double")
+    lab = L.select("k", F.col("ts").alias("_ts"))
+    fe = Fd.select("k", F.col("fts").alias("_ts"))
+    assert LK.choose_bucket(lab, fe, ["k"]) is None                      # nothing is hot at the default
+    width = LK.choose_bucket(lab, fe, ["k"], min_rows=50)                # key 0 holds ~2/3 of the rows
+    assert width is not None and width.endswith(" seconds")
+    res = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts", tie_breakers=["fid"], hot_key_rows=50)
+    got = sorted([tuple(r) for r in res.select("lid", "k", "ts", "fid", "v").collect()], key=lambda r: r[0])
+    assert got == brute_asof(labels, feats)
