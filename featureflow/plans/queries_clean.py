@@ -308,11 +308,13 @@ def q_latest_snapshot(spark, d):
     return FT.latest_snapshot(_t(spark, d).orders, ["o_custkey"], "o_orderdate", ["o_orderkey"])
 
 
-@query("table_changes", """
-WITH old AS (SELECT o_custkey AS customer_id, count(*) AS n_orders, max(o_totalprice) AS max_price FROM orders
-             WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00' GROUP BY 1),
-new AS (SELECT o_custkey AS customer_id, count(*) AS n_orders, max(o_totalprice) AS max_price FROM orders
-        WHERE o_orderdate < TIMESTAMP '2001-01-01 00:00:00' AND o_custkey % 10 <> 0 GROUP BY 1)
+_ACTIVE_SQL = """SELECT o_custkey AS customer_id, count(*) AS n_orders, max(o_totalprice) AS max_price FROM orders
+        WHERE o_orderdate < TIMESTAMP '{hi}' GROUP BY 1 HAVING max(o_orderdate) >= TIMESTAMP '{lo}'"""
+
+
+@query("table_changes", f"""
+WITH old AS ({_ACTIVE_SQL.format(hi='1999-01-01 00:00:00', lo='1998-01-01 00:00:00')}),
+new AS ({_ACTIVE_SQL.format(hi='2001-01-01 00:00:00', lo='2000-01-01 00:00:00')})
 SELECT coalesce(n.customer_id, o.customer_id) AS customer_id,
        CASE WHEN o.customer_id IS NULL THEN 'insert' WHEN n.customer_id IS NULL THEN 'delete' ELSE 'update' END
          AS change_type,
@@ -322,15 +324,19 @@ FROM old o FULL OUTER JOIN new n ON o.customer_id = n.customer_id
 WHERE o.customer_id IS NULL OR n.customer_id IS NULL
    OR o.n_orders IS DISTINCT FROM n.n_orders OR o.max_price IS DISTINCT FROM n.max_price""")
 def q_table_changes(spark, d):
+    """Change feed between two versions of an online table of *active* customers
+    (at least one order in the year before the version date): customers who stop
+    ordering are deleted, new ones inserted, the others updated when stats change."""
     o = _t(spark, d).orders
 
-    def snap(hi, keep=None):
+    def active_snapshot(hi):
+        lo = hi.replace(year=hi.year - 1)
         c = o.where(F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))
-        if keep is not None:
-            c = c.where(keep)
-        return c.groupBy(F.col("o_custkey").alias("customer_id")).agg(
-            F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("max_price"))
-    return FT.table_changes(snap(UPSERT_T1), snap(FX.CUTOFF, F.col("o_custkey") % 10 != 0), ["customer_id"])
+        g = c.groupBy(F.col("o_custkey").alias("customer_id")).agg(
+            F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("max_price"),
+            F.max("o_orderdate").alias("_last"))
+        return g.where(F.col("_last") >= F.lit(lo).cast("timestamp_ntz")).drop("_last")
+    return FT.table_changes(active_snapshot(UPSERT_T1), active_snapshot(FX.CUTOFF), ["customer_id"])
 
 
 # The synthetic inference columns (values, weights, ranges).

@@ -30,7 +30,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLE_NAMES:
             raise AttributeError(name)
-        return read_path(self.spark, "parquet", f"{self.base}/{name}.parquet")
+        df = read_path(self.spark, "parquet", f"{self.base}/{name}.parquet")
+        self.__dict__[name] = df  # one file listing / footer read per table and plan
+        return df
 
     def register(self, names: Sequence[str] = TABLE_NAMES) -> None:
         """Expose the tables as temporary views for ``spark.sql``."""
