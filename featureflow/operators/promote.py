@@ -89,3 +89,30 @@ def register_version(versions: DataFrame, description_col: str | None = None) ->
     tags = F.create_map(F.lit("first_version"), (F.col("_first") == 1).cast("string"),
                         F.lit("description"), desc)
     return v.select("model_name", "model_version", alias.alias("alias"), tags.alias("tags"))
+
+
+def validation_record(scored: DataFrame, model_name: str, model_version: int, model_alias: str,
+                      modeling_method: str, at: dt.datetime, label: str = "label", pred: str = "prediction",
+                      positive=1, metric: str = "binary_f1", splits: tuple[str, ...] | None = ("test",),
+                      split_col: str = "split") -> DataFrame:
+    """The validation log row (model-info schema) for one scored model, as a plan.
+
+    ``metric``: ``binary_f1`` (F1 of ``positive``) or ``weighted_f1`` (class-weighted);
+    the two are different metrics, so the row says which one it holds. ``splits``:
+    rows to score (default: the test split); ``None`` scores every row. The F1 is an
+    aggregation over the scored rows; the metadata are literals -- nothing is
+    collected to build the row.
+    """
+    from featureflow.functions.columns import round_metric
+    from featureflow.operators.metrics import binary_metrics, weighted_f1
+    rows = scored if splits is None else scored.where(F.col(split_col).isin(*splits))
+    if metric == "binary_f1":
+        m = binary_metrics(rows, label, pred, positive, digits=None).select(F.col("f1").alias("_f1"))
+    elif metric == "weighted_f1":
+        m = weighted_f1(rows, label, pred, digits=None).select(F.col("weighted_f1").alias("_f1"))
+    else:
+        raise ValueError(metric)
+    return m.select(F.lit(model_name).alias("model_name"), F.lit(model_version).cast("bigint").alias("model_version"),
+                    round_metric(F.col("_f1"), 4).alias("f1_score"), F.lit(metric).alias("metric"),
+                    F.lit(model_alias).alias("model_alias"), F.lit(modeling_method).alias("modeling_method"),
+                    F.lit(at).cast("timestamp_ntz").alias("validation_timestamp"))

@@ -450,3 +450,20 @@ def q_register_version(spark, d):
     v = FX.model_info(_t(spark, d)).select("model_name", "model_version").distinct()
     r = PR.register_version(v)
     return r.select("model_name", "model_version", "alias", F.col("tags")["first_version"].alias("first_version"))
+
+
+VALIDATED_AT = dt.datetime(2024, 3, 1, 7, 0, 0)
+
+
+@query("validation_row", W(S.PREDICTIONS) + f"""
+, c AS (SELECT count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+               count(*) FILTER (WHERE label IS DISTINCT FROM 1 AND prediction = 1) AS fp,
+               count(*) FILTER (WHERE label = 1 AND prediction IS DISTINCT FROM 1) AS fn
+        FROM predictions WHERE split = 'test')
+SELECT 'doc_quality' AS model_name, CAST(2 AS BIGINT) AS model_version,
+       {S.r4('CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END')} AS f1_score,
+       'binary_f1' AS metric, 'challenger' AS model_alias, 'length_rule' AS modeling_method,
+       TIMESTAMP '2024-03-01 07:00:00' AS validation_timestamp FROM c""")
+def q_validation_row(spark, d):
+    return PR.validation_record(FX.predictions(_t(spark, d)), "doc_quality", 2, "challenger", "length_rule",
+                                VALIDATED_AT)

@@ -97,3 +97,14 @@ def test_profile_grouping_sets(spark):
     assert got[("*", "x")] == (3, 1, 2.0)
     assert got[("a", "x")] == (2, 1, 1.0)
     assert got[("*", ":table")][0] == 3
+
+
+def test_validation_record(spark):
+    rows = [(1, 1, "test"), (1, 0, "test"), (0, 0, "test"), (1, 1, "train"), (0, 1, "train")]
+    df = spark.createDataFrame(rows, "label int, prediction int, split string")
+    r = PR.validation_record(df, "m", 3, "challenger", "gbt", D(2024, 1, 1)).first()
+    assert (r.model_version, r.f1_score, r.metric) == (3, round(2 / 3, 4), "binary_f1")
+    r_all = PR.validation_record(df, "m", 3, "challenger", "gbt", D(2024, 1, 1), splits=None).first()
+    assert r_all.f1_score == round(4 / 6, 4)
+    w = PR.validation_record(df, "m", 3, "challenger", "gbt", D(2024, 1, 1), metric="weighted_f1").first()
+    assert w.metric == "weighted_f1" and 0 < w.f1_score <= 1
