@@ -220,17 +220,25 @@ DOC_W = {"n_chars": 0.001}
 
 
 @query("stream_score", f"""
-SELECT doc_id, {S.r4('1.0 / (1.0 + exp(-(-2.0 + 0.001 * coalesce(CAST(n_chars AS DOUBLE), 0))))')} AS score,
-       CAST(1.0 / (1.0 + exp(-(-2.0 + 0.001 * coalesce(CAST(n_chars AS DOUBLE), 0)))) > 0.5 AS INTEGER) AS prediction
-FROM documents""")
+SELECT d.doc_id, {S.r4('1.0 / (1.0 + exp(-(-2.0 + 0.001 * coalesce(CAST(d.n_chars AS DOUBLE), 0))))')} AS score,
+       CAST(1.0 / (1.0 + exp(-(-2.0 + 0.001 * coalesce(CAST(d.n_chars AS DOUBLE), 0)))) > 0.5 AS INTEGER)
+         AS prediction,
+       l.quality
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def q_stream_score(spark, d):
+    """Stream of documents scored with fixed weights; late-arriving truth comes from a
+    static table through a stream-static left join (J5 on a stream)."""
     t = _t(spark, d)
     src_dir, out, ck = (scratch_path(spark, n) for n in ("docs_landing", "stream_score", "ck_score"))
     docs = t.documents.select("doc_id", "n_chars")
     docs.write.parquet(src_dir)
     src = ST.read_stream(spark, src_dir, docs.schema, max_files=None)
-    ST.stream_score(src, lambda s: ML.score_linear(s, DOC_W, -2.0).select(
-        "doc_id", r4("score").alias("score"), "prediction"), out, ck)
+    truth = t.labels.select("doc_id", "quality")
+
+    def score(s):
+        scored = ML.score_linear(s, DOC_W, -2.0).select("doc_id", r4("score").alias("score"), "prediction")
+        return scored.join(truth, "doc_id", "left")
+    ST.stream_score(src, score, out, ck)
     return spark.read.parquet(out)
 
 
