@@ -348,6 +348,8 @@ SYNTH_SPECS = {
     "tenure": TB.Steps(0.0, 72.0, 1.0),
     "monthly_charges": TB.Steps(18.0, 118.0, 0.5),
     "total_charges": TB.Steps(0.0, 8684.0, 20.0),
+    "customer_code": TB.Template("dddd-AAAA"),
+    "transaction_ts": TB.TimeSteps(dt.datetime(2024, 5, 1), dt.datetime(2024, 5, 30), 3600),
 }
 
 
@@ -357,8 +359,14 @@ def _synth_sql() -> str:
         salt = f"{name}:42"
         if isinstance(spec, TB.Choice):
             cols.append(f"{S.choice_sql('c_custkey', salt, spec.values, spec.weights)} AS {name}")
-        else:
+        elif isinstance(spec, TB.Steps):
             cols.append(f"{S.steps_sql('c_custkey', salt, spec.lo, spec.hi, spec.step)} AS {name}")
+        elif isinstance(spec, TB.Template):
+            cols.append(f"{S.template_sql('c_custkey', salt, spec.pattern)} AS {name}")
+        else:
+            b = int(spec.begin.replace(tzinfo=dt.timezone.utc).timestamp())
+            e = int(spec.end.replace(tzinfo=dt.timezone.utc).timestamp())
+            cols.append(f"{S.time_steps_sql('c_custkey', salt, b, e, spec.step_seconds)} AS {name}")
     return "SELECT c_custkey, " + ", ".join(cols) + " FROM customer"
 
 

@@ -144,3 +144,19 @@ profile_rows AS (
          event_type AS model_id, count(*) AS count,
          floor(floor(sum(value) * 1000000.0 + 0.5) / 1000000.0 / count(value) * 1000000.0 + 0.5) / 1000000.0 AS avg_value
   FROM events GROUP BY 1, 2, 3)"""
+
+
+def template_sql(key: str, salt: str, pattern: str) -> str:
+    parts = []
+    for i, ch in enumerate(pattern):
+        if ch not in "dA":
+            parts.append(f"'{ch}'")
+            continue
+        byte = f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{salt}:{i // 16}'), {2 * (i % 16) + 1}, 2))::INTEGER)"
+        parts.append(f"CAST({byte} % 10 AS VARCHAR)" if ch == "d" else f"chr(65 + {byte} % 26)")
+    return "(" + " || ".join(parts) + ")"
+
+
+def time_steps_sql(key: str, salt: str, begin_epoch: int, end_epoch: int, step: int) -> str:
+    n = (end_epoch - begin_epoch) // step + 1
+    return f"make_timestamp(CAST(({begin_epoch} + ({hash32(key, salt)} % {n}) * {step}) AS BIGINT) * 1000000)"

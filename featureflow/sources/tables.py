@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -154,6 +155,42 @@ class Steps:
     dtype: str = "double"
 
 
+@dataclass(frozen=True)
+class Template:
+    """Text from a pattern: 'd' -> a digit, 'A' -> an upper-case letter, else kept."""
+    pattern: str
+
+
+@dataclass(frozen=True)
+class TimeSteps:
+    """Timestamps begin, begin + step, ... up to end (inclusive), as TIMESTAMP_NTZ."""
+    begin: "dt.datetime"
+    end: "dt.datetime"
+    step_seconds: int
+
+
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _template_col(key: Column, salt: str, spec: Template) -> Column:
+    parts = []
+    for i, ch in enumerate(spec.pattern):
+        if ch not in "dA":
+            parts.append(F.lit(ch))
+            continue
+        h = F.md5(F.concat(key.cast("string"), F.lit(f":{salt}:{i // 16}")))
+        byte = F.conv(F.substring(h, 2 * (i % 16) + 1, 2), 16, 10).cast("int")
+        parts.append((byte % 10).cast("string") if ch == "d" else F.substring(F.lit(LETTERS), byte % 26 + 1, 1))
+    return F.concat(*parts)
+
+
+def _time_col(h: Column, spec: TimeSteps) -> Column:
+    b = int(spec.begin.replace(tzinfo=dt.timezone.utc).timestamp())
+    e = int(spec.end.replace(tzinfo=dt.timezone.utc).timestamp())
+    n = (e - b) // spec.step_seconds + 1
+    return F.timestamp_seconds(F.lit(b) + (h % n) * F.lit(spec.step_seconds)).cast("timestamp_ntz")
+
+
 def unit_hash(key: Column, salt: str) -> Column:
     """Integer in [0, 2^32) from md5(key ':' salt): first 8 hex digits."""
     h = F.md5(F.concat(key.cast("string"), F.lit(":" + salt)))
@@ -178,14 +215,27 @@ def _steps_col(h: Column, spec: Steps) -> Column:
     return (F.lit(spec.lo) + (h % n) * F.lit(spec.step)).cast(spec.dtype)
 
 
-def generate_table(ids: DataFrame, key: str, specs: Mapping[str, Choice | Steps], seed: int = 42) -> DataFrame:
-    """Add synthetic columns to a keyed frame (weighted choices, stepped ranges).
+def generate_table(ids: DataFrame, key: str, specs: Mapping[str, Choice | Steps | Template | TimeSteps],
+                   seed: int = 42) -> DataFrame:
+    """Add synthetic columns to a keyed frame (weighted choices, stepped ranges,
+    text templates, stepped timestamps).
 
     The row count is the caller's frame, so the work scales with the data it is
     derived from; no driver-side data is created.
     """
     cols = []
     for name, spec in specs.items():
-        h = unit_hash(F.col(key), f"{name}:{seed}")
-        cols.append((_choice_col(h, spec) if isinstance(spec, Choice) else _steps_col(h, spec)).alias(name))
+        salt = f"{name}:{seed}"
+        h = unit_hash(F.col(key), salt)
+        if isinstance(spec, Choice):
+            c = _choice_col(h, spec)
+        elif isinstance(spec, Steps):
+            c = _steps_col(h, spec)
+        elif isinstance(spec, Template):
+            c = _template_col(F.col(key), salt, spec)
+        elif isinstance(spec, TimeSteps):
+            c = _time_col(h, spec)
+        else:
+            raise TypeError(spec)
+        cols.append(c.alias(name))
     return ids.select(F.col(key), *cols)
