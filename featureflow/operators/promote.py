@@ -116,3 +116,20 @@ def validation_record(scored: DataFrame, model_name: str, model_version: int, mo
                     round_metric(F.col("_f1"), 4).alias("f1_score"), F.lit(metric).alias("metric"),
                     F.lit(model_alias).alias("model_alias"), F.lit(modeling_method).alias("modeling_method"),
                     F.lit(at).cast("timestamp_ntz").alias("validation_timestamp"))
+
+
+def deploy_version(aliases: DataFrame, versions: DataFrame) -> DataFrame:
+    """M5 deploy: make ``versions`` (model_name, model_version) the champion of their
+    model; a challenger alias on the deployed version is dropped; other aliases stay.
+
+    ``aliases``: (model_name, model_version, alias) with null alias = no alias.
+    Returns the alias table after deployment (one row per model_name, model_version).
+    """
+    dep = versions.select("model_name", F.col("model_version").alias("_dep"))
+    a = aliases.join(dep, "model_name", "left")
+    deployed = F.col("_dep").isNotNull()
+    is_dep = deployed & (F.col("model_version") == F.col("_dep"))
+    alias = (F.when(is_dep, F.lit(CHAMPION))
+             .when(deployed & (F.col("alias") == CHAMPION), F.lit(None).cast("string"))
+             .otherwise(F.col("alias")))
+    return a.select("model_name", "model_version", alias.alias("alias"))

@@ -467,3 +467,24 @@ SELECT 'doc_quality' AS model_name, CAST(2 AS BIGINT) AS model_version,
 def q_validation_row(spark, d):
     return PR.validation_record(FX.predictions(_t(spark, d)), "doc_quality", 2, "challenger", "length_rule",
                                 VALIDATED_AT)
+
+
+@query("deploy_version", W(S.MODEL_INFO) + """
+, v AS (SELECT DISTINCT model_name, model_version FROM model_info),
+r AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY model_version) AS f,
+             row_number() OVER (PARTITION BY model_name ORDER BY model_version DESC) AS l FROM v),
+reg AS (SELECT model_name, model_version,
+               CASE WHEN f = 1 THEN 'champion' WHEN l = 1 THEN 'challenger' END AS alias FROM r),
+dep AS (SELECT model_name, model_version AS d FROM reg WHERE alias = 'challenger' AND model_name <> 'error')
+SELECT reg.model_name, reg.model_version,
+       CASE WHEN dep.d IS NOT NULL AND reg.model_version = dep.d THEN 'champion'
+            WHEN dep.d IS NOT NULL AND reg.alias = 'champion' THEN NULL
+            ELSE reg.alias END AS alias
+FROM reg LEFT JOIN dep ON reg.model_name = dep.model_name""")
+def q_deploy_version(spark, d):
+    """Register every version, then deploy each model's challenger (models other than
+    'error'): it becomes champion, the old champion loses its alias."""
+    v = FX.model_info(_t(spark, d)).select("model_name", "model_version").distinct()
+    reg = PR.register_version(v).select("model_name", "model_version", "alias")
+    chosen = reg.where((F.col("alias") == PR.CHALLENGER) & (F.col("model_name") != "error"))
+    return PR.deploy_version(reg, chosen.select("model_name", "model_version"))

@@ -108,3 +108,19 @@ def test_validation_record(spark):
     assert r_all.f1_score == round(4 / 6, 4)
     w = PR.validation_record(df, "m", 3, "challenger", "gbt", D(2024, 1, 1), metric="weighted_f1").first()
     assert w.metric == "weighted_f1" and 0 < w.f1_score <= 1
+
+
+def test_deploy_version(spark):
+    aliases = spark.createDataFrame([("m", 1, "champion"), ("m", 2, None), ("m", 3, "challenger"), ("n", 1, "champion")],
+                                    "model_name string, model_version bigint, alias string")
+    dep = spark.createDataFrame([("m", 3)], "model_name string, model_version bigint")
+    got = {(r.model_name, r.model_version): r.alias for r in PR.deploy_version(aliases, dep).collect()}
+    assert got == {("m", 1): None, ("m", 2): None, ("m", 3): "champion", ("n", 1): "champion"}
+
+
+def test_profile_slices(spark):
+    rows = [(D(2024, 1, 1, 1), "a", "x", 1.0), (D(2024, 1, 1, 2), "a", "y", 3.0)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, model string, lang string, v double")
+    p = MO.profile_metrics(df, "ts", "1 day", ["v"], "model", slice_cols=["lang"])
+    got = {(r.model_id, r.slice_key, r.slice_value, r.column_name): r["count"] for r in p.collect()}
+    assert got[("a", None, None, "v")] == 2 and got[("a", "lang", "x", "v")] == 1 and got[("*", "lang", "y", ":table")] == 1
