@@ -183,6 +183,24 @@ class FeatureFunction:
         return self.fn(**{arg: F.col(col) for arg, col in self.input_bindings.items()})
 
 
+_FEATURES: dict[str, FeatureFunction] = {}
+
+
+def register_feature(name: str, fn: Callable[..., Column], inputs: Mapping[str, str],
+                     output: str | None = None) -> FeatureFunction:
+    """U4: name an on-demand feature (Column builder + input binding) for reuse in
+    training sets and scoring."""
+    f = FeatureFunction(fn, dict(inputs), output or name)
+    _FEATURES[name] = f
+    return f
+
+
+def feature_function(name: str, **rebind: str) -> FeatureFunction:
+    """A registered feature, optionally with inputs bound to other columns."""
+    f = _FEATURES[name]
+    return FeatureFunction(f.fn, {**f.input_bindings, **rebind}, f.output_name)
+
+
 def create_training_set(labels: DataFrame, lookups: Sequence[FeatureLookup] = (),
                         functions: Sequence[FeatureFunction] = (), label: str | None = None,
                         exclude_columns: Sequence[str] = (), bucket: str | None = "auto") -> DataFrame:

@@ -179,3 +179,6 @@ def metrics_by_split(df: DataFrame, split: str = "split", score: str = "score",
     out = out.join(log_loss(df, score, label, positive, g, digits=digits), g, "left")
     out = out.join(roc_auc(df, score, label, positive, g, digits), g, "left")
     return out
+
+
+auc = roc_auc  # survey name

@@ -121,6 +121,11 @@ def preprocess_fit(train: DataFrame, bool_cols: Sequence[str], num_cols: Sequenc
     return Preprocessor(list(bool_cols), list(num_cols), list(cat_cols), levels, means, scale)
 
 
+def preprocess_transform(pre: Preprocessor, df: DataFrame) -> DataFrame:
+    """L2 apply (same as ``pre.transform``)."""
+    return pre.transform(df)
+
+
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 

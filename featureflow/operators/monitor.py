@@ -178,3 +178,23 @@ def violations_by(profile: DataFrame, group_cols: Sequence[str], metric: str, th
         F.max(F.when(F.col("_rn") == 1, F.col(metric) > F.lit(threshold))).alias("_newest"))
     res = F.when((F.col("n_violations") >= n_violate) & F.coalesce(F.col("_newest"), F.lit(False)), 1).otherwise(0)
     return agg.select(*group_cols, "n_windows", "n_violations", res.alias("violated"))
+
+
+def drift_metrics(base: DataFrame, current: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
+    """A12 over several columns, long format (column_name, metric, value): text and
+    boolean columns get PSI / Jensen-Shannon / chi-square, numeric columns KS."""
+    from pyspark.sql.types import NumericType
+    parts = []
+    for c in cols:
+        if isinstance(base.schema[c].dataType, NumericType):
+            d = drift_ks(base, current, c, digits)
+            parts.append(d.select("column_name", F.lit("ks").alias("metric"), F.col("ks").alias("value")))
+        else:
+            d = drift_categorical(base, current, c, digits=digits)
+            parts.append(d.select("column_name", F.explode(F.array(*[
+                F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+                for m in ("psi", "js_divergence", "chi_square")])).alias("m")).select("column_name", "m.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -108,3 +108,12 @@ def test_auto_bucket_decision(spark):
     res = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts", tie_breakers=["fid"], hot_key_rows=50)
     got = sorted([tuple(r) for r in res.select("lid", "k", "ts", "fid", "v").collect()], key=lambda r: r[0])
     assert got == brute_asof(labels, feats)
+
+
+def test_register_feature(spark):
+    from featureflow.functions.columns import price_increase
+    LK.register_feature("avg_price_increase", price_increase,
+                        {"monthly": "monthly_charges", "tenure": "tenure", "total": "total_charges"})
+    f = LK.feature_function("avg_price_increase", tenure="t")
+    df = spark.createDataFrame([(50.0, 2.0, 60.0)], "monthly_charges double, t double, total_charges double")
+    assert df.select(f.column().alias("x")).first().x == pytest.approx(20.0)

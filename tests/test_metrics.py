@@ -59,3 +59,12 @@ def test_ks_brute_force(spark):
     xs = sorted(set(a + b))
     want = max(abs(sum(v <= x for v in a) / len(a) - sum(v <= x for v in b) / len(b)) for x in xs)
     assert drift_ks(A, B, "x", digits=10).first().ks == pytest.approx(want, abs=1e-9)
+
+
+def test_drift_metrics_long_format(spark):
+    from featureflow.operators.monitor import drift_metrics
+    a = spark.createDataFrame([("x", 1.0), ("y", 2.0), ("x", 3.0)], "c string, v double")
+    b = spark.createDataFrame([("y", 1.5), ("y", 2.5)], "c string, v double")
+    got = {(r.column_name, r.metric) for r in drift_metrics(a, b, ["c", "v"]).collect()}
+    assert got == {("c", "psi"), ("c", "js_divergence"), ("c", "chi_square"), ("v", "ks")}
+    assert MT.auc is MT.roc_auc
