@@ -67,7 +67,8 @@ def choose_bucket(lab: DataFrame, feat: DataFrame, keys: Sequence[str], min_rows
 def lookup_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], label_ts: str,
                 feature_ts: str | None = None, feature_cols: Sequence[str] | None = None,
                 tie_breakers: Sequence[str] = (), max_age: str | None = None,
-                bucket: str | None = "auto", hot_key_rows: int = HOT_KEY_MIN_ROWS) -> DataFrame:
+                bucket: str | None = "auto", hot_key_rows: int = HOT_KEY_MIN_ROWS,
+                stats_labels: DataFrame | None = None) -> DataFrame:
     """Each label row gets the newest feature row with feature_ts <= label_ts.
 
     * ``keys`` exist under the same names on both sides.
@@ -75,6 +76,7 @@ def lookup_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], lab
     * No earlier feature -> null feature columns; label rows are never duplicated
       or dropped.
     * ``max_age`` (an interval string such as ``'30 days'``): older matches -> nulls.
+    * ``stats_labels``: frame with the same label keys/times to measure (default ``labels``).
     * ``bucket``: time-bucket width that splits each key's rows over tasks;
       ``None`` uses one window partition per key (fine when keys are not skewed);
       ``"auto"`` (default) measures the largest key first (``choose_bucket``) and
@@ -103,7 +105,11 @@ def lookup_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], lab
                                         F.lit(0).alias("_side"), fv.alias("_fv"))
 
     if bucket == "auto":
-        bucket = choose_bucket(lab, feat, keys, hot_key_rows)
+        # the key/time distribution of the label rows; a training set passes its original
+        # label frame so the statistics never re-run earlier lookups
+        src = stats_labels if stats_labels is not None else labels
+        lab_keys = src.select(*[F.col(k) for k in keys], F.col(label_ts).alias("_ts"))
+        bucket = choose_bucket(lab_keys, feat, keys, hot_key_rows)
     if bucket is None:
         allr = lab.unionByName(feat, allowMissingColumns=True)
         w = Window.partitionBy(*keys).orderBy("_ts", "_side", "_fv").rowsBetween(*_RUNNING)
@@ -217,7 +223,7 @@ def create_training_set(labels: DataFrame, lookups: Sequence[FeatureLookup] = ()
             df = lookup_latest(df, t, lk.lookup_key, lk.feature_ts, names, lk.tie_breakers)
         else:
             df = lookup_asof(df, t, lk.lookup_key, lk.timestamp_lookup_key, lk.feature_ts or lk.timestamp_lookup_key,
-                             names, lk.tie_breakers, lk.max_age, bucket)
+                             names, lk.tie_breakers, lk.max_age, bucket, stats_labels=labels)
     if functions:
         df = df.withColumns({f.output_name: f.column() for f in functions})
     drop = [c for c in exclude_columns if c != label]
