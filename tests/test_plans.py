@@ -20,10 +20,15 @@ def test_scan_pushdown_and_pruning(spark):
     assert "l_tax" not in scan and "l_discount" not in scan and "l_partkey" not in scan
 
 
-@pytest.mark.parametrize("name", ["training_set", "pit_lookup", "lookup_latest", "num_optional_services",
-                                  "avg_price_increase", "ceil_timestamp", "metrics_by_split", "roc_points",
-                                  "profile_metrics", "drift_ks", "feature_upsert", "table_changes",
-                                  "impute_mode", "standardize", "metric_violation_by_model", "choose_champion"])
+B_OPS = ["normalized_columns", "num_optional_services", "recode_values", "parse_number", "coerce_numeric",
+         "fill_missing", "stamp_metadata", "avg_price_increase", "select_supported", "drop_rename", "assign_split",
+         "split_counts", "ceil_timestamp", "decode_label", "narrow_floats", "round_metric", "to_time"]
+J_OPS = ["join_exact", "pit_lookup", "pit_lookup_max_age", "lookup_latest", "training_set", "attach_labels"]
+OTHER = ["metrics_by_split", "roc_points", "profile_metrics", "drift_ks", "drift_psi", "feature_upsert",
+         "table_changes", "impute_mode", "standardize", "metric_violation_by_model", "choose_champion"]
+
+
+@pytest.mark.parametrize("name", B_OPS + J_OPS + OTHER)
 def test_native_plans(spark, name):
     text = _plan(E.queries()[name](spark, SF))
     assert "EvalPython" not in text, name
