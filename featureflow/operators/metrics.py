@@ -77,11 +77,19 @@ def weighted_f1(df: DataFrame, label: str = "label", pred: str = "prediction",
     return out
 
 
-def score_counts(df: DataFrame, score: str, label: str, positive=1, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Rows reduced to (group, score, pos, neg): the input of every curve."""
+def score_counts(df: DataFrame, score: str, label: str, positive=1, group_cols: Sequence[str] = (),
+                 bins: int | None = None) -> DataFrame:
+    """Rows reduced to (group, score, pos, neg): the input of every curve.
+
+    ``bins``: round scores down to a grid of ``1 / bins`` first, so a curve over a
+    huge scored table has at most ``bins + 1`` points per group (exact when None).
+    """
     y = F.coalesce(F.col(label) == F.lit(positive), F.lit(False))
+    s = F.col(score).cast("double")
+    if bins is not None:
+        s = F.floor(s * F.lit(bins)) / F.lit(float(bins))
     return (df.where(F.col(score).isNotNull())
-            .groupBy(*group_cols, F.col(score).alias("score"))
+            .groupBy(*group_cols, s.alias("score"))
             .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
 
 
@@ -125,10 +133,11 @@ def running_sums(g: DataFrame, group_cols: Sequence[str], order_col: str, value_
 
 
 def roc_curve(df: DataFrame, score: str = "score", label: str = "label", positive=1,
-              group_cols: Sequence[str] = ()) -> DataFrame:
-    """One point per distinct score threshold t (predict positive if score >= t)."""
+              group_cols: Sequence[str] = (), bins: int | None = None) -> DataFrame:
+    """One point per distinct score threshold t (predict positive if score >= t);
+    ``bins`` caps the points per group (see ``score_counts``)."""
     gc = list(group_cols)
-    g = score_counts(df, score, label, positive, gc)
+    g = score_counts(df, score, label, positive, gc, bins)
     rs = running_sums(g, gc, "score", ["pos", "neg"], descending=True)
     j = _attach_totals(rs, g, gc, {"_P": F.sum("pos"), "_N": F.sum("neg")})
     return j.select(*gc, F.col("score").alias("threshold"),
@@ -137,10 +146,10 @@ def roc_curve(df: DataFrame, score: str = "score", label: str = "label", positiv
 
 
 def pr_curve(df: DataFrame, score: str = "score", label: str = "label", positive=1,
-             group_cols: Sequence[str] = ()) -> DataFrame:
-    """Precision / recall per distinct score threshold."""
+             group_cols: Sequence[str] = (), bins: int | None = None) -> DataFrame:
+    """Precision / recall per distinct score threshold (``bins``: see ``score_counts``)."""
     gc = list(group_cols)
-    g = score_counts(df, score, label, positive, gc)
+    g = score_counts(df, score, label, positive, gc, bins)
     rs = running_sums(g, gc, "score", ["pos", "neg"], descending=True)
     j = _attach_totals(rs, g, gc, {"_P": F.sum("pos")})
     return j.select(*gc, F.col("score").alias("threshold"),

@@ -117,3 +117,16 @@ def test_register_feature(spark):
     f = LK.feature_function("avg_price_increase", tenure="t")
     df = spark.createDataFrame([(50.0, 2.0, 60.0)], "monthly_charges double, t double, total_charges double")
     assert df.select(f.column().alias("x")).first().x == pytest.approx(20.0)
+
+
+def test_hot_key_plan_partitions_by_time_bucket(spark):
+    L = spark.createDataFrame([(i, 0, D(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(200)],
+                              "lid bigint, k bigint, ts timestamp_ntz")
+    Fd = spark.createDataFrame([(0, D(2024, 1, 1) + dt.timedelta(hours=j, minutes=30), j, 1.0) for j in range(200)],
+                               "k bigint, fts timestamp_ntz, fid bigint, v double")
+    hot = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts", hot_key_rows=50)
+    cold = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts")
+    hot_plan = hot._jdf.queryExecution().executedPlan().toString()
+    cold_plan = cold._jdf.queryExecution().executedPlan().toString()
+    assert "_b#" in hot_plan and "_b#" not in cold_plan
+    assert sorted(tuple(r) for r in hot.collect()) == sorted(tuple(r) for r in cold.collect())

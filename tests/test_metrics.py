@@ -68,3 +68,14 @@ def test_drift_metrics_long_format(spark):
     got = {(r.column_name, r.metric) for r in drift_metrics(a, b, ["c", "v"]).collect()}
     assert got == {("c", "psi"), ("c", "js_divergence"), ("c", "chi_square"), ("v", "ks")}
     assert MT.auc is MT.roc_auc
+
+
+def test_binned_roc_points(spark):
+    rng = random.Random(9)
+    rows = [(rng.random(), 1 if rng.random() < 0.5 else 0) for _ in range(500)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    pts = MT.roc_curve(df, bins=10).collect()
+    assert len(pts) <= 11
+    pos = [s for s, y in rows if y == 1]
+    for r in pts:
+        assert r.tpr == pytest.approx(sum(int(s * 10) / 10 >= r.threshold for s in pos) / len(pos))
