@@ -64,6 +64,16 @@ def choose_bucket(lab: DataFrame, feat: DataFrame, keys: Sequence[str], min_rows
     return f"{width} seconds"
 
 
+@dataclass
+class AsofSide:
+    """One feature frame of a multi-lookup as-of pass."""
+    features: DataFrame
+    feature_ts: str
+    feature_cols: Sequence[str] | None = None
+    tie_breakers: Sequence[str] = ()
+    max_age: str | None = None
+
+
 def lookup_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], label_ts: str,
                 feature_ts: str | None = None, feature_cols: Sequence[str] | None = None,
                 tie_breakers: Sequence[str] = (), max_age: str | None = None,
@@ -83,62 +93,88 @@ def lookup_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], lab
       buckets only when one key would hold more than ``hot_key_rows`` rows and more
       than its share of a shuffle partition.
     """
-    feature_ts = feature_ts or label_ts
+    side = AsofSide(features, feature_ts or label_ts, feature_cols, tie_breakers, max_age)
+    return lookup_asof_many(labels, [side], keys, label_ts, bucket, hot_key_rows, stats_labels)
+
+
+def lookup_asof_many(labels: DataFrame, sides: Sequence[AsofSide], keys: Sequence[str], label_ts: str,
+                     bucket: str | None = "auto", hot_key_rows: int = HOT_KEY_MIN_ROWS,
+                     stats_labels: DataFrame | None = None) -> DataFrame:
+    """Several as-of lookups on the same key and label time in ONE pass: the label
+    rows and every feature frame are unioned and shuffled once, and one window
+    carries each frame's newest row forward (``last(_fv<i>, ignorenulls)``), so N
+    lookups cost one shuffle of the labels instead of N. Semantics per side as in
+    ``lookup_asof``."""
     keys = list(keys)
-    excluded = set(keys) | {feature_ts}
-    feature_cols = list(feature_cols) if feature_cols is not None else [c for c in features.columns
-                                                                        if c not in excluded]
-    clash = [c for c in feature_cols if c in labels.columns]
-    if clash:
-        raise ValueError(f"feature columns clash with label columns: {clash}")
-    tie = list(tie_breakers)
     label_cols = labels.columns
-
+    taken = set(label_cols)
     lab = labels.select(*[F.col(k) for k in keys], F.col(label_ts).alias("_ts"),
                         F.lit(1).alias("_side"), F.struct(*label_cols).alias("_l"))
-    fv = F.struct(F.col(feature_ts).alias("fts"), *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie)],
-                  F.struct(*feature_cols).alias("f"))
-    valid = F.col(feature_ts).isNotNull()
-    for k in keys:
-        valid = valid & F.col(k).isNotNull()  # null keys never match, as in SQL
-    feat = features.where(valid).select(*[F.col(k) for k in keys], F.col(feature_ts).alias("_ts"),
-                                        F.lit(0).alias("_side"), fv.alias("_fv"))
+    feats, outs = [], []
+    for i, sd in enumerate(sides):
+        excluded = set(keys) | {sd.feature_ts}
+        cols = list(sd.feature_cols) if sd.feature_cols is not None else [c for c in sd.features.columns
+                                                                          if c not in excluded]
+        clash = [c for c in cols if c in taken]
+        if clash:
+            raise ValueError(f"feature columns clash with label or earlier feature columns: {clash}")
+        taken |= set(cols)
+        fv = F.struct(F.col(sd.feature_ts).alias("fts"),
+                      *[F.col(t).alias(f"_t{n}") for n, t in enumerate(sd.tie_breakers)],
+                      F.struct(*cols).alias("f"))
+        valid = F.col(sd.feature_ts).isNotNull()
+        for k in keys:
+            valid = valid & F.col(k).isNotNull()  # null keys never match, as in SQL
+        feats.append(sd.features.where(valid).select(*[F.col(k) for k in keys], F.col(sd.feature_ts).alias("_ts"),
+                                                     F.lit(0).alias("_side"), fv.alias(f"_fv{i}")))
+        outs.append((i, cols, sd.max_age))
+    fvs = [f"_fv{i}" for i, _, _ in outs]
 
     if bucket == "auto":
         # the key/time distribution of the label rows; a training set passes its original
         # label frame so the statistics never re-run earlier lookups
         src = stats_labels if stats_labels is not None else labels
         lab_keys = src.select(*[F.col(k) for k in keys], F.col(label_ts).alias("_ts"))
-        bucket = choose_bucket(lab_keys, feat, keys, hot_key_rows)
+        all_feats = feats[0].select(*keys, "_ts")
+        for f in feats[1:]:
+            all_feats = all_feats.unionByName(f.select(*keys, "_ts"))
+        bucket = choose_bucket(lab_keys, all_feats, keys, hot_key_rows)
+
+    def union(frames):
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f, allowMissingColumns=True)
+        return out
+
     if bucket is None:
-        allr = lab.unionByName(feat, allowMissingColumns=True)
-        w = Window.partitionBy(*keys).orderBy("_ts", "_side", "_fv").rowsBetween(*_RUNNING)
-        res = allr.withColumn("_m", F.last("_fv", ignorenulls=True).over(w)).where(F.col("_side") == 1)
+        allr = union([lab, *feats])
+        w = Window.partitionBy(*keys).orderBy("_ts", "_side", *fvs).rowsBetween(*_RUNNING)
     else:
         lab = lab.withColumn("_b", _bucket(F.col("_ts"), bucket))
-        feat = feat.withColumn("_b", _bucket(F.col("_ts"), bucket))
-        # Phase A: newest feature row per (key, bucket) -- partial aggregation, bounded output.
-        fb = feat.groupBy(*keys, "_b").agg(F.max("_fv").alias("_last")).withColumn("_k", F.lit(1))
-        # Phase B: for each label bucket, newest feature row of all *earlier* buckets.
+        feats = [f.withColumn("_b", _bucket(F.col("_ts"), bucket)) for f in feats]
+        # Phase A: newest feature row per (key, bucket) and side -- partial aggregation, bounded output.
+        fbs = [f.groupBy(*keys, "_b").agg(F.max(v).alias(f"_last{v}")).withColumn("_k", F.lit(1))
+               for f, v in zip(feats, fvs)]
+        # Phase B: for each label bucket, newest feature row of all *earlier* buckets, per side.
         lb = lab.select(*keys, "_b").distinct().withColumn("_k", F.lit(0))
         wb = Window.partitionBy(*keys).orderBy("_b", "_k").rowsBetween(*_RUNNING)
-        carry = (lb.unionByName(fb, allowMissingColumns=True)
-                 .withColumn("_carry", F.last("_last", ignorenulls=True).over(wb))
+        carry = (union([lb, *fbs])
+                 .withColumns({v: F.last(f"_last{v}", ignorenulls=True).over(wb) for v in fvs})
                  .where(F.col("_k") == 0)
-                 .select(*keys, "_b", F.col("_carry").alias("_fv"), F.lit(-1).alias("_side")))
-        # Phase C: exact as-of inside each (key, bucket), seeded by the carried row.
-        allr = lab.unionByName(feat, allowMissingColumns=True).unionByName(carry, allowMissingColumns=True)
+                 .select(*keys, "_b", *fvs, F.lit(-1).alias("_side")))
+        # Phase C: exact as-of inside each (key, bucket), seeded by the carried rows.
+        allr = union([lab, *feats, carry])
         w = Window.partitionBy(*keys, "_b").orderBy(
-            F.when(F.col("_side") == -1, 0).otherwise(1), "_ts", "_side", "_fv").rowsBetween(*_RUNNING)
-        res = allr.withColumn("_m", F.last("_fv", ignorenulls=True).over(w)).where(F.col("_side") == 1)
-
-    m = F.col("_m")
-    if max_age is not None:
-        too_old = F.col("_ts") > m["fts"] + F.expr(f"INTERVAL {max_age}")
-        m = F.when(~too_old, m)
-    res = res.withColumn("_m", m)
+            F.when(F.col("_side") == -1, 0).otherwise(1), "_ts", "_side", *fvs).rowsBetween(*_RUNNING)
+    res = allr.withColumns({f"_m{i}": F.last(v, ignorenulls=True).over(w) for (i, _, _), v in zip(outs, fvs)})
+    res = res.where(F.col("_side") == 1)
+    for i, _, max_age in outs:
+        if max_age is not None:
+            m = F.col(f"_m{i}")
+            too_old = F.col("_ts") > m["fts"] + F.expr(f"INTERVAL {max_age}")
+            res = res.withColumn(f"_m{i}", F.when(~too_old, m))
     return res.select(*[F.col(f"_l.{c}").alias(c) for c in label_cols],
-                      *[F.col(f"_m.f.{c}").alias(c) for c in feature_cols])
+                      *[F.col(f"_m{i}.f.{c}").alias(c) for i, cols, _ in outs for c in cols])
 
 
 def latest_snapshot(df: DataFrame, keys: Sequence[str], ts: str, tie_breakers: Sequence[str] = ()) -> DataFrame:
@@ -210,8 +246,23 @@ def feature_function(name: str, **rebind: str) -> FeatureFunction:
 def create_training_set(labels: DataFrame, lookups: Sequence[FeatureLookup] = (),
                         functions: Sequence[FeatureFunction] = (), label: str | None = None,
                         exclude_columns: Sequence[str] = (), bucket: str | None = "auto") -> DataFrame:
-    """Labels + point-in-time features + on-demand features - excluded columns (lazy)."""
+    """Labels + point-in-time features + on-demand features - excluded columns (lazy).
+
+    Consecutive as-of lookups on the same key and label time share one pass
+    (``lookup_asof_many``): one shuffle of the label rows for all of them.
+    """
     df = labels
+    pending: list[AsofSide] = []
+    pending_on: tuple | None = None
+
+    def flush(frame):
+        if not pending:
+            return frame
+        keys, ts = pending_on
+        out = lookup_asof_many(frame, list(pending), list(keys), ts, bucket, stats_labels=labels)
+        pending.clear()
+        return out
+
     for lk in lookups:
         t = lk.table
         names = list(lk.feature_names) if lk.feature_names is not None else None
@@ -220,10 +271,15 @@ def create_training_set(labels: DataFrame, lookups: Sequence[FeatureLookup] = ()
             if names is not None:
                 names = [lk.rename.get(n, n) for n in names]
         if lk.timestamp_lookup_key is None:
+            df = flush(df)
             df = lookup_latest(df, t, lk.lookup_key, lk.feature_ts, names, lk.tie_breakers)
-        else:
-            df = lookup_asof(df, t, lk.lookup_key, lk.timestamp_lookup_key, lk.feature_ts or lk.timestamp_lookup_key,
-                             names, lk.tie_breakers, lk.max_age, bucket, stats_labels=labels)
+            continue
+        on = (tuple(lk.lookup_key), lk.timestamp_lookup_key)
+        if pending and on != pending_on:
+            df = flush(df)
+        pending_on = on
+        pending.append(AsofSide(t, lk.feature_ts or lk.timestamp_lookup_key, names, lk.tie_breakers, lk.max_age))
+    df = flush(df)
     if functions:
         df = df.withColumns({f.output_name: f.column() for f in functions})
     drop = [c for c in exclude_columns if c != label]

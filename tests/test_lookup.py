@@ -130,3 +130,24 @@ def test_hot_key_plan_partitions_by_time_bucket(spark):
     cold_plan = cold._jdf.queryExecution().executedPlan().toString()
     assert "_b#" in hot_plan and "_b#" not in cold_plan
     assert sorted(tuple(r) for r in hot.collect()) == sorted(tuple(r) for r in cold.collect())
+
+
+@pytest.mark.parametrize("bucket", [None, "1 day"])
+def test_multi_lookup_one_pass_equals_sequential(spark, bucket):
+    rng = random.Random(21)
+    base = D(2024, 1, 1)
+    labels = [(i, rng.randint(0, 5), base + dt.timedelta(hours=rng.randint(0, 24 * 10))) for i in range(150)]
+    f1 = [(rng.randint(0, 5), base + dt.timedelta(hours=rng.randint(0, 24 * 10)), j, float(j)) for j in range(120)]
+    f2 = [(rng.randint(0, 5), base + dt.timedelta(hours=rng.randint(0, 24 * 10)), 900 + j) for j in range(80)]
+    L = spark.createDataFrame(labels, "lid bigint, k bigint, ts timestamp_ntz")
+    F1 = spark.createDataFrame(f1, "k bigint, t1 timestamp_ntz, fid bigint, v double")
+    F2 = spark.createDataFrame(f2, "k bigint, t2 timestamp_ntz, gid bigint")
+    one = LK.lookup_asof_many(L, [LK.AsofSide(F1, "t1", tie_breakers=["fid"]),
+                                  LK.AsofSide(F2, "t2", tie_breakers=["gid"], max_age="2 days")],
+                              ["k"], "ts", bucket=bucket)
+    seq = LK.lookup_asof(LK.lookup_asof(L, F1, ["k"], "ts", "t1", tie_breakers=["fid"], bucket=bucket),
+                         F2, ["k"], "ts", "t2", tie_breakers=["gid"], max_age="2 days", bucket=bucket)
+    assert one.columns == seq.columns == ["lid", "k", "ts", "fid", "v", "gid"]
+    assert sorted(tuple(r) for r in one.collect()) == sorted(tuple(r) for r in seq.collect())
+    final = one._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Window [") == (1 if bucket is None else 2)  # one pass for both lookups
