@@ -79,6 +79,24 @@ def fit_standardize(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float
     return {c: (row[f"m_{c}"], row[f"s_{c}"] if row[f"s_{c}"] not in (None, 0.0) else 1.0) for c in cols}
 
 
+def fit_impute_standardize(df: DataFrame, cols: Sequence[str]) -> tuple[dict, dict]:
+    """A3 + A4 fit in one pass: means of the non-null values, and the population std
+    the columns have *after* mean imputation. Imputed rows sit on the mean, so that
+    std is sqrt(n_nonnull / n_rows) times the std of the non-null values."""
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.avg(x).alias(f"m_{c}"), F.stddev_pop(x).alias(f"s_{c}"), F.count(x).alias(f"n_{c}")]
+    row = df.agg(*aggs).first()
+    means, scale = {}, {}
+    for c in cols:
+        mu, sd, n = row[f"m_{c}"], row[f"s_{c}"], row[f"n_{c}"]
+        means[c] = mu
+        sd_imp = sd * (n / row["_rows"]) ** 0.5 if sd is not None and row["_rows"] else None
+        scale[c] = (mu, sd_imp if sd_imp not in (None, 0.0) else 1.0)
+    return means, scale
+
+
 def standardize(df: DataFrame, cols: Sequence[str], stats: dict | None = None) -> DataFrame:
     """A4 apply: (x - mean) / std with population std, as scikit-learn's scaler."""
     stats = stats if stats is not None else fit_standardize(df, cols)

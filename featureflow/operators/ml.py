@@ -114,9 +114,7 @@ def preprocess_fit(train: DataFrame, bool_cols: Sequence[str], num_cols: Sequenc
                    cat_cols: Sequence[str]) -> Preprocessor:
     """L2: fit on the training rows only: numeric coercion, mean imputation,
     population standardisation, drop-first / indicator one-hot."""
-    num = to_numeric(train, num_cols)
-    means = AG.fit_means(num, num_cols)
-    scale = AG.fit_standardize(AG.impute_mean(num, num_cols, means), num_cols)
+    means, scale = AG.fit_impute_standardize(to_numeric(train, num_cols), num_cols)  # one pass
     levels = fit_levels(train, [*bool_cols, *cat_cols])
     return Preprocessor(list(bool_cols), list(num_cols), list(cat_cols), levels, means, scale)
 

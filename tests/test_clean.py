@@ -84,3 +84,12 @@ def test_cleaning_plan_has_no_python(spark):
                                + ", ".join(f"{c} string" for c in CL.SERVICE_COLUMNS))
     plan = CL.clean_churn_features(df)._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_fit_impute_standardize_one_pass(spark):
+    from featureflow.operators import aggregate as AG
+    df = spark.createDataFrame([(1.0,), (None,), (4.0,), (7.0,), (None,)], "x double")
+    means, scale = AG.fit_impute_standardize(df, ["x"])
+    two_pass = AG.fit_standardize(AG.impute_mean(df, ["x"], AG.fit_means(df, ["x"])), ["x"])
+    assert means["x"] == pytest.approx(4.0)
+    assert scale["x"][1] == pytest.approx(two_pass["x"][1]) and scale["x"][0] == pytest.approx(two_pass["x"][0])
