@@ -22,15 +22,35 @@ class FeatureTableSpec:
     description: str = ""
 
 
-def create_feature_table(spark: SparkSession, spec: FeatureTableSpec, schema: StructType, path: str) -> DataFrame:
-    """An empty table with the given schema; key and time column are checked."""
+def create_feature_table(spark: SparkSession, spec: FeatureTableSpec, schema: StructType, path: str,
+                         register: bool = False) -> DataFrame:
+    """An empty table with the given schema; key and time column are checked.
+
+    ``register=True`` also creates the catalog table ``spec.name`` over ``path`` and
+    keeps the spec as table properties (``feature_table_spec`` reads it back).
+    """
     for k in (*spec.primary_keys, *([spec.timeseries_column] if spec.timeseries_column else [])):
         if k not in schema.fieldNames():
             raise ValueError(f"{k} is not a column of the schema")
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    if register:
+        props = {"featureflow.primary_keys": ",".join(spec.primary_keys),
+                 "featureflow.timeseries_column": spec.timeseries_column or "",
+                 "featureflow.description": spec.description.replace("'", "")}
+        prop_sql = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {spec.name} USING parquet LOCATION '{path}' TBLPROPERTIES ({prop_sql})")
+        return spark.table(spec.name)
     return spark.read.schema(schema).parquet(path)
 
 
+def feature_table_spec(spark: SparkSession, name: str) -> FeatureTableSpec:
+    """The spec kept as table properties by ``create_feature_table(register=True)``."""
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    keys = tuple(k for k in props.get("featureflow.primary_keys", "").split(",") if k)
+    return FeatureTableSpec(name, keys, props.get("featureflow.timeseries_column") or None,
+                            props.get("featureflow.description", ""))
+
+
 def merge_features(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert ``updates`` into ``target`` on ``keys``.
 

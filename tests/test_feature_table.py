@@ -58,3 +58,14 @@ def test_upsert_table_rewrites_only_touched_buckets(spark):
     b0, b1 = by_bucket(before), by_bucket(after)
     changed = [b for b in set(b0) | set(b1) if b0.get(b) != b1.get(b)]
     assert 1 <= len(changed) <= 2  # only the buckets of keys 3 and 500 were replaced
+
+
+def test_feature_table_spec_as_properties(spark):
+    from featureflow.session import scratch_path
+    schema = "customer_id bigint, transaction_ts timestamp_ntz, tenure double"
+    st = spark.createDataFrame([], schema).schema
+    spec = FT.FeatureTableSpec("ff_spec_test", ("customer_id", "transaction_ts"), "transaction_ts", "churn features")
+    df = FT.create_feature_table(spark, spec, st, scratch_path(spark, "spec"), register=True)
+    assert df.count() == 0 and df.columns == ["customer_id", "transaction_ts", "tenure"]
+    got = FT.feature_table_spec(spark, "ff_spec_test")
+    assert got.primary_keys == spec.primary_keys and got.timeseries_column == "transaction_ts"
