@@ -79,3 +79,19 @@ def materialize(df):
     a local checkpoint, and is never written to a machine-local temp folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   max_partitions: int = 500_000) -> int:
+    """Size shuffles for the data a job reads: the initial shuffle partition count is
+    input / target (AQE then coalesces small ones toward the advisory size and splits
+    skewed ones), and scans split files at the same target. 100 TB at 256 MiB gives
+    ~400k partitions -- each fits an executor's memory and spills gracefully.
+    Returns the partition count it set."""
+    n = max(8, min(max_partitions, -(-int(input_bytes) // int(target_partition_bytes))))
+    for k, v in {"spark.sql.shuffle.partitions": n,
+                 "spark.sql.adaptive.coalescePartitions.initialPartitionNum": n,
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_partition_bytes,
+                 "spark.sql.files.maxPartitionBytes": target_partition_bytes}.items():
+        spark.conf.set(k, str(v))
+    return n

@@ -39,3 +39,16 @@ def test_scratch_under_checkpoint_dir(spark):
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     p = scratch_path(spark, "x")
     assert p.startswith(d.rstrip("/")) and not os.path.exists(p.replace("file:", ""))
+
+
+def test_size_for_input(spark):
+    from featureflow.session import size_for_input
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_for_input(spark, 100 * 2**40) == 409_600           # 100 TB at 256 MiB
+        assert size_for_input(spark, 100 * 2**40, 1 << 30) == 102_400   # 1 GiB partitions
+        assert size_for_input(spark, 10 << 20) == 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
