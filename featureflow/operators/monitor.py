@@ -198,3 +198,18 @@ def drift_metrics(base: DataFrame, current: DataFrame, cols: Sequence[str], digi
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def write_profile(profile: DataFrame, path: str, mode: str = "append") -> None:
+    """Store profile rows partitioned by window date, so monitors that read recent
+    windows prune partitions at the scan instead of reading the whole history."""
+    (profile.withColumn("window_date", F.to_date("window_start")).write.mode(mode)
+     .partitionBy("window_date").parquet(path))
+
+
+def read_profile(spark, path: str, since: dt.date | None = None) -> DataFrame:
+    """Profile rows, optionally only windows on or after ``since`` (a partition filter)."""
+    df = spark.read.parquet(path)
+    if since is not None:
+        df = df.where(F.col("window_date") >= F.lit(since))
+    return df.drop("window_date")

@@ -124,3 +124,16 @@ def test_profile_slices(spark):
     p = MO.profile_metrics(df, "ts", "1 day", ["v"], "model", slice_cols=["lang"])
     got = {(r.model_id, r.slice_key, r.slice_value, r.column_name): r["count"] for r in p.collect()}
     assert got[("a", None, None, "v")] == 2 and got[("a", "lang", "x", "v")] == 1 and got[("*", "lang", "y", ":table")] == 1
+
+
+def test_profile_storage_prunes_partitions(spark):
+    from featureflow.session import scratch_path
+    rows = [(D(2024, 1, d, 1), "a", float(d)) for d in range(1, 11)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, model string, x double")
+    p = MO.profile_metrics(df, "ts", "1 day", ["x"], "model", table_metrics={"m": F.col("x")})
+    path = scratch_path(spark, "profile")
+    MO.write_profile(p, path)
+    recent = MO.read_profile(spark, path, since=dt.date(2024, 1, 8))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(window_date" in plan
+    assert MO.metric_violated(recent, "m", 8.5, 5, 2).first().query_result == 1  # windows 9 and 10 exceed
