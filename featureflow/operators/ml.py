@@ -176,14 +176,20 @@ def sample_space(space: Mapping[str, tuple], rng: random.Random) -> dict[str, ob
 
 
 def random_search(space: Mapping[str, tuple], n_trials: int, objective: Callable[[dict], float],
-                  seed: int = 42) -> list[dict]:
-    """L4: seeded random search minimising ``objective`` (each trial is a Spark job)."""
+                  seed: int = 42, parallelism: int = 1) -> list[dict]:
+    """L4: seeded random search minimising ``objective``; each trial is a set of Spark
+    jobs. Points are drawn up front in order (the same points at any parallelism);
+    ``parallelism`` > 1 runs trials from driver threads so their jobs share the
+    cluster, as Spark ML's tuning estimators do."""
     rng = random.Random(seed)
-    trials = []
-    for i in range(n_trials):
-        params = sample_space(space, rng)
-        loss = objective(params)
-        trials.append({"trial": i, "loss": float(loss), "params": params})
+    points = [sample_space(space, rng) for _ in range(n_trials)]
+    if parallelism > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            losses = list(pool.map(objective, points))
+    else:
+        losses = [objective(p) for p in points]
+    trials = [{"trial": i, "loss": float(loss), "params": p} for i, (p, loss) in enumerate(zip(points, losses))]
     return sorted(trials, key=lambda t: (t["loss"], t["trial"]))
 
 

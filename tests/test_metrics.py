@@ -79,3 +79,11 @@ def test_binned_roc_points(spark):
     pos = [s for s, y in rows if y == 1]
     for r in pts:
         assert r.tpr == pytest.approx(sum(int(s * 10) / 10 >= r.threshold for s in pos) / len(pos))
+
+
+def test_random_search_same_points_at_any_parallelism():
+    from featureflow.operators.ml import random_search
+    space = {"a": ("uniform", 0, 1), "b": ("quniform", 1, 9, 1), "c": ("loguniform", 0.01, 1.0), "d": ("choice", [3, 4])}
+    obj = lambda p: (p["a"] - 0.3) ** 2 + p["b"] * 0.01
+    one, four = random_search(space, 6, obj, 42, 1), random_search(space, 6, obj, 42, 4)
+    assert one == four and one[0]["loss"] <= one[-1]["loss"]
