@@ -2,11 +2,12 @@
 
 The as-of lookup is the one operator Spark lacks. It is written as a union of the
 two sides plus a running ``last(..., ignorenulls)`` window -- one shuffle of the
-rows, no theta join, label rows never multiply. To keep a hot key (one entity with
-a third of all rows) from landing in one task, rows are partitioned by
-(key, time bucket) and each bucket receives the newest feature row of all earlier
-buckets, computed from a per-bucket pre-aggregate whose size is bounded by the
-number of buckets, not by the number of rows.
+rows, no theta join, label rows never multiply; several feature frames on the same
+key share the pass. To keep a hot key (one entity with a third of all rows) from
+landing in one task, a partial aggregation first measures the largest key; when it
+is hot, rows are partitioned by (key, time bucket) and each bucket receives the
+newest feature row of all earlier buckets, computed from a per-bucket pre-aggregate
+whose size is bounded by the number of buckets, not by the number of rows.
 """
 
 from __future__ import annotations
