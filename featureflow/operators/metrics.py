@@ -59,13 +59,17 @@ def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction"
 
 
 def weighted_f1(df: DataFrame, label: str = "label", pred: str = "prediction",
-                group_cols: Sequence[str] = (), digits: int | None = 4) -> DataFrame:
+                group_cols: Sequence[str] = (), digits: int | None = 4, count_col: str | None = None) -> DataFrame:
     """Class-frequency-weighted F1 (the multiclass evaluator's "f1").
 
-    Computed from the confusion table (classes^2 rows per group), never from rows.
+    Computed from the confusion table (classes^2 rows per group), never from rows;
+    ``count_col``: ``df`` already is such a table with counts in that column.
     """
     g = list(group_cols)
-    cm = confusion_matrix(df.where(F.col(label).isNotNull()), label, pred, g)
+    if count_col is None:
+        cm = confusion_matrix(df.where(F.col(label).isNotNull()), label, pred, g)
+    else:
+        cm = df.groupBy(*g, label, pred).agg(F.sum(count_col).alias("n"))
     per_true = cm.groupBy(*g, F.col(label).alias("cls")).agg(
         F.sum("n").alias("support"), F.sum(F.when(F.col(label) == F.col(pred), F.col("n")).otherwise(0)).alias("tp"))
     per_pred = cm.groupBy(*g, F.col(pred).alias("cls")).agg(F.sum("n").alias("predicted"))
@@ -180,12 +184,31 @@ def log_loss(df: DataFrame, score: str = "score", label: str = "label", positive
 
 
 def metrics_by_split(df: DataFrame, split: str = "split", score: str = "score", label: str = "label",
-                     pred: str = "prediction", positive=1, digits: int = 4) -> DataFrame:
-    """Per split: counts, accuracy/precision/recall/F1, weighted F1, log-loss, AUC."""
+                     pred: str = "prediction", positive=1, digits: int = 4, eps: float = 1e-15) -> DataFrame:
+    """Per split: counts, accuracy/precision/recall/F1, weighted F1, log-loss, AUC.
+
+    Two scans of the rows: one grouped pass to (split, label, prediction) with the
+    count and the log-loss sum -- every count-based metric and the log-loss follow
+    from that small table -- and the per-score pass of the AUC.
+    """
     g = [split]
-    out = binary_metrics(df, label, pred, positive, g, digits)
-    out = out.join(weighted_f1(df, label, pred, g, digits), g, "left")
-    out = out.join(log_loss(df, score, label, positive, g, digits=digits), g, "left")
+    p = F.least(F.greatest(F.col(score).cast("double"), F.lit(eps)), F.lit(1.0 - eps))
+    y = F.coalesce(F.col(label) == F.lit(positive), F.lit(False))
+    term = -F.when(y, F.log(p)).otherwise(F.log(F.lit(1.0) - p))
+    cells = df.groupBy(*g, label, pred).agg(F.count(F.lit(1)).alias("_n"), F.sum(term).alias("_ll"),
+                                            F.count(term).alias("_nll"))
+    yy = F.coalesce(F.col(label) == F.lit(positive), F.lit(False))
+    pp = F.coalesce(F.col(pred) == F.lit(positive), F.lit(False))
+    counts = cells.groupBy(*g).agg(
+        F.sum(F.when(yy & pp, F.col("_n")).otherwise(0)).alias("tp"),
+        F.sum(F.when(~yy & pp, F.col("_n")).otherwise(0)).alias("fp"),
+        F.sum(F.when(yy & ~pp, F.col("_n")).otherwise(0)).alias("fn"),
+        F.sum(F.when(~yy & ~pp, F.col("_n")).otherwise(0)).alias("tn"),
+        (F.sum("_ll") / F.sum("_nll")).alias("_log_loss"))
+    out = _with_rates(counts, digits).withColumn("log_loss", round_metric("_log_loss", digits)).drop("_log_loss")
+    wf = weighted_f1(cells.where(F.col(label).isNotNull()).select(*g, label, pred, "_n"), label, pred, g,
+                     digits, count_col="_n")
+    out = out.join(wf, g, "left")
     out = out.join(roc_auc(df, score, label, positive, g, digits), g, "left")
     return out
 

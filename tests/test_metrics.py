@@ -87,3 +87,18 @@ def test_random_search_same_points_at_any_parallelism():
     obj = lambda p: (p["a"] - 0.3) ** 2 + p["b"] * 0.01
     one, four = random_search(space, 6, obj, 42, 1), random_search(space, 6, obj, 42, 4)
     assert one == four and one[0]["loss"] <= one[-1]["loss"]
+
+
+def test_metrics_by_split_equals_separate_metrics(spark):
+    rng = random.Random(17)
+    rows = [(rng.choice(["train", "test"]), round(rng.random(), 3), rng.choice([0, 1, None]), rng.choice([0, 1]))
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "split string, score double, label int, prediction int")
+    got = {r.split: r for r in MT.metrics_by_split(df).collect()}
+    for s in ("train", "test"):
+        sub = df.where(df.split == s)
+        b = MT.binary_metrics(sub).first()
+        assert (got[s].tp, got[s].fp, got[s].fn, got[s].tn, got[s].f1) == (b.tp, b.fp, b.fn, b.tn, b.f1)
+        assert got[s].weighted_f1 == MT.weighted_f1(sub).first().weighted_f1
+        assert got[s].log_loss == pytest.approx(MT.log_loss(sub).first().log_loss, abs=1e-4)
+        assert got[s].auc == MT.roc_auc(sub).first().auc
