@@ -146,18 +146,40 @@ def read_feature_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+DEFAULT_BUCKETS = 16
+
+
+def table_buckets(spark: SparkSession, path: str, requested: int | None = None) -> tuple[int, bool]:
+    """The bucket count of the stored table (kept in ``<path>/_meta``, which Parquet
+    readers skip), or the requested / default count for a new table. A table's
+    count never changes: keys would land in different buckets."""
+    from pyspark.errors import AnalysisException
+    try:
+        row = spark.read.parquet(f"{path}/_meta").first()
+    except AnalysisException:
+        row = None
+    if row is None:
+        return (requested or DEFAULT_BUCKETS), False
+    if requested is not None and requested != row["n_buckets"]:
+        raise ValueError(f"table at {path} has {row['n_buckets']} buckets, not {requested}")
+    return row["n_buckets"], True
+
+
 def upsert_table(spark: SparkSession, updates: DataFrame, keys: Sequence[str], path: str,
-                 n_buckets: int = 64) -> None:
+                 n_buckets: int | None = None) -> None:
     """S8 on a stored table: merge ``updates`` into the table at ``path``.
 
     Idempotent (re-running the same updates leaves the table unchanged), so it is
-    safe under at-least-once delivery. The set of touched buckets is at most
-    ``n_buckets`` values.
+    safe under at-least-once delivery. ``n_buckets`` is fixed when the table is
+    created (default 16; size it so a bucket is a comfortable rewrite unit, e.g.
+    thousands for a multi-terabyte table) and read back afterwards. The set of
+    touched buckets is at most ``n_buckets`` values.
     """
     from featureflow.session import materialize
     keys = list(keys)
+    n_buckets, known = table_buckets(spark, path, n_buckets)
     upd = updates.withColumn(BUCKET_COL, key_bucket(keys, n_buckets))
-    current = read_feature_table(spark, path)
+    current = read_feature_table(spark, path) if known else None
     if current is None:
         merged = upd
     else:
@@ -170,6 +192,9 @@ def upsert_table(spark: SparkSession, updates: DataFrame, keys: Sequence[str], p
     merged = materialize(merged)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(path))
+    if not known:
+        spark.createDataFrame([(n_buckets, ",".join(keys))], "n_buckets int, keys string") \
+            .write.mode("overwrite").parquet(f"{path}/_meta")
 
 
 def feature_table(spark: SparkSession, path: str) -> DataFrame:

@@ -25,7 +25,7 @@ def read_stream(spark: SparkSession, path: str, schema: StructType, max_files: i
 
 
 def stream_features(src: DataFrame, transform: Callable[[DataFrame], DataFrame], keys: Sequence[str],
-                    table_path: str, checkpoint: str, order_col: str | None = None, n_buckets: int = 64) -> None:
+                    table_path: str, checkpoint: str, order_col: str | None = None, n_buckets: int | None = None) -> None:
     """Feature upsert on a stream: every micro-batch is transformed, de-duplicated
     per key (newest ``order_col`` wins) and upserted into the stored table.
 

@@ -69,3 +69,17 @@ def test_feature_table_spec_as_properties(spark):
     assert df.count() == 0 and df.columns == ["customer_id", "transaction_ts", "tenure"]
     got = FT.feature_table_spec(spark, "ff_spec_test")
     assert got.primary_keys == spec.primary_keys and got.timeseries_column == "transaction_ts"
+
+
+def test_bucket_count_is_fixed_per_table(spark):
+    import pytest
+
+    from featureflow.session import scratch_path
+    path = scratch_path(spark, "ftb")
+    df = spark.createDataFrame([(1, 1.0)], "k bigint, x double")
+    FT.upsert_table(spark, df, ["k"], path, n_buckets=4)
+    assert FT.table_buckets(spark, path) == (4, True)
+    FT.upsert_table(spark, df, ["k"], path)  # the stored count is reused
+    with pytest.raises(ValueError):
+        FT.upsert_table(spark, df, ["k"], path, n_buckets=8)
+    assert FT.feature_table(spark, path).count() == 1
