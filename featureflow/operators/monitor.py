@@ -37,6 +37,61 @@ def window_features(df: DataFrame, keys: Sequence[str], ts: str, start: dt.datet
     return _flat_window(out)
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def interval_seconds(text: str) -> int:
+    """'15 minutes' -> 900 (second / minute / hour / day / week units)."""
+    n, unit = text.split()
+    return int(n) * _UNIT_SECONDS[unit.lower().rstrip("s")]
+
+
+def pane_window_features(df: DataFrame, keys: Sequence[str], ts: str, start: dt.datetime | None = None,
+                         end: dt.datetime | None = None, length: str = "1 hour", slide: str = "15 minutes",
+                         specs: Mapping[str, tuple[str, str | None]] | None = None) -> DataFrame:
+    """A10 for decomposable aggregates, pre-aggregated per pane before the windows.
+
+    ``specs``: name -> (``count`` | ``sum`` | ``avg`` | ``min`` | ``max``, column or None).
+    Rows are first reduced to one row per (key, slide-sized pane) -- a partial
+    aggregation, so a hot key is reduced map-side -- and only those pane rows are
+    copied into the ``length / slide`` windows that contain them, then combined.
+    Same windows and values as ``window_features`` with the matching aggregates,
+    while the sliding expansion touches panes instead of raw rows.
+    """
+    length_s, slide_s = interval_seconds(length), interval_seconds(slide)
+    if length_s % slide_s:
+        raise ValueError("window length must be a multiple of the slide")
+    n = length_s // slide_s
+    specs = dict(specs or {"n_rows": ("count", None)})
+    c = F.col(ts)
+    if start is not None:
+        df = df.where(c >= F.lit(start).cast(df.schema[ts].dataType))
+    if end is not None:
+        df = df.where(c < F.lit(end).cast(df.schema[ts].dataType))
+    partial, combine = [], {}
+    for name, (fn, col) in specs.items():
+        x = F.col(col) if col else F.lit(1)
+        if fn == "count":
+            partial.append(F.count(x).alias(f"_c_{name}"))
+            combine[name] = F.sum(f"_c_{name}")
+        elif fn == "sum":
+            partial.append(F.sum(x).alias(f"_s_{name}"))
+            combine[name] = F.sum(f"_s_{name}")
+        elif fn == "avg":
+            partial += [F.sum(x).alias(f"_s_{name}"), F.count(x).alias(f"_c_{name}")]
+            combine[name] = F.sum(f"_s_{name}") / F.sum(f"_c_{name}")
+        elif fn in ("min", "max"):
+            partial.append(getattr(F, fn)(x).alias(f"_m_{name}"))
+            combine[name] = getattr(F, fn)(f"_m_{name}")
+        else:
+            raise ValueError(f"not decomposable: {fn}")
+    panes = df.groupBy(*keys, F.window(c, slide).start.alias("_p")).agg(*partial)
+    spread = panes.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    spread = spread.withColumn("window_start", F.expr(f"timestampadd(SECOND, -_k * {slide_s}, _p)"))
+    out = spread.groupBy(*keys, "window_start").agg(*[v.alias(k) for k, v in combine.items()])
+    return out.withColumn("window_end", F.expr(f"timestampadd(SECOND, {length_s}, window_start)"))
+
+
 def profile_metrics(df: DataFrame, ts: str, granularity: str, columns: Sequence[str],
                     model_col: str | None = None, slice_cols: Sequence[str] = (),
                     table_metrics: Mapping[str, Column] | None = None, log_type: str = "INPUT",

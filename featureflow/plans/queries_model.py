@@ -253,8 +253,9 @@ SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, user_id, coun
 FROM x GROUP BY window_start, user_id""")
 def q_sliding_features(spark, d):
     e = _t(spark, d).events
-    return MO.window_features(e, ["user_id"], "ts", WIN_LO, WIN_HI, "1 hour", "15 minutes",
-                              {"n_rows": F.count(F.lit(1)), "avg_value": r4(F.avg("value"))})
+    out = MO.pane_window_features(e, ["user_id"], "ts", WIN_LO, WIN_HI, "1 hour", "15 minutes",
+                                  {"n_rows": ("count", None), "avg_value": ("avg", "value")})
+    return out.withColumn("avg_value", r4("avg_value"))
 
 
 @query("tumbling_features", f"""

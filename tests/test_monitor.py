@@ -137,3 +137,23 @@ def test_profile_storage_prunes_partitions(spark):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(window_date" in plan
     assert MO.metric_violated(recent, "m", 8.5, 5, 2).first().query_result == 1  # windows 9 and 10 exceed
+
+
+def test_pane_windows_equal_sliding_windows(spark):
+    import random
+    rng = random.Random(4)
+    rows = [(rng.randint(0, 3), D(2024, 1, 1) + dt.timedelta(minutes=rng.randint(0, 600)), rng.random())
+            for _ in range(300)] + [(9, D(2022, 1, 12), 2.0)]
+    df = spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, v double")
+    specs = {"n": ("count", None), "s": ("sum", "v"), "a": ("avg", "v"), "lo": ("min", "v"), "hi": ("max", "v")}
+    panes = MO.pane_window_features(df, ["k"], "ts", length="1 hour", slide="15 minutes", specs=specs)
+    plain = MO.window_features(df, ["k"], "ts", length="1 hour", slide="15 minutes",
+                               aggs={"n": F.count(F.lit(1)), "s": F.sum("v"), "a": F.avg("v"),
+                                     "lo": F.min("v"), "hi": F.max("v")})
+    cols = ["k", "window_start", "window_end", "n", "s", "a", "lo", "hi"]
+
+    def rows_of(frame):
+        return sorted((r.k, r.window_start, r.window_end, r.n, round(r.s, 9), round(r.a, 9), r.lo, r.hi)
+                      for r in frame.select(*cols).collect())
+    assert rows_of(panes) == rows_of(plain)
+    assert panes.where("k = 9").count() == 4  # one trip -> four 1-hour windows on a 15-minute slide
