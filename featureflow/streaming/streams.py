@@ -79,13 +79,15 @@ def stream_score(src: DataFrame, score: Callable[[DataFrame], DataFrame], out_pa
 
 
 def stream_profile(src: DataFrame, ts: str, granularity: str, columns: Sequence[str], model_col: str,
-                   delay: str, out_path: str, checkpoint: str, digits: int = 6) -> None:
+                   delay: str, out_path: str, checkpoint: str, digits: int = 6,
+                   approx_distinct: bool = False) -> None:
     """Profile metrics per closed window on a stream (append mode + watermark).
 
     The batch form's grouping sets and exact distinct counts are not available to a
     streaming aggregation, so the '*' (all models) rows come from exploding each row
     into (its model, '*') and the ':table' row from one extra unpivot entry: still a
     single stateful aggregation, emitted once per window after the watermark passes.
+    ``approx_distinct`` adds ``num_distinct_approx`` (HyperLogLog++ state per window).
     """
     src, back = _event_time(src, ts)
     models = F.explode(F.array(F.col(model_col).cast("string"), F.lit("*")))
@@ -97,11 +99,13 @@ def stream_profile(src: DataFrame, ts: str, granularity: str, columns: Sequence[
     agg = unp.groupBy(F.window(F.col(ts), granularity).alias("window"), "model_id", "column_name").agg(
         F.count(F.lit(1)).alias("count"), F.count_if(F.col("x").isNull()).alias("_nulls"),
         F.sum("x").alias("_sum"), F.count("x").alias("_n"), F.stddev_samp("x").alias("_sd"),
-        F.min("x").alias("min"), F.max("x").alias("max"))
+        F.min("x").alias("min"), F.max("x").alias("max"),
+        *([F.approx_count_distinct("x").alias("num_distinct_approx")] if approx_distinct else []))
     out = agg.select(back(F.col("window.start")).alias("window_start"),
                      back(F.col("window.end")).alias("window_end"), "model_id", "column_name", "count",
                      F.when(F.col("column_name") != ":table", F.col("_nulls")).alias("num_nulls"),
                      round_metric(round_metric(F.col("_sum"), digits) / F.col("_n"), digits).alias("mean"),
-                     round_metric(F.col("_sd"), digits).alias("stddev"), "min", "max")
+                     round_metric(F.col("_sd"), digits).alias("stddev"), "min", "max",
+                     *(["num_distinct_approx"] if approx_distinct else []))
     (out.writeStream.outputMode("append").format("parquet").option("path", out_path)
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())

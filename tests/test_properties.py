@@ -78,3 +78,17 @@ def test_stream_windows_equal_batch(spark):
     closed = batch.where(F.col("window_end") <= F.lit(max(r[1] for r in rows) - dt.timedelta(hours=1)))
     want = {tuple(r) for r in closed.select("window_start", "kind", "n", "total").collect()}
     assert streamed == want  # four micro-batches, rows in time order: every closed window, exactly once
+
+
+def test_stream_profile_approx_distinct(spark):
+    from featureflow.session import scratch_path
+    from featureflow.streaming import streams as ST
+    rows = [(D + dt.timedelta(hours=i), "m" if i % 2 else "n", float(i % 7)) for i in range(96)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, model string, v double")
+    src_dir, out, ck = (scratch_path(spark, n) for n in ("psrc", "pout", "pck"))
+    df.coalesce(1).write.parquet(src_dir)
+    ST.stream_profile(ST.read_stream(spark, src_dir, df.schema, max_files=None), "ts", "1 day", ["v"], "model",
+                      "1 hour", out, ck, approx_distinct=True)
+    got = {(r.window_start, r.model_id, r.column_name): r for r in spark.read.parquet(out).collect()}
+    day0 = got[(D, "*", "v")]
+    assert day0["count"] == 24 and day0.num_distinct_approx == 7 and day0.num_nulls == 0
