@@ -40,29 +40,43 @@ def _bucket(ts: Column, bucket: str) -> Column:
 HOT_KEY_MIN_ROWS = 1_000_000
 
 
-def choose_bucket(lab: DataFrame, feat: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_MIN_ROWS) -> str | None:
-    """Pick the as-of plan from the data: ``None`` (one window partition per key) unless
-    one key would give a task more than its share, else a time-bucket width that
-    splits that key into pieces of about the target size.
-
-    One partial aggregation over the keys and times of both sides; two numbers and a
-    time span come back to the driver.
+def choose_plan(lab: DataFrame, feat: DataFrame, keys: Sequence[str],
+                min_rows: int = HOT_KEY_MIN_ROWS) -> tuple[str | None, bool]:
+    """Pick the as-of plan from the data, in one job of partial aggregations:
+
+    * bucket width: ``None`` (one window partition per key) unless one key would give
+      a task more than its share; then a time-bucket width that splits that key into
+      pieces of about the target size;
+    * label-time dedupe: True when one (key, label time) holds more label rows than
+      the target -- time buckets cannot split those, so the lookup runs once per
+      distinct (key, time) and the answers are joined back (a skewed equi-join that
+      AQE splits).
+    Only a handful of numbers come back to the driver.
     """
     spark = lab.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    u = lab.select(*keys, "_ts").unionByName(feat.select(*keys, "_ts"))
-    per = u.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_ts").alias("lo"), F.max("_ts").alias("hi"))
-    r = per.agg(F.sum("n").alias("total"),
+    u = (lab.select(*keys, "_ts", F.lit(1).alias("_is_l"))
+         .unionByName(feat.select(*keys, "_ts", F.lit(0).alias("_is_l"))))
+    per_t = u.groupBy(*keys, "_ts").agg(F.count(F.lit(1)).alias("nt"), F.sum("_is_l").alias("nl"))
+    per = per_t.groupBy(*keys).agg(F.sum("nt").alias("n"), F.max("nl").alias("max_nl"),
+                                   F.min("_ts").alias("lo"), F.max("_ts").alias("hi"))
+    r = per.agg(F.sum("n").alias("total"), F.max("max_nl").alias("max_nl"),
                 F.max_by(F.struct("n", "lo", "hi"), "n").alias("top")).first()
     if r is None or r["top"] is None:
-        return None
+        return None, False
     total, top = r["total"], r["top"]
     target = max(min_rows, total // max(parts, 1))
+    dedupe = (r["max_nl"] or 0) > target
     if top["n"] <= target or top["lo"] is None:
-        return None
+        return None, dedupe
     span = max((top["hi"] - top["lo"]).total_seconds(), 1.0)
     width = max(1, int(span * target / top["n"]))
-    return f"{width} seconds"
+    return f"{width} seconds", dedupe
+
+
+def choose_bucket(lab: DataFrame, feat: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_MIN_ROWS) -> str | None:
+    """The bucket-width part of ``choose_plan``."""
+    return choose_plan(lab, feat, keys, min_rows)[0]
 
 
 @dataclass
@@ -139,7 +153,13 @@ def lookup_asof_many(labels: DataFrame, sides: Sequence[AsofSide], keys: Sequenc
         all_feats = feats[0].select(*keys, "_ts")
         for f in feats[1:]:
             all_feats = all_feats.unionByName(f.select(*keys, "_ts"))
-        bucket = choose_bucket(lab_keys, all_feats, keys, hot_key_rows)
+        bucket, dedupe = choose_plan(lab_keys, all_feats, keys, hot_key_rows)
+        if dedupe:
+            # one answer per distinct (key, label time), joined back to every label row
+            times = labels.select(*keys, label_ts).distinct()
+            answers = lookup_asof_many(times, sides, keys, label_ts, bucket, hot_key_rows)
+            out = labels.join(answers, [*keys, label_ts], "left")
+            return out.select(*label_cols, *[c for _, cols, _ in outs for c in cols])
 
     def union(frames):
         out = frames[0]

@@ -151,3 +151,21 @@ def test_multi_lookup_one_pass_equals_sequential(spark, bucket):
     assert sorted(tuple(r) for r in one.collect()) == sorted(tuple(r) for r in seq.collect())
     final = one._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("Window [") == (1 if bucket is None else 2)  # one pass for both lookups
+
+
+def test_hot_label_time_group_dedupes_and_joins_back(spark):
+    base = D(2024, 1, 1)
+    labels = [(i, 0, base + dt.timedelta(days=3)) for i in range(300)]            # one (key, time) group
+    labels += [(1000 + i, i % 4, base + dt.timedelta(hours=5 * i)) for i in range(40)]
+    feats = [(k, base + dt.timedelta(hours=7 * j), 10 * k + j, float(j)) for k in range(4) for j in range(20)]
+    L = spark.createDataFrame(labels, "lid bigint, k bigint, ts timestamp_ntz")
+    Fd = spark.createDataFrame(feats, "k bigint, fts timestamp_ntz, fid bigint, v double")
+    lab = L.select("k", F.col("ts").alias("_ts"))
+    fe = Fd.select("k", F.col("fts").alias("_ts"))
+    assert LK.choose_plan(lab, fe, ["k"], min_rows=100)[1] is True
+    res = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts", tie_breakers=["fid"], hot_key_rows=100)
+    assert res.columns == ["lid", "k", "ts", "fid", "v"]
+    got = sorted([tuple(r) for r in res.collect()], key=lambda r: r[0])
+    assert got == brute_asof(labels, feats)
+    final = res._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Join" in final  # answers computed per distinct (key, time) and joined back
