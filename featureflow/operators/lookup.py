@@ -104,9 +104,10 @@ def lookup_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], lab
     * ``stats_labels``: frame with the same label keys/times to measure (default ``labels``).
     * ``bucket``: time-bucket width that splits each key's rows over tasks;
       ``None`` uses one window partition per key (fine when keys are not skewed);
-      ``"auto"`` (default) measures the largest key first (``choose_bucket``) and
+      ``"auto"`` (default) measures the largest key first (``choose_plan``) and
       buckets only when one key would hold more than ``hot_key_rows`` rows and more
-      than its share of a shuffle partition.
+      than its share of a shuffle partition; when one (key, label time) holds that
+      many label rows, the lookup runs per distinct (key, time) and is joined back.
     """
     side = AsofSide(features, feature_ts or label_ts, feature_cols, tie_breakers, max_age)
     return lookup_asof_many(labels, [side], keys, label_ts, bucket, hot_key_rows, stats_labels)
