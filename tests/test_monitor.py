@@ -157,3 +157,10 @@ def test_pane_windows_equal_sliding_windows(spark):
                       for r in frame.select(*cols).collect())
     assert rows_of(panes) == rows_of(plain)
     assert panes.where("k = 9").count() == 4  # one trip -> four 1-hour windows on a 15-minute slide
+
+
+def test_interval_seconds():
+    assert MO.interval_seconds("15 minutes") == 900 and MO.interval_seconds("1 hour") == 3600
+    assert MO.interval_seconds("2 days") == 172800 and MO.interval_seconds("30 seconds") == 30
+    with pytest.raises(KeyError):
+        MO.interval_seconds("1 month")
