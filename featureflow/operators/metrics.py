@@ -107,23 +107,40 @@ def _attach_totals(df: DataFrame, g: DataFrame, gc: list[str], aggs: dict[str, C
     return df.withColumns({k: one[k] for k in aggs})
 
 
+QUANTILE_BUCKETS = 256
+
+
 def running_sums(g: DataFrame, group_cols: Sequence[str], order_col: str, value_cols: Sequence[str],
-                 descending: bool = False, inclusive: bool = True, n_buckets: int = N_BUCKETS) -> DataFrame:
+                 descending: bool = False, inclusive: bool = True, n_buckets: int | None = None,
+                 buckets: str = "quantile") -> DataFrame:
     """Per-group running sums of ``value_cols`` in ``order_col`` order, without ever
     placing a whole group in one task (two-level: bucket offsets + in-bucket sums).
 
     Adds ``cum_<v>`` columns (inclusive of the current row unless ``inclusive=False``).
     ``order_col`` values must be distinct within a group (reduce first). The offset
     window runs over bucket totals only (at most ``n_buckets`` rows per group).
+
+    ``buckets="quantile"`` (default) cuts at approximate quantiles of the distinct
+    values, so every bucket holds about the same number of rows however the values
+    are distributed; ``"width"`` cuts the value range into equal widths. Any
+    monotone cut gives the same sums; the choice only balances the tasks.
     """
     gc = list(group_cols)
     x = F.col(order_col).cast("double")
-    gb = _attach_totals(g, g, gc, {"_lo": F.min(x), "_hi": F.max(x)})
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(n_buckets))
-    b = F.when(width > 0, F.least(F.floor((x - F.col("_lo")) / width), F.lit(n_buckets - 1))).otherwise(0)
-    if descending:
-        b = F.lit(n_buckets - 1) - b
-    gb = gb.withColumn("_b", b.cast("int")).drop("_lo", "_hi")
+    if buckets == "quantile":
+        n = n_buckets or QUANTILE_BUCKETS
+        probs = [i / n for i in range(1, n)]
+        gb = _attach_totals(g, g, gc, {"_cuts": F.percentile_approx(x, probs, 10 * n)})
+        b = F.size(F.filter(F.col("_cuts"), lambda c: c < x))  # cuts below the value: monotone in x
+        gb = gb.withColumn("_b", (F.lit(n - 1) - b if descending else b).cast("int")).drop("_cuts")
+    else:
+        n = n_buckets or N_BUCKETS
+        gb = _attach_totals(g, g, gc, {"_lo": F.min(x), "_hi": F.max(x)})
+        width = (F.col("_hi") - F.col("_lo")) / F.lit(float(n))
+        b = F.when(width > 0, F.least(F.floor((x - F.col("_lo")) / width), F.lit(n - 1))).otherwise(0)
+        if descending:
+            b = F.lit(n - 1) - b
+        gb = gb.withColumn("_b", b.cast("int")).drop("_lo", "_hi")
     tot = gb.groupBy(*gc, "_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     wo = Window.partitionBy(*gc).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*gc, "_b", *[F.coalesce(F.sum(f"_t_{v}").over(wo), F.lit(0)).alias(f"_o_{v}")
