@@ -3,7 +3,7 @@
 Curves and AUC need running sums in score order. A plain window without a partition
 key would pull every row into one task, so running sums are computed in two levels:
 rows are first reduced to one row per distinct score (partial aggregation), scores
-are cut into fixed-width buckets, bucket totals give each bucket its offset (a table
+are cut into buckets at approximate quantiles, bucket totals give each bucket its offset (a table
 bounded by the bucket count), and the running sum inside each (group, bucket) adds
 that offset. No step holds a whole group in one task.
 """
