@@ -50,11 +50,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and whether decoding them gives the text back."""
+    """Token ids of each document (packed), and whether decoding them gives the text back."""
     base = docs.select("doc_id", "source", "text")
     coded = bpe.encode(base, VOCABULARY, "text", "ids")
     whole = bpe.decode(F.col("ids"), VOCABULARY) == F.coalesce("text", F.lit("")).cast("binary")
-    return coded.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), whole.alias("round_trip"))
+    return coded.select("doc_id", "source", "ids", bpe.n_tokens(F.col("ids")).alias("n_tokens"), whole.alias("round_trip"))
 
 
 STAGES = [("quality", quality_rules), ("simhash", near_copies), ("pii", personal_data), ("mixing", mixture), ("bpe", tokens)]

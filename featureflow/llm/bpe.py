@@ -1,28 +1,44 @@
-"""Byte-level BPE encoding and decoding with Spark higher-order functions.
-
-A word is a match of the pre-tokenizer's pattern. Its bytes are folded: each step merges the adjacent
-pair of lowest rank (leftmost of equals), with ranks read from a literal rank map. The corpus' distinct
-words are counted once; the most frequent ones (a documented bound) are folded once and become a
-literal dictionary, every other word is folded where it stands, so no text is shuffled and the result
-doesn't depend on the bound. Decoding concatenates the pieces of the ids.
+"""Byte-level BPE encoding and decoding.
+
+A word is a match of the pre-tokenizer's pattern. Its bytes are folded: each step merges the adjacent pair of
+lowest rank (leftmost of equals). Spark counts the corpus' distinct words and folds the most frequent ones with
+higher-order functions that read ranks from a literal map. That fold takes about 0.1 ms a word, too slow for the
+long tail (see the README for figures), so the texts are encoded in Arrow batches: words are looked up in the
+broadcast dictionary (its size is bounded), and other words are folded by the same ranked merges, once a worker.
+No text is shuffled and the result doesn't depend on the bound. Decoding concatenates the pieces of the ids.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 import json
+import re
+import sys
 
-import xxhash
+import numpy as np
+import pandas as pd
+import regex
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from featureflow.llm.common import c, fresh, stored, text_of
+from featureflow.llm.common import LiteralMap, c, let, stored, text_of
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
 
-DICTIONARY_WORDS = 200_000  # words folded once for the literal dictionary
-DICTIONARY_WORD_CHARS = 64  # longer words are folded in place
-NO_RANK = 2**31 - 1
+DICTIONARY_WORDS = 50_000  # words folded by Spark for the broadcast dictionary
+MEMO_WORDS = 600_000  # words a Python worker remembers besides; it forgets them all when there are more
+LONG_WORD = 256  # bytes from which a heap finds the lowest pair
+DICTIONARY_WORD_CHARS = 64  # longer words are not in the dictionary
+FIRST = 0xE000  # token id i is written as the character FIRST + i: past the surrogates, so all ids fit
+DONE = "!"  # marks a word without a further merge
 
-# The pattern of byte-level pre-tokenizers (fixed value), in Java's spelling: Unicode white space, and
-# possessive repeats where the next character can't belong to the repeat.
+# The pattern of byte-level pre-tokenizers (fixed value), in the spelling of Python's regex module and of Java:
+# Unicode white space, and possessive repeats where the next character can't belong to the repeat.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}++| ?\p{N}++| ?[^\p{White_Space}\p{L}\p{N}]++|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+# Texts of Latin-1 characters only, without the few for which the classes of Python's re differ, may use re.
+LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+NOT_LATIN = "[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe\u0100-\U0010ffff]"
 JAVA_PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 
 
@@ -32,65 +48,53 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-class LiteralMap:
-    """A hash map as two literal arrays of buckets, one of keys and one of values, that lambdas can read.
-    Spark's own map lookup compares key by key; here only a bucket's few keys are compared."""
-
-    def __init__(self, items: dict, key_type: str, value_type: str):
-        self.n = 1 << max(4, (len(items) - 1).bit_length()) if items else 16
-        keys, values = [[] for _ in range(self.n)], [[] for _ in range(self.n)]
-        for k, v in items.items():
-            raw = k if isinstance(k, bytes) else k.encode("utf-8")
-            b = xxhash.xxh64_intdigest(raw, 42) % self.n  # what pmod(xxhash64(key), n) gives: n is a power of two
-            keys[b].append(base64.b64encode(k).decode() if isinstance(k, bytes) else k)
-            values[b].append(v)
-        self.keys = F.from_json(F.lit(json.dumps(keys)), f"array<array<{key_type}>>")
-        self.values = F.from_json(F.lit(json.dumps(values)), f"array<array<{value_type}>>")
-
-    def get(self, key: Column) -> Column:
-        """The value of a key, null if there is none. ``key`` should be a plain variable: it is read twice."""
-        b = F.pmod(F.xxhash64(key), F.lit(self.n)).cast("int")
-        return F.get(F.get(self.values, b), F.array_position(F.get(self.keys, b), key).cast("int") - 1)
-
-
 def pieces_of(text: Column) -> Column:
     """Words of a text in the pre-tokenizer's sense; null reads as empty."""
     return F.regexp_extract_all(text_of(text), F.lit(JAVA_PATTERN), F.lit(0))
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def fold_word(raw: Column, ranks: LiteralMap) -> Column:
-    """Ids of one word given as binary: its own rank if it has one, else the fold of ranked merges."""
-    rank = lambda piece: F.coalesce(let(piece, ranks.get), F.lit(NO_RANK))
-    pair = lambda a, b: F.when(a.isNotNull() & b.isNotNull(), rank(F.concat(a, b)))
-    head, tail = (lambda a, n: F.slice(a, F.lit(1), n)), (lambda a, at: F.slice(a, at, F.greatest(F.size(a) - at + 1, F.lit(0))))
-
-    def merge(state, _):
-        parts, pairs = state["parts"], state["pairs"]
-
-        def at(k):  # pairs k (1-based) is parts k and k + 1
-            one = F.concat(F.get(parts, k - 1), F.get(parts, k))
-            left = F.when(k > 1, pair(F.get(parts, k - 2), one))
-            right = F.when(k + 1 < F.size(parts), pair(one, F.get(parts, k + 1)))
-            keep = lambda x: F.filter(F.array(x), lambda y: y.isNotNull())
-            return F.struct(
-                F.concat(head(parts, k - 1), F.array(one), tail(parts, k + 2)).alias("parts"),
-                F.concat(head(pairs, F.greatest(k - 2, F.lit(0))), keep(left), keep(right), tail(pairs, k + 2)).alias("pairs"))
-        low = F.array_min(pairs)
-        return F.when(F.coalesce(low, F.lit(NO_RANK)) == NO_RANK, state).otherwise(let(F.array_position(pairs, low).cast("int"), at))
-
-    n = F.length(raw)
-    parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(raw, i, F.lit(1)))
-    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.substring(raw, i, F.lit(2))))).otherwise(
-        F.array().cast("array<int>"))
-    start = F.struct(parts.alias("parts"), pairs.alias("pairs"))
-    folded = F.aggregate(F.sequence(F.lit(1), n), start, merge, lambda s: F.transform(s["parts"], rank))
-    whole = let(raw, ranks.get)
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(folded)
+class Vocabulary:
+    """A vocabulary's ranks as literal tables: merges (two tokens -> rank of their concatenation, which is also
+    the merged token's id), whole words, and the tokens of the 256 bytes."""
+
+    def __init__(self, path: str):
+        self.ranks = read_ranks(path)
+        char = {piece: chr(FIRST + i) for piece, i in self.ranks.items()}
+        pairs = {}
+        for piece, i in self.ranks.items():
+            for at in range(1, len(piece)):
+                a, b = char.get(piece[:at]), char.get(piece[at:])
+                if a and b:
+                    pairs[a + b] = i
+        self.pairs = LiteralMap(pairs, "int")
+        self.chars = F.from_json(F.lit(json.dumps([chr(FIRST + i) for i in range(max(self.ranks.values()) + 1)])), "array<string>")
+        self.bytes_from = "".join(map(chr, range(256)))
+        self.bytes_to = "".join(char[bytes([b])] for b in range(256))
+        self.whole = {}
+        for piece, i in self.ranks.items():
+            try:
+                self.whole[piece.decode()] = pack([i])
+            except UnicodeDecodeError:
+                pass  # part of a character: never a whole word
+
+    @property
+    def table(self) -> Column:
+        return F.struct(self.pairs.table.alias("pairs"), self.chars.alias("chars"))
+
+    def fold(self, table: Column, word: Column) -> Column:
+        """Tokens of one word, a character each: its bytes are folded by ranked merges. Each step reads the ranks
+        of all adjacent pairs and merges the lowest (of equals the leftmost)."""
+        start = F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), self.bytes_from, self.bytes_to)
+
+        def merge(s, _):
+            key = lambda i: let(F.substring(s, i, F.lit(2)), lambda pair: F.shiftleft(
+                self.pairs.get(table["pairs"], pair).cast("long"), 32).bitwiseOR(i.cast("long")))
+            low = F.when(F.length(s) > 1, F.array_min(F.transform(F.sequence(F.lit(1), F.length(s) - 1), key)))
+            one = lambda m: F.when(m.isNull(), F.concat(F.lit(DONE), s)).otherwise(F.overlay(
+                s, F.get(table["chars"], F.shiftright(m, 32).cast("int")), m.bitwiseAND(F.lit(2**32 - 1)).cast("int"), F.lit(2)))
+            return F.when(F.startswith(s, F.lit(DONE)), s).otherwise(let(low, one))
+        steps = F.sequence(F.lit(1), F.length(start))
+        return F.aggregate(steps, start, merge, lambda s: F.ltrim(s, F.lit(DONE)))
 
 
 def distinct_words(docs: DataFrame, text_col: str) -> DataFrame:
@@ -98,44 +102,124 @@ def distinct_words(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.explode(pieces_of(c(text_col))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def dictionary(docs: DataFrame, text_col: str, ranks: LiteralMap, limit: int = DICTIONARY_WORDS) -> LiteralMap:
-    """Ids of the ``limit`` most frequent distinct words of the corpus, folded once, as a literal map."""
+def dictionary(docs: DataFrame, text_col: str, vocab: Vocabulary, limit: int = DICTIONARY_WORDS) -> dict[str, bytes]:
+    """Packed ids of the ``limit`` most frequent distinct words of the corpus, each folded once by Spark."""
     top = distinct_words(docs, text_col).where((F.length("word") <= DICTIONARY_WORD_CHARS) & (F.col("n") > 1))
     top = stored(top.orderBy(F.col("n").desc(), "word").limit(limit).select("word"), "bpe-words")
     n = top.sparkSession.sparkContext.defaultParallelism
-    coded = top.repartition(n).select("word", fold_word(F.col("word").cast("binary"), ranks).alias("ids"))
-    return LiteralMap({r.word: list(r.ids) for r in coded.collect()}, "string", "array<int>")
+    coded = top.repartition(n).select("word", let(vocab.table, lambda t: vocab.fold(t, F.col("word"))).alias("tokens"))
+    found = {r.word: pack([ord(x) - FIRST for x in r.tokens]) for r in coded.collect()}  # at most ``limit`` rows
+    return {w: vocab.whole.get(w, b) for w, b in found.items()}
+
+
+def pack(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
+def merge_word(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word: its own rank, else ranked merges, lowest rank first, of equals the leftmost."""
+    if raw in ranks:
+        return [ranks[raw]]
+    if len(raw) > LONG_WORD:
+        return _merge_long(raw, ranks)
+    none, get = len(ranks) + 1 << 32, ranks.get
+    part = [raw[i:i + 1] for i in range(len(raw))]
+    pair = [get(raw[i:i + 2], none) for i in range(len(raw) - 1)]
+    while pair and (low := min(pair)) != none:
+        i = pair.index(low)
+        part[i:i + 2] = [part[i] + part[i + 1]]
+        del pair[i]
+        if i < len(pair):
+            pair[i] = get(part[i] + part[i + 1], none)
+        if i:
+            pair[i - 1] = get(part[i - 1] + part[i], none)
+    return [ranks[x] for x in part]
+
+
+def _merge_long(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges over a linked list of parts with a heap of adjacent pairs: n log n for n bytes."""
+    part = [raw[i:i + 1] for i in range(len(raw))]
+    after, before = [*range(1, len(raw)), -1], [*range(-1, len(raw) - 1)]
+    heap = [(ranks[raw[i:i + 2]], i, 2) for i in range(len(raw) - 1) if raw[i:i + 2] in ranks]
+    heapq.heapify(heap)
+    while heap:
+        _, i, size = heapq.heappop(heap)
+        j = after[i] if part[i] is not None else -1
+        if j < 0 or len(part[i]) + len(part[j]) != size:
+            continue  # one of the two was merged meanwhile
+        part[i], part[j] = part[i] + part[j], None
+        after[i] = after[j]
+        if after[j] >= 0:
+            before[after[j]] = i
+        for a, b in ((before[i], i), (i, after[i])):
+            if a >= 0 and b >= 0 and (r := ranks.get(part[a] + part[b])) is not None:
+                heapq.heappush(heap, (r, a, len(part[a]) + len(part[b])))
+    return [ranks[x] for x in part if x is not None]
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", limit: int = DICTIONARY_WORDS) -> DataFrame:
-    """``docs`` with ``out``: the ids (array of int) of every whole text, as the vocabulary at ``path`` encodes
-    it without special tokens. Null and empty texts have no ids; ids, ties and repeated rows play no part; an
-    empty table gives an empty result; input columns keep their names (``out`` must be free). Words of any
-    length are folded exactly; a word of n bytes costs about n * n cheap array steps."""
+    """``docs`` with ``out``: the ids of every whole text, as the vocabulary at ``path`` encodes it without special
+    tokens, packed as little-endian unsigned 32-bit integers (``unpack`` gives an array). Null and empty texts
+    have no ids; ids, ties and repeated rows play no part; an empty table gives an empty result; input columns
+    keep their names (``out`` must be free). Words and texts of any length are encoded whole."""
     if out.lower() in (n.lower() for n in docs.columns):
         raise ValueError(f"column {out} exists")
-    ranks = LiteralMap(read_ranks(path), "binary", "int")
-    known = dictionary(docs, text_col, ranks, limit)
-    (w,) = fresh(docs, "words_")
-    one = lambda x: F.coalesce(known.get(x), let(x.cast("binary"), lambda raw: fold_word(raw, ranks)))
-    return docs.withColumn(w, pieces_of(c(text_col))).withColumn(out, F.flatten(F.transform(c(w), one))).drop(w)
+    vocab = Vocabulary(path)
+    context = docs.sparkSession.sparkContext
+    # all of bounded size; the empty memo is filled by each Python worker for itself and outlives a task
+    known = context.broadcast((dictionary(docs, text_col, vocab, limit), vocab.ranks, {}))
+    pattern = PATTERN
 
+    @F.pandas_udf("binary")
+    def bpe_ids(texts: pd.Series) -> pd.Series:
+        words, ranks, kept = known.value
+        ids = kept.setdefault("ids", WordIds()).of(words, ranks).__getitem__
+        every, latin = regex.compile(pattern).findall, re.compile(LATIN_PATTERN).findall
+        other = re.compile(NOT_LATIN).search
+        return pd.Series([b"".join(map(ids, (every if other(t) else latin)(t))) if t else b"" for t in texts], dtype=object)
+    return docs.withColumn(out, bpe_ids(c(text_col)))
 
-def _by_id(ranks: dict[bytes, int], text) -> Column:
-    table: list = [None] * (max(ranks.values()) + 1)
-    for piece, i in ranks.items():
-        table[i] = text(piece, i)
-    return F.from_json(F.lit(json.dumps(table)), "array<string>")
 
+class WordIds(dict):
+    """word -> packed ids: the dictionary's words, and others as they come up, up to MEMO_WORDS."""
 
-def decode(ids: Column, path: str) -> Column:
-    """The bytes of the ids: their pieces, looked up in a literal array and concatenated (as hex text, which
-    joins in one pass). Null ids give null; an id without a piece adds nothing."""
-    pieces = _by_id(read_ranks(path), lambda piece, i: piece.hex())
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
+    def of(self, words: dict[str, bytes], ranks: dict[bytes, int]) -> WordIds:
+        if not self:
+            self.update(words)
+        self.words, self.ranks = words, ranks
+        return self
+
+    def __missing__(self, word: str) -> bytes:
+        got = pack(merge_word(word.encode(), self.ranks))
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+            self.update(self.words)
+        if len(word) <= DICTIONARY_WORD_CHARS:
+            self[word] = got
+        return got
+
+
+def n_tokens(ids: Column) -> Column:
+    return F.floor(F.octet_length(ids) / 4).cast("long")
 
 
-def ids_binary(ids: Column, path: str) -> Column:
-    """The ids as little-endian unsigned 32-bit integers."""
-    le = _by_id(read_ranks(path), lambda piece, i: i.to_bytes(4, "little").hex())
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(le, i)), ""))
+def unpack(ids: Column) -> Column:
+    """Packed ids as an array of int."""
+    @F.pandas_udf("array<int>")
+    def bpe_unpack(packed: pd.Series) -> pd.Series:
+        return pd.Series([None if b is None else np.frombuffer(b, "<u4").astype(np.int32) for b in packed], dtype=object)
+    return bpe_unpack(ids)
+
+
+def decode(ids: Column, path: str) -> Column:
+    """The bytes of packed ids: their pieces, concatenated. Null ids give null."""
+    ranks = read_ranks(path)
+    pieces: list = [b""] * (max(ranks.values()) + 1)
+    for piece, i in ranks.items():
+        pieces[i] = piece
+
+    @F.pandas_udf("binary")
+    def bpe_bytes(packed: pd.Series) -> pd.Series:
+        return pd.Series([None if b is None else b"".join([pieces[i] for i in np.frombuffer(b, "<u4").tolist()]) for b in packed],
+                         dtype=object)
+    return bpe_bytes(ids)

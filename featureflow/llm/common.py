@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from featureflow.session import scratch_path
@@ -58,3 +61,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BUCKET = 8  # keys in a bucket of a literal map, about
+
+
+class LiteralMap:
+    """A hash map as literal arrays of buckets, one of keys and one of values, that lambdas can read. Spark's own
+    map lookup compares key by key; here only a bucket's few keys are compared. ``table`` is one literal; bind it
+    once with ``let`` and pass the bound variable to ``get``."""
+
+    def __init__(self, items: dict[str, object], value_type: str):
+        self.n = 1 << max(0, (len(items) // BUCKET).bit_length())
+        keys, values = [[] for _ in range(self.n)], [[] for _ in range(self.n)]
+        for k, v in items.items():
+            b = xxhash.xxh64_intdigest(k.encode(), 42) % self.n  # what pmod(xxhash64(key), n) gives: n is a power of two
+            keys[b].append(k)
+            values[b].append(v)
+        text = json.dumps({"k": keys, "v": values})
+        self.table = F.from_json(F.lit(text), f"k array<array<string>>, v array<array<{value_type}>>")
+
+    def get(self, table: Column, key: Column) -> Column:
+        """The value of a key, null if there is none. ``key`` is read twice: a plain variable."""
+        b = F.pmod(F.xxhash64(key), F.lit(self.n)).cast("int")
+        return F.get(F.get(table["v"], b), F.array_position(F.get(table["k"], b), key).cast("int") - 1)
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

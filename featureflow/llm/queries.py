@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featureflow.llm import bpe, mixing, pii, quality, simhash
+from featureflow.llm import ann, bpe, langid, licenses, mixing, pii, quality, simhash, spans, urls
 from featureflow.plans.registry import query
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -29,8 +29,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_digests(coded: DataFrame) -> DataFrame:
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                        F.sha2(bpe.ids_binary(F.col("ids"), VOCABULARY), 256).alias("ids_sha256"),
+    return coded.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(bpe.decode(F.col("ids"), VOCABULARY), 256).alias("decoded_sha256"))
 
 
@@ -63,3 +62,63 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
+
+
+SITE_RULES = [urls.site_rule(v, r) for v, r in (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))]
+
+OP2_SQL = r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u
+), r AS (
+  SELECT page_id, host, path,
+    CASE WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+         WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+         WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+         WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule,
+    regexp_matches(lower(host || path), '(^|[^a-z0-9])(casino|poker|cheap[-_+]pills|online[-_+]pharmacy|viagra|adult[-_+]x|xxx|porn|spam[-_+]farm|link[-_+]farm|free[-_+]followers|payday[-_+]loans)([^a-z0-9]|$)') AS word
+  FROM h
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN word THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
+
+
+@query("op2_url_filter", OP2_SQL)
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    j = urls.judge_urls(pages, "url", SITE_RULES + urls.WORD_RULES, "j")
+    return j.select("page_id", "j.host", "j.path", "j.rule", "j.verdict")
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan_licenses(docs, "text", "l", threshold=0.8)
+    return found.select("doc_id", F.col("l.name").alias("license"), F.col("l.dice").alias("dice"), F.col("l.line").alias("line"))
+
+
+@query("op4_collision_ann")
+def op4_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = ann.nearest(rows, rows.where("vec_id % 100 = 0"), "vec_id", "embedding", 10)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+@query("op7_sentence_spans")
+def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = spans.repeated_spans(docs, "doc_id", "text", "r", keep_text=False)
+    text = F.array_join(F.transform("r.spans", lambda x: F.concat_ws(":", x["s"].cast("string"), x["e"].cast("string"))), ",")
+    return found.select("doc_id", F.col("r.sentences").cast("long").alias("sentences"), F.col("r.removed").cast("long").alias("removed"),
+                        text.alias("spans"))
+
+
+@query("op8_language_crf")
+def op8_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs), "text", "p")
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col("p.lang").alias("lang_pred"), "p.score")
