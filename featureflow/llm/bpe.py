@@ -30,8 +30,6 @@ DICTIONARY_WORDS = 50_000  # words folded by Spark for the broadcast dictionary
 MEMO_WORDS = 600_000  # words a Python worker remembers besides; it forgets them all when there are more
 LONG_WORD = 256  # bytes from which a heap finds the lowest pair
 DICTIONARY_WORD_CHARS = 64  # longer words are not in the dictionary
-FIRST = 0xE000  # token id i is written as the character FIRST + i: past the surrogates, so all ids fit
-DONE = "!"  # marks a word without a further merge
 
 # The pattern of byte-level pre-tokenizers (fixed value), in the spelling of Python's regex module and of Java:
 # Unicode white space, and possessive repeats where the next character can't belong to the repeat.
@@ -53,48 +51,27 @@ def pieces_of(text: Column) -> Column:
     return F.regexp_extract_all(text_of(text), F.lit(JAVA_PATTERN), F.lit(0))
 
 
-class Vocabulary:
-    """A vocabulary's ranks as literal tables: merges (two tokens -> rank of their concatenation, which is also
-    the merged token's id), whole words, and the tokens of the 256 bytes."""
-
-    def __init__(self, path: str):
-        self.ranks = read_ranks(path)
-        char = {piece: chr(FIRST + i) for piece, i in self.ranks.items()}
-        pairs = {}
-        for piece, i in self.ranks.items():
-            for at in range(1, len(piece)):
-                a, b = char.get(piece[:at]), char.get(piece[at:])
-                if a and b:
-                    pairs[a + b] = i
-        self.pairs = LiteralMap(pairs, "int")
-        self.chars = F.from_json(F.lit(json.dumps([chr(FIRST + i) for i in range(max(self.ranks.values()) + 1)])), "array<string>")
-        self.bytes_from = "".join(map(chr, range(256)))
-        self.bytes_to = "".join(char[bytes([b])] for b in range(256))
-        self.whole = {}
-        for piece, i in self.ranks.items():
-            try:
-                self.whole[piece.decode()] = pack([i])
-            except UnicodeDecodeError:
-                pass  # part of a character: never a whole word
-
-    @property
-    def table(self) -> Column:
-        return F.struct(self.pairs.table.alias("pairs"), self.chars.alias("chars"))
-
-    def fold(self, table: Column, word: Column) -> Column:
-        """Tokens of one word, a character each: its bytes are folded by ranked merges. Each step reads the ranks
-        of all adjacent pairs and merges the lowest (of equals the leftmost)."""
-        start = F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), self.bytes_from, self.bytes_to)
-
-        def merge(s, _):
-            key = lambda i: let(F.substring(s, i, F.lit(2)), lambda pair: F.shiftleft(
-                self.pairs.get(table["pairs"], pair).cast("long"), 32).bitwiseOR(i.cast("long")))
-            low = F.when(F.length(s) > 1, F.array_min(F.transform(F.sequence(F.lit(1), F.length(s) - 1), key)))
-            one = lambda m: F.when(m.isNull(), F.concat(F.lit(DONE), s)).otherwise(F.overlay(
-                s, F.get(table["chars"], F.shiftright(m, 32).cast("int")), m.bitwiseAND(F.lit(2**32 - 1)).cast("int"), F.lit(2)))
-            return F.when(F.startswith(s, F.lit(DONE)), s).otherwise(let(low, one))
-        steps = F.sequence(F.lit(1), F.length(start))
-        return F.aggregate(steps, start, merge, lambda s: F.ltrim(s, F.lit(DONE)))
+def fold_word(ranks: LiteralMap, table: Column, raw: Column) -> Column:
+    """Ids of one word, given as binary: its own rank, else its byte array is folded by ranked merges. Each step
+    reads the ranks of all adjacent pairs and merges the lowest (of equals the leftmost)."""
+    rank = lambda piece: ranks.get(table, piece)
+
+    def merge(state, _):
+        parts = state["parts"]
+        key = lambda i: F.shiftleft(let(F.concat(F.get(parts, i - 1), F.get(parts, i)), rank).cast("long"), 32).bitwiseOR(i.cast("long"))
+        low = F.when(F.size(parts) > 1, F.array_min(F.transform(F.sequence(F.lit(1), F.size(parts) - 1), key)))
+
+        def at(m):
+            i = m.bitwiseAND(F.lit(2**32 - 1)).cast("int")  # parts i and i + 1, from 1
+            joined = F.concat(F.slice(parts, F.lit(1), i - 1), F.array(F.concat(F.get(parts, i - 1), F.get(parts, i))),
+                              F.slice(parts, i + 2, F.size(parts)))
+            return F.struct(F.when(m.isNull(), parts).otherwise(joined).alias("parts"), m.isNull().alias("done"))
+        return F.when(state["done"], state).otherwise(let(low, at))
+    n = F.length(raw)
+    start = F.struct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(raw, i, F.lit(1))).alias("parts"), F.lit(False).alias("done"))
+    folded = F.aggregate(F.sequence(F.lit(1), n), start, merge, lambda s: F.transform(s["parts"], rank))
+    whole = let(raw, rank)
+    return F.when(whole.isNotNull(), F.array(whole)).otherwise(folded)
 
 
 def distinct_words(docs: DataFrame, text_col: str) -> DataFrame:
@@ -102,14 +79,14 @@ def distinct_words(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.explode(pieces_of(c(text_col))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def dictionary(docs: DataFrame, text_col: str, vocab: Vocabulary, limit: int = DICTIONARY_WORDS) -> dict[str, bytes]:
+def dictionary(docs: DataFrame, text_col: str, ranks: dict[bytes, int], limit: int = DICTIONARY_WORDS) -> dict[str, bytes]:
     """Packed ids of the ``limit`` most frequent distinct words of the corpus, each folded once by Spark."""
     top = distinct_words(docs, text_col).where((F.length("word") <= DICTIONARY_WORD_CHARS) & (F.col("n") > 1))
     top = stored(top.orderBy(F.col("n").desc(), "word").limit(limit).select("word"), "bpe-words")
-    n = top.sparkSession.sparkContext.defaultParallelism
-    coded = top.repartition(n).select("word", let(vocab.table, lambda t: vocab.fold(t, F.col("word"))).alias("tokens"))
-    found = {r.word: pack([ord(x) - FIRST for x in r.tokens]) for r in coded.collect()}  # at most ``limit`` rows
-    return {w: vocab.whole.get(w, b) for w, b in found.items()}
+    n, literal = top.sparkSession.sparkContext.defaultParallelism, LiteralMap(ranks, "int", "binary")
+    ids = let(literal.table, lambda t: let(F.col("word").cast("binary"), lambda raw: fold_word(literal, t, raw)))
+    coded = top.repartition(n).select("word", ids.alias("ids"))
+    return {r.word: pack(r.ids) for r in coded.toLocalIterator()}  # at most ``limit`` rows
 
 
 def pack(ids: list[int]) -> bytes:
@@ -164,10 +141,10 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
     keep their names (``out`` must be free). Words and texts of any length are encoded whole."""
     if out.lower() in (n.lower() for n in docs.columns):
         raise ValueError(f"column {out} exists")
-    vocab = Vocabulary(path)
+    ranks = read_ranks(path)
     context = docs.sparkSession.sparkContext
     # all of bounded size; the empty memo is filled by each Python worker for itself and outlives a task
-    known = context.broadcast((dictionary(docs, text_col, vocab, limit), vocab.ranks, {}))
+    known = context.broadcast((dictionary(docs, text_col, ranks, limit), ranks, {}))
     pattern = PATTERN
 
     @F.pandas_udf("binary")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import json
 
 import xxhash
@@ -71,15 +72,16 @@ class LiteralMap:
     map lookup compares key by key; here only a bucket's few keys are compared. ``table`` is one literal; bind it
     once with ``let`` and pass the bound variable to ``get``."""
 
-    def __init__(self, items: dict[str, object], value_type: str):
+    def __init__(self, items: dict, value_type: str, key_type: str = "string"):
         self.n = 1 << max(0, (len(items) // BUCKET).bit_length())
         keys, values = [[] for _ in range(self.n)], [[] for _ in range(self.n)]
         for k, v in items.items():
-            b = xxhash.xxh64_intdigest(k.encode(), 42) % self.n  # what pmod(xxhash64(key), n) gives: n is a power of two
-            keys[b].append(k)
+            raw = k if isinstance(k, bytes) else k.encode()
+            b = xxhash.xxh64_intdigest(raw, 42) % self.n  # what pmod(xxhash64(key), n) gives: n is a power of two
+            keys[b].append(base64.b64encode(k).decode() if isinstance(k, bytes) else k)
             values[b].append(v)
         text = json.dumps({"k": keys, "v": values})
-        self.table = F.from_json(F.lit(text), f"k array<array<string>>, v array<array<{value_type}>>")
+        self.table = F.from_json(F.lit(text), f"k array<array<{key_type}>>, v array<array<{value_type}>>")
 
     def get(self, table: Column, key: Column) -> Column:
         """The value of a key, null if there is none. ``key`` is read twice: a plain variable."""
