@@ -34,16 +34,22 @@ def recode_expr(col, mapping: Mapping[str, str]) -> Column:
     return expr if expr is not None else F.lit(None).cast("string")
 
 
+# Text that counts as blank and as a number: any white space around, no type suffix such as 1.5d.
+WHITE = " \t\n\x0b\f\r"
+BLANK = r"^[\x20\x09-\x0D]*$"
+NUMBER = r"^[\x20\x09-\x0D]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[\x20\x09-\x0D]*$"
+
+
 def parse_number_expr(col, blank: float = 0.0) -> Column:
     """Text -> double; blank/whitespace -> ``blank``; unparsable or null -> null."""
     c = _c(col).cast("string")
-    return F.when(F.trim(c) == F.lit(""), F.lit(blank)).otherwise(c.try_cast("double"))
+    return F.when(c.rlike(BLANK), F.lit(blank)).when(c.rlike(NUMBER), F.btrim(c, F.lit(WHITE)).try_cast("double"))
 
 
 def parse_rejected(col) -> Column:
     """True where the text is neither blank nor a number (counted, never hidden)."""
     c = _c(col).cast("string")
-    return c.isNotNull() & (F.trim(c) != F.lit("")) & c.try_cast("double").isNull()
+    return c.isNotNull() & ~c.rlike(BLANK) & parse_number_expr(c).isNull()
 
 
 def coerce_numeric_expr(col) -> Column:
@@ -94,10 +100,12 @@ def round_metric(col, digits: int = 4) -> Column:
 
     Implemented as floor(x * 10^d + 0.5) / 10^d in IEEE doubles, which is what any
     engine computes identically; Spark's decimal-based ``round`` can differ by one
-    unit in the last place from engines that scale in floating point.
+    unit in the last place from engines that scale in floating point. NaN, infinities
+    and values of 2^52 units or more, which have no digits left to round, stay as they are.
     """
-    s = float(10 ** digits)
-    return (F.floor(_c(col).cast("double") * F.lit(s) + F.lit(0.5)) / F.lit(s)).cast("double")
+    s, x = float(10 ** digits), _c(col).cast("double")
+    small = ~F.isnan(x) & (F.abs(x * F.lit(s)) < F.lit(float(2**52)))
+    return F.when(x.isNull() | ~small, x).otherwise((F.floor(x * F.lit(s) + F.lit(0.5)) / F.lit(s)).cast("double"))
 
 
 def to_time(col, fmt: str | None = None) -> Column:

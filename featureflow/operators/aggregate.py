@@ -29,31 +29,34 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A2 fit: most frequent non-null value per column; ties -> the smallest value.
+    """A2 fit: most frequent non-null value per column; ties -> the smallest value in the column's type.
 
-    One row per column. Counts come from one ``explode`` of (column, value) pairs and
-    one partial aggregation; the ranking then runs over distinct values only.
+    One row per column: its name, the value as text (``value``) and in its own type (field of ``typed``).
+    Counts come from one ``explode`` of (column, value) pairs and one partial aggregation; the ranking
+    then runs over distinct values only.
     """
+    names = [f"v{i}" for i in range(len(cols))]
+    fields = lambda at: [(F.col(c) if i == at else F.lit(None).cast(df.schema[c].dataType)).alias(n)
+                         for i, (c, n) in enumerate(zip(cols, names, strict=True))]
     pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("p"))
-    counts = (pairs.where(F.col("p.value").isNotNull())
-              .groupBy(F.col("p.column").alias("column"), F.col("p.value").alias("value"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    return counts.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("column", "value", "n")
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), *fields(i)) for i, c in enumerate(cols)])).alias("p"))
+    counts = pairs.select("p.*").where(F.col("value").isNotNull()).groupBy("column", "value", *names).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("column").orderBy(F.desc("n"), *[F.asc(n) for n in names])
+    return (counts.withColumn("_r", F.row_number().over(w)).where("_r = 1")
+            .select("column", "value", "n", F.struct(*names).alias("typed")))
 
 
-def fit_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
-    """A2 fit: {column: mode}. The result has one entry per column (size fixed by
+def fit_modes(df: DataFrame, cols: Sequence[str]) -> dict:
+    """A2 fit: {column: mode in the column's type}. The result has one entry per column (size fixed by
     the schema, not the data), like any Spark ML estimator's fitted state."""
-    got = {r["column"]: r["value"] for r in column_modes(df, cols).collect()}
+    got = {r["column"]: r["typed"][list(cols).index(r["column"])] for r in column_modes(df, cols).collect()}
     return {c: got.get(c) for c in cols}
 
 
 def impute_mode(df: DataFrame, cols: Sequence[str], modes: dict | None = None) -> DataFrame:
-    """A2 apply: fill nulls with the column mode (text columns); a literal projection."""
+    """A2 apply: fill nulls with the column mode, types kept; a literal projection."""
     modes = modes if modes is not None else fit_modes(df, cols)
-    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(modes[c])) for c in cols})
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(modes[c]).cast(df.schema[c].dataType)) for c in cols})
 
 
 def fit_means(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,19 +21,18 @@ SPLIT_RATIOS = (("train", 0.7), ("validate", 0.2), ("test", 0.1))
 SPLIT_SEED = 42
 
 
-# Column-name rewrite rules (regex, replacement), applied in this order;
-# the text is lower-cased after the first rule.
-NAME_RULES = ((r"(?<!^)(?=[A-Z])", "_"), (r"__", "_"), (r"[()]", ""), (r"[ -]", "_"))
-
-
 def snake_name(name: str) -> str:
-    """CamelCase / spaces / hyphens / parentheses -> snake_case (``NAME_RULES``)."""
-    out = name
-    for i, (pattern, repl) in enumerate(NAME_RULES):
-        out = re.sub(pattern, repl, out)
-        if i == 0:
-            out = out.lower()
-    return out
+    """Words of a column name joined by underscores: a capital inside the name and a space or
+    hyphen each start a word, parentheses go, a run of underscores is one. A space before a
+    capital therefore gives two underscores ("Total Charges" -> total__charges)."""
+    out = []
+    for before, ch in zip(" " + name, name):
+        if ch in " -" or ch == "_" and before != "_":
+            out.append("_")
+        elif ch not in "()_":
+            inner = out and before != "_" and "A" <= ch <= "Z"
+            out.append("_" + ch.lower() if inner else ch.lower())
+    return "".join(out)
 
 
 # Explicit renames applied after the snake_case rule.
@@ -157,12 +155,16 @@ def filter_metric_rows(df: DataFrame, column_name: str = ":table", slice_key: st
     return df.where(cond)
 
 
-def clean_churn_features(df: DataFrame) -> DataFrame:
-    """The reference's cleaning step as one native projection.
-
-    senior_citizen recode, blank-safe total_charges, 0.0 defaults, service count.
-    """
-    df = recode(df, "senior_citizen")
-    df = parse_number(df, "total_charges")
-    df = fill_missing(df, {"tenure": 0.0, "monthly_charges": 0.0, "total_charges": 0.0})
-    return count_flags(df)
+def prepare_customers(df: DataFrame, reject_col: str | None = None) -> DataFrame:
+    """The customer table's cleaning as one projection: senior_citizen recoded, total_charges read as a
+    number (blank: 0), missing amounts 0, optional services counted. ``reject_col`` names a flag for
+    total_charges text that is neither blank nor a number, so such rows can be counted."""
+    out = {"senior_citizen": C.recode_expr("senior_citizen", SENIOR_MAP),
+           "total_charges": F.coalesce(C.parse_number_expr("total_charges"), F.lit(0.0)),
+           "num_optional_services": C.flag_count(SERVICE_COLUMNS, FLAG_VALUE)}
+    for c in ("tenure", "monthly_charges"):
+        if c in df.columns:
+            out[c] = F.coalesce(F.col(c), F.lit(0.0).cast(df.schema[c].dataType))
+    if reject_col:
+        out[reject_col] = C.parse_rejected("total_charges")
+    return df.withColumns(out)

@@ -51,7 +51,17 @@ def feature_table_spec(spark: SparkSession, name: str) -> FeatureTableSpec:
                             props.get("featureflow.description", ""))
 
 
-def merge_features(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _one_per_key(updates: DataFrame, keys: list[str], order_col: str | None) -> DataFrame:
+    """One row a key: the newest by ``order_col``, of equals (or without it) the largest row."""
+    rest = [c for c in updates.columns if c not in keys]
+    if not rest:
+        return updates.distinct()
+    first = [order_col] if order_col else []
+    order = F.struct(*[F.col(c) for c in first + [c for c in rest if c not in first]])
+    return updates.groupBy(*keys).agg(F.max(order).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def merge_features(target: DataFrame, updates: DataFrame, keys: Sequence[str], order_col: str | None = None) -> DataFrame:
     """Upsert ``updates`` into ``target`` on ``keys``.
 
     * matched key: columns present in ``updates`` take the update's value (also a
@@ -59,24 +69,34 @@ def merge_features(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -
     * new key: inserted, columns it lacks are null (schema evolution);
     * unmatched target rows are kept.
     One full outer join: each side is shuffled once on the key. Idempotent:
-    merging the same updates twice gives the same table.
+    merging the same updates twice gives the same table. Updates are reduced to one row
+    a key first and null keys match each other, so a key never gets a second row. With
+    ``order_col`` a stored row that is newer than its update stays.
     """
     keys = list(keys)
+    updates = _one_per_key(updates, keys, order_col)
     t_cols = [c for c in target.columns if c not in keys]
     u_cols = [c for c in updates.columns if c not in keys]
     t = target.select(*keys, F.struct(*t_cols).alias("_t"), F.lit(True).alias("_tp"))
     u = updates.select(*keys, F.struct(*u_cols).alias("_u"), F.lit(True).alias("_up"))
-    j = t.join(u, keys, "full_outer")
+    u = u.withColumnsRenamed({k: f"_u_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_u_{k}"))
+    j = t.join(u, on, "full_outer")
     has_u = F.col("_up").isNotNull()
+    if order_col and order_col in t_cols and order_col in u_cols:
+        has_u = has_u & ~F.coalesce(F.col(f"_t.{order_col}") > F.col(f"_u.{order_col}"), F.lit(False))
     out = []
     for c in t_cols + [c for c in u_cols if c not in t_cols]:
         if c in u_cols and c in t_cols:
             out.append(F.when(has_u, F.col(f"_u.{c}")).otherwise(F.col(f"_t.{c}")).alias(c))
         elif c in u_cols:
-            out.append(F.col(f"_u.{c}").alias(c))
+            out.append(F.when(has_u, F.col(f"_u.{c}")).alias(c))
         else:
             out.append(F.col(f"_t.{c}").alias(c))
-    return j.select(*keys, *out)
+    key = [F.when(F.col("_tp").isNotNull(), F.col(k)).otherwise(F.col(f"_u_{k}")).alias(k) for k in keys]
+    return j.select(*key, *out)
 
 
 def check_constraints(df: DataFrame, primary_keys: Sequence[str], not_null: Sequence[str] = ()) -> DataFrame:
@@ -139,11 +159,18 @@ def key_bucket(keys: Sequence[str], n_buckets: int):
 
 def read_feature_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table (schema merged across buckets), or None if it does not exist."""
+    return _read_if_there(spark, path)
+
+
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """None only where nothing is stored; every other failure is raised."""
     from pyspark.errors import AnalysisException
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 DEFAULT_BUCKETS = 16
@@ -153,12 +180,11 @@ def table_buckets(spark: SparkSession, path: str, requested: int | None = None)
     """The bucket count of the stored table (kept in ``<path>/_meta``, which Parquet
     readers skip), or the requested / default count for a new table. A table's
     count never changes: keys would land in different buckets."""
-    from pyspark.errors import AnalysisException
-    try:
-        row = spark.read.parquet(f"{path}/_meta").first()
-    except AnalysisException:
-        row = None
+    meta = _read_if_there(spark, f"{path}/_meta")
+    row = meta.first() if meta is not None else None
     if row is None:
+        if read_feature_table(spark, path) is not None:
+            raise ValueError(f"{path} holds rows but no _meta: its bucket count and keys are unknown")
         return (requested or DEFAULT_BUCKETS), False
     if requested is not None and requested != row["n_buckets"]:
         raise ValueError(f"table at {path} has {row['n_buckets']} buckets, not {requested}")
@@ -166,9 +192,12 @@ def table_buckets(spark: SparkSession, path: str, requested: int | None = None)
 
 
 def upsert_table(spark: SparkSession, updates: DataFrame, keys: Sequence[str], path: str,
-                 n_buckets: int | None = None) -> None:
+                 n_buckets: int | None = None, order_col: str | None = None) -> None:
     """S8 on a stored table: merge ``updates`` into the table at ``path``.
 
+    ``_meta`` is written before the first rows, so a job that stops in between leaves an
+    empty table, and rows without ``_meta`` are refused: an upsert never takes a stored
+    table for a new one. ``order_col``: newer stored rows win over older updates.
     Idempotent (re-running the same updates leaves the table unchanged), so it is
     safe under at-least-once delivery. ``n_buckets`` is fixed when the table is
     created (default 16; size it so a bucket is a comfortable rewrite unit, e.g.
@@ -178,7 +207,10 @@ def upsert_table(spark: SparkSession, updates: DataFrame, keys: Sequence[str], p
     from featureflow.session import materialize
     keys = list(keys)
     n_buckets, known = table_buckets(spark, path, n_buckets)
-    upd = updates.withColumn(BUCKET_COL, key_bucket(keys, n_buckets))
+    if not known:
+        spark.createDataFrame([(n_buckets, ",".join(keys))], "n_buckets int, keys string") \
+            .write.mode("overwrite").parquet(f"{path}/_meta")
+    upd = _one_per_key(updates, keys, order_col).withColumn(BUCKET_COL, key_bucket(keys, n_buckets))
     current = read_feature_table(spark, path) if known else None
     if current is None:
         merged = upd
@@ -187,14 +219,11 @@ def upsert_table(spark: SparkSession, updates: DataFrame, keys: Sequence[str], p
         if not touched:
             return
         cur = current.where(F.col(BUCKET_COL).isin(touched))
-        merged = merge_features(cur, upd, [*keys, BUCKET_COL])
+        merged = merge_features(cur, upd, [*keys, BUCKET_COL], order_col)
     # the partitions being replaced are also being read: materialise first
     merged = materialize(merged)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (merged.hint("rebalance", BUCKET_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(path))
-    if not known:
-        spark.createDataFrame([(n_buckets, ",".join(keys))], "n_buckets int, keys string") \
-            .write.mode("overwrite").parquet(f"{path}/_meta")
 
 
 def feature_table(spark: SparkSession, path: str) -> DataFrame:

@@ -4,10 +4,10 @@ The as-of lookup is the one operator Spark lacks. It is written as a union of th
 two sides plus a running ``last(..., ignorenulls)`` window -- one shuffle of the
 rows, no theta join, label rows never multiply; several feature frames on the same
 key share the pass. To keep a hot key (one entity with a third of all rows) from
-landing in one task, a partial aggregation first measures the largest key; when it
-is hot, rows are partitioned by (key, time bucket) and each bucket receives the
-newest feature row of all earlier buckets, computed from a per-bucket pre-aggregate
-whose size is bounded by the number of buckets, not by the number of rows.
+landing in one task, rows are partitioned by (key, time bucket) and each bucket receives
+the newest feature row of all earlier buckets, computed from a per-bucket pre-aggregate
+whose size is bounded by the number of buckets, not by the number of rows. The plan is
+the same at every size and planning runs no job.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 _RUNNING = (Window.unboundedPreceding, Window.currentRow)
 
@@ -31,52 +32,16 @@ def attach_labels(scored: DataFrame, labels: DataFrame, keys: Sequence[str]) ->
     return scored.join(labels, list(keys), "left")
 
 
-def _bucket(ts: Column, bucket: str) -> Column:
-    # tumbling-window start: zone-independent for TIMESTAMP_NTZ
-    return F.window(ts, bucket).start
-
-
-# A key is "hot" when it holds more rows than this and more than 1 / shuffle-partitions of all rows.
-HOT_KEY_MIN_ROWS = 1_000_000
-
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+DEFAULT_BUCKET = "30 days"
 
-def choose_plan(lab: DataFrame, feat: DataFrame, keys: Sequence[str],
-                min_rows: int = HOT_KEY_MIN_ROWS) -> tuple[str | None, bool]:
-    """Pick the as-of plan from the data, in one job of partial aggregations:
 
-    * bucket width: ``None`` (one window partition per key) unless one key would give
-      a task more than its share; then a time-bucket width that splits that key into
-      pieces of about the target size;
-    * label-time dedupe: True when one (key, label time) holds more label rows than
-      the target -- time buckets cannot split those, so the lookup runs once per
-      distinct (key, time) and the answers are joined back (a skewed equi-join that
-      AQE splits).
-    Only a handful of numbers come back to the driver.
-    """
-    spark = lab.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    u = (lab.select(*keys, "_ts", F.lit(1).alias("_is_l"))
-         .unionByName(feat.select(*keys, "_ts", F.lit(0).alias("_is_l"))))
-    per_t = u.groupBy(*keys, "_ts").agg(F.count(F.lit(1)).alias("nt"), F.sum("_is_l").alias("nl"))
-    per = per_t.groupBy(*keys).agg(F.sum("nt").alias("n"), F.max("nl").alias("max_nl"),
-                                   F.min("_ts").alias("lo"), F.max("_ts").alias("hi"))
-    r = per.agg(F.sum("n").alias("total"), F.max("max_nl").alias("max_nl"),
-                F.max_by(F.struct("n", "lo", "hi"), "n").alias("top")).first()
-    if r is None or r["top"] is None:
-        return None, False
-    total, top = r["total"], r["top"]
-    target = max(min_rows, total // max(parts, 1))
-    dedupe = (r["max_nl"] or 0) > target
-    if top["n"] <= target or top["lo"] is None:
-        return None, dedupe
-    span = max((top["hi"] - top["lo"]).total_seconds(), 1.0)
-    width = max(1, int(span * target / top["n"]))
-    return f"{width} seconds", dedupe
-
-
-def choose_bucket(lab: DataFrame, feat: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_MIN_ROWS) -> str | None:
-    """The bucket-width part of ``choose_plan``."""
-    return choose_plan(lab, feat, keys, min_rows)[0]
+def _bucket(ts: Column, bucket: str) -> Column:
+    """Number of the time bucket that holds ``ts``; null for a null time, so its row is kept."""
+    n, unit = bucket.split()
+    width = int(n) * _UNIT_SECONDS[unit.rstrip("s")] * 1_000_000
+    us = F.unix_micros(ts.cast("timestamp"))
+    return ((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("bigint")
 
 
 @dataclass
@@ -92,30 +57,25 @@ class AsofSide:
 def lookup_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], label_ts: str,
                 feature_ts: str | None = None, feature_cols: Sequence[str] | None = None,
                 tie_breakers: Sequence[str] = (), max_age: str | None = None,
-                bucket: str | None = "auto", hot_key_rows: int = HOT_KEY_MIN_ROWS,
-                stats_labels: DataFrame | None = None) -> DataFrame:
+                bucket: str | None = DEFAULT_BUCKET) -> DataFrame:
     """Each label row gets the newest feature row with feature_ts <= label_ts.
 
     * ``keys`` exist under the same names on both sides.
     * Ties on the feature time are broken by ``tie_breakers`` (largest wins).
     * No earlier feature -> null feature columns; label rows are never duplicated
-      or dropped.
+      or dropped; a null label time or key gets null features.
     * ``max_age`` (an interval string such as ``'30 days'``): older matches -> nulls.
-    * ``stats_labels``: frame with the same label keys/times to measure (default ``labels``).
-    * ``bucket``: time-bucket width that splits each key's rows over tasks;
-      ``None`` uses one window partition per key (fine when keys are not skewed);
-      ``"auto"`` (default) measures the largest key first (``choose_plan``) and
-      buckets only when one key would hold more than ``hot_key_rows`` rows and more
-      than its share of a shuffle partition; when one (key, label time) holds that
-      many label rows, the lookup runs per distinct (key, time) and is joined back.
+    * ``bucket``: time-bucket width that splits each key's rows over tasks ("30 days",
+      "6 hours", ...); choose it so that the hottest key's densest bucket fits a task.
+      ``None`` uses one window partition per key (fine when keys are not skewed).
+      Every choice gives the same rows.
     """
     side = AsofSide(features, feature_ts or label_ts, feature_cols, tie_breakers, max_age)
-    return lookup_asof_many(labels, [side], keys, label_ts, bucket, hot_key_rows, stats_labels)
+    return lookup_asof_many(labels, [side], keys, label_ts, bucket)
 
 
 def lookup_asof_many(labels: DataFrame, sides: Sequence[AsofSide], keys: Sequence[str], label_ts: str,
-                     bucket: str | None = "auto", hot_key_rows: int = HOT_KEY_MIN_ROWS,
-                     stats_labels: DataFrame | None = None) -> DataFrame:
+                     bucket: str | None = DEFAULT_BUCKET) -> DataFrame:
     """Several as-of lookups on the same key and label time in ONE pass: the label
     rows and every feature frame are unioned and shuffled once, and one window
     carries each frame's newest row forward (``last(_fv<i>, ignorenulls)``), so N
@@ -146,22 +106,6 @@ def lookup_asof_many(labels: DataFrame, sides: Sequence[AsofSide], keys: Sequenc
         outs.append((i, cols, sd.max_age))
     fvs = [f"_fv{i}" for i, _, _ in outs]
 
-    if bucket == "auto":
-        # the key/time distribution of the label rows; a training set passes its original
-        # label frame so the statistics never re-run earlier lookups
-        src = stats_labels if stats_labels is not None else labels
-        lab_keys = src.select(*[F.col(k) for k in keys], F.col(label_ts).alias("_ts"))
-        all_feats = feats[0].select(*keys, "_ts")
-        for f in feats[1:]:
-            all_feats = all_feats.unionByName(f.select(*keys, "_ts"))
-        bucket, dedupe = choose_plan(lab_keys, all_feats, keys, hot_key_rows)
-        if dedupe:
-            # one answer per distinct (key, label time), joined back to every label row
-            times = labels.select(*keys, label_ts).distinct()
-            answers = lookup_asof_many(times, sides, keys, label_ts, bucket, hot_key_rows)
-            out = labels.join(answers, [*keys, label_ts], "left")
-            return out.select(*label_cols, *[c for _, cols, _ in outs for c in cols])
-
     def union(frames):
         out = frames[0]
         for f in frames[1:]:
@@ -202,15 +146,16 @@ def lookup_asof_many(labels: DataFrame, sides: Sequence[AsofSide], keys: Sequenc
 def latest_snapshot(df: DataFrame, keys: Sequence[str], ts: str, tie_breakers: Sequence[str] = ()) -> DataFrame:
     """Newest row per key (what an online store would serve).
 
-    Written as ``max_by`` over a struct so the aggregation is partial (map-side):
-    a hot key is pre-reduced in every task before the shuffle.
+    Ranked per key with ``row_number = 1``, which Spark turns into a group limit before
+    the shuffle: a hot key is reduced to one row in every task first. Rows whose time is
+    null come last; ties beyond ``tie_breakers`` go to the largest remaining columns.
     """
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
-    order = F.struct(F.col(ts), *[F.col(t) for t in tie_breakers])
-    return (df.groupBy(*keys)
-            .agg(F.max_by(F.struct(*others), order).alias("_r"))
-            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]))
+    rest = [c for c in others if c not in (ts, *tie_breakers) and not isinstance(df.schema[c].dataType, MapType)]
+    order = [F.desc_nulls_last(c) for c in (ts, *tie_breakers, *rest)]
+    ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where("_rn = 1").select(*keys, *others)
 
 
 def lookup_latest(df: DataFrame, features: DataFrame, keys: Sequence[str], ts: str | None = None,
@@ -267,7 +212,7 @@ def feature_function(name: str, **rebind: str) -> FeatureFunction:
 
 def create_training_set(labels: DataFrame, lookups: Sequence[FeatureLookup] = (),
                         functions: Sequence[FeatureFunction] = (), label: str | None = None,
-                        exclude_columns: Sequence[str] = (), bucket: str | None = "auto") -> DataFrame:
+                        exclude_columns: Sequence[str] = (), bucket: str | None = DEFAULT_BUCKET) -> DataFrame:
     """Labels + point-in-time features + on-demand features - excluded columns (lazy).
 
     Consecutive as-of lookups on the same key and label time share one pass
@@ -281,7 +226,7 @@ def create_training_set(labels: DataFrame, lookups: Sequence[FeatureLookup] = ()
         if not pending:
             return frame
         keys, ts = pending_on
-        out = lookup_asof_many(frame, list(pending), list(keys), ts, bucket, stats_labels=labels)
+        out = lookup_asof_many(frame, list(pending), list(keys), ts, bucket)
         pending.clear()
         return out
 

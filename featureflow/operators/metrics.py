@@ -73,7 +73,7 @@ def weighted_f1(df: DataFrame, label: str = "label", pred: str = "prediction",
     per_true = cm.groupBy(*g, F.col(label).alias("cls")).agg(
         F.sum("n").alias("support"), F.sum(F.when(F.col(label) == F.col(pred), F.col("n")).otherwise(0)).alias("tp"))
     per_pred = cm.groupBy(*g, F.col(pred).alias("cls")).agg(F.sum("n").alias("predicted"))
-    per = per_true.join(per_pred, [*g, "cls"], "left")
+    per = join_null_safe(per_true, per_pred, [*g, "cls"], "left")
     f1 = _safe_div(2 * F.col("tp"), F.col("support") + F.coalesce(F.col("predicted"), F.lit(0)))
     out = per.groupBy(*g).agg((F.sum(f1 * F.col("support")) / F.sum("support")).alias("weighted_f1"))
     if digits is not None:
@@ -97,12 +97,21 @@ def score_counts(df: DataFrame, score: str, label: str, positive=1, group_cols:
             .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal names where null equals null; the columns of ``left`` and the others of ``right``."""
+    r = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    on = F.lit(True)
+    for c in cols:
+        on = on & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return left.join(r, on, how).drop(*[f"_r_{c}" for c in cols])
+
+
 def _attach_totals(df: DataFrame, g: DataFrame, gc: list[str], aggs: dict[str, Column]) -> DataFrame:
     """Per-group totals next to each row: a join with one row per group when grouped
-    (broadcast: its size is the number of groups), scalar subqueries when not."""
+    (null groups match; Spark broadcasts small sides), scalar subqueries when not."""
     if gc:
         tot = g.groupBy(*gc).agg(*[v.alias(k) for k, v in aggs.items()])
-        return df.join(F.broadcast(tot), gc, "inner")
+        return join_null_safe(df, tot, gc)
     one = g.agg(F.struct(*[v.alias(k) for k, v in aggs.items()])).scalar()  # one subquery for all totals
     return df.withColumns({k: one[k] for k in aggs})
 
@@ -148,7 +157,7 @@ def running_sums(g: DataFrame, group_cols: Sequence[str], order_col: str, value_
     o = F.desc(order_col) if descending else F.asc(order_col)
     end = Window.currentRow if inclusive else -1
     wi = Window.partitionBy(*gc, "_b").orderBy(o).rowsBetween(Window.unboundedPreceding, end)
-    j = gb.join(off, [*gc, "_b"], "inner")
+    j = join_null_safe(gb, off, [*gc, "_b"])
     return j.select(*g.columns, *[(F.coalesce(F.sum(v).over(wi), F.lit(0)) + F.col(f"_o_{v}")).alias(f"cum_{v}")
                                   for v in value_cols])
 
@@ -192,9 +201,15 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label", positive=
     return out
 
 
+def _clamped(score: str, eps: float) -> Column:
+    """Scores inside [eps, 1 - eps]; a null score stays null and takes no part."""
+    s = F.col(score).cast("double")
+    return F.when(s.isNotNull(), F.least(F.greatest(s, F.lit(eps)), F.lit(1.0 - eps)))
+
+
 def log_loss(df: DataFrame, score: str = "score", label: str = "label", positive=1,
              group_cols: Sequence[str] = (), eps: float = 1e-15, digits: int | None = 4) -> DataFrame:
-    p = F.least(F.greatest(F.col(score).cast("double"), F.lit(eps)), F.lit(1.0 - eps))
+    p = _clamped(score, eps)
     y = F.coalesce(F.col(label) == F.lit(positive), F.lit(False))
     ll = -F.avg(F.when(y, F.log(p)).otherwise(F.log(F.lit(1.0) - p)))
     return df.groupBy(*group_cols).agg((round_metric(ll, digits) if digits is not None else ll).alias("log_loss"))
@@ -204,12 +219,12 @@ def metrics_by_split(df: DataFrame, split: str = "split", score: str = "score",
                      pred: str = "prediction", positive=1, digits: int = 4, eps: float = 1e-15) -> DataFrame:
     """Per split: counts, accuracy/precision/recall/F1, weighted F1, log-loss, AUC.
 
-    Two scans of the rows: one grouped pass to (split, label, prediction) with the
-    count and the log-loss sum -- every count-based metric and the log-loss follow
-    from that small table -- and the per-score pass of the AUC.
+    One grouped pass to (split, label, prediction) gives every count-based metric and the
+    log-loss; the AUC reads the rows per distinct score. A null split is a split of its own;
+    null scores take no part in log-loss and AUC.
     """
     g = [split]
-    p = F.least(F.greatest(F.col(score).cast("double"), F.lit(eps)), F.lit(1.0 - eps))
+    p = _clamped(score, eps)
     y = F.coalesce(F.col(label) == F.lit(positive), F.lit(False))
     term = -F.when(y, F.log(p)).otherwise(F.log(F.lit(1.0) - p))
     cells = df.groupBy(*g, label, pred).agg(F.count(F.lit(1)).alias("_n"), F.sum(term).alias("_ll"),
@@ -225,8 +240,8 @@ def metrics_by_split(df: DataFrame, split: str = "split", score: str = "score",
     out = _with_rates(counts, digits).withColumn("log_loss", round_metric("_log_loss", digits)).drop("_log_loss")
     wf = weighted_f1(cells.where(F.col(label).isNotNull()).select(*g, label, pred, "_n"), label, pred, g,
                      digits, count_col="_n")
-    out = out.join(wf, g, "left")
-    out = out.join(roc_auc(df, score, label, positive, g, digits), g, "left")
+    out = join_null_safe(out, wf, g, "left")
+    out = join_null_safe(out, roc_auc(df, score, label, positive, g, digits), g, "left")
     return out
 
 

@@ -162,7 +162,8 @@ def drift_categorical(base: DataFrame, current: DataFrame, col: str, eps: float
     """
     b = base.groupBy(F.col(col).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("nb"))
     c = current.groupBy(F.col(col).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("nc"))
-    j = b.join(c, "v", "full_outer").fillna(0, ["nb", "nc"])
+    c = c.withColumnRenamed("v", "_v")  # a null category is a category and matches itself
+    j = b.join(c, F.col("v").eqNullSafe(F.col("_v")), "full_outer").fillna(0, ["nb", "nc"])
     tot = j.agg(F.struct(F.sum("nb").alias("b"), F.sum("nc").alias("c"))).scalar()
     j = j.withColumns({"_tb": tot["b"], "_tc": tot["c"]})
     pb = F.col("nb") / F.col("_tb")

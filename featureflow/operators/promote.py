@@ -28,12 +28,14 @@ def choose_champion(model_info: DataFrame, aliases: DataFrame, strict: bool = Tr
         F.struct(F.col("champion_version").alias("model_version"), F.lit(CHAMPION).alias("previous_alias")),
         F.struct(F.col("challenger_version").alias("model_version"), F.lit(CHALLENGER).alias("previous_alias")),
     )).alias("a")).select("model_name", "a.*")
-    cand = model_info.join(a, ["model_name", "model_version"], "inner")
-    latest = latest_per_key(cand, ["model_name", "model_version"], ["validation_timestamp"])
+    cand = model_info.join(a.drop("previous_alias"), ["model_name", "model_version"], "left_semi")
+    newest = latest_per_key(cand, ["model_name", "model_version"], ["validation_timestamp"])
+    latest = a.join(newest, ["model_name", "model_version"], "left")  # from the aliases: no model gets lost
+    latest = latest.withColumn("_valid", F.col("f1_score").isNotNull().cast("int"))
     incumbent_first = F.when(F.col("previous_alias") == CHAMPION, 0).otherwise(1)
     w = Window.partitionBy("model_name").orderBy(F.desc("f1_score"), incumbent_first)
     ranked = latest.withColumn("_rn", F.row_number().over(w)).withColumn(
-        "_n", F.count(F.lit(1)).over(Window.partitionBy("model_name")))
+        "_n", F.sum("_valid").over(Window.partitionBy("model_name")))
     if strict:
         short = ranked.where(F.col("_n") < 2).select("model_name").limit(1).collect()
         if short:
@@ -72,8 +74,26 @@ def apply_aliases(decision: DataFrame, at: dt.datetime) -> DataFrame:
     return out
 
 
-def register_version(versions: DataFrame, description_col: str | None = None) -> DataFrame:
-    """M5: alias assignment for registered versions.
+def register_version(aliases: DataFrame, versions: DataFrame) -> DataFrame:
+    """M5: add ``versions`` (model_name, model_version; one a model) to the alias table (model_name,
+    model_version, alias). A model's first version becomes champion; a later one becomes challenger and the
+    challenger before it loses its alias; the champion stays whoever it is."""
+    new = versions.select("model_name", F.col("model_version").alias("_new"))
+    a = aliases.select("model_name", "model_version", "alias").join(new, "model_name", "left")
+    outdated = F.col("_new").isNotNull() & (F.col("alias") == CHALLENGER)
+    same = F.coalesce(F.col("model_version") == F.col("_new"), F.lit(False))
+    kept = a.where(~same).select("model_name", "model_version", F.when(~F.coalesce(outdated, F.lit(False)), F.col("alias")).alias("alias"))
+    known = aliases.select("model_name").distinct().withColumn("_known", F.lit(True))
+    held = aliases.where(F.col("alias") == CHAMPION).select("model_name", F.col("model_version").alias("_champion"))
+    added = (versions.select("model_name", "model_version").join(known, "model_name", "left").join(held, "model_name", "left")
+             .select("model_name", "model_version",
+                     F.when(F.col("_known").isNull() | (F.col("model_version") == F.col("_champion")), F.lit(CHAMPION))
+                     .otherwise(F.lit(CHALLENGER)).alias("alias")))
+    return kept.unionByName(added)
+
+
+def initial_aliases(versions: DataFrame, description_col: str | None = None) -> DataFrame:
+    """M5: alias assignment for a model's whole history, registered in order without a promotion.
 
     Per model: the first version is the champion; the newest later version is the
     challenger; others carry no alias. Tags/description go into a map column.

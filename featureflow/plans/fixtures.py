@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from featureflow.operators.clean import SERVICE_COLUMNS, assign_split, clean_churn_features
+from featureflow.operators.clean import SERVICE_COLUMNS, assign_split, prepare_customers
 from featureflow.sources.tables import Tables
 
 # Fixed values of the fixture design (our choice, see survey §2.12).
@@ -66,7 +66,7 @@ def subscribers(t: Tables) -> DataFrame:
 
 def churn_features(t: Tables) -> DataFrame:
     """Cleaned feature table (no label column); key (customer_id, transaction_ts)."""
-    return clean_churn_features(subscribers(t)).drop("churn")
+    return prepare_customers(subscribers(t)).drop("churn")
 
 
 def churn_labels(t: Tables) -> DataFrame:
@@ -81,7 +81,7 @@ def churn_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
     from featureflow.session import materialize
     sub = materialize(subscribers(t))
     labels = assign_split(sub.select("customer_id", "transaction_ts", "churn"), "customer_id")
-    return labels, clean_churn_features(sub).drop("churn")
+    return labels, prepare_customers(sub).drop("churn")
 
 
 def monthly_features(t: Tables) -> DataFrame:

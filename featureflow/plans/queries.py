@@ -28,7 +28,7 @@ r4 = C.round_metric
 # ---------------------------------------------------------------------------------------
 
 
-def training_set(t: Tables, bucket: str | None = "auto") -> DataFrame:
+def training_set(t: Tables, bucket: str | None = LK.DEFAULT_BUCKET) -> DataFrame:
     labels, features = FX.churn_tables(t)
     return LK.create_training_set(
         labels,

@@ -175,7 +175,8 @@ def q_sql_function(spark, d):
 
 def _stage_by_year(spark, orders, path):
     """Land orders as one file per year (written in time order) for a file stream."""
-    years = range(1995, 2002)
+    r = orders.agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("b")).first()
+    years = range(r.a, r.b + 1) if r.a is not None else []
     for y in years:
         orders.where(F.year("o_orderdate") == y).coalesce(1).write.mode("append").parquet(path)
 

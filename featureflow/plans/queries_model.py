@@ -449,7 +449,7 @@ SELECT model_name, model_version,
 FROM r""")
 def q_register_version(spark, d):
     v = FX.model_info(_t(spark, d)).select("model_name", "model_version").distinct()
-    r = PR.register_version(v)
+    r = PR.initial_aliases(v)
     return r.select("model_name", "model_version", "alias", F.col("tags")["first_version"].alias("first_version"))
 
 
@@ -486,6 +486,6 @@ def q_deploy_version(spark, d):
     """Register every version, then deploy each model's challenger (models other than
     'error'): it becomes champion, the old champion loses its alias."""
     v = FX.model_info(_t(spark, d)).select("model_name", "model_version").distinct()
-    reg = PR.register_version(v).select("model_name", "model_version", "alias")
+    reg = PR.initial_aliases(v).select("model_name", "model_version", "alias")
     chosen = reg.where((F.col("alias") == PR.CHALLENGER) & (F.col("model_name") != "error"))
     return PR.deploy_version(reg, chosen.select("model_name", "model_version"))

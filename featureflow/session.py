@@ -2,8 +2,8 @@
 
 The library never depends on a machine-local folder when it runs on a cluster: any
 intermediate table it writes goes below the shared folder named by
-``spark.checkpoint.dir``. Only when that setting is missing (a test or a laptop
-session) do we create a private folder and register it.
+``spark.checkpoint.dir``. Only a local session (a test, a laptop) without that setting
+gets a private folder; elsewhere it is an error.
 """
 
 from __future__ import annotations
@@ -55,12 +55,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for lineage cuts and intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir); only if neither is set, make a private one and register it.
+    dir); only if neither is set, a local session gets a private one, others an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):  # executors would not see a folder of the driver
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="featureflow-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     elif spark.sparkContext.getCheckpointDir() is None:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -33,30 +32,10 @@ class Tables:
         if name.startswith("_") or name not in TABLE_NAMES:
             raise AttributeError(name)
         path = f"{self.base}/{name}.parquet"
-        df = read_path(self.spark, "parquet", path, schema=_known_schema(path))
-        if _stat_key(path) is not None:
-            _SCHEMAS.setdefault(_stat_key(path), df.schema)
+        df = read_path(self.spark, "parquet", path)
         self.__dict__[name] = df  # one file listing / footer read per table and plan
         return df
 
-
-# Schemas of local input files already read, keyed by (path, mtime, size): a changed
-# file is a cache miss. Saves the footer-reading job Spark runs to infer a schema.
-_SCHEMAS: dict[tuple, StructType] = {}
-
-
-def _stat_key(path: str) -> tuple | None:
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if "://" in local or not os.path.exists(local):
-        return None
-    st = os.stat(local)
-    return (os.path.abspath(local), st.st_mtime_ns, st.st_size)
-
-
-def _known_schema(path: str) -> StructType | None:
-    k = _stat_key(path)
-    return _SCHEMAS.get(k) if k is not None else None
-
     def register(self, names: Sequence[str] = TABLE_NAMES) -> None:
         """Expose the tables as temporary views for ``spark.sql``."""
         for n in names:
@@ -138,11 +117,11 @@ def log_row(spark: SparkSession, values: Mapping[str, object], schema: StructTyp
 
 def ensure_schema(spark: SparkSession, name: str, use: bool = True) -> None:
     """Create the namespace if absent and make it current."""
-    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?", name):
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*){0,2}", name):
         raise ValueError(f"bad schema name {name!r}")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
     if use:
-        spark.catalog.setCurrentDatabase(name.split(".")[-1])
+        spark.sql(f"USE {name}")  # with its catalog, where one is named
 
 
 def unpack_payload(df: DataFrame, col: str, schema: StructType | str, prefix: str = "",

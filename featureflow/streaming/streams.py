@@ -40,7 +40,7 @@ def stream_features(src: DataFrame, transform: Callable[[DataFrame], DataFrame],
         if order_col is not None:
             from featureflow.operators.lookup import latest_snapshot
             upd = latest_snapshot(upd, keys, order_col)
-        upsert_table(spark, upd, keys, table_path, n_buckets)
+        upsert_table(spark, upd, keys, table_path, n_buckets, order_col)
 
     (src.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())

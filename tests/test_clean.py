@@ -82,7 +82,7 @@ def test_cleaning_plan_has_no_python(spark):
     df = spark.createDataFrame([("1", " ", 2.0, 3.0, "Yes", "No", None, "Yes", "No", "Yes")],
                                "senior_citizen string, total_charges string, tenure double, monthly_charges double, "
                                + ", ".join(f"{c} string" for c in CL.SERVICE_COLUMNS))
-    plan = CL.clean_churn_features(df)._jdf.queryExecution().executedPlan().toString()
+    plan = CL.prepare_customers(df)._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "ArrowEvalPython" not in plan
 
 

@@ -92,22 +92,35 @@ def test_training_set_composition(spark):
     assert rows[1].api == pytest.approx(-5.0) and rows[2].m is None and rows[2].api is None
 
 
-def test_auto_bucket_decision(spark):
+def test_null_label_times_and_keys_are_kept(spark):
+    base = D(2024, 1, 1)
+    L = spark.createDataFrame([(0, 1, base), (1, 1, None), (2, None, base), (3, 2, base)], "lid bigint, k bigint, ts timestamp_ntz")
+    Fd = spark.createDataFrame([(1, base - dt.timedelta(days=90), 7, 1.0), (1, None, 8, 2.0)], "k bigint, fts timestamp_ntz, fid bigint, v double")
+    for bucket in (None, "1 day", "30 days"):
+        got = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts", bucket=bucket).orderBy("lid").collect()
+        assert [(r.lid, r.fid) for r in got] == [(0, 7), (1, None), (2, None), (3, None)]
+
+
+def test_planning_runs_no_job(spark):
+    L = spark.createDataFrame([(0, 1, D(2024, 1, 1))], "lid bigint, k bigint, ts timestamp_ntz")
+    Fd = spark.createDataFrame([(1, D(2023, 1, 1), 7, 1.0)], "k bigint, fts timestamp_ntz, fid bigint, v double")
+    spark.sparkContext.setJobGroup("asof-plan", "")
+    LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("asof-plan")
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_clustered_hot_key(spark):
     rng = random.Random(11)
     base = D(2024, 1, 1)
-    labels = [(i, 0 if i % 3 else i, base + dt.timedelta(minutes=rng.randint(0, 60 * 24 * 20))) for i in range(300)]
-    feats = [(0 if j % 3 else j, base + dt.timedelta(minutes=rng.randint(0, 60 * 24 * 20)), 5000 + j, float(j))
-             for j in range(400)]
+    labels = [(i, 0 if i % 3 else i, base + dt.timedelta(minutes=rng.randint(0, 60))) for i in range(300)]
+    feats = [(0 if j % 3 else j, base + dt.timedelta(minutes=rng.randint(0, 60)), 5000 + j, float(j)) for j in range(400)]
     L = spark.createDataFrame(labels, "lid bigint, k bigint, ts timestamp_ntz")
     Fd = spark.createDataFrame(feats, "k bigint, fts timestamp_ntz, fid bigint, v double")
-    lab = L.select("k", F.col("ts").alias("_ts"))
-    fe = Fd.select("k", F.col("fts").alias("_ts"))
-    assert LK.choose_bucket(lab, fe, ["k"]) is None                      # nothing is hot at the default
-    width = LK.choose_bucket(lab, fe, ["k"], min_rows=50)                # key 0 holds ~2/3 of the rows
-    assert width is not None and width.endswith(" seconds")
-    res = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts", tie_breakers=["fid"], hot_key_rows=50)
-    got = sorted([tuple(r) for r in res.select("lid", "k", "ts", "fid", "v").collect()], key=lambda r: r[0])
-    assert got == brute_asof(labels, feats)
+    for bucket in ("5 minutes", "30 days"):
+        res = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts", tie_breakers=["fid"], bucket=bucket)
+        got = sorted([tuple(r) for r in res.select("lid", "k", "ts", "fid", "v").collect()], key=lambda r: r[0])
+        assert got == brute_asof(labels, feats)
 
 
 def test_register_feature(spark):
@@ -124,8 +137,8 @@ def test_hot_key_plan_partitions_by_time_bucket(spark):
                               "lid bigint, k bigint, ts timestamp_ntz")
     Fd = spark.createDataFrame([(0, D(2024, 1, 1) + dt.timedelta(hours=j, minutes=30), j, 1.0) for j in range(200)],
                                "k bigint, fts timestamp_ntz, fid bigint, v double")
-    hot = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts", hot_key_rows=50)
-    cold = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts")
+    hot = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts")
+    cold = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts", bucket=None)
     hot_plan = hot._jdf.queryExecution().executedPlan().toString()
     cold_plan = cold._jdf.queryExecution().executedPlan().toString()
     assert "_b#" in hot_plan and "_b#" not in cold_plan
@@ -151,21 +164,3 @@ def test_multi_lookup_one_pass_equals_sequential(spark, bucket):
     assert sorted(tuple(r) for r in one.collect()) == sorted(tuple(r) for r in seq.collect())
     final = one._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("Window [") == (1 if bucket is None else 2)  # one pass for both lookups
-
-
-def test_hot_label_time_group_dedupes_and_joins_back(spark):
-    base = D(2024, 1, 1)
-    labels = [(i, 0, base + dt.timedelta(days=3)) for i in range(300)]            # one (key, time) group
-    labels += [(1000 + i, i % 4, base + dt.timedelta(hours=5 * i)) for i in range(40)]
-    feats = [(k, base + dt.timedelta(hours=7 * j), 10 * k + j, float(j)) for k in range(4) for j in range(20)]
-    L = spark.createDataFrame(labels, "lid bigint, k bigint, ts timestamp_ntz")
-    Fd = spark.createDataFrame(feats, "k bigint, fts timestamp_ntz, fid bigint, v double")
-    lab = L.select("k", F.col("ts").alias("_ts"))
-    fe = Fd.select("k", F.col("fts").alias("_ts"))
-    assert LK.choose_plan(lab, fe, ["k"], min_rows=100)[1] is True
-    res = LK.lookup_asof(L, Fd, ["k"], "ts", feature_ts="fts", tie_breakers=["fid"], hot_key_rows=100)
-    assert res.columns == ["lid", "k", "ts", "fid", "v"]
-    got = sorted([tuple(r) for r in res.collect()], key=lambda r: r[0])
-    assert got == brute_asof(labels, feats)
-    final = res._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "Join" in final  # answers computed per distinct (key, time) and joined back

@@ -21,7 +21,7 @@ def test_end_to_end(spark):
     t = TB.Tables(spark, "/root/testdata/sf0.001")
     cut_off, now = dt.datetime(2001, 1, 1), dt.datetime(2024, 1, 1)
     raw = FX.subscribers(t).drop("transaction_ts")
-    feats = CL.stamp(CL.clean_churn_features(raw), transaction_ts=F.lit(cut_off).cast("timestamp_ntz"))
+    feats = CL.stamp(CL.prepare_customers(raw), transaction_ts=F.lit(cut_off).cast("timestamp_ntz"))
     labels = CL.assign_split(feats.select("customer_id", "transaction_ts", "churn"), "customer_id")
     TB.write_table(labels, "wf_churn_labels", location=scratch_path(spark, "labels"))
     ftp = scratch_path(spark, "features")
