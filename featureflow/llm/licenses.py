@@ -59,8 +59,8 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", out: str = "license",
         raise ValueError(f"column {out} exists")
     known = [{"name": n, "size": len(g), "grams": g} for n, g in ((n, bigrams(t)) for n, t in templates or TEMPLATES) if g]
     table = F.from_json(F.lit(json.dumps(known)), "array<struct<name:string,size:int,grams:array<string>>>")
-    small = threshold / (2 - threshold) * min(k["size"] for k in known)
-    large = (2 - threshold) / threshold * max(k["size"] for k in known)
+    small = threshold / (2 - threshold) * min(k["size"] for k in known) - 1e-6
+    large = (2 - threshold) / threshold * max(k["size"] for k in known) + 1e-6
     u, g = fresh(docs, "units_", "grams_")
     t = text_of(c(text_col))
     norm = lambda x: F.split(F.btrim(F.regexp_replace(F.lower(x), GAP, " ")), " ")
@@ -75,8 +75,8 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", out: str = "license",
 
     def matches(ts):
         def per_unit(x):
-            near = F.filter(ts, lambda k: (k["size"] >= F.size(x["g"]) * (threshold / (2 - threshold)))
-                            & (k["size"] <= F.size(x["g"]) * ((2 - threshold) / threshold)))
+            most = lambda k: F.lit(2.0) * F.least(k["size"], F.size(x["g"])) / (F.size(x["g"]) + k["size"])
+            near = F.filter(ts, lambda k: most(k) >= threshold)
             return F.transform(near, lambda k: F.struct(_dice(x["g"], k).alias("dice"), (-x["line"]).alias("back"), k["name"].alias("name")))
         return F.flatten(F.transform(c(g), per_unit))
     d = docs.withColumn(u, units).withColumn(g, F.filter(F.transform(c(u), grams), lambda x: F.size(x["g"]) >= small))

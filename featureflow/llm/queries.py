@@ -33,7 +33,30 @@ def bpe_digests(coded: DataFrame) -> DataFrame:
                         F.sha2(bpe.decode(F.col("ids"), VOCABULARY), 256).alias("decoded_sha256"))
 
 
-@query("op6_host_quality")
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, source, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
+             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln FROM d),
+g AS (SELECT rid, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS p FROM w WHERE len(w) >= 3)),
+r AS (SELECT rid, count(DISTINCT at) AS n FROM (
+        SELECT rid, unnest([p, p + 1, p + 2]) AS at FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, g) AS n FROM g) WHERE n > 1) GROUP BY rid),
+s AS (SELECT w.rid, doc_id, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+             (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(ln) AS n_lines,
+             (len(ln) - len(list_distinct(ln)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+      FROM w LEFT JOIN r ON w.rid = r.rid),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             10 * n_symbols > 3 * n_words OR 4 * n_dup_lines > n_lines AS other_failed FROM s),
+h AS (SELECT source, count(*)::DOUBLE AS n, count(*) FILTER (base_failed OR other_failed)::DOUBLE AS f FROM b GROUP BY source),
+m AS (SELECT sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS sq, count(*) / sum(n) AS share FROM h),
+v AS (SELECT m, m * (1 - m) AS spread, sq - m * m - m * (1 - m) * share AS between_hosts FROM m),
+a AS (SELECT m, CASE WHEN between_hosts > 0 THEN least(greatest(spread / between_hosts - 1, 1.0), 1e6) ELSE 1e6 END AS k FROM v),
+j AS (SELECT h.source, (h.f + a.m * a.k) / (h.n + a.k) <= 0.5 AS host_kept FROM h, a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND host_kept AS kept
+FROM b JOIN j ON b.source IS NOT DISTINCT FROM j.source
+"""
+
+
+@query("op6_host_quality", OP6_SQL)
 def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     q = quality.judge_documents(docs, "source", "text", "q", keep_text=False)
