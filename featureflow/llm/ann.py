@@ -23,8 +23,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not ha
 DIRECTIONS = 64
 WIDTH = 2.5         # window width at R = 1
 SHARE = 0.6         # collisions that a vector needs, as a share of the directions
-GROWTH = 1.25       # of R from round to round
-BLOCK_ROWS = 8192   # vectors of a block, about
+GROWTH = 1.5        # of R from round to round
+BLOCK_ROWS = 16384  # vectors of a block, about
 QUERY_ROWS = 4096   # queries of a query block, about
 
 

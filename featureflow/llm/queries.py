@@ -35,11 +35,11 @@ def bpe_digests(coded: DataFrame) -> DataFrame:
 
 OP6_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
-w AS (SELECT rid, doc_id, source, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln FROM d),
+w AS (SELECT rid, doc_id, source, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln FROM d),
 g AS (SELECT rid, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS p FROM w WHERE len(w) >= 3)),
-r AS (SELECT rid, count(DISTINCT at) AS n FROM (
-        SELECT rid, unnest([p, p + 1, p + 2]) AS at FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, g) AS n FROM g) WHERE n > 1) GROUP BY rid),
+r AS (SELECT rid, count(DISTINCT pos) AS n FROM (
+        SELECT rid, unnest([p, p + 1, p + 2]) AS pos FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, g) AS n FROM g) WHERE n > 1) GROUP BY rid),
 s AS (SELECT w.rid, doc_id, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
              (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(ln) AS n_lines,
              (len(ln) - len(list_distinct(ln)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
