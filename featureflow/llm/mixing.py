@@ -91,15 +91,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     d = docs.withColumn(size, n_words(c(text_col)))
     d = d.withColumn(h, F.xxhash64(c(id_col), c(size), F.xxhash64(c(text_col))))
     d = d.withColumn(cls, F.floor(F.log2(c(size) + F.lit(1.0)) * 4).cast("int"))
-    if not keep_text:
-        d = d.drop(text_col)
-    d = stored(d, "mix-sizes")
-    sums = stored(d.groupBy(c(source_col).alias("source")).agg(F.sum(c(size)).cast("long").alias("source_size")), "mix-sources")
+    slim = stored(d.select(c(source_col), c(size), c(h), c(cls)), "mix-sizes")  # without texts
+    d = d if keep_text else d.drop(text_col)
+    sums = stored(slim.groupBy(c(source_col).alias("source")).agg(F.sum(c(size)).cast("long").alias("source_size")), "mix-sources")
     rates = stored(solve_rates(source_targets(sums, weights, cap)), "mix-rates")
-    plan = stored(_class_plan(d, source_col, cls, size, rates), "mix-classes")
+    plan = stored(_class_plan(slim, source_col, cls, size, rates), "mix-classes")
     side = rates.select(F.col("source").alias(src), *[F.col(x).alias(n) for x, n in (("rate", rate), ("target", lim), ("source_size", sl))])
     d = d.join(side, c(source_col).eqNullSafe(c(src)), "left").drop(src)
-    d = _choose(d, plan, source_col, size, h, cls, salt, pos, ex)
+    d = _choose(d, slim, plan, source_col, size, h, cls, salt, pos, ex)
     copies = F.least(F.floor(c(rate) + F.lit(1e-9)) + c(ex), F.lit(cap)).cast("long")
     res = F.struct(c(size).alias("size"), c(sl).alias("source_size"), c(lim).alias("target"), c(rate).alias("rate"),
                    copies.alias("copies"), (copies * c(size)).alias("taken"))
@@ -128,15 +127,18 @@ def _class_plan(d: DataFrame, source_col: str, cls: str, size: str, rates: DataF
     return per.select("source", F.explode(rows).alias("x")).select("source", "x.*")
 
 
-def _choose(d: DataFrame, plan: DataFrame, source_col: str, size: str, h: str, cls: str, salt: str, pos: str, ex: str) -> DataFrame:
+def _choose(d: DataFrame, slim: DataFrame, plan: DataFrame, source_col: str, size: str, h: str, cls: str, salt: str, pos: str, ex: str) -> DataFrame:
     """Adds ``ex`` (0 or 1): every (n / extra)-th document of a size class, along (salt, size, hash)."""
     s1, c1, n1, sl1, k1, s2, c2, t2, before = fresh(d, "s1_", "c1_", "n1_", "sl1_", "k1_", "s2_", "c2_", "t2_", "before_")
-    d = d.join(plan.toDF(s1, c1, n1, sl1, k1), c(source_col).eqNullSafe(c(s1)) & (c(cls) == c(c1)), "left")
-    d = d.withColumn(salt, F.pmod(F.xxhash64(c(h), F.lit(7)), c(sl1)).cast("int"))
-    n = d.groupBy(c(source_col).alias(s2), c(cls).alias(c2), c(salt).alias(t2)).agg(F.count(F.lit(1)).alias("n"))
+
+    def salted(x):
+        x = x.join(plan.toDF(s1, c1, n1, sl1, k1), c(source_col).eqNullSafe(c(s1)) & (c(cls) == c(c1)), "left")
+        return x.withColumn(salt, F.pmod(F.xxhash64(c(h), F.lit(7)), c(sl1)).cast("int"))
+    n = salted(slim).groupBy(c(source_col).alias(s2), c(cls).alias(c2), c(salt).alias(t2)).agg(F.count(F.lit(1)).alias("n"))
     ahead = W.partitionBy(c(s2), c(c2)).orderBy(c(t2)).rowsBetween(W.unboundedPreceding, -1)
     n = n.select(c(s2), c(c2), c(t2), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias(before))
-    d = d.withColumn(pos, F.row_number().over(W.partitionBy(c(source_col), c(cls), c(salt)).orderBy(c(size), c(h))))
+    n = stored(n, "mix-slices")  # its size is known before the join, so the texts aren't dealt out a second time for it
+    d = salted(d).withColumn(pos, F.row_number().over(W.partitionBy(c(source_col), c(cls), c(salt)).orderBy(c(size), c(h))))
     d = d.join(n, c(source_col).eqNullSafe(c(s2)) & (c(cls) == c(c2)) & (c(salt) == c(t2)), "left")
     at = c(pos) + c(before)
     up = lambda x: F.floor(x * c(k1) / c(n1) + F.lit(1e-9))
