@@ -8,23 +8,27 @@ and scoring run in the JVM (``model.transform``); nothing is collected to pandas
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
-import random
 import re
+import time
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from featureflow.functions.columns import key_hash32
 from featureflow.operators import aggregate as AG
 from featureflow.operators import metrics as MT
+from featureflow.operators.lookup import FeatureFunction, FeatureLookup, create_training_set
 
 # Model input columns by kind.
 BOOL_FEATURES = ("gender", "phone_service", "dependents", "senior_citizen", "paperless_billing", "partner")
@@ -44,6 +48,15 @@ def _level_name(col: str, level: str) -> str:
     return f"{col}_{re.sub(r'[^0-9A-Za-z]+', '_', str(level)).strip('_').lower() or 'blank'}"
 
 
+def indicator_names(levels: Mapping[str, Sequence[str]]) -> dict[tuple[str, str], str]:
+    """Column name of each (column, level). A name that two levels would share, or that is a
+    column's unknown indicator, gets the start of the md5 of column and level as a suffix."""
+    plain = {(c, v): _level_name(c, v) for c, lv in levels.items() for v in lv}
+    uses = Counter([*plain.values(), *[f"{c}_unknown" for c in levels]])
+    return {(c, v): n if uses[n] == 1 else f"{n}_{hashlib.md5(f'{c}:{v}'.encode()).hexdigest()[:8]}"
+            for (c, v), n in plain.items()}
+
+
 def fit_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
     """Sorted distinct non-null levels per column (one distributed distinct).
 
@@ -71,12 +84,12 @@ def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]], drop_first: Sequ
     * ``unknown_indicator`` columns: every level plus ``<col>_unknown`` for values
       (and nulls) not seen at fit time.
     """
-    new = {}
+    new, names = {}, indicator_names(levels)
     for c, lv in levels.items():
         v = F.col(c).cast("string")
         use = list(lv[1:]) if c in drop_first else list(lv)
         for level in use:
-            new[_level_name(c, level)] = F.coalesce((v == F.lit(level)).cast("double"), F.lit(0.0))
+            new[names[c, level]] = F.coalesce((v == F.lit(level)).cast("double"), F.lit(0.0))
         if c in unknown_indicator:
             seen = v.isin(*lv) if lv else F.lit(False)
             new[f"{c}_unknown"] = F.when(v.isNull() | ~seen, 1.0).otherwise(0.0)
@@ -102,13 +115,23 @@ class Preprocessor:
         return out
 
     def feature_columns(self) -> list[str]:
-        cols = list(self.num_cols)
+        cols, names = list(self.num_cols), indicator_names(self.levels)
         for c in self.bool_cols:
-            cols += [_level_name(c, lv) for lv in self.levels.get(c, [])[1:]]
+            cols += [names[c, lv] for lv in self.levels.get(c, [])[1:]]
         for c in self.cat_cols:
-            cols += [_level_name(c, lv) for lv in self.levels.get(c, [])] + [f"{c}_unknown"]
+            cols += [names[c, lv] for lv in self.levels.get(c, [])] + [f"{c}_unknown"]
         return cols
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the fitted state (one line of JSON) to a folder that any Spark file system can hold."""
+        spark.createDataFrame([(json.dumps(asdict(self)),)], "state string").write.mode("overwrite").text(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Preprocessor:
+        state = json.loads(spark.read.text(path).first()[0])
+        state["scale"] = {c: tuple(v) for c, v in state["scale"].items()}
+        return cls(**state)
+
 
 def preprocess_fit(train: DataFrame, bool_cols: Sequence[str], num_cols: Sequence[str],
                    cat_cols: Sequence[str]) -> Preprocessor:
@@ -119,11 +142,6 @@ def preprocess_fit(train: DataFrame, bool_cols: Sequence[str], num_cols: Sequenc
     return Preprocessor(list(bool_cols), list(num_cols), list(cat_cols), levels, means, scale)
 
 
-def preprocess_transform(pre: Preprocessor, df: DataFrame) -> DataFrame:
-    """L2 apply (same as ``pre.transform``)."""
-    return pre.transform(df)
-
-
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
@@ -157,7 +175,25 @@ def family(name: str, label: str, seed: int = 42, **params):
     raise ValueError(name)
 
 
-def sample_space(space: Mapping[str, tuple], rng: random.Random) -> dict[str, object]:
+class HashDraws:
+    """Draws of one trial: the n-th is the first 32 bits of md5(trial:n:seed), over 2^32."""
+
+    def __init__(self, trial: int, seed: int):
+        self.trial, self.seed, self.n = trial, seed, 0
+
+    def random(self) -> float:
+        h = hashlib.md5(f"{self.trial}:{self.n}:{self.seed}".encode()).hexdigest()
+        self.n += 1
+        return int(h[:8], 16) / 2**32
+
+    def uniform(self, lo: float, hi: float) -> float:
+        return lo + (hi - lo) * self.random()
+
+    def choice(self, values: Sequence):
+        return values[int(self.random() * len(values))]
+
+
+def sample_space(space: Mapping[str, tuple], rng) -> dict[str, object]:
     """One point of a search space: ("uniform", lo, hi), ("loguniform", lo, hi), ("quniform", lo, hi, q), ("choice", [...])."""
     out = {}
     for k, spec in space.items():
@@ -178,11 +214,10 @@ def sample_space(space: Mapping[str, tuple], rng: random.Random) -> dict[str, ob
 def random_search(space: Mapping[str, tuple], n_trials: int, objective: Callable[[dict], float],
                   seed: int = 42, parallelism: int = 1) -> list[dict]:
     """L4: seeded random search minimising ``objective``; each trial is a set of Spark
-    jobs. Points are drawn up front in order (the same points at any parallelism);
+    jobs. Points depend on (seed, trial, dimension) alone, the same at any parallelism;
     ``parallelism`` > 1 runs trials from driver threads so their jobs share the
     cluster, as Spark ML's tuning estimators do."""
-    rng = random.Random(seed)
-    points = [sample_space(space, rng) for _ in range(n_trials)]
+    points = [sample_space(space, HashDraws(i, seed)) for i in range(n_trials)]
     if parallelism > 1:
         from concurrent.futures import ThreadPoolExecutor
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
@@ -195,23 +230,56 @@ def random_search(space: Mapping[str, tuple], n_trials: int, objective: Callable
 
 def bake_off(train: DataFrame, val: DataFrame, features: Sequence[str], label: str = "label",
              families: Sequence[str] = ("logistic_regression", "random_forest", "gbt"),
-             seed: int = 42) -> list[dict]:
-    """Several model families under one validation metric (binary F1 of class 1)."""
+             seed: int = 42, budget_seconds: float | None = None) -> list[dict]:
+    """Several model families under one validation metric (binary F1 of class 1), each with its
+    model and its counts of validation rows. No family is started once ``budget_seconds`` have passed
+    (the first always is); those left out are not in the result."""
     tr = assemble(train, features).withColumn(label, F.col(label).cast("double"))
     va = assemble(val, features).withColumn(label, F.col(label).cast("double"))
-    out = []
+    out, start = [], time.monotonic()
     for name in families:
+        if out and budget_seconds is not None and time.monotonic() - start >= budget_seconds:
+            break
         model = family(name, label, seed).fit(tr)
         m = MT.binary_metrics(model.transform(va), label, "prediction", 1.0).first()
-        out.append({"family": name, "f1": float(m["f1"]), "accuracy": float(m["accuracy"])})
+        out.append({"family": name, "f1": float(m["f1"]), "accuracy": float(m["accuracy"]), "model": model,
+                    "rows": m["tp"] + m["fp"] + m["fn"] + m["tn"], "positives": m["tp"] + m["fn"]})
     return out
 
 
-def score_batch(df: DataFrame, model: PipelineModel, keep: Sequence[str] | None = None) -> DataFrame:
-    """Predict, keeping every input column (JVM-side transform, no collect)."""
-    scored = positive_probability(model.transform(df))
+@dataclass
+class ScoringModel:
+    """A fitted preprocessing and the pipeline trained on its output, stored and loaded as one folder."""
+    prepare: Preprocessor
+    pipeline: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(self.prepare.transform(df))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        self.prepare.save(spark, f"{path}/prepare")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> ScoringModel:
+        return cls(Preprocessor.load(spark, f"{path}/prepare"), PipelineModel.load(f"{path}/pipeline"))
+
+
+def score_batch(df: DataFrame, model: PipelineModel | ScoringModel, keep: Sequence[str] | None = None,
+                lookups: Sequence[FeatureLookup] = (), functions: Sequence[FeatureFunction] = (),
+                texts: tuple[str, str] | None = None) -> DataFrame:
+    """Predict, keeping every input column as it was, or those in ``keep`` (JVM-side, no collect).
+
+    With ``lookups`` and ``functions`` the input needs only keys and times: features are looked up as
+    of each row's time and on-demand features added, as in the training set (J4). ``texts`` names the
+    prediction of class 0 and 1 ("No", "Yes"); without it the prediction is 0 or 1.
+    """
     cols = list(keep) if keep is not None else df.columns
-    return scored.select(*cols, "score", F.col("prediction").cast("int").alias("prediction"))
+    rows = create_training_set(df, lookups, functions) if lookups or functions else df
+    scored = positive_probability(model.transform(rows.withColumn("_in", F.struct(*cols))))
+    cls = F.col("prediction").cast("int")
+    shown = cls if texts is None else F.when(cls == 1, F.lit(texts[1])).when(cls == 0, F.lit(texts[0]))
+    return scored.select("_in.*", "score", shown.alias("prediction"))
 
 
 def score_linear(df: DataFrame, weights: Mapping[str, float], bias: float = 0.0, threshold: float = 0.5) -> DataFrame:
@@ -223,15 +291,30 @@ def score_linear(df: DataFrame, weights: Mapping[str, float], bias: float = 0.0,
     return df.withColumns({"score": p, "prediction": (p > threshold).cast("int")})
 
 
+@dataclass
+class LinearModel:
+    """``score_linear`` with its weights, where a fitted model is expected."""
+    weights: Mapping[str, float]
+    bias: float = 0.0
+    threshold: float = 0.5
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return score_linear(df, self.weights, self.bias, self.threshold)
+
+
+BUCKET_ROWS = 100_000  # rows that are permuted among themselves, about
+
+
 def permuted(df: DataFrame, col: str, key: str, seed: int = 42, n_buckets: int | None = None) -> DataFrame:
     """Copy of ``df`` whose ``col`` is shuffled between rows, without a global sort.
 
     Rows are spread over buckets by md5(key:seed); inside each bucket, rows are put
     in md5 order and each row takes ``col`` from its successor (the last takes it from
-    the first): a cyclic shift, so every value is kept exactly once.
+    the first): a cyclic shift, so every value is kept exactly once. The bucket count
+    follows the row count (``BUCKET_ROWS`` a bucket), not the session's settings.
     """
     if n_buckets is None:
-        n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        n_buckets = max(1, df.count() // BUCKET_ROWS)
     h = key_hash32(key, f"perm:{seed}")
     d = df.withColumns({"_h": h, "_pb": h % n_buckets})
     w = Window.partitionBy("_pb").orderBy("_h", key)
@@ -241,15 +324,15 @@ def permuted(df: DataFrame, col: str, key: str, seed: int = 42, n_buckets: int |
     return d.withColumn(col, shifted).drop("_h", "_pb")
 
 
-def permutation_importance(df: DataFrame, model: PipelineModel, cols: Sequence[str], key: str,
-                           label: str = "label", seed: int = 42) -> list[dict]:
-    """Drop in accuracy / F1 after shuffling each column (one scoring job per column)."""
+def permutation_importance(df: DataFrame, model: PipelineModel | ScoringModel | LinearModel, cols: Sequence[str],
+                           key: str, label: str = "label", seed: int = 42) -> list[dict]:
+    """Drop in accuracy / F1 after shuffling each column of any type (one scoring job per column)."""
     def score(frame):
         m = MT.binary_metrics(model.transform(frame), label, "prediction", 1.0).first()
-        return float(m["accuracy"]), float(m["f1"])
-    base_acc, base_f1 = score(df)
+        return float(m["accuracy"]), float(m["f1"]), m["tp"] + m["fp"] + m["fn"] + m["tn"]
+    base_acc, base_f1, rows = score(df)
     out = []
     for c in cols:
-        acc, f1 = score(permuted(df, c, key, seed))
+        acc, f1, _ = score(permuted(df, c, key, seed, max(1, rows // BUCKET_ROWS)))
         out.append({"column": c, "accuracy_drop": base_acc - acc, "f1_drop": base_f1 - f1})
     return out

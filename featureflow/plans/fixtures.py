@@ -1,7 +1,7 @@
 """Business-shaped views derived from the driver tables (survey §2.12).
 
 Every view is a lazy DataFrame over the parquet scans, so its work grows with the
-tables. The same definitions are written independently in SQL in ``oracle.py``.
+tables. The same definitions are written independently in SQL in ``sqlbits.py``.
 """
 
 from __future__ import annotations

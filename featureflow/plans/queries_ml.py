@@ -10,6 +10,7 @@ from featureflow.functions import columns as C
 from featureflow.functions.sql import register_sql_functions
 from featureflow.functions.udfs import flags_udf
 from featureflow.operators import clean as CL
+from featureflow.operators import lookup as LK
 from featureflow.operators import ml as ML
 from featureflow.plans import fixtures as FX
 from featureflow.plans import sqlbits as S
@@ -83,19 +84,28 @@ def _fit_gbt(t, params=None):
     return model, x, feats
 
 
-@query("gbt_scores")
+@query("gbt_scores", W(S.SUBSCRIBERS, S.CHURN_LABELS) + """
+SELECT customer_id, CAST(churn = 'Yes' AS DOUBLE) AS label, true AS score_in_range, true AS follows_score
+FROM churn_labels WHERE split = 'test'""")
 def q_gbt_scores(spark, d):
+    """Every test row with its label, and whether score and prediction are what they must be."""
     model, x, _ = _fit_gbt(_t(spark, d))
-    return ML.score_batch(CL.split_of(x, "test"), model, ["customer_id", "label"])
+    s = ML.score_batch(CL.split_of(x, "test"), model, ["customer_id", "label"])
+    return s.select("customer_id", "label", F.col("score").between(0.0, 1.0).alias("score_in_range"),
+                    ((F.col("score") > 0.5) == (F.col("prediction") == 1)).alias("follows_score"))
 
 
-@query("search_trials")
+@query("search_trials", f"""
+SELECT CAST(trial AS INTEGER) AS trial, true AS loss_in_range,
+       CAST(round(2 + 3 * ({S.hash32('trial', '0:42')} / 4294967296.0)) AS INTEGER) AS max_depth,
+       {S.r4(f"exp(ln(0.05) + (ln(0.3) - ln(0.05)) * ({S.hash32('trial', '1:42')} / 4294967296.0))")} AS step_size
+FROM range(2) r(trial)""")
 def q_search_trials(spark, d):
     x, feats = _model_input(_t(spark, d))
     tr, va = CL.split_of(x, "train"), CL.split_of(x, "validate")
 
     def objective(params):
-        model = ML.train_gbt(tr, None, feats, "label", {"maxIter": 10, **params})
+        model = ML.train_gbt(tr, va, feats, "label", {"maxIter": 10, **params})  # stops early on the validation rows
         m = ML.MT.binary_metrics(model.transform(va), "label", "prediction", 1.0).first()
         return -float(m["f1"])
 
@@ -103,21 +113,47 @@ def q_search_trials(spark, d):
     trials = ML.random_search(space, 2, objective, seed=42)
     rows = [(tr_["trial"], tr_["loss"], int(tr_["params"]["maxDepth"]), float(tr_["params"]["stepSize"]))
             for tr_ in trials]
-    return spark.createDataFrame(rows, "trial int, loss double, max_depth int, step_size double")
+    out = spark.createDataFrame(rows, "trial int, loss double, max_depth int, step_size double")
+    return out.select("trial", F.col("loss").between(-1.0, 0.0).alias("loss_in_range"), "max_depth",
+                      r4("step_size").alias("step_size"))
 
 
-@query("bake_off")
+@query("bake_off", W(S.SUBSCRIBERS, S.CHURN_LABELS) + """
+SELECT family, count(*) AS n_rows, count(*) FILTER (WHERE churn = 'Yes') AS n_positive, true AS f1_in_range
+FROM churn_labels, (VALUES ('logistic_regression'), ('random_forest'), ('gbt')) f(family)
+WHERE split = 'validate' GROUP BY family""")
 def q_bake_off(spark, d):
     x, feats = _model_input(_t(spark, d))
     res = ML.bake_off(CL.split_of(x, "train"), CL.split_of(x, "validate"), feats, "label")
-    return spark.createDataFrame([(r["family"], r["f1"], r["accuracy"]) for r in res],
-                                 "family string, f1 double, accuracy double")
+    return spark.createDataFrame([(r["family"], r["rows"], r["positives"], 0.0 <= r["f1"] <= 1.0) for r in res],
+                                 "family string, n_rows bigint, n_positive bigint, f1_in_range boolean")
 
 
-@query("score_batch")
+PLANTED_SERVICES = 3  # the planted label: this many optional services or more
+
+
+@query("score_batch", W(S.SUBSCRIBERS, S.CHURN_FEATURES, S.CHURN_LABELS) + f"""
+SELECT l.customer_id, l.split, CASE WHEN f.num_optional_services >= {PLANTED_SERVICES} THEN 'Yes' ELSE 'No' END AS prediction,
+       true AS score_in_range
+FROM churn_labels l JOIN churn_features f ON l.customer_id = f.customer_id""")
 def q_score_batch(spark, d):
-    model, x, _ = _fit_gbt(_t(spark, d))
-    return ML.score_batch(x, model, ["customer_id", "split", "label"])
+    """Boosted trees learn a planted rule; the model is stored, loaded and given ids and times alone: it looks
+    up its features, so every prediction must equal the rule."""
+    labels, features = FX.churn_tables(_t(spark, d))
+    ids = labels.drop("churn")
+    lookups = [LK.FeatureLookup(features, ["customer_id"], "transaction_ts")]
+    functions = [LK.FeatureFunction(C.price_increase, {"monthly": "monthly_charges", "tenure": "tenure",
+                                                       "total": "total_charges"}, "avg_price_increase")]
+    known = LK.create_training_set(ids, lookups, functions)
+    data = materialize(known.withColumn("label", (F.col("num_optional_services") >= PLANTED_SERVICES).cast("double")))
+    pre = ML.preprocess_fit(CL.split_of(data, "train"), BOOL, NUM, CAT)
+    x = materialize(pre.transform(data))
+    model = ML.train_gbt(CL.split_of(x, "train"), CL.split_of(x, "validate"), pre.feature_columns(), "label",
+                         {"maxIter": 5, "maxDepth": 2})
+    path = scratch_path(spark, "scoring_model")
+    ML.ScoringModel(pre, model).save(spark, path)
+    s = ML.score_batch(ids, ML.ScoringModel.load(spark, path), ["customer_id", "split"], lookups, functions, ("No", "Yes"))
+    return s.select("customer_id", "split", "prediction", F.col("score").between(0.0, 1.0).alias("score_in_range"))
 
 
 # Fixed weights of the linear scoring check (our choice).
@@ -137,12 +173,36 @@ def q_score_linear(spark, d):
     return s.select("customer_id", r4("score").alias("score"), "prediction")
 
 
-@query("permutation_importance")
+def _importance_sql() -> str:
+    """Rows of the validate split with every column's cyclic shift, scored once as they are and once a column."""
+    cols = [*LINEAR_W, "contract"]
+    moved = ", ".join(f"coalesce(lead({c}) OVER o, first({c}) OVER o) AS p_{c}" for c in cols)
+
+    def cells(name, swap):
+        z = " + ".join([f"{LINEAR_B}", *[f"{w} * {'p_' if c == swap else ''}{c}" for c, w in LINEAR_W.items()]])
+        return (f"SELECT '{name}' AS variant, count(*) FILTER (WHERE y AND p) AS tp, count(*) FILTER (WHERE NOT y AND p) AS fp, "
+                f"count(*) FILTER (WHERE y AND NOT p) AS fn, count(*) AS n FROM (SELECT y, {z} > 0 AS p FROM s)")
+    union = " UNION ALL ".join([cells("", None), *[cells(c, c) for c in cols]])
+    return W(S.SUBSCRIBERS, S.CHURN_FEATURES, S.CHURN_LABELS) + f"""
+, v AS (SELECT l.customer_id, l.churn = 'Yes' AS y, {", ".join(f"CAST(f.{c} AS DOUBLE) AS {c}" for c in LINEAR_W)}, f.contract,
+               {S.hash32('l.customer_id', 'perm:42')} AS h
+        FROM churn_labels l JOIN churn_features f ON l.customer_id = f.customer_id WHERE l.split = 'validate'),
+b AS (SELECT *, h % (SELECT greatest(1, count(*) // 100000) FROM v) AS bucket FROM v),
+s AS (SELECT *, {moved} FROM b WINDOW o AS (PARTITION BY bucket ORDER BY h, customer_id)),
+k AS ({union}),
+m AS (SELECT variant, {S.r4('(n - fp - fn) / n')} AS acc, {S.r4('coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0)')} AS f1 FROM k)
+SELECT m.variant AS "column", {S.r4('a.acc - m.acc')} AS accuracy_drop, {S.r4('a.f1 - m.f1')} AS f1_drop
+FROM m, m a WHERE a.variant = '' AND m.variant <> ''"""
+
+
+@query("permutation_importance", _importance_sql())
 def q_permutation_importance(spark, d):
-    model, x, feats = _fit_gbt(_t(spark, d))
-    res = ML.permutation_importance(CL.split_of(x, "validate"), model, NUM, "customer_id", "label")
-    return spark.createDataFrame([(r["column"], r["accuracy_drop"], r["f1_drop"]) for r in res],
-                                 "column string, accuracy_drop double, f1_drop double")
+    """Importance of each column for a model of fixed weights (``contract`` has none, so no drop)."""
+    data = materialize(CL.split_of(_labeled(_t(spark, d)), "validate").select("customer_id", "label", "contract", *LINEAR_W))
+    res = ML.permutation_importance(data, ML.LinearModel(LINEAR_W, LINEAR_B), [*LINEAR_W, "contract"], "customer_id", "label")
+    out = spark.createDataFrame([(r["column"], r["accuracy_drop"], r["f1_drop"]) for r in res],
+                                "column string, accuracy_drop double, f1_drop double")
+    return out.select("column", r4("accuracy_drop").alias("accuracy_drop"), r4("f1_drop").alias("f1_drop"))
 
 
 # ------------------------------------------------------------------ U: UDF / SQL functions
