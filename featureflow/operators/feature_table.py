@@ -23,16 +23,22 @@ class FeatureTableSpec:
 
 
 def create_feature_table(spark: SparkSession, spec: FeatureTableSpec, schema: StructType, path: str,
-                         register: bool = False) -> DataFrame:
+                         register: bool = False, n_buckets: int | None = None) -> DataFrame:
     """An empty table with the given schema; key and time column are checked.
 
+    The spec's keys and the bucket count go to ``<path>/_meta``, where ``upsert_table`` finds
+    them. A path that holds rows is refused.
     ``register=True`` also creates the catalog table ``spec.name`` over ``path`` and
     keeps the spec as table properties (``feature_table_spec`` reads it back).
     """
     for k in (*spec.primary_keys, *([spec.timeseries_column] if spec.timeseries_column else [])):
         if k not in schema.fieldNames():
             raise ValueError(f"{k} is not a column of the schema")
+    stored = read_feature_table(spark, path)
+    if stored is not None and not stored.isEmpty():
+        raise ValueError(f"{path} holds rows")
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    _write_meta(spark, path, n_buckets or DEFAULT_BUCKETS, spec.primary_keys)
     if register:
         props = {"featureflow.primary_keys": ",".join(spec.primary_keys),
                  "featureflow.timeseries_column": spec.timeseries_column or "",
@@ -125,13 +131,20 @@ def table_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     """Change feed between two versions: insert / update / delete per key.
 
     Null-safe comparison (``<=>``) of every non-key column; unchanged keys are
-    omitted. One full outer join on the key.
+    omitted; null keys match each other; a column that ``old`` lacks counts as null there.
+    One full outer join on the key.
     """
     keys = list(keys)
     cols = [c for c in new.columns if c not in keys]
-    o = old.select(*keys, F.struct(*[F.col(c) for c in cols]).alias("_o"))
-    n = new.select(*keys, F.struct(*cols).alias("_n"))
-    j = o.join(n, keys, "full_outer")
+
+    def had(c):
+        return F.col(c) if c in old.columns else F.lit(None).cast(new.schema[c].dataType).alias(c)
+    o = old.select(*keys, F.struct(*[had(c) for c in cols]).alias("_o"))
+    n = new.select(*[F.col(k).alias(f"_n_{k}") for k in keys], F.struct(*cols).alias("_n"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_n_{k}"))
+    j = o.join(n, on, "full_outer")
     same = F.lit(True)
     for c in cols:
         same = same & F.col(f"_o.{c}").eqNullSafe(F.col(f"_n.{c}"))
@@ -140,7 +153,8 @@ def table_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
             .when(~same, F.lit("update")))
     j = j.withColumn("change_type", kind).where(F.col("change_type").isNotNull())
     side = F.when(F.col("change_type") == "delete", F.col("_o")).otherwise(F.col("_n"))
-    return j.select(*keys, "change_type", *[side[c].alias(c) for c in cols])
+    key = [F.when(F.col("_n").isNull(), F.col(k)).otherwise(F.col(f"_n_{k}")).alias(k) for k in keys]
+    return j.select(*key, "change_type", *[side[c].alias(c) for c in cols])
 
 
 # ----------------------------------------------------------------------------------
@@ -191,7 +205,19 @@ def table_buckets(spark: SparkSession, path: str, requested: int | None = None)
     return row["n_buckets"], True
 
 
-def upsert_table(spark: SparkSession, updates: DataFrame, keys: Sequence[str], path: str,
+def _write_meta(spark: SparkSession, path: str, n_buckets: int, keys: Sequence[str]) -> None:
+    spark.createDataFrame([(n_buckets, ",".join(keys))], "n_buckets int, keys string") \
+        .write.mode("overwrite").parquet(f"{path}/_meta")
+
+
+def table_keys(spark: SparkSession, path: str) -> list[str] | None:
+    """The keys of the stored table, or None if nothing is stored."""
+    meta = _read_if_there(spark, f"{path}/_meta")
+    row = meta.first() if meta is not None else None
+    return row["keys"].split(",") if row is not None else None
+
+
+def upsert_table(spark: SparkSession, updates: DataFrame, keys: Sequence[str] | None, path: str,
                  n_buckets: int | None = None, order_col: str | None = None) -> None:
     """S8 on a stored table: merge ``updates`` into the table at ``path``.
 
@@ -199,22 +225,30 @@ def upsert_table(spark: SparkSession, updates: DataFrame, keys: Sequence[str], p
     empty table, and rows without ``_meta`` are refused: an upsert never takes a stored
     table for a new one. ``order_col``: newer stored rows win over older updates.
     Idempotent (re-running the same updates leaves the table unchanged), so it is
-    safe under at-least-once delivery. ``n_buckets`` is fixed when the table is
+    safe under at-least-once delivery. ``keys`` None: those the table was created with; other
+    keys than those are refused. ``n_buckets`` is fixed when the table is
     created (default 16; size it so a bucket is a comfortable rewrite unit, e.g.
     thousands for a multi-terabyte table) and read back afterwards. The set of
     touched buckets is at most ``n_buckets`` values.
     """
     from featureflow.session import materialize
-    keys = list(keys)
     n_buckets, known = table_buckets(spark, path, n_buckets)
+    stored_keys = table_keys(spark, path)
+    if keys is None and stored_keys is None:
+        raise ValueError(f"nothing is stored at {path}: name the keys")
+    keys = list(keys) if keys is not None else stored_keys
+    if stored_keys is not None and sorted(keys) != sorted(stored_keys):
+        raise ValueError(f"table at {path} has the keys {stored_keys}, not {keys}")
+    keys = stored_keys or keys  # in the stored order, which the bucket depends on
     if not known:
-        spark.createDataFrame([(n_buckets, ",".join(keys))], "n_buckets int, keys string") \
-            .write.mode("overwrite").parquet(f"{path}/_meta")
+        _write_meta(spark, path, n_buckets, keys)
     upd = _one_per_key(updates, keys, order_col).withColumn(BUCKET_COL, key_bucket(keys, n_buckets))
     current = read_feature_table(spark, path) if known else None
     if current is None:
         merged = upd
     else:
+        if BUCKET_COL not in current.columns:  # created, no rows yet
+            current = current.withColumn(BUCKET_COL, key_bucket(keys, n_buckets))
         touched = [r[0] for r in upd.select(BUCKET_COL).distinct().collect()]
         if not touched:
             return

@@ -95,11 +95,14 @@ def pane_window_features(df: DataFrame, keys: Sequence[str], ts: str, start: dt.
 def profile_metrics(df: DataFrame, ts: str, granularity: str, columns: Sequence[str],
                     model_col: str | None = None, slice_cols: Sequence[str] = (),
                     table_metrics: Mapping[str, Column] | None = None, log_type: str = "INPUT",
-                    digits: int = 6, exact_distinct: bool = True) -> DataFrame:
+                    digits: int = 6, exact_distinct: bool = True,
+                    quality: Mapping[str, tuple[str, str, str]] | None = None) -> DataFrame:
     """Per window x model x slice x column: count, nulls, mean, std, min, max, distinct.
 
     * one ``:table`` row per window x model x slice with the row count and the
-      mean of each ``table_metrics`` per-row expression (e.g. a squared error);
+      mean of each ``table_metrics`` per-row expression (e.g. a squared error) and each
+      ``quality`` metric, name -> (``rmse`` | ``precision`` | ``recall`` | ``f1``, prediction,
+      label); classes are 1 or not, and rows without label or prediction have no squared error;
     * ``model_id = '*'`` rows aggregate all models (grouping sets, one pass);
     * slices: ``slice_key`` null = whole data, else one row per slice value.
     Columns are unpivoted with one ``explode`` (numeric columns cast to double).
@@ -108,14 +111,15 @@ def profile_metrics(df: DataFrame, ts: str, granularity: str, columns: Sequence[
     Moments are rounded half-up to ``digits`` decimals (default 6); means are taken
     from the rounded sum, so they do not depend on the summation order.
     """
-    table_metrics = dict(table_metrics or {})
+    table_metrics, quality = dict(table_metrics or {}), dict(quality or {})
     model = F.col(model_col).cast("string") if model_col else F.lit(None).cast("string")
     slices = [F.struct(F.lit(None).cast("string").alias("k"), F.lit(None).cast("string").alias("v"))] + [
         F.struct(F.lit(s).alias("k"), F.col(s).cast("string").alias("v")) for s in slice_cols]
     base = df.select(F.window(F.col(ts), granularity).alias("window"), model.alias("_model"),
                      F.explode(F.array(*slices)).alias("_s"),
                      *[F.col(c).cast("double").alias(f"_c_{c}") for c in columns],
-                     *[v.alias(f"_tm_{k}") for k, v in table_metrics.items()])
+                     *[v.alias(f"_tm_{k}") for k, v in table_metrics.items()],
+                     *[v.alias(f"_q_{k}_{n}") for k, q in quality.items() for n, v in _quality_rows(*q).items()])
     base = base.select("window", "_model", F.col("_s.k").alias("slice_key"), F.col("_s.v").alias("slice_value"),
                        *[c for c in base.columns if c not in ("window", "_model", "_s")])
     keys = ["window", "slice_key", "slice_value"]
@@ -133,6 +137,7 @@ def profile_metrics(df: DataFrame, ts: str, granularity: str, columns: Sequence[
     # table rows: row count + per-row metric inputs averaged (e.g. squared error -> MSE)
     t_aggs = [F.count(F.lit(1)).alias("count")] + [_mean(F.col(f"_tm_{k}"), digits).alias(k)
                                                    for k in table_metrics]
+    t_aggs += [_quality_agg(q[0], f"_q_{k}_", digits).alias(k) for k, q in quality.items()]
     per_table = _with_all_models(base, keys, t_aggs).withColumn("column_name", F.lit(":table"))
     out = per_col.unionByName(per_table, allowMissingColumns=True)
     out = _flat_window(out).withColumn("log_type", F.lit(log_type))
@@ -146,6 +151,25 @@ def _mean(x: Column, digits: int) -> Column:
     return round_metric(round_metric(F.sum(x), digits) / F.count(x), digits)
 
 
+def _quality_rows(kind: str, pred: str, label: str) -> dict[str, Column]:
+    """What one row adds to a quality metric."""
+    if kind == "rmse":
+        return {"se": (F.col(pred) - F.col(label)).cast("double") ** 2}
+    if kind not in ("precision", "recall", "f1"):
+        raise ValueError(f"unknown quality metric {kind}")
+    said, real = (F.coalesce(F.col(c).cast("int") == 1, F.lit(False)) for c in (pred, label))
+    return {"tp": said & real, "fp": said & ~real, "fn": ~said & real}
+
+
+def _quality_agg(kind: str, prefix: str, digits: int) -> Column:
+    if kind == "rmse":
+        return round_metric(F.sqrt(_mean(F.col(prefix + "se"), digits)), digits)
+    tp, fp, fn = (F.count_if(F.col(prefix + n)) for n in ("tp", "fp", "fn"))
+    top = 2 * tp if kind == "f1" else tp
+    under = {"precision": tp + fp, "recall": tp + fn, "f1": 2 * tp + fp + fn}[kind]
+    return round_metric(F.when(under == 0, 0.0).otherwise(top / under), digits)
+
+
 def _with_all_models(df: DataFrame, keys: Sequence[str], aggs: list[Column]) -> DataFrame:
     """Aggregate per model and over all models ('*') in one grouping-sets pass."""
     g = df.groupingSets([[*keys, "_model"], list(keys)], *keys, "_model").agg(
@@ -166,6 +190,11 @@ def drift_categorical(base: DataFrame, current: DataFrame, col: str, eps: float
     j = b.join(c, F.col("v").eqNullSafe(F.col("_v")), "full_outer").fillna(0, ["nb", "nc"])
     tot = j.agg(F.struct(F.sum("nb").alias("b"), F.sum("nc").alias("c"))).scalar()
     j = j.withColumns({"_tb": tot["b"], "_tc": tot["c"]})
+    return j.groupBy().agg(F.lit(col).alias("column_name"), *_category_aggs(eps, digits))
+
+
+def _category_aggs(eps: float, digits: int) -> list[Column]:
+    """PSI, Jensen-Shannon and chi-square over rows of counts (nb, nc) and totals (_tb, _tc)."""
     pb = F.col("nb") / F.col("_tb")
     pc = F.col("nc") / F.col("_tc")
     pbe, pce = F.greatest(pb, F.lit(eps)), F.greatest(pc, F.lit(eps))
@@ -173,12 +202,11 @@ def drift_categorical(base: DataFrame, current: DataFrame, col: str, eps: float
     kl = lambda p: F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
     expected = pb * F.col("_tc")
     chi = F.when(expected > 0, (F.col("nc") - expected) ** 2 / expected).otherwise(0.0)
-    return j.groupBy().agg(
-        F.lit(col).alias("column_name"),
+    return [
         round_metric(F.sum((pce - pbe) * F.log(pce / pbe)), digits).alias("psi"),
         round_metric(F.sum(kl(pb) + kl(pc)) / 2, digits).alias("js_divergence"),
         round_metric(F.sum(chi), digits).alias("chi_square"),
-    )
+    ]
 
 
 def drift_ks(base: DataFrame, current: DataFrame, col: str, digits: int = 4) -> DataFrame:
@@ -236,24 +264,39 @@ def violations_by(profile: DataFrame, group_cols: Sequence[str], metric: str, th
     return agg.select(*group_cols, "n_windows", "n_violations", res.alias("violated"))
 
 
-def drift_metrics(base: DataFrame, current: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
+def _side_counts(base: DataFrame, current: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
+    """(column_name, v, nb, nc): how often each value stands in each column on either side; a null
+    is a value. Every side is scanned once for all columns."""
+    def side(df, b, c):
+        cells = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(n).cast(kind).alias("v")) for n in cols]))
+        return df.select(cells.alias("u")).select("u.*", F.lit(b).alias("ib"), F.lit(c).alias("ic"))
+    u = side(base, 1, 0).unionByName(side(current, 0, 1))
+    return u.groupBy("column_name", "v").agg(F.sum("ib").alias("nb"), F.sum("ic").alias("nc"))
+
+
+def drift_metrics(base: DataFrame, current: DataFrame, cols: Sequence[str], digits: int = 4, eps: float = 1e-4) -> DataFrame:
     """A12 over several columns, long format (column_name, metric, value): text and
-    boolean columns get PSI / Jensen-Shannon / chi-square, numeric columns KS."""
+    boolean columns get PSI / Jensen-Shannon / chi-square, numeric columns KS. One pass a kind,
+    however many columns; columns of two empty tables have no rows."""
     from pyspark.sql.types import NumericType
+    numeric = [c for c in cols if isinstance(base.schema[c].dataType, NumericType)]
+    other = [c for c in cols if c not in numeric]
     parts = []
-    for c in cols:
-        if isinstance(base.schema[c].dataType, NumericType):
-            d = drift_ks(base, current, c, digits)
-            parts.append(d.select("column_name", F.lit("ks").alias("metric"), F.col("ks").alias("value")))
-        else:
-            d = drift_categorical(base, current, c, digits=digits)
-            parts.append(d.select("column_name", F.explode(F.array(*[
-                F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
-                for m in ("psi", "js_divergence", "chi_square")])).alias("m")).select("column_name", "m.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    def with_totals(rows, counts):
+        return rows.join(counts.groupBy("column_name").agg(F.sum("nb").alias("_tb"), F.sum("nc").alias("_tc")), "column_name")
+    if other:
+        g = _side_counts(base, current, other, "string")
+        d = with_totals(g, g).groupBy("column_name").agg(*_category_aggs(eps, digits))
+        parts.append(d.select("column_name", F.explode(F.array(*[
+            F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+            for m in ("psi", "js_divergence", "chi_square")])).alias("m")).select("column_name", "m.*"))
+    if numeric:
+        g = _side_counts(base, current, numeric, "double").where(F.col("v").isNotNull()).withColumnRenamed("v", "x")
+        gap = F.abs(F.col("cum_nb") / F.col("_tb") - F.col("cum_nc") / F.col("_tc"))
+        d = with_totals(running_sums(g, ["column_name"], "x", ["nb", "nc"]), g).groupBy("column_name").agg(F.max(gap).alias("ks"))
+        parts.append(d.select("column_name", F.lit("ks").alias("metric"), round_metric(F.col("ks"), digits).alias("value")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def write_profile(profile: DataFrame, path: str, mode: str = "append") -> None:

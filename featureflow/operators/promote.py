@@ -54,24 +54,17 @@ def apply_aliases(decision: DataFrame, at: dt.datetime) -> DataFrame:
     becomes ``prior_champion`` and both versions get status and date tags.
     """
     when_txt = F.date_format(F.lit(at).cast("timestamp_ntz"), TAG_TIME_FORMAT)
-    changed = decision.groupBy("model_name").agg(F.max(F.col("changed").cast("int")).alias("_chg"))
-    d = decision.join(changed, "model_name")
-    alias_rows = d.select("model_name", "model_version", F.lit("alias").alias("kind"),
-                          F.col("new_alias").alias("name"), F.lit(None).cast("string").alias("value"))
-    old_champ = d.where((F.col("_chg") == 1) & (F.col("previous_alias") == CHAMPION))
-    new_champ = d.where((F.col("_chg") == 1) & (F.col("new_alias") == CHAMPION))
-    prior = old_champ.select("model_name", "model_version", F.lit("alias").alias("kind"),
-                             F.lit(PRIOR).alias("name"), F.lit(None).cast("string").alias("value"))
-    tags = []
-    for frame, status, date_key in ((old_champ, DEMOTED, "demoted_on"), (new_champ, PROMOTED, "promoted_on")):
-        tags.append(frame.select("model_name", "model_version", F.lit("tag").alias("kind"),
-                                 F.lit("status").alias("name"), F.lit(status).alias("value")))
-        tags.append(frame.select("model_name", "model_version", F.lit("tag").alias("kind"),
-                                 F.lit(date_key).alias("name"), when_txt.alias("value")))
-    out = alias_rows.unionByName(prior)
-    for t in tags:
-        out = out.unionByName(t)
-    return out
+    none = F.lit(None).cast("string")
+
+    def row(kind, name, value=none):
+        return F.struct(F.lit(kind).alias("kind"), name.alias("name"), value.alias("value"))
+    changed = F.max("changed").over(Window.partitionBy("model_name"))
+    d = decision.withColumns({"_old": changed & (F.col("previous_alias") == CHAMPION), "_new": changed & (F.col("new_alias") == CHAMPION)})
+    old = [row("alias", F.lit(PRIOR)), row("tag", F.lit("status"), F.lit(DEMOTED)), row("tag", F.lit("demoted_on"), when_txt)]
+    new = [row("tag", F.lit("status"), F.lit(PROMOTED)), row("tag", F.lit("promoted_on"), when_txt)]
+    rows = F.array(row("alias", F.col("new_alias")), *[F.when(F.col("_old"), r) for r in old], *[F.when(F.col("_new"), r) for r in new])
+    return d.select("model_name", "model_version", F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select(
+        "model_name", "model_version", "r.kind", "r.name", "r.value")
 
 
 def register_version(aliases: DataFrame, versions: DataFrame) -> DataFrame:

@@ -303,7 +303,7 @@ def _halves(t):
 @query("drift_psi", f"""
 WITH b AS (SELECT event_type AS v, count(*) AS nb FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1),
 c AS (SELECT event_type AS v, count(*) AS nc FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1),
-j AS (SELECT coalesce(b.nb, 0) AS nb, coalesce(c.nc, 0) AS nc FROM b FULL OUTER JOIN c ON b.v = c.v),
+j AS (SELECT coalesce(b.nb, 0) AS nb, coalesce(c.nc, 0) AS nc FROM b FULL OUTER JOIN c ON b.v IS NOT DISTINCT FROM c.v),
 p AS (SELECT nb, nc, CAST(nb AS DOUBLE) / sum(nb) OVER () AS pb, CAST(nc AS DOUBLE) / sum(nc) OVER () AS pc,
              sum(nc) OVER () AS tot_c FROM j)
 SELECT 'event_type' AS column_name,
@@ -329,6 +329,63 @@ def q_drift_ks(spark, d):
     return MO.drift_ks(b, c, "value")
 
 
+def _drift_sql() -> str:
+    cut = "TIMESTAMP '2024-01-15 00:00:00'"
+    shares = f"""
+g_{{0}} AS (SELECT {{1}} AS v, count(*) FILTER (WHERE ts < {cut}) AS nb, count(*) FILTER (WHERE ts >= {cut}) AS nc FROM d GROUP BY 1),
+p_{{0}} AS (SELECT nb, nc, nb / sum(nb) OVER () AS pb, nc / sum(nc) OVER () AS pc, sum(nc) OVER () AS tot_c FROM g_{{0}}),
+m_{{0}} AS (SELECT
+  {S.r4('sum((greatest(pc, 1e-4) - greatest(pb, 1e-4)) * ln(greatest(pc, 1e-4) / greatest(pb, 1e-4)))')} AS psi,
+  {S.r4('sum(CASE WHEN pb > 0 THEN pb * log2(pb / ((pb + pc) / 2)) ELSE 0 END + CASE WHEN pc > 0 THEN pc * log2(pc / ((pb + pc) / 2)) ELSE 0 END) / 2')} AS js_divergence,
+  {S.r4('sum(CASE WHEN pb * tot_c > 0 THEN power(nc - pb * tot_c, 2) / (pb * tot_c) ELSE 0 END)')} AS chi_square FROM p_{{0}})"""
+    ks = f"""
+k_{{0}} AS (SELECT {{1}} AS x, count(*) FILTER (WHERE ts < {cut}) AS nb, count(*) FILTER (WHERE ts >= {cut}) AS nc FROM d WHERE {{1}} IS NOT NULL GROUP BY 1),
+c_{{0}} AS (SELECT sum(nb) OVER (ORDER BY x) AS cb, sum(nc) OVER (ORDER BY x) AS cc, sum(nb) OVER () AS tb, sum(nc) OVER () AS tc FROM k_{{0}}),
+s_{{0}} AS (SELECT {S.r4('max(abs(cb / tb - cc / tc))')} AS ks FROM c_{{0}})"""
+    parts = [shares.format(c, c) for c in ("event_type", "tier")] + [ks.format(c, c) for c in ("value", "user_id")]
+    rows = [f"SELECT '{c}' AS column_name, '{m}' AS metric, {m} AS value FROM m_{c}"
+            for c in ("event_type", "tier") for m in ("psi", "js_divergence", "chi_square")]
+    rows += [f"SELECT '{c}', 'ks', ks FROM s_{c}" for c in ("value", "user_id")]
+    d = "WITH d AS (SELECT ts, event_type, CASE WHEN user_id % 3 > 0 THEN 't' || (user_id % 3) END AS tier, value, user_id FROM events)"
+    return d + "," + ",".join(parts) + " " + " UNION ALL ".join(rows)
+
+
+@query("drift_metrics", _drift_sql())
+def q_drift_metrics(spark, d):
+    """Two category columns (one with nulls) and two numeric ones at once."""
+    def tiered(e):
+        third = F.col("user_id") % 3
+        return e.withColumn("tier", F.when(third > 0, F.concat(F.lit("t"), third.cast("string"))))
+    b, c = _halves(_t(spark, d))
+    return MO.drift_metrics(tiered(b), tiered(c), ["event_type", "tier", "value", "user_id"])
+
+
+@query("profile_quality", f"""
+WITH b AS (SELECT date_trunc('day', ts) AS w, CAST(user_id % 3 AS VARCHAR) AS model, event_type, power(value - user_id % 50, 2) AS se,
+                  coalesce(event_type = 'purchase', false) AS y, coalesce(value > 25, false) AS p FROM events),
+s AS (SELECT *, CAST(NULL AS VARCHAR) AS slice_key, CAST(NULL AS VARCHAR) AS slice_value FROM b
+      UNION ALL SELECT *, 'event_type', event_type FROM b),
+g AS (SELECT w, CASE WHEN grouping(model) = 1 THEN '*' ELSE model END AS model_id, slice_key, slice_value, count(*) AS count,
+             {S.r6('sum(se)')} AS se, count(se) AS n_se, count(*) FILTER (WHERE p AND y) AS tp,
+             count(*) FILTER (WHERE p AND NOT y) AS fp, count(*) FILTER (WHERE y AND NOT p) AS fn
+      FROM s GROUP BY GROUPING SETS ((w, slice_key, slice_value, model), (w, slice_key, slice_value)))
+SELECT w AS window_start, model_id, slice_key, slice_value, count,
+       {S.r6('sqrt(' + S.r6('se / n_se') + ')')} AS root_mean_squared_error,
+       {S.r6('CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END')} AS precision,
+       {S.r6('CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END')} AS recall,
+       {S.r6('CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END')} AS f1
+FROM g""")
+def q_profile_quality(spark, d):
+    """Model quality a day, model and slice: the table rows of a sliced profile."""
+    e = _t(spark, d).events
+    scored = e.select("ts", "event_type", "value", (F.col("user_id") % 3).alias("model"), (F.col("user_id") % 50).alias("expected"),
+                      (F.col("event_type") == "purchase").alias("bought"), (F.col("value") > 25).alias("predicted"))
+    quality = {"root_mean_squared_error": ("rmse", "expected", "value")}
+    quality |= {k: (k, "predicted", "bought") for k in ("precision", "recall", "f1")}
+    p = MO.profile_metrics(scored, "ts", "1 day", ["value"], "model", ["event_type"], quality=quality)
+    return p.where(F.col("column_name") == ":table").select("window_start", "model_id", "slice_key", "slice_value", "count", *quality)
+
+
 @query("latest_per_key", W(S.MODEL_INFO) + """
 SELECT model_name, model_version, f1_score, validation_timestamp, event_id FROM (
   SELECT *, row_number() OVER (PARTITION BY model_name, model_version ORDER BY validation_timestamp DESC) AS rn

@@ -1,4 +1,8 @@
+import pytest
+from pyspark.sql import functions as F
+
 from featureflow.operators import feature_table as FT
+from featureflow.session import scratch_path
 
 
 def _rows(df):
@@ -83,3 +87,27 @@ def test_bucket_count_is_fixed_per_table(spark):
     with pytest.raises(ValueError):
         FT.upsert_table(spark, df, ["k"], path, n_buckets=8)
     assert FT.feature_table(spark, path).count() == 1
+
+
+def test_created_table_takes_upserts_with_its_own_keys(spark):
+    schema = spark.createDataFrame([], "k int, t int, v string").schema
+    path = scratch_path(spark, "created")
+    FT.create_feature_table(spark, FT.FeatureTableSpec("x", ("k", "t")), schema, path, n_buckets=3)
+    up = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 1, "c")], schema)
+    FT.upsert_table(spark, up, None, path)
+    FT.upsert_table(spark, up.where("t = 2").withColumn("v", F.lit("z")), ["t", "k"], path)
+    got = {tuple(r) for r in FT.feature_table(spark, path).select("k", "t", "v").collect()}
+    assert got == {(1, 1, "a"), (1, 2, "z"), (None, 1, "c")}
+    with pytest.raises(ValueError):
+        FT.upsert_table(spark, up, ["k"], path)
+    with pytest.raises(ValueError):  # rows are never replaced by an empty table
+        FT.create_feature_table(spark, FT.FeatureTableSpec("x", ("k", "t")), schema, path)
+    with pytest.raises(ValueError):
+        FT.upsert_table(spark, up, None, scratch_path(spark, "nothing"))
+
+
+def test_changes_with_null_keys_and_a_new_column(spark):
+    old = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], "k int, v string")
+    new = spark.createDataFrame([(1, "a", None), (None, "b", 5), (4, "d", 6)], "k int, v string, w int")
+    got = {(r.k, r.change_type, r.v, r.w) for r in FT.table_changes(old, new, ["k"]).collect()}
+    assert got == {(None, "update", "b", 5), (3, "delete", "c", None), (4, "insert", "d", 6)}

@@ -164,3 +164,35 @@ def test_interval_seconds():
     assert MO.interval_seconds("2 days") == 172800 and MO.interval_seconds("30 seconds") == 30
     with pytest.raises(KeyError):
         MO.interval_seconds("1 month")
+
+
+def test_quality_metrics_of_a_profile(spark):
+    rows = [(D(2024, 1, 1), "a", 3.0, 1.0, 1, 1), (D(2024, 1, 1), "a", 1.0, 1.0, 1, 0), (D(2024, 1, 1), "b", None, 1.0, None, 1)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, m string, guess double, truth double, p int, y int")
+    q = {"rmse": ("rmse", "guess", "truth"), "pr": ("precision", "p", "y"), "re": ("recall", "p", "y"), "f1": ("f1", "p", "y")}
+    got = {r.model_id: (r.rmse, r.pr, r.re, r.f1) for r in
+           MO.profile_metrics(df, "ts", "1 day", ["guess"], "m", quality=q).where("column_name = ':table'").collect()}
+    assert got == {"a": (1.414214, 0.5, 1.0, 0.666667), "b": (None, 0.0, 0.0, 0.0), "*": (1.414214, 0.5, 0.5, 0.5)}
+    with pytest.raises(ValueError):
+        MO.profile_metrics(df, "ts", "1 day", ["guess"], "m", quality={"x": ("auc", "p", "y")})
+
+
+def test_drift_of_several_columns_equals_one_by_one(spark):
+    a = spark.createDataFrame([("x", None, 1.0, 5), ("y", "u", 2.0, 6), (None, None, None, 7)], "c string, d string, v double, n int")
+    b = spark.createDataFrame([("x", "w", 1.5, 5), ("z", None, 9.0, None), (None, "u", 2.0, 5)], "c string, d string, v double, n int")
+    got = {(r.column_name, r.metric): r.value for r in MO.drift_metrics(a, b, ["c", "v", "d", "n"]).collect()}
+    want = {}
+    for c in ("c", "d"):
+        r = MO.drift_categorical(a, b, c).first()
+        want |= {(c, m): r[m] for m in ("psi", "js_divergence", "chi_square")}
+    want |= {(c, "ks"): MO.drift_ks(a, b, c).first().ks for c in ("v", "n")}
+    assert got == want
+
+
+def test_alias_rows_read_the_decision_once(spark, capsys):
+    rows = [("m", 1, 0.5, "champion", "challenger", True), ("m", 2, 0.6, "challenger", "champion", True)]
+    d = spark.createDataFrame(rows, "model_name string, model_version int, f1_score double, previous_alias string, new_alias string, changed boolean")
+    out = PR.apply_aliases(d, D(2024, 1, 1))
+    assert out.count() == 7
+    out.explain()
+    assert capsys.readouterr().out.count("Scan ExistingRDD") == 1
