@@ -116,7 +116,7 @@ def _attach_totals(df: DataFrame, g: DataFrame, gc: list[str], aggs: dict[str, C
     return df.withColumns({k: one[k] for k in aggs})
 
 
-QUANTILE_BUCKETS = 64  # per group; pass n_buckets ~ distinct values / rows per task for huge inputs
+QUANTILE_BUCKETS, MOST_BUCKETS = 64, 1024  # per group: as many as shuffle partitions, within these bounds
 
 
 def running_sums(g: DataFrame, group_cols: Sequence[str], order_col: str, value_cols: Sequence[str],
@@ -132,12 +132,13 @@ def running_sums(g: DataFrame, group_cols: Sequence[str], order_col: str, value_
     ``buckets="quantile"`` (default) cuts at approximate quantiles of the distinct
     values, so every bucket holds about the same number of rows however the values
     are distributed; ``"width"`` cuts the value range into equal widths. Any
-    monotone cut gives the same sums; the choice only balances the tasks.
+    monotone cut gives the same sums; the choice only balances the tasks. Without ``n_buckets``
+    a group is cut into as many as the session has shuffle partitions (64 to 1,024).
     """
     gc = list(group_cols)
     x = F.col(order_col).cast("double")
     if buckets == "quantile":
-        n = n_buckets or QUANTILE_BUCKETS
+        n = n_buckets or max(QUANTILE_BUCKETS, min(MOST_BUCKETS, int(g.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
         probs = [i / n for i in range(1, n)]
         gb = _attach_totals(g, g, gc, {"_cuts": F.percentile_approx(x, probs, 10 * n)})
         b = F.size(F.filter(F.col("_cuts"), lambda c: c < x))  # cuts below the value: monotone in x

@@ -102,3 +102,14 @@ def test_metrics_by_split_equals_separate_metrics(spark):
         assert got[s].weighted_f1 == MT.weighted_f1(sub).first().weighted_f1
         assert got[s].log_loss == pytest.approx(MT.log_loss(sub).first().log_loss, abs=1e-4)
         assert got[s].auc == MT.roc_auc(sub).first().auc
+
+
+def test_curves_do_not_depend_on_shuffle_partitions(spark):
+    df = spark.range(300).selectExpr("cast(id * 37 % 211 as double) / 211 as score", "cast(id % 3 = 0 as int) as label")
+    few = sorted(tuple(r) for r in MT.roc_curve(df).collect())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        assert sorted(tuple(r) for r in MT.roc_curve(df).collect()) == few
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
