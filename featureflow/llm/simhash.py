@@ -106,6 +106,13 @@ def band_keys(fp: Column, max_bits: int, shared_bands: int) -> Column:
     return F.array(*keys)
 
 
+def _commonest(counts: DataFrame) -> DataFrame:
+    """(key, major) of the keys with several components (key, comp, n). Equal counts go to the larger name, whatever the
+    order of the rows: both sides of the self-join, and tasks run again, must see the same component."""
+    return (counts.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count(F.lit(1)).alias("comps"))
+            .where("comps > 1").drop("comps"))
+
+
 def _linked(fps: DataFrame, max_bits: int, shared_bands: int) -> DataFrame:
     """(node fp, component fp) for the distinct fingerprints of ``fps`` (fp, pv*) that link to others.
 
@@ -126,8 +133,7 @@ def _linked(fps: DataFrame, max_bits: int, shared_bands: int) -> DataFrame:
     named = stored(fps.join(first, fps.fp == first.node, "left").select(
         "fp", *pv, F.coalesce("component", "fp").alias("comp")), "simhash-named")
     spread = named.select("*", F.explode(band_keys(F.col("fp"), max_bits, shared_bands)).alias("key"))
-    mixed = (spread.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
-             .agg(F.max_by("comp", "n").alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1").drop("comps"))
+    mixed = _commonest(spread.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")))
     open_rows = spread.join(mixed, "key")
     rest = open_rows.where("comp <> major")
     on = ((F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))

@@ -69,6 +69,13 @@ def test_simhash_links_of_random_fingerprints(spark):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_tied_components_of_a_bucket_have_one_commonest(spark):
+    rows = [(key, comp, n) for key in range(20) for comp, n in ((-7, 1), (3, 2), (9, 2), (5, 2))] + [(99, 1, 4)]
+    for order in (rows, rows[::-1], sorted(rows, key=lambda r: (r[0], -r[2], r[1]))):
+        counts = spark.createDataFrame(order, "key bigint, comp bigint, n bigint").coalesce(1)
+        assert {(r.key, r.major) for r in simhash._commonest(counts).collect()} == {(key, 9) for key in range(20)}
+
+
 def test_one_of_each_group_stays(spark):
     df = frame(spark)
     kept = simhash.drop_near_copies(df)
