@@ -120,8 +120,9 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_license_scan")
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = licenses.scan_licenses(docs, "text", "l", threshold=0.8)
-    return found.select("doc_id", F.col("l.name").alias("license"), F.col("l.dice").alias("dice"), F.col("l.line").alias("line"))
+    found = licenses.find_licenses(docs, "text", "l", threshold=0.8).withColumn("m", F.get("l", F.lit(0)))
+    return found.select("doc_id", F.col("m.name").alias("license"), F.col("m.dice").alias("dice"), F.col("m.line").alias("line"),
+                        F.array_join("l.name", ",").alias("licenses"))
 
 
 @query("op4_collision_ann")

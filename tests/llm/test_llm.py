@@ -201,6 +201,26 @@ def test_licenses_pruning_loses_nothing(spark):
         assert got[i] == (pytest.approx(best) if best >= 0.8 else None)
 
 
+def test_licenses_wrapped_or_inside_longer_text_are_found(spark):
+    prose = " ".join(rng.choice(WORDS) for _ in range(60))
+    wrap = lambda t: "\n * ".join(" ".join(t.split()[i:i + 9]) for i in range(0, len(t.split()), 9))
+    named = dict(zip(("apache", "mit", "gpl"), (licenses.TEMPLATES[i][1] for i in (1, 4, 8)), strict=True))
+    full = licenses.TEMPLATES[14][1]
+    rows = [(1, f"{prose}. This project is licensed under the MIT License. {prose}"), (2, f"/*\n * {wrap(named['mit'])}\n */\n{prose}\n{prose}"),
+            (3, f"{prose}\n{wrap(named['apache'])}\n{prose}"), (4, f"{prose}\n{wrap(named['gpl'])}\n{prose}\n{wrap(full)}\n{prose}"),
+            (5, f"{prose} of this software under the license of the software {prose}"), (6, None), (7, ""), (8, "license"),
+            (9, f"{prose} {named['mit']} {named['mit']} {prose}"), (10, f"{prose}\n{wrap(licenses.TEMPLATES[10][1])}\n{prose}")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("grams_", F.lit(0))
+    got = {r.doc_id: r.licenses for r in licenses.find_licenses(df).collect()}
+    names = {i: {m.name for m in x} for i, x in got.items()}
+    assert names == {1: {"MIT"}, 2: {"MIT"}, 3: {"Apache-2.0"}, 4: {"GPL-3.0", "MIT"}, 5: set(), 6: set(), 7: set(), 8: set(), 9: {"MIT"},
+                     10: {"CC-BY-4.0"}}
+    assert got[1][0].line == 0 and got[2][0].line == 1 and got[3][0].line == 1 and {m.name: m.line for m in got[4]}["GPL-3.0"] == 1
+    assert all(m.dice == pytest.approx(1.0) for i in (1, 2, 3) for m in got[i])
+    old = {r.doc_id: r.license for r in licenses.scan_licenses(df).collect()}
+    assert not any(old[i] for i in (1, 2, 4, 9))  # no line of these is a notice
+
+
 def test_nearest(spark):
     g = np.random.default_rng(1)
     centre = g.standard_normal((20, 16))
