@@ -1,11 +1,12 @@
-"""Substring dedup over sliding sentence spans: every run of consecutive sentences is hashed, equal runs are found
-by a global join, and sentences covered by a run that an earlier document has go."""
+"""Substring dedup over sliding sentence spans: runs of consecutive sentences are hashed, and word windows chosen by
+winnowing, which need no sentence edges; equal ones are found by a global join, and what an earlier document has goes."""
 
 from __future__ import annotations
 
 import re
 import sys
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
@@ -15,18 +16,33 @@ from featureflow.llm.common import c, fresh, stored, text_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
 
-SENTENCE = r"[^.!?\n]*[.!?\n]*[\x20\x09-\x0D]*"  # consecutive matches cover the text
+SPACE = r"\x20\x09-\x0D"
+STOP = r".!?\n\u3002\uFF01\uFF1F\uFF0E\uFF61\u2026\u0964\u0965\u061F\u06D4\u1362\u1367\u104A\u104B\u17D4\u17D5"  # of many scripts
+SPACED_OUT = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF"  # Thai, Lao, Burmese, Khmer: a space ends a clause or sentence
+UNSPACED = SPACED_OUT + r"\u3005-\u3007\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF"
+SENTENCE = re.compile(f"[^{STOP}]*[{STOP}]*[{SPACE}]*")  # consecutive matches cover the text
+CLAUSE = re.compile(f"(?:[^{STOP}{SPACE}]|(?<![{SPACED_OUT}])[\\x20\\x09\\x0B-\\x0D])*[{STOP}]*[{SPACE}]*")
+LETTER = re.compile(f"[{UNSPACED}]")
+TOKEN = re.compile(f"[^{SPACE}]+")
+TOKENS = re.compile(f"[{UNSPACED}]|[^{SPACE}{UNSPACED}]+")
+LETTERS = 2         # letters of a script without spaces that count as a word
 RUN_SENTENCES = 2   # a run has at least so many sentences and so many words,
-RUN_WORDS = 30
+RUN_WORDS = 10
 SINGLE_WORDS = 50   # or so many words in any number of sentences
+WINDOW = 26         # words (or letters of a script without spaces) of a hashed window,
+CHOSEN = 25         # one of so many consecutive windows is: equal stretches of WINDOW + CHOSEN - 1 share one at least
+BASE = 0x9E3779B97F4A7C15
 
 
 def sentence_runs(text: str | None, sentences: int = RUN_SENTENCES, words: int = RUN_WORDS, single: int = SINGLE_WORDS):
-    """(code point lengths of the sentences, runs as (hash hex, first, last)): for each sentence the shortest run from
+    """(code point lengths of the sentences, runs as (hash, first, last)): for each sentence the shortest run from
     it that is long enough. A run's hash is XXH128 of its lower-cased words."""
-    parts = [m for m in re.findall(SENTENCE, text or "") if m]
+    unspaced = LETTER.search(text or "")
+    parts = [m for m in (CLAUSE if unspaced else SENTENCE).findall(text or "") if m]
     lower = [" ".join(p.lower().split()) for p in parts]
     count = [x.count(" ") + 1 if x else 0 for x in lower]
+    if unspaced:
+        count = [n and max(n, len(LETTER.findall(x)) // LETTERS) for n, x in zip(count, lower, strict=True)]
     runs, j, n, k = [], 0, 0, 0
     for i in range(len(parts)):  # j: one past the run's end; n: its words; k: its sentences that have words
         while j < len(parts) and not (n >= single or k >= sentences and n >= words):
@@ -35,7 +51,7 @@ def sentence_runs(text: str | None, sentences: int = RUN_SENTENCES, words: int =
             j += 1
         if n >= single or k >= sentences and n >= words:
             if count[i]:
-                runs.append((xxhash.xxh128_hexdigest(" ".join(x for x in lower[i:j] if x)), i, j - 1))
+                runs.append((xxhash.xxh128_digest(" ".join(x for x in lower[i:j] if x)), i, j - 1))
         else:
             break
         n -= count[i]
@@ -43,17 +59,48 @@ def sentence_runs(text: str | None, sentences: int = RUN_SENTENCES, words: int =
     return [len(p) for p in parts], runs
 
 
+def word_windows(text: str | None, size: int = WINDOW, chosen: int = CHOSEN):
+    """Windows (hash, start, end) in code points: of each ``chosen`` consecutive windows of ``size`` words the one with the
+    smallest rolling hash, so that the choice depends on the words alone. The end is where the next word starts."""
+    text = text or ""
+    found = list((TOKENS if LETTER.search(text) else TOKEN).finditer(text))
+    n = len(found) - size + 1
+    if n < 1:
+        return []
+    lower = [m.group().lower() for m in found]
+    at = [0, *[m.start() for m in found[1:]], len(text)]
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(len(lower), BASE, np.uint64))
+        back = np.cumprod(np.full(n, pow(BASE, -1, 2**64), np.uint64))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.fromiter(map(xxhash.xxh64_intdigest, lower), np.uint64, len(lower)) * power)])
+        key = (total[size:] - total[:n]) * back
+        key ^= key >> np.uint64(32)
+        key *= np.uint64(BASE)
+    span = min(chosen, n)
+    low = np.lib.stride_tricks.sliding_window_view(key, span)
+    out, last = [], None
+    for p in np.unique(np.arange(n - span + 1) + low.argmin(axis=1)).tolist():
+        if last is not None and key[p] == key[last] and p - last < chosen:
+            continue  # in a text that repeats itself, one of the equal windows will do
+        out.append((xxhash.xxh128_digest(" ".join(lower[p:p + size])), at[p], at[p + size]))
+        last = p
+    return out
+
+
 def runs_column(text: Column) -> Column:
-    @F.pandas_udf("lens array<int>, runs array<struct<h:string,i:int,j:int>>")
+    @F.pandas_udf("lens array<int>, runs array<struct<h:binary,i:int,j:int>>, wins array<struct<h:binary,s:int,e:int>>")
     def hashed_runs(texts: pd.Series) -> pd.DataFrame:
         got = [sentence_runs(t) for t in texts]
-        return pd.DataFrame({"lens": [a for a, _ in got], "runs": [[{"h": h, "i": i, "j": j} for h, i, j in r] for _, r in got]})
+        return pd.DataFrame({"lens": [a for a, _ in got], "runs": [[{"h": h, "i": i, "j": j} for h, i, j in r] for _, r in got],
+                             "wins": [[{"h": h, "s": s, "e": e} for h, s, e in word_windows(t)] for t in texts]})
     return hashed_runs(text)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "repeats", keep_text: bool = True) -> DataFrame:
     """``docs`` with a struct ``out``: sentences, removed (number) and spans (s, e in code points, end exclusive) that
-    earlier text has already: runs that a row with a smaller id holds, or that stand earlier in the same text.
+    earlier text has already: runs and word windows that a row with a smaller id holds, or that stand earlier in the same
+    text. Stretches of 50 words are found wherever they start and end, and lose parts of sentences as well; removed
+    counts whole sentences.
 
     Runs are reduced to one row a document and hash, then to the smallest id a hash (partial aggregation), and
     joined back on the hash, where Spark splits hot ones. Rows with one id count as one document, so repeated
@@ -66,38 +113,51 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     d = docs.withColumn(found, runs_column(text_of(c(text_col))))
     d = stored((d if keep_text else d.drop(text_col)).withColumn(rid, F.monotonically_increasing_id()), "spans-runs")
     last = F.lit(2**63 - 1)
-    hashes = d.select(F.coalesce(c(id_col), last).alias("id"), c(rid).alias("rid"), c(found)["runs"]["h"].alias("hs"))
+    hashes = d.select(F.coalesce(c(id_col), last).alias("id"), c(rid).alias("rid"), F.concat(c(found)["runs"]["h"], c(found)["wins"]["h"]).alias("hs"))
     mine = hashes.select("id", "rid", F.explode(F.array_distinct("hs")).alias("h"))
     first = mine.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("final")).where("first < final").drop("final")
     again = mine.join(first, "h").where("id > first").groupBy("rid").agg(F.collect_list("h").alias("dup"))
     again = again.select(F.col("rid").alias("dup_rid"), F.col("dup"))
     rs = c(found)["runs"]
     d = d.join(again, c(rid) == F.col("dup_rid"), "left")
-    d = d.withColumn(out, covered(c(found)["lens"], rs, F.col("dup")))
+    d = d.withColumn(out, covered(c(found)["lens"], rs, c(found)["wins"], F.col("dup")))
     return d.drop(rid, found, "dup_rid", "dup")
 
 
-def covered(lens: Column, runs: Column, dup: Column) -> Column:
-    """Spans of the sentences under a run whose hash is in ``dup`` or that an earlier run of the text has."""
+def repeats_in(lens, runs, wins, dup) -> tuple[int, int, list[dict]]:
+    """(sentences, whole sentences removed, spans) under runs (h, i, j) and windows (h, s, e) whose hash is in ``dup`` or
+    that stand earlier in the text."""
+    at = [0]
+    for n in lens:
+        at.append(at[-1] + int(n))
+    gone, found = set() if dup is None else set(dup), []
+    for part in ([(r["h"], at[r["i"]], at[r["j"] + 1]) for r in runs], [(r["h"], r["s"], r["e"]) for r in wins]):
+        seen: set = set()
+        for h, s, e in part:
+            if h in gone or h in seen:
+                found.append((int(s), int(e)))
+            seen.add(h)
+    spans: list[dict] = []
+    for s, e in sorted(found):
+        if spans and s <= spans[-1]["e"]:
+            spans[-1]["e"] = max(e, spans[-1]["e"])
+        else:
+            spans.append({"s": s, "e": e})
+    removed, k = 0, 0
+    for s, e in zip(at, at[1:], strict=False):
+        while k < len(spans) and spans[k]["e"] < e:
+            k += 1
+        removed += k < len(spans) and spans[k]["s"] <= s
+    return len(lens), removed, spans
+
+
+def covered(lens: Column, runs: Column, wins: Column, dup: Column) -> Column:
+    """``repeats_in`` as a column."""
     @F.pandas_udf("sentences int, removed int, spans array<struct<s:int,e:int>>")
-    def spans_of(lens: pd.Series, runs: pd.Series, dup: pd.Series) -> pd.DataFrame:
-        rows = []
-        for size, rs, ds in zip(lens, runs, dup, strict=True):
-            gone, seen, marked = set() if ds is None else set(ds), set(), [False] * len(size)
-            for r in rs:
-                if r["h"] in gone or r["h"] in seen:
-                    marked[r["i"]:r["j"] + 1] = [True] * (r["j"] - r["i"] + 1)
-                seen.add(r["h"])
-            spans, at = [], 0
-            for n, m in zip(size, marked, strict=True):
-                if m and spans and spans[-1]["e"] == at:
-                    spans[-1]["e"] = at + int(n)
-                elif m:
-                    spans.append({"s": at, "e": at + int(n)})
-                at += int(n)
-            rows.append((len(size), sum(marked), spans))
+    def spans_of(lens: pd.Series, runs: pd.Series, wins: pd.Series, dup: pd.Series) -> pd.DataFrame:
+        rows = [repeats_in(*x) for x in zip(lens, runs, wins, dup, strict=True)]
         return pd.DataFrame(rows, columns=["sentences", "removed", "spans"])
-    return spans_of(lens, runs, dup)
+    return spans_of(lens, runs, wins, dup)
 
 
 def cut(text: Column, spans: Column) -> Column:

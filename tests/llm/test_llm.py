@@ -263,6 +263,24 @@ def test_repeated_spans(spark):
     assert spans.repeated_spans(df.limit(0).drop("dup")).count() == 0
 
 
+def test_passages_inside_sentences_short_runs_and_other_scripts_are_found(spark):
+    some = lambda n: " ".join(f"w{rng.getrandbits(40):x}" for _ in range(n))
+    inner, short = some(60), f"{some(6)}. {some(7)}."
+    han = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(24)) + "。" + "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(30)) + "。"
+    thai = " ".join("".join(chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(20)) for _ in range(4))
+    rows = [(1, f"{some(8)} {inner} {some(9)}."), (2, f"{some(5)} {inner} {some(4)}."), (3, f"{some(9)}. {short} {some(9)}."), (4, f"{some(3)}. {short} {some(20)}."),
+            (5, some(70) + "。" + han), (6, han + some(70)), (7, thai + " " + some(20)), (8, "ก " + thai + " " + some(9))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in spans.repeated_spans(df).withColumn("left", spans.cut(F.col("text"), F.col("repeats.spans"))).collect()}
+    assert all(got[i].left == got[i].text for i in (1, 3, 5, 7))
+    assert got[4].repeats.removed == 2 and short not in got[4].left
+    assert got[6].repeats.removed == 2 and han[:24] not in got[6].left
+    assert thai[21:41] not in got[8].left
+    words = inner.split()
+    assert sum(w in got[2].left for w in words) <= 2 * (spans.CHOSEN - 1) and words[30] not in got[2].left
+    assert spans.word_windows("x " * 30000)[1][1] - spans.word_windows("x " * 30000)[0][1] >= 2 * (spans.CHOSEN - 1)
+
+
 def test_sentence_runs_cover_the_text():
     for t in [*EDGE, "A b. C d! E\nf? g", "...", "3.14 is. pi"]:
         lens, runs = spans.sentence_runs(t, 2, 3, 10)
