@@ -29,6 +29,10 @@ OCTET = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 
 # A token that may be an identifier: it holds a digit or an at sign.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^0-9@\x20\x09-\x0D]*+[0-9@][^\x20\x09-\x0D]*+"
+# Adjacent tokens of digits, brackets, dots and dashes that may be one identifier.
+PART = r"[(\[]?+[0-9][0-9()\[\].-]*+(?=[\x20\x09-\x0D,;:!?\"'>}]|$)"
+GROUP = rf"(?<![^\x20\x09-\x0D])[\"'<{{]*+{PART}(?:\x20{PART})++"
+LEAD = r"^[\"'<{]++|^[\"'(\[<{]++(?![0-9]++[)\]].)"  # the bracket of an area code stays
 EDGE = r"^[\"'(\[<{]++|(?<![\"')\]>}.,;:!?])[\"')\]>}.,;:!?]++$"
 
 CONTEXT_CHARS = 64  # code points on the left in which a pattern's words are looked for
@@ -95,18 +99,20 @@ def scan(docs: DataFrame, text_col: str, prefix: list[str], keep_text: bool = Tr
     identifier-like tokens outside the base spans. Written to the shared folder, which also fixes the row keys."""
     rid, base, cand = prefix
     t = text_of(c(text_col))
-    found = fresh(docs.select("*", *[F.lit(0).alias(p) for p in prefix]), *[f"m_{k}" for k in KINDS], "m_tok")
-    spans = fresh(docs.select("*", *[F.lit(0).alias(p) for p in (*prefix, *found)]), *[f"s_{k}" for k in KINDS], "s_tok")
+    found = fresh(docs.select("*", *[F.lit(0).alias(p) for p in prefix]), *[f"m_{k}" for k in KINDS], "m_tok", "m_group")
+    spans = fresh(docs.select("*", *[F.lit(0).alias(p) for p in (*prefix, *found)]), *[f"s_{k}" for k in KINDS], "s_tok", "s_group")
     d = docs
     for k, m in zip(KINDS, found, strict=False):
         got = F.regexp_extract_all(t, F.lit(BASE[k]), F.lit(0))
         if k in HINT:
             got = F.when(F.instr(t, HINT[k]) > 0, got).otherwise(F.array().cast("array<string>"))
         d = d.withColumn(m, got)
-    d = d.withColumn(found[-1], F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0)))
+    for rx, m in zip((TOKEN, GROUP), found[-2:], strict=True):
+        d = d.withColumn(m, F.regexp_extract_all(t, F.lit(rx), F.lit(0)))
     for k, m, s in zip(KINDS, found, spans, strict=False):
         d = d.withColumn(s, _spans(t, BASE[k], c(m), _checked(k)))
-    d = d.withColumn(spans[-1], _spans(t, TOKEN, c(found[-1]), lambda x: F.lit(True)))
+    for rx, m, s in zip((TOKEN, GROUP), found[-2:], spans[-2:], strict=True):
+        d = d.withColumn(s, _spans(t, rx, c(m), lambda x: F.lit(True)))
     ctx = lambda x: _patterns(t, x["s"]).alias("ctx")
 
     def named(kind):
@@ -114,13 +120,19 @@ def scan(docs: DataFrame, text_col: str, prefix: list[str], keep_text: bool = Tr
     allb = F.concat(*[F.transform(c(s), named(k)) for k, s in zip(KINDS, spans, strict=False)])
     d = d.withColumn(base, allb)
 
-    def trimmed(x):
-        lead = F.length(x["m"]) - F.length(F.regexp_replace(x["m"], r"^[\"'(\[<{]++", ""))
-        core = F.regexp_replace(x["m"], EDGE, "")
-        s = x["s"] + lead
-        return F.struct(s.alias("s"), (s + F.length(core)).alias("e"), core.alias("m"))
-    tok = F.filter(F.transform(c(spans[-1]), trimmed), lambda x: (F.length(F.regexp_replace(x["m"], "[^0-9]", "")) >= MIN_DIGITS) | x["m"].contains("@"))
-    free = F.filter(tok, lambda x: ~F.exists(c(base), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    def trimmed(lead_rx):
+        def trim(x):
+            lead = F.length(x["m"]) - F.length(F.regexp_replace(x["m"], lead_rx, ""))
+            core = F.regexp_replace(F.regexp_replace(x["m"], lead_rx, ""), EDGE[EDGE.index("|") + 1:], "")
+            at = x["s"] + lead
+            return F.struct(at.alias("s"), (at + F.length(core)).alias("e"), core.alias("m"))
+        return trim
+    long = lambda x: (F.length(F.regexp_replace(x["m"], "[^0-9]", "")) >= MIN_DIGITS) | x["m"].contains("@")
+    apart = lambda x, others: ~F.exists(others, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+    free = lambda col, rx: F.filter(F.filter(F.transform(col, trimmed(rx)), long), lambda x: apart(x, c(base)))
+    d = d.withColumn(spans[-1], free(c(spans[-1]), LEAD))
+    tok = F.filter(free(c(spans[-2]), EDGE[:EDGE.index("|")]), lambda x: apart(x, c(spans[-1])))  # a group is one candidate
+    free = F.concat(c(spans[-1]), tok)
     d = d.withColumn(cand, F.transform(free, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), ctx(x))))
     d = d.drop(*found, *spans) if keep_text else d.drop(*found, *spans, text_col)
     return stored(d.withColumn(rid, F.monotonically_increasing_id()), "pii-scan")
@@ -131,20 +143,17 @@ def bootstrap(scanned: DataFrame, base: str, cand: str, rounds: int = ROUNDS) ->
     seeds = scanned.select(F.explode(c(base)).alias("b")).select(F.explode("b.ctx").alias("ctx"), F.col("b.kind").alias("kind"), F.lower("b.m").alias("inst"))
     other = scanned.select(F.explode(c(cand)).alias("b")).select(F.explode("b.ctx").alias("ctx"), F.lit("").alias("kind"), F.lower("b.m").alias("inst"))
     edges = stored(seeds.unionByName(other).distinct(), "pii-edges")
-    # patterns with too few seeds can never discover; leave the rest of the graph as it is
-    alive = edges.where("kind <> ''").groupBy("ctx", "kind").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    alive = stored(alive, "pii-patterns")
-    sizes = edges.join(alive.select("ctx").distinct(), "ctx", "left_semi").groupBy("ctx").agg(F.count(F.lit(1)).alias("n"))
+    sizes = edges.groupBy("ctx").agg(F.count(F.lit(1)).alias("n"))
+    base_seeds = edges.where("kind <> ''").groupBy("ctx", "kind").agg(F.count(F.lit(1)).alias("seeds"), F.count(F.lit(1)).cast("double").alias("mass"))
     believed, scores = None, None
-    unseen = edges.where("kind = ''").join(alive.select("ctx").distinct(), "ctx", "left_semi").select("ctx", "inst")
+    unseen = edges.where("kind = ''").select("ctx", "inst")
     for _ in range(rounds):
-        score = alive.join(sizes, "ctx")
-        if believed is None:
-            score = score.withColumn("extra", F.lit(0.0))
-        else:
-            got = unseen.join(believed, "inst").groupBy("ctx", "kind").agg(F.sum("belief").alias("extra"))
-            score = score.join(got, ["ctx", "kind"], "left").withColumn("extra", F.coalesce("extra", F.lit(0.0)))
-        scores = stored(score.select("ctx", "kind", ((F.col("seeds") + F.col("extra")) / (F.col("n") + F.lit(PRIOR))).alias("score")), "pii-scores")
+        seen = base_seeds
+        if believed is not None:  # confident instances of the last round are seeds too
+            got = unseen.join(believed, "inst").groupBy("ctx", "kind").agg(F.count(F.lit(1)).alias("seeds"), F.sum("belief").alias("mass"))
+            seen = seen.unionByName(got).groupBy("ctx", "kind").agg(F.sum("seeds").alias("seeds"), F.sum("mass").alias("mass"))
+        score = seen.where(F.col("seeds") >= MIN_SEEDS).join(sizes, "ctx")
+        scores = stored(score.select("ctx", "kind", (F.col("mass") / (F.col("n") + F.lit(PRIOR))).alias("score")), "pii-scores")
         believed = (unseen.join(scores.where(F.col("score") >= MIN_SCORE), "ctx").groupBy("inst", "kind").agg(F.max("score").alias("belief")))
     return scores.where(F.col("score") >= MIN_SCORE)
 

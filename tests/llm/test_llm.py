@@ -126,6 +126,16 @@ def test_pii_bootstrap_finds_new_identifiers_in_seeded_contexts(spark):
     assert got[100] == ("phone:19:32", "please call phone: <PHONE>, thanks") and got[101][0] == ""
 
 
+def test_pii_spaced_identifiers_and_contexts_seeded_by_discovery(spark):
+    seen = [f"reach desk: +1 555 010 {i:04d} today" for i in range(200)]
+    new = ["(555) 010-9999", "020 7946 0958", *[f"0155 501 {i:04d}" for i in range(14)]]
+    rows = seen + [f"reach desk: {x} today" for x in new] + [f"fallback nr {x} today" for x in new] + ["fallback nr 0301 555 0123 today", "room 12 at 2024 only"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    got = [r.t for r in pii.find_pii(df).select("doc_id", pii.redact(F.col("text"), F.col("pii.spans")).alias("t")).orderBy("doc_id").collect()]
+    assert got[200:216] == ["reach desk: <PHONE> today"] * 16
+    assert got[216:] == ["fallback nr <PHONE> today"] * 17 + ["room 12 at 2024 only"]
+
+
 def test_mixing(spark):
     rows = [(i, ["s1", "s2", "s3", "s4", None][min(4, i % 7)], " ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 80)))) for i in range(900)]
     rows += [(1, "s1", None), (None, "s2", "a b"), (5, "s1", "same"), (5, "s1", "same"), (9, "tiny", "one two")]
