@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featureflow.llm import ann, bpe, langid, licenses, mixing, pii, quality, simhash, spans, urls
+from featureflow.llm import ann, bpe, conversations, langid, licenses, mixing, pii, quality, simhash, spans, urls
 from featureflow.plans.registry import query
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -146,3 +146,18 @@ def op8_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = langid.predict(docs.select("doc_id", "text"), langid.train(docs), "text", "p")
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col("p.lang").alias("lang_pred"), "p.score")
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_report(rows)
+
+
+def repair_report(rows: DataFrame) -> DataFrame:
+    found, _ = conversations.repair(conversations.damage(rows), "conv")
+    ids = rows.select(F.col("conv_id").alias("id")).distinct()
+    every = ids.join(found, F.col("id").eqNullSafe(F.col("conv")), "left")
+    zero = {"audit": F.lit(""), "sha256": F.sha2(F.lit(""), 256)}
+    cols = [F.coalesce(n, zero.get(n, F.lit(0).cast("long"))).alias(n) for n in (*conversations.NAMES, "sha256")]
+    return every.select(F.col("id").alias("conv_id"), *cols).withColumnRenamed("sha256", "repaired_sha256")

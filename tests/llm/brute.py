@@ -2,6 +2,7 @@
 import base64
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -115,3 +116,68 @@ def by_source(rows):
     for _, s, t in rows:
         sizes[s] += len(WORD.findall(t or ""))
     return dict(sizes)
+
+
+def damaged(rows):
+    """Rows (conv, turn, role, text) of conversations after damage: conv -> rows in order."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        fate = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        kept = out[conv]
+        if fate == 0:
+            continue
+        if fate == 1:
+            text = ""
+        if fate == 2:
+            text = re.sub("[.!?]", "", text)
+        if fate == 4:
+            role = "user"
+        kept += [(turn, role, text)] * (2 if fate == 3 else 1)
+    for kept in out.values():
+        kept.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+    return out
+
+
+def repaired(rows):
+    """Report of one conversation's ordered rows: (gaps, blank, duplicate, truncated, illegal, cost, audit, sha256)."""
+    faults, seen = [], set()
+    for _, role, text in rows:
+        last = re.findall(r"[^\x20\x09-\x0D]", text)
+        faults.append("blank" if not last else "duplicate" if (role, text) in seen else "truncated" if last[-1] not in ".!?" else "")
+        seen.add((role, text))
+    turns = {t for t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:], strict=False))
+    follow = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    tables = [{state: (0, "", ()) for state in ("", "a")}]  # from each state to the end: (cost, audit, turns)
+    name = {"u": "user", "a": "assistant"}
+
+    def with_inserts(table):
+        for _ in range(3):
+            more = dict(table)
+            for (state, x), to in follow.items():
+                if x in name and to in table:
+                    cost, audit, left = table[to]
+                    more[state] = min(more.get(state, (10**9,)), (cost + 3, "I" + audit, ((name[x], ""), *left)))
+            table = more
+        return table
+    table = with_inserts(tables[0])
+    for (_, role, text), fault in zip(reversed(rows), reversed(faults), strict=True):
+        new = {}
+        for state, (cost, audit, left) in table.items():
+            new[state] = min(new.get(state, (10**9,)), (cost + 4, "D" + audit, left))
+        if fault in ("", "truncated"):
+            for (state, x), to in follow.items():
+                if to in table:
+                    cost, audit, left = table[to]
+                    cost += 3 * (fault == "truncated")
+                    if role[:1] == x:
+                        new[state] = min(new.get(state, (10**9,)), (cost, "K" + audit, ((role, text), *left)))
+                    if x in name:
+                        new[state] = min(new.get(state, (10**9,)), (cost + 3, "R" + audit, ((name[x], text), *left)))
+        table = with_inserts(new)
+    cost, audit, left = table[""]
+    text = "\n".join(f"{a}:{b}" for a, b in left)
+    return (gaps, *(faults.count(x) for x in ("blank", "duplicate", "truncated")), illegal, cost, audit,
+            hashlib.sha256(text.encode()).hexdigest())
