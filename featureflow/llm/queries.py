@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featureflow.llm import ann, bpe, conversations, langid, licenses, mixing, pii, quality, simhash, spans, urls
+from featureflow.llm import ann, bpe, conversations, decontaminate, langid, licenses, mixing, pii, quality, simhash, spans, urls
 from featureflow.plans.registry import query
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -161,3 +161,34 @@ def repair_report(rows: DataFrame) -> DataFrame:
     zero = {"audit": F.lit(""), "sha256": F.sha2(F.lit(""), 256)}
     cols = [F.coalesce(n, zero.get(n, F.lit(0).cast("long"))).alias(n) for n in (*conversations.NAMES, "sha256")]
     return every.select(F.col("id").alias("conv_id"), *cols).withColumnRenamed("sha256", "repaired_sha256")
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+             list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS g
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM win),
+seen AS (SELECT rid, p, k, array_to_string(w[p:p + k - 1], ' ') AS g FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, sizes WHERE len(w) >= k)),
+hit AS (SELECT rid, p, seen.k, item_id FROM seen JOIN win ON seen.k = win.k AND seen.g = win.g),
+n AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(p, p + k)) AS pos FROM hit) GROUP BY rid),
+i AS (SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (rid) LEFT JOIN i USING (rid)
+"""
+
+
+@query("op13_decontaminate", OP13_SQL)
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contamination_report(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def contamination_report(docs: DataFrame, items: DataFrame) -> DataFrame:
+    f = decontaminate.find_contamination(docs, items, out="f", keep_text=False)
+    return f.select("doc_id", "f.n_words", "f.n_hit", F.size("f.items").cast("long").alias("n_items"),
+                    F.sha2(F.array_join("f.items", ","), 256).alias("items_sha256"), (F.col("f.n_hit") > 0).alias("contaminated"))

@@ -181,3 +181,28 @@ def repaired(rows):
     text = "\n".join(f"{a}:{b}" for a, b in left)
     return (gaps, *(faults.count(x) for x in ("blank", "duplicate", "truncated")), illegal, cost, audit,
             hashlib.sha256(text.encode()).hexdigest())
+
+
+def normal(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def contamination(docs, items, window=10):
+    """docs: (id, text), items: (id, text). Rows (id, n_words, n_hit, n_items, items_sha256, contaminated)."""
+    windows = defaultdict(set)
+    for no, text in items:
+        w = normal(text)
+        for p in range(max(1, len(w) - window + 1)) if w else ():
+            windows[tuple(w[p:p + window])].add(no)
+    out, sizes = [], {len(w) for w in windows}
+    for doc, text in docs:
+        w, hit, found = normal(text), set(), set()
+        for k in sizes:
+            for p in range(len(w) - k + 1):
+                got = windows.get(tuple(w[p:p + k]))
+                if got:
+                    hit.update(range(p, p + k))
+                    found |= got
+        ids = sorted({str(x) for x in found if x is not None})
+        out.append((doc, len(w), len(hit), len(ids), sha(",".join(ids)), bool(hit)))
+    return out
