@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featureflow.llm import ann, bpe, conversations, decontaminate, langid, licenses, mixing, pii, quality, simhash, spans, urls
+from featureflow.llm import ann, bpe, conversations, decontaminate, langid, licenses, mixing, phrases, pii, quality, simhash, spans, urls
 from featureflow.plans.registry import query
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -192,3 +192,35 @@ def contamination_report(docs: DataFrame, items: DataFrame) -> DataFrame:
     f = decontaminate.find_contamination(docs, items, out="f", keep_text=False)
     return f.select("doc_id", "f.n_words", "f.n_hit", F.size("f.items").cast("long").alias("n_items"),
                     F.sha2(F.array_join("f.items", ","), 256).alias("items_sha256"), (F.col("f.n_hit") > 0).alias("contaminated"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, k, array_to_string(w[p:p + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM w, range(1, 5) AS s(k) WHERE len(w) >= k)) GROUP BY ALL
+), n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+g AS MATERIALIZED (SELECT * FROM f WHERE f >= 30),
+c AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k > 1),
+parts AS (SELECT lang, phrase, a, i, array_to_string(w[1:i], ' ') AS p1, array_to_string(w[i + 1:], ' ') AS p2
+          FROM (SELECT *, unnest(range(1, size)) AS i FROM c)),
+cut AS (
+  SELECT x.lang, x.phrase, a, i, y.f AS l, z.f AS r, ((2000000::HUGEINT * a) // (y.f + z.f))::BIGINT AS score
+  FROM parts AS x JOIN g AS y ON y.lang = x.lang AND y.phrase = p1 JOIN g AS z ON z.lang = x.lang AND z.phrase = p2
+), low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+gone AS (SELECT DISTINCT s.lang, s.phrase FROM c AS s JOIN c AS b ON s.lang = b.lang AND b.size > s.size
+         AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ') AND 100::HUGEINT * b.a >= 80::HUGEINT * s.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM low JOIN n USING (lang) WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.lang = low.lang AND gone.phrase = low.phrase)
+QUALIFY rank <= 2000
+"""
+
+
+@query("op12_phrases", OP12_SQL)
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("lang", "text")
+    return phrases.collocations(docs, "lang", "text").withColumnRenamed("grp", "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
