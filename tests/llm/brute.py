@@ -206,3 +206,27 @@ def contamination(docs, items, window=10):
         ids = sorted({str(x) for x in found if x is not None})
         out.append((doc, len(w), len(hit), len(ids), sha(",".join(ids)), bool(hit)))
     return out
+
+
+def collocations(docs, least, share=80, top=2000):
+    """docs: (lang, text). Rows (lang, rank, phrase, a, l, r, n, score)."""
+    counts, n = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in (1, 2, 3, 4):
+                counts[lang].update(tuple(w[p:p + k]) for p in range(len(w) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        cands = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        rows = []
+        for p, a in cands.items():
+            if any(len(q) > len(p) and 100 * b >= share * a and any(q[i:i + len(p)] == p for i in range(len(q))) for q, b in cands.items()):
+                continue
+            score, _, lf, rf = min((2000000 * a // (f[p[:k]] + f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+            rows.append((-score, -a, " ".join(p).encode(), lf, rf))
+        for rank, (s, a, p, lf, rf) in enumerate(sorted(rows)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, lf, rf, n[lang], -s))
+    return out
