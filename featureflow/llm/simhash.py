@@ -146,8 +146,8 @@ def _linked(fps: DataFrame, max_bits: int, shared_bands: int) -> DataFrame:
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                        max_bits: int = 4, shared_bands: int = 2) -> DataFrame:
-    """One row per row of ``docs``: id, ``fp`` (signed long), ``row_hash`` and ``component_id``, the
-    smallest id among all rows whose fingerprints can be reached over links.
+    """One row per row of ``docs``: id, ``fp`` (signed long), ``row_hash``, ``component_id``, the smallest
+    id among all rows whose fingerprints can be reached over links, and ``comp``, a fingerprint that names them.
 
     Exact copies collapse to one distinct fingerprint before any pair is looked at. Raise
     ``shared_bands`` (2: 15 keys of about 21 bits; 4: 70 keys of 32 bits) for corpora of billions
@@ -165,8 +165,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     comp = stored(_linked(fps.drop("low"), max_bits, shared_bands), "simhash-comp")
     low = fps.select("fp", "low").join(comp, "fp")
     least = low.groupBy("comp").agg(F.min("low").alias("component_id"))
-    names = low.select("fp", "comp").join(least, "comp").select("fp", "component_id")
-    return rows.join(names, "fp").select(F.col("id").alias(id_col), "fp", "row_hash", "component_id")
+    names = low.select("fp", "comp").join(least, "comp").select("fp", "comp", "component_id")
+    return rows.join(names, "fp").select(F.col("id").alias(id_col), "fp", "row_hash", "component_id", "comp")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
@@ -174,11 +174,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     (of repeated rows with that id, the one with the smallest content hash, once). A component without
     any id keeps the row with the smallest content hash."""
     found = simhash_components(docs, id_col, text_col, **params)
-    keep = (found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-            .groupBy(id_col, F.when(F.col(id_col).isNull(), F.col("fp")).alias("part"))
-            .agg(F.min("row_hash").alias("row_hash")).select(F.col(id_col).alias("keep_id"), "row_hash").distinct())
-    (mark,) = fresh(docs, "row_mark")
+    keep_id, keep_row, mark = fresh(docs, "keep_id", "keep_row", "row_mark")
+    one = F.min(F.struct(c(id_col).isNull().alias("n"), c(id_col).alias("id"), F.col("row_hash").alias("row")))
+    keep = found.groupBy("comp").agg(one.alias("one")).select(F.col("one.id").alias(keep_id), F.col("one.row").alias(keep_row))
     marked = docs.withColumn(mark, F.xxhash64(*[c(n) for n in docs.columns]))
-    same_id = (c(id_col) == F.col("keep_id")) | (c(id_col).isNull() & F.col("keep_id").isNull())
-    kept = marked.join(keep, (F.col(mark) == F.col("row_hash")) & same_id, "left_semi")  # dealt out by content alone
+    kept = marked.join(keep, (c(mark) == c(keep_row)) & c(id_col).eqNullSafe(c(keep_id)), "left_semi")  # dealt out by content alone
     return kept.dropDuplicates([id_col, mark]).drop(mark)
