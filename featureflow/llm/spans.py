@@ -26,36 +26,38 @@ LETTER = re.compile(f"[{UNSPACED}]")
 TOKEN = re.compile(f"[^{SPACE}]+")
 TOKENS = re.compile(f"[{UNSPACED}]|[^{SPACE}{UNSPACED}]+")
 LETTERS = 2         # letters of a script without spaces that count as a word
-RUN_SENTENCES = 2   # a run has at least so many sentences and so many words,
-RUN_WORDS = 10
-SINGLE_WORDS = 50   # or so many words in any number of sentences
+RUN_SENTENCES = 2   # sentences of a run: longer runs that repeat consist of such runs, which repeat too;
+RUN_WORDS = 0       # a run goes on until it has so many words;
+SINGLE_WORDS = 50   # a sentence of so many words is a run by itself as well
 WINDOW = 26         # words (or letters of a script without spaces) of a hashed window,
 CHOSEN = 25         # one of so many consecutive windows is: equal stretches of WINDOW + CHOSEN - 1 share one at least
 BASE = 0x9E3779B97F4A7C15
 
 
 def sentence_runs(text: str | None, sentences: int = RUN_SENTENCES, words: int = RUN_WORDS, single: int = SINGLE_WORDS):
-    """(code point lengths of the sentences, runs as (hash, first, last)): for each sentence the shortest run from
-    it that is long enough. A run's hash is XXH128 of its lower-cased words."""
+    """(code point lengths of the sentences, runs as (hash, first, last)): from each sentence with words the run of
+    ``sentences`` sentences with words, and long sentences alone. A run's hash is XXH128 of its sentences' hashes, which
+    are XXH128 of their lower-cased words."""
     unspaced = LETTER.search(text or "")
     parts = [m for m in (CLAUSE if unspaced else SENTENCE).findall(text or "") if m]
-    lower = [" ".join(p.lower().split()) for p in parts]
-    count = [x.count(" ") + 1 if x else 0 for x in lower]
-    if unspaced:
-        count = [n and max(n, len(LETTER.findall(x)) // LETTERS) for n, x in zip(count, lower, strict=True)]
-    runs, j, n, k = [], 0, 0, 0
-    for i in range(len(parts)):  # j: one past the run's end; n: its words; k: its sentences that have words
-        while j < len(parts) and not (n >= single or k >= sentences and n >= words):
+    full, count, hashed = [], [], []  # of the sentences that have words
+    for i, p in enumerate(parts):
+        found = p.lower().split()
+        if found:
+            line = " ".join(found)
+            full.append(i)
+            count.append(max(len(found), len(LETTER.findall(line)) // LETTERS) if unspaced else len(found))
+            hashed.append(xxhash.xxh128_digest(line))
+    runs, n, j = [], 0, 0
+    for k, i in enumerate(full):  # j: one past the run from k; n: its words
+        while j < len(full) and (j - k < sentences or n < words):
             n += count[j]
-            k += count[j] > 0
             j += 1
-        if n >= single or k >= sentences and n >= words:
-            if count[i]:
-                runs.append((xxhash.xxh128_digest(" ".join(x for x in lower[i:j] if x)), i, j - 1))
-        else:
-            break
-        n -= count[i]
-        k -= count[i] > 0
+        if j - k >= sentences and n >= words:
+            runs.append((xxhash.xxh128_digest(b"".join(hashed[k:j])), i, full[j - 1]))
+        if count[k] >= single:
+            runs.append((hashed[k], i, i))
+        n -= count[k]
     return [len(p) for p in parts], runs
 
 
@@ -87,13 +89,29 @@ def word_windows(text: str | None, size: int = WINDOW, chosen: int = CHOSEN):
     return out
 
 
+def hashed_spans(text: str | None) -> tuple[bytes, bytes, bytes, bytes]:
+    """All of one text, packed: sentence lengths, distinct hashes of runs and windows (16 bytes each), their first spans
+    (s, e), and the spans of later runs and windows with a hash that stands earlier in the text."""
+    lens, runs = sentence_runs(text)
+    at = np.concatenate([[0], np.cumsum(lens)]).astype(np.int64).tolist()
+    first, spans, own = [], [], []
+    for part in ([(h, at[i], at[j + 1]) for h, i, j in runs], word_windows(text)):
+        seen: set = set()
+        for h, s, e in part:
+            if h in seen:
+                own += (s, e)
+            else:
+                seen.add(h)
+                first.append(h)
+                spans += (s, e)
+    return np.array(lens, "<i4").tobytes(), b"".join(first), np.array(spans, "<i4").tobytes(), np.array(own, "<i4").tobytes()
+
+
 def runs_column(text: Column) -> Column:
-    @F.pandas_udf("lens array<int>, runs array<struct<h:binary,i:int,j:int>>, wins array<struct<h:binary,s:int,e:int>>")
-    def hashed_runs(texts: pd.Series) -> pd.DataFrame:
-        got = [sentence_runs(t) for t in texts]
-        return pd.DataFrame({"lens": [a for a, _ in got], "runs": [[{"h": h, "i": i, "j": j} for h, i, j in r] for _, r in got],
-                             "wins": [[{"h": h, "s": s, "e": e} for h, s, e in word_windows(t)] for t in texts]})
-    return hashed_runs(text)
+    @F.pandas_udf("lens binary, hs binary, spans binary, own binary")
+    def packed_spans(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([hashed_spans(t) for t in texts], columns=["lens", "hs", "spans", "own"])
+    return packed_spans(text)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "repeats", keep_text: bool = True) -> DataFrame:
@@ -102,62 +120,54 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text. Stretches of 50 words are found wherever they start and end, and lose parts of sentences as well; removed
     counts whole sentences.
 
-    Runs are reduced to one row a document and hash, then to the smallest id a hash (partial aggregation), and
-    joined back on the hash, where Spark splits hot ones. Rows with one id count as one document, so repeated
-    rows keep the same sentences; null ids come last. Null and empty texts have no sentences; an empty table
-    gives an empty result; input columns keep their names (``out`` must be free).
+    Hashes are reduced to the smallest id a hash (partial aggregation), and joined back on the hash, where Spark splits
+    hot ones. Rows with one id count as one document, so repeated rows keep the same sentences; rows without an id are
+    one last document: they lose what any other row has, and keep what they share. Null and empty texts have no
+    sentences; an empty table gives an empty result; input columns keep their names (``out`` must be free).
     """
     if out.lower() in (n.lower() for n in docs.columns):
         raise ValueError(f"column {out} exists")
-    rid, found = fresh(docs, "row_", "found_")
+    rid, found, dup_rid, dup = fresh(docs, "row_", "found_", "dup_row_", "dup_")
     d = docs.withColumn(found, runs_column(text_of(c(text_col))))
     d = stored((d if keep_text else d.drop(text_col)).withColumn(rid, F.monotonically_increasing_id()), "spans-runs")
-    last = F.lit(2**63 - 1)
-    hashes = d.select(F.coalesce(c(id_col), last).alias("id"), c(rid).alias("rid"), F.concat(c(found)["runs"]["h"], c(found)["wins"]["h"]).alias("hs"))
-    mine = hashes.select("id", "rid", F.explode(F.array_distinct("hs")).alias("h"))
+    last, hs = F.lit(2**63 - 1), c(found)["hs"]
+    pieces = F.when(F.length(hs) > 0, F.transform(F.sequence(F.lit(0), (F.length(hs) / 16).cast("int") - 1), lambda i: F.substring(hs, i * 16 + 1, F.lit(16))))
+    mine = d.select(F.coalesce(c(id_col), last).alias("id"), c(rid).alias("rid"), F.posexplode(pieces).alias("no", "h"))
     first = mine.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("final")).where("first < final").drop("final")
-    again = mine.join(first, "h").where("id > first").groupBy("rid").agg(F.collect_list("h").alias("dup"))
-    again = again.select(F.col("rid").alias("dup_rid"), F.col("dup"))
-    rs = c(found)["runs"]
-    d = d.join(again, c(rid) == F.col("dup_rid"), "left")
-    d = d.withColumn(out, covered(c(found)["lens"], rs, c(found)["wins"], F.col("dup")))
-    return d.drop(rid, found, "dup_rid", "dup")
-
-
-def repeats_in(lens, runs, wins, dup) -> tuple[int, int, list[dict]]:
-    """(sentences, whole sentences removed, spans) under runs (h, i, j) and windows (h, s, e) whose hash is in ``dup`` or
-    that stand earlier in the text."""
-    at = [0]
-    for n in lens:
-        at.append(at[-1] + int(n))
-    gone, found = set() if dup is None else set(dup), []
-    for part in ([(r["h"], at[r["i"]], at[r["j"] + 1]) for r in runs], [(r["h"], r["s"], r["e"]) for r in wins]):
-        seen: set = set()
-        for h, s, e in part:
-            if h in gone or h in seen:
-                found.append((int(s), int(e)))
-            seen.add(h)
-    spans: list[dict] = []
-    for s, e in sorted(found):
-        if spans and s <= spans[-1]["e"]:
-            spans[-1]["e"] = max(e, spans[-1]["e"])
+    again = mine.join(first, "h").where("id > first").groupBy("rid").agg(F.collect_list("no").alias("dup"))
+    again = again.select(F.col("rid").alias(dup_rid), F.col("dup").alias(dup))
+    d = d.join(again, c(rid) == c(dup_rid), "left")
+    d = d.withColumn(out, covered(c(found)["lens"], c(found)["spans"], c(found)["own"], c(dup)))
+    return d.drop(rid, found, dup_rid, dup)
+
+
+def repeats_in(lens: bytes, spans: bytes, own: bytes, dup) -> tuple[int, int, list[dict]]:
+    """(sentences, whole sentences removed, merged spans): the spans numbered in ``dup`` and the text's own repeats."""
+    ends = np.cumsum(np.frombuffer(lens, "<i4"), dtype=np.int64).tolist()
+    every = np.frombuffer(spans, "<i4").reshape(-1, 2)
+    gone = every[:0] if dup is None else every[np.asarray(dup, np.int64)]
+    merged: list[dict] = []
+    for s, e in sorted(map(tuple, np.concatenate([gone, np.frombuffer(own, "<i4").reshape(-1, 2)]).tolist())):
+        if merged and s <= merged[-1]["e"]:
+            merged[-1]["e"] = max(e, merged[-1]["e"])
         else:
-            spans.append({"s": s, "e": e})
-    removed, k = 0, 0
-    for s, e in zip(at, at[1:], strict=False):
-        while k < len(spans) and spans[k]["e"] < e:
+            merged.append({"s": s, "e": e})
+    removed, k, at = 0, 0, 0
+    for e in ends:
+        while k < len(merged) and merged[k]["e"] < e:
             k += 1
-        removed += k < len(spans) and spans[k]["s"] <= s
-    return len(lens), removed, spans
+        removed += k < len(merged) and merged[k]["s"] <= at
+        at = e
+    return len(ends), removed, merged
 
 
-def covered(lens: Column, runs: Column, wins: Column, dup: Column) -> Column:
+def covered(lens: Column, spans: Column, own: Column, dup: Column) -> Column:
     """``repeats_in`` as a column."""
     @F.pandas_udf("sentences int, removed int, spans array<struct<s:int,e:int>>")
-    def spans_of(lens: pd.Series, runs: pd.Series, wins: pd.Series, dup: pd.Series) -> pd.DataFrame:
-        rows = [repeats_in(*x) for x in zip(lens, runs, wins, dup, strict=True)]
+    def spans_of(lens: pd.Series, spans: pd.Series, own: pd.Series, dup: pd.Series) -> pd.DataFrame:
+        rows = [repeats_in(*x) for x in zip(lens, spans, own, dup, strict=True)]
         return pd.DataFrame(rows, columns=["sentences", "removed", "spans"])
-    return spans_of(lens, runs, wins, dup)
+    return spans_of(lens, spans, own, dup)
 
 
 def cut(text: Column, spans: Column) -> Column:
