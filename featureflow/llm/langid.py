@@ -8,27 +8,28 @@ code-switched text gets its words labelled one by one; a text's language has the
 
 from __future__ import annotations
 
-import re
 import sys
 import zlib
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from featureflow.llm.common import c, fresh, text_of, words
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
 
-TRAIN_DOCS = 3000     # labelled documents that the model is fitted on, the first by a hash of their id,
+TRAIN_DOCS = 3000     # labelled documents that the model is fitted on, at most, over the labels in equal shares
+TRAIN_LABELS = 300    # (at least 10 a label, so many labels at most: those of the most documents), the first by a hash of their id,
 TRAIN_WORDS = 400     # and words of each: the bounds of the training sample
 SPACE = 1 << 17       # hashed features
 MAX_GRAMS = 16        # features of a word: longer words keep the trigrams of their ends
 STEPS, BATCH, LENGTH = 600, 64, 40
 GROUP = 256           # texts of like length that go through forward-backward together
 MEMO_WORDS = 800_000  # words whose features a Python worker remembers
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}+")
 
 
 def word_features(word: str) -> list[int]:
@@ -122,16 +123,23 @@ def fit(samples: list[tuple[str, list[str]]], seed: int = 7) -> dict:
 
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, docs_bound: int = TRAIN_DOCS) -> DataFrame:
-    """(lang, w): at most ``docs_bound`` labelled documents outside the held-out part, TRAIN_WORDS words of each."""
-    (k,) = fresh(docs, "key_")
+    """(lang, w): about ``docs_bound`` labelled documents outside the held-out part, TRAIN_WORDS words of each. Rows without
+    a label, an id or a text take no part; repeated ids and rows stay within their label's bound."""
     key = F.xxhash64(c(id_col).cast("string"))
     ok = c(lang_col).isNotNull() & c(id_col).isNotNull() & ~held_out(c(id_col)) & c(text_col).isNotNull()
-    rest = docs.where(ok).withColumn(k, key)
-    last = rest.select(c(k).alias("k")).orderBy("k").limit(docs_bound).agg(F.max("k").alias("k")).first().k
-    low = F.regexp_replace(F.lower(c(text_col)), r"[^\p{L}]+", " ")
-    near = rest.where(c(k) <= F.lit(last if last is not None else 0))  # only the sample's texts are read into words
-    top = near.select(c(lang_col).alias("lang"), c(k).alias("key"), F.slice(words(low), 1, TRAIN_WORDS).alias("w"))
-    return top.orderBy("key", "lang", "w").limit(docs_bound).select("lang", "w")
+    rest = docs.where(ok).select(c(lang_col).cast("string").alias("lang"), key.alias("key"), c(text_col).alias("text"))
+    counts = rest.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(TRAIN_LABELS).collect()
+    share, left = {}, docs_bound
+    for i, r in enumerate(sorted(counts, key=lambda r: (r.n, r.lang))):  # what rare labels leave goes to the others
+        share[r.lang] = max(10, min(r.n, left // (len(counts) - i)))
+        left -= min(share[r.lang], r.n)
+    bound = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))]) if share else F.lit(None).cast("map<string,int>")
+    near = rest.select("lang", "key").withColumn("no", F.row_number().over(Window.partitionBy("lang").orderBy("key")))
+    last = near.where(F.col("no") <= docs_bound).where(F.col("no") <= bound[F.col("lang")]).groupBy("lang").agg(F.max("key").alias("last"))
+    low = F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " ")
+    top = rest.join(F.broadcast(last), "lang").where("key <= last").select("lang", "key", F.slice(words(low), 1, TRAIN_WORDS).alias("w"))
+    no = F.row_number().over(Window.partitionBy("lang").orderBy("key", "w"))  # repeated ids: no more than the bound
+    return top.withColumn("no", no).where(F.col("no") <= bound[F.col("lang")]).orderBy("key", "lang", "w").select("lang", "w")
 
 
 def held_out(id_col: Column) -> Column:
@@ -194,7 +202,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text", out: str = "la
     @F.pandas_udf("lang string, score double")
     def language(texts: pd.Series) -> pd.DataFrame:
         known, kept = shared.value
-        langs, findall = known["langs"], re.compile(pattern).findall
+        langs, findall = known["langs"], regex.compile(pattern).findall
         lang, score = np.array(["und"] * len(texts), dtype=object), np.zeros(len(texts))
         if langs:
             for lo in range(0, len(texts), 2048):  # bounds the word rows held at once

@@ -169,7 +169,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii", keep_tex
     """
     if out.lower() in (n.lower() for n in docs.columns):
         raise ValueError(f"column {out} exists")
-    names = fresh(docs, "row_", "base_", "cand_")
+    *names, hit_rid, add = fresh(docs, "row_", "base_", "cand_", "rid_", "add_")
     rid, base, cand = names
     d = scan(docs, text_col, names, keep_text)
     patterns = bootstrap(d, base, cand)
@@ -177,12 +177,12 @@ def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii", keep_tex
     no = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int") - 1
     hits = occ.join(patterns, "ctx").select("rid_", "s", "e", F.struct((-F.col("score")).alias("o"), no.alias("k")).alias("best"))
     hits = hits.groupBy("rid_", "s", "e").agg(F.min("best").alias("best"))
-    added = hits.groupBy("rid_").agg(F.collect_list(F.struct(F.col("best.k").alias("k"), "s", "e")).alias("add_"))
-    d = d.join(added, c(rid) == F.col("rid_"), "left")
+    added = hits.groupBy("rid_").agg(F.collect_list(F.struct(F.col("best.k").alias("k"), "s", "e")).alias(add)).withColumnRenamed("rid_", hit_rid)
+    d = d.join(added, c(rid) == c(hit_rid), "left")
     kind_no = lambda k: (F.array_position(F.array(*[F.lit(x) for x in KINDS]), k).cast("int") - 1)
     b = F.array_sort(F.transform(c(base), lambda x: F.struct(kind_no(x["kind"]).alias("k"), x["s"].alias("s"), x["e"].alias("e"))))
-    res = F.struct(b.alias("base"), F.array_sort(F.concat(b, F.coalesce(F.col("add_"), F.array().cast("array<struct<k:int,s:int,e:int>>")))).alias("spans"))
-    return d.withColumn(out, res).drop(rid, base, cand, "rid_", "add_")
+    res = F.struct(b.alias("base"), F.array_sort(F.concat(b, F.coalesce(c(add), F.array().cast("array<struct<k:int,s:int,e:int>>")))).alias("spans"))
+    return d.withColumn(out, res).drop(rid, base, cand, hit_rid, add)
 
 
 def span_text(spans: Column) -> Column:

@@ -47,6 +47,9 @@ WORD_RULES = [word_rule(*x.split()) for x in (
     "free followers", "payday loans")]
 
 
+ALWAYS = "*"  # stands for a token that all URLs have
+
+
 def host_of(url: Column) -> Column:
     """After the first :// up to / ? # or the end, A-Z lower-cased; empty for null and without ://."""
     return ascii_lower(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
@@ -70,14 +73,14 @@ def judge_urls(df: DataFrame, url_col: str, rules: list[Rule], out: str = "judge
     h, p, tk = fresh(df, "host_", "path_", "tokens_")
     url = c(url_col).cast("string")
     d = df.withColumn(h, host_of(url)).withColumn(p, path_of(url))
-    d = d.withColumn(tk, F.array_distinct(F.split(ascii_lower(F.concat(c(h), c(p))), "[^a-z0-9]+")))
+    d = d.withColumn(tk, F.array_distinct(F.concat(F.split(ascii_lower(F.concat(c(h), c(p))), "[^a-z0-9]+"), F.array(F.lit(ALWAYS)))))
     known = sorted({t for r in rules for t in r.tokens})
     named = F.from_json(F.lit(json.dumps(known)), "array<string>")
     counts = d.select(F.explode(F.array_intersect(c(tk), named)).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
     n = {r.t: r.n for r in counts.collect()}  # one row a rule token at most
     filed: dict[str, list] = {}
-    for r in rules:
-        rarest = min(r.tokens, key=lambda t: (n.get(t, 0), t))
+    for r in rules:  # a rule without a token runs on every URL
+        rarest = min(r.tokens, key=lambda t: (n.get(t, 0), t), default=ALWAYS)
         filed.setdefault(rarest, []).append(
             {"site": r.site, "size": len(r.name), "name": r.name, "verdict": r.verdict, "pattern": r.pattern})
     index = LiteralMap(filed, "array<struct<site:boolean,size:int,name:string,verdict:string,pattern:string>>")

@@ -262,7 +262,8 @@ def test_repeated_spans(spark):
     rows += [(30, f"{sentence(10)} {passage} {sentence(11)}"), (31, f"{passage} {sentence(11)}"), (32, sentence(8) + "\n" + passage), (33, passage + " " + passage),
              (40, None), (41, ""), (None, passage), (31, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("found_", F.lit(1)).withColumn("dup", F.lit(1))
-    out = spans.repeated_spans(df.drop("dup")).withColumn("left", spans.cut(F.col("text"), F.col("repeats.spans")))
+    df = df.withColumns({n: F.lit(1) for n in ("dup_rid", "dup_", "dup_row_", "rid", "h", "no", "first")})
+    out = spans.repeated_spans(df).withColumn("left", spans.cut(F.col("text"), F.col("repeats.spans")))
     got = {(r.doc_id, r.text): r for r in out.collect()}
     assert len(got) == len(rows)
     for (i, t), r in got.items():
@@ -270,7 +271,7 @@ def test_repeated_spans(spark):
             assert r.repeats.removed == 0 and r.left == t
         else:
             assert passage not in r.left and passage.split(". ")[2] not in r.left
-    assert spans.repeated_spans(df.limit(0).drop("dup")).count() == 0
+    assert spans.repeated_spans(df.limit(0)).count() == 0
 
 
 def test_passages_inside_sentences_short_runs_and_other_scripts_are_found(spark):
@@ -353,3 +354,51 @@ def test_pipeline_stages(spark):
     assert frames.where("not round_trip").count() == 0
     for _, stage in P.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_every_run_of_sentences_is_hashed(spark):
+    some = lambda n: " ".join(f"w{rng.getrandbits(40):x}" for _ in range(n)) + "."
+    short, mixed = [some(3) + " " + some(5) for _ in range(20)], [some(60) + " " + some(5) for _ in range(20)]
+    rows = [(i, f"{some(9)} {p} {some(9)}") for i, p in enumerate([*short, *mixed] * 2)] + [(None, short[0]), (None, some(7))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = spans.repeated_spans(df).withColumn("left", spans.cut(F.col("text"), F.col("repeats.spans"))).collect()
+    for r in got:
+        if r.doc_id is not None and r.doc_id < 40:
+            assert r.left == r.text
+        elif r.doc_id is not None:
+            assert r.repeats.removed == 2 and not any(p.split(". ")[1] in r.left for p in (*short, *mixed))
+    assert sorted(len(r.left) > 0 for r in got if r.doc_id is None) == [False, True]
+
+
+def test_near_copies_lose_no_document(spark):
+    body = lambda: " ".join(rng.choice(WORDS) for _ in range(60))
+    a, b, z = body(), body(), body()
+    rows = [(5, a), (5, b), (7, body()), (8, a), (None, b), (None, z), (None, z + " tail"), (None, z), (7, "other words altogether")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({n: F.lit("x") for n in ("row_hash", "keep_id", "keep_row", "row_mark", "comp", "fp")})
+    got = simhash.drop_near_copies(df)
+    assert got.columns == df.columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    comps = {r.comp for r in simhash.simhash_components(df).collect()}
+    assert len(kept) == len(comps) and {(5, a), (5, b)} <= set(kept) and (8, a) not in kept and (None, b) not in kept
+
+
+def test_urls_with_rules_without_tokens(spark):
+    df = spark.createDataFrame([("http://a.пример.рф/x",), ("http://b.org/",)], "url string")
+    rule = urls.site_rule("block", "пример.рф/")
+    got = urls.judge_urls(df, "url", [rule, *urls.WORD_RULES], "j").select("j.rule", "j.verdict").collect()
+    assert [tuple(r) for r in got] == [(rule.name, "block"), (None, "allow")]
+
+
+def test_names_of_pii_helpers_may_be_columns(spark):
+    df = spark.createDataFrame([(1, "a@b.org")], "doc_id bigint, text string").withColumns({n: F.lit(1) for n in ("rid_", "add_", "s", "e")})
+    assert [len(r.pii.spans) for r in pii.find_pii(df).collect()] == [1]
+
+
+def test_rare_languages_are_learned_and_numbers_are_no_letters(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rare = [(10**6 + i, " ".join(rng.choice(["qzik", "wqaz", "zzyq", "qwqx"]) for _ in range(80)), "zz") for i in range(8)]
+    model = langid.train(docs.unionByName(spark.createDataFrame(rare, docs.schema)))
+    assert "zz" in model["langs"]
+    odd = spark.createDataFrame([("½ ² ① Ⅷ",), ("qzik wqaz zzyq qwqx " * 9,)], "text string")
+    got = [r.language.lang for r in langid.predict(odd, model).collect()]
+    assert got == ["und", "zz"]
