@@ -28,6 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not ha
 
 DICTIONARY_WORDS = 50_000  # words folded by Spark for the broadcast dictionary
 MEMO_WORDS = 600_000  # words a Python worker remembers besides; it forgets them all when there are more
+TOGETHER = 48  # bytes up to which words are merged many at a time
 LONG_WORD = 256  # bytes from which a heap finds the lowest pair
 DICTIONARY_WORD_CHARS = 64  # longer words are not in the dictionary
 
@@ -75,17 +76,29 @@ def fold_word(ranks: LiteralMap, table: Column, raw: Column) -> Column:
 
 
 def distinct_words(docs: DataFrame, text_col: str) -> DataFrame:
-    """(word, n) over all documents."""
-    return docs.select(F.explode(pieces_of(c(text_col))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """(word, n) over all documents. Stretches between single spaces are counted first, and only distinct ones are matched;
+    stretches that touch longer white space can give words that no text has, which do no harm."""
+    parts = docs.select(F.explode(F.split(text_of(c(text_col)), " ")).alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    words = parts.select(F.explode(pieces_of(F.concat(F.lit(" "), F.col("part")))).alias("word"), "n")
+    return words.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def dictionary(docs: DataFrame, text_col: str, ranks: dict[bytes, int], limit: int = DICTIONARY_WORDS) -> dict[str, bytes]:
-    """Packed ids of the ``limit`` most frequent distinct words of the corpus, each folded once by Spark."""
+    """Packed ids of at most ``limit`` frequent distinct words of the corpus, each folded once by Spark: the words above the
+    lowest count that no more than ``limit`` words pass, read from a histogram of counts (powers of 1.1)."""
     top = distinct_words(docs, text_col).where((F.length("word") <= DICTIONARY_WORD_CHARS) & (F.col("n") > 1))
-    top = stored(top.orderBy(F.col("n").desc(), "word").limit(limit).select("word"), "bpe-words")
+    level = F.floor(F.log(1.1, F.col("n").cast("double"))).cast("int")
+    top = stored(top.select("word", level.alias("level")), "bpe-words")
+    held, least = 0, None
+    for r in sorted(top.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r.level):  # 460 levels at most
+        if held + r.n > limit:
+            break
+        held, least = held + r.n, r.level
+    if least is None:
+        return {}
     n, literal = top.sparkSession.sparkContext.defaultParallelism, LiteralMap(ranks, "int", "binary")
     ids = let(literal.table, lambda t: let(F.col("word").cast("binary"), lambda raw: fold_word(literal, t, raw)))
-    coded = top.repartition(n).select("word", ids.alias("ids"))
+    coded = top.where(F.col("level") >= least).select("word").repartition(n).select("word", ids.alias("ids"))
     return {r.word: pack(r.ids) for r in coded.toLocalIterator()}  # at most ``limit`` rows
 
 
@@ -134,6 +147,60 @@ def _merge_long(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[x] for x in part if x is not None]
 
 
+def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted keys of adjacent pieces as (left rank, right rank), rank of the merged piece, rank of each single byte)."""
+    keys, merged = [], []
+    for piece, rank in ranks.items():
+        for cut in range(1, len(piece)):
+            left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+            if left is not None and right is not None:
+                keys.append(left << 32 | right)
+                merged.append(rank)
+    keys, merged = np.array(keys, np.int64), np.array(merged, np.int64)
+    order = np.argsort(keys)
+    return keys[order], merged[order], np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+
+
+def merge_words(raws: list[bytes], table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[bytes]:
+    """Packed ids of words of like length by ranked merges, all words together: each step merges every word's lowest pair,
+    of equals the leftmost. No word is a piece by itself."""
+    keys, merged, single = table
+    none = np.int64(1 << 40)
+    size = np.fromiter(map(len, raws), np.int64, len(raws))
+    width = int(size.max()) + 1
+    part = np.full((len(raws), width), -1, np.int64)
+    part[np.arange(width) < size[:, None]] = single[np.frombuffer(b"".join(raws), np.uint8)]
+
+    def rank_of(left, right):
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where((keys[at] == key) & (left >= 0) & (right >= 0), merged[at], none)
+    pair = np.full((len(raws), width), none)
+    pair[:, :-1] = rank_of(part[:, :-1], part[:, 1:])
+    out: list = [b""] * len(raws)
+    which, column = np.arange(len(raws)), np.arange(width - 1)
+    while len(which):
+        at = pair.argmin(axis=1)
+        low = pair[np.arange(len(which)), at]
+        done = low == none
+        if done.any():
+            for i in np.flatnonzero(done).tolist():
+                out[which[i]] = part[i, :size[i]].astype("<u4").tobytes()
+            live = ~done
+            which, part, pair, size, at, low = which[live], part[live], pair[live], size[live], at[live], low[live]
+            if not len(which):
+                break
+        rows = np.arange(len(which))
+        part[:, :-1] = np.take_along_axis(part, column + (column > at[:, None]), axis=1)  # the right piece goes
+        pair[:, :-1] = np.take_along_axis(pair, column + (column >= at[:, None]), axis=1)
+        part[rows, at] = low
+        size -= 1
+        pair[rows, at] = rank_of(low, part[rows, at + 1])
+        inner = np.flatnonzero(at > 0)
+        pair[inner, at[inner] - 1] = rank_of(part[inner, at[inner] - 1], low[inner])
+    return out
+
+
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", limit: int = DICTIONARY_WORDS) -> DataFrame:
     """``docs`` with ``out``: the ids of every whole text, as the vocabulary at ``path`` encodes it without special
     tokens, packed as little-endian unsigned 32-bit integers (``unpack`` gives an array). Null and empty texts
@@ -144,36 +211,67 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
     ranks = read_ranks(path)
     context = docs.sparkSession.sparkContext
     # all of bounded size; the empty memo is filled by each Python worker for itself and outlives a task
-    known = context.broadcast((dictionary(docs, text_col, ranks, limit), ranks, {}))
+    known = context.broadcast((dictionary(docs, text_col, ranks, limit), ranks, pair_table(ranks), {}))
     pattern = PATTERN
 
     @F.pandas_udf("binary")
     def bpe_ids(texts: pd.Series) -> pd.Series:
-        words, ranks, kept = known.value
-        ids = kept.setdefault("ids", WordIds()).of(words, ranks).__getitem__
+        words, ranks, table, kept = known.value
+        memo = kept.setdefault("ids", WordIds())
         every, latin = regex.compile(pattern).findall, re.compile(LATIN_PATTERN).findall
         other = re.compile(NOT_LATIN).search
-        return pd.Series([b"".join(map(ids, (every if other(t) else latin)(t))) if t else b"" for t in texts], dtype=object)
-    return docs.withColumn(out, bpe_ids(c(text_col)))
+        done: list[bytes] = []
+        for part in text_parts(texts):
+            found = [(every if other(t) else latin)(t) if t else () for t in part]
+            memo.learn(set().union(*found), words, ranks, table)
+            done += [b"".join(map(memo.__getitem__, f)) for f in found]
+            memo.forget_long()
+        return pd.Series(done, dtype=object)
+    once = bpe_ids.asNondeterministic()  # ids that are also decoded are encoded once: Spark would put the call into both places
+    return docs.withColumn(out, once(c(text_col)))
+
+
+def text_parts(texts, chars: int = 1 << 20):
+    """Texts in lists of about so many characters."""
+    part, n = [], 0
+    for t in texts:
+        part.append(t)
+        n += len(t) if t else 0
+        if n >= chars:
+            yield part
+            part, n = [], 0
+    if part:
+        yield part
 
 
 class WordIds(dict):
     """word -> packed ids: the dictionary's words, and others as they come up, up to MEMO_WORDS."""
 
-    def of(self, words: dict[str, bytes], ranks: dict[bytes, int]) -> WordIds:
-        if not self:
-            self.update(words)
-        self.words, self.ranks = words, ranks
-        return self
-
-    def __missing__(self, word: str) -> bytes:
-        got = pack(merge_word(word.encode(), self.ranks))
-        if len(self) >= MEMO_WORDS:
+    def learn(self, found: set[str], words: dict[str, bytes], ranks: dict[bytes, int], table) -> None:
+        """Ids of all words of a part of the texts."""
+        self.long: list[str] = []
+        if not self or len(self) + len(found) > MEMO_WORDS:
             self.clear()
-            self.update(self.words)
-        if len(word) <= DICTIONARY_WORD_CHARS:
-            self[word] = got
-        return got
+            self.update(words)
+        sized: dict[int, list] = {}
+        for w in found - self.keys():
+            raw = w.encode()
+            if raw in ranks:
+                self[w] = pack([ranks[raw]])
+            elif len(raw) > TOGETHER:
+                self[w] = pack(merge_word(raw, ranks))
+                self.long.append(w)
+            else:
+                sized.setdefault(len(raw) + 3 >> 2, []).append((w, raw))
+        for group in sized.values():
+            for at in range(0, len(group), 1 << 13):
+                part = group[at:at + (1 << 13)]
+                for (w, _), ids in zip(part, merge_words([raw for _, raw in part], table), strict=True):
+                    self[w] = ids
+
+    def forget_long(self) -> None:
+        for w in self.long:
+            del self[w]
 
 
 def n_tokens(ids: Column) -> Column:
