@@ -7,8 +7,8 @@ its parse frequency. n-grams are counted inside the distinct chunks, weighted by
 chunk where it starts before the final trigger, so those inside an overlap count once. ``OVERLAP`` is the longest phrase
 less one word, so no phrase is cut.
 
-A phrase can only be as frequent as its parts. Words are counted first, then phrases of two words whose words are frequent,
-then of three whose pairs are, and so on. What is frequent goes to the tasks as a bitmap of fixed size over hashes: clashes
+A phrase can only be as frequent as its parts. Words are counted first, then pairs of frequent words, then longer phrases all
+of whose pairs are frequent. What is frequent goes to the tasks as a bitmap of fixed size over hashes: clashes
 only let more n-grams through to the exact count.
 """
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ MAX_WORDS = 4            # of a phrase
 OVERLAP = MAX_WORDS - 1  # words of a trigger
 TRIGGER = 64             # one window in so many is a trigger
 BITMAP_BITS = 26         # of a hash: 8 MB
-BATCH_WORDS = 1 << 19    # words counted together inside a task
+BATCH_WORDS = 3 << 18    # words counted together inside a task
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 STOPS = b".,;:!?\n\x0b\x0c\r"
 STOP = b"."              # a word can't hold it
@@ -81,9 +82,8 @@ def parse(docs: DataFrame, group: str, text: str, trigger: int = TRIGGER) -> Dat
         hashes = Hashes()
         groups, chunks, size = [], [], 0
         for b in batches:
-            for g, t in zip(b.column(0), b.column(1), strict=True):
-                g = g.as_py()
-                for x in chunks_of(words_and_stops(t.as_py()), hashes, trigger):
+            for at, g in enumerate(b.column(0).to_pylist()):
+                for x in chunks_of(words_and_stops(b.column(1)[at].as_py()), hashes, trigger):
                     groups.append(g)
                     chunks.append(x)
                     size += len(x)
@@ -95,90 +95,95 @@ def parse(docs: DataFrame, group: str, text: str, trigger: int = TRIGGER) -> Dat
     return d.mapInArrow(chunked, "grp string, chunk binary").groupBy("grp", "chunk").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _hashed(group: str, phrase: bytes) -> int:
-    return xxhash.xxh64_intdigest(phrase, xxhash.xxh64_intdigest(group.encode()))
-
-
-def _sums(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys, the number of each key among them, exact sums of weights)."""
-    found, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    order = np.argsort(inverse, kind="stable")
-    starts = np.searchsorted(inverse[order], np.arange(len(found)))
-    return where, inverse, np.add.reduceat(weight[order], starts) if len(found) else weight[:0]
-
-
-def _counted(group: str, chunks: list[bytes], weights: list[int], size: int, bitmap: np.ndarray | None) -> tuple[list[bytes], np.ndarray]:
-    """Phrases of ``size`` words in these chunks of one group, and their weighted counts. ``bitmap``: which phrases of one
-    word less are frequent; others can't be part of a frequent one."""
-    tokens = b" ".join(chunks).split()
-    lens = np.fromiter((x.count(b" ") + 1 for x in chunks), np.int64, len(chunks))
-    code: dict = {}
+def _places(group: str, hashes: np.ndarray, size: int, bits: int = BITMAP_BITS) -> np.ndarray:
+    """For each run of ``size`` words, given their hashes, its place in the bitmap."""
+    n = max(0, len(hashes) - size + 1)
+    with np.errstate(over="ignore"):
+        key = sum((hashes[j:j + n] * MIX[j % len(MIX)] for j in range(size)), np.full(n, xxhash.xxh64_intdigest(group.encode()), np.uint64))
+        key ^= key >> np.uint64(31)
+        key *= MIX[0]
+    return (key >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _numbered(ids: np.ndarray, places: np.ndarray, size: int, vocabulary: int) -> np.ndarray:
+    """A number for the words from each place on, equal where all ``size`` words are."""
+    keys, room = ids[places], vocabulary
+    for j in range(1, size):
+        if room * vocabulary >= 1 << 62:
+            keys = np.unique(keys, return_inverse=True)[1]
+            room = len(places) + 1
+        keys, room = keys * vocabulary + ids[places + j], room * vocabulary
+    return keys
+
+
+def _counted(group: str, chunks: list[bytes], weights: list[int], sizes: tuple[int, ...], known: int, bitmap: np.ndarray | None,
+             hashes: Hashes) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """(size, phrases, weighted counts) in these chunks of one group. ``bitmap``: which phrases of ``known`` words are
+    frequent; others can't be part of a frequent one."""
+    parts = [x.split() for x in chunks]
+    lens = np.fromiter(map(len, parts), np.int64, len(parts))
+    tokens = list(chain.from_iterable(parts))
+    code: dict = {STOP: 0}
     ids = np.fromiter((code.setdefault(t, len(code)) for t in tokens), np.int64, len(tokens))
-    vocabulary = list(code)
+    good = word = ids != 0
+    if known:
+        h = np.fromiter(map(hashes.__getitem__, code), np.uint64, len(code))[ids]
+        at = _places(group, h, known)
+        good = bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
     weight = np.repeat(np.array(weights, np.int64), lens)
-    ends = np.cumsum(lens)
-    starts_here = np.arange(len(ids)) < np.repeat(ends - OVERLAP, lens)  # before the final trigger
-    word = ids != code.get(STOP, -1)
-    part = lambda i, k: b" ".join(tokens[i:i + k])
-
-    def frequent(which: np.ndarray) -> np.ndarray:
-        at = np.fromiter((_hashed(group, x) >> 64 - BITMAP_BITS for x in which), np.int64, len(which))
-        return bitmap[at >> 3] >> (at & 7) & 1 == 1
-    k = max(size - 1, 1)
-    keys, ok = ids, word.copy()  # phrases of k words from each place, as numbers
-    for j in range(1, k):
-        ok[:len(ok) - j] &= word[j:]
-        ok[len(ok) - j:] = False
-        keys = np.unique(keys[:len(ids) - j] * (len(vocabulary) + 1) + ids[j:], return_inverse=True)[1]
-        keys = np.concatenate([keys, np.full(len(ids) - len(keys), -1)])
-    if size > 1:
+    inner = np.arange(len(ids)) < np.repeat(np.cumsum(lens) - OVERLAP, lens)  # starts before the final trigger
+    for size in sizes:
+        n = max(0, len(ids) - size + 1)
+        ok = inner[:n].copy()
+        for j in range(size):
+            ok &= word[j:j + n]
+        for j in range(size - known + 1 if known else 0):
+            ok &= good[j:j + n]
         places = np.flatnonzero(ok)
         if not len(places):
-            return [], weight[:0]
-        found, first, inverse = np.unique(keys[places], return_index=True, return_inverse=True)
-        good = np.zeros(len(ids) + 1, bool)
-        good[places] = frequent([part(i, k) for i in places[first].tolist()])[inverse]
-        ok = good[:-1] & good[1:]
-        keys = np.unique(keys[:-1] * (len(vocabulary) + 1) + ids[k:], return_inverse=True)[1] if k == 1 else _paired(keys)
-        keys = np.concatenate([keys, np.full(len(ids) - len(keys), -1)])
-    places = np.flatnonzero(ok & starts_here)
-    where, _, total = _sums(keys[places], weight[places])
-    return [part(i, size) for i in places[where].tolist()], total
-
-
-def _paired(keys: np.ndarray) -> np.ndarray:
-    """A number for each pair of consecutive phrases that overlap in all but a word."""
-    return np.unique(keys[:-1] * (keys.max() + 2) + keys[1:] + 1, return_inverse=True)[1]
-
-
-def count_phrases(dictionary: DataFrame, size: int, bitmap: bytes | None = None) -> DataFrame:
-    """(grp, phrase, f): weighted counts of the phrases of ``size`` words inside the distinct chunks."""
+            continue
+        keys = _numbered(ids, places, size, len(code))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        first = places[order[starts]].tolist()
+        yield size, [b" ".join(tokens[i:i + size]) for i in first] if size > 1 else [tokens[i] for i in first], np.add.reduceat(weight[places][order], starts)
+
+
+def count_phrases(dictionary: DataFrame, sizes: tuple[int, ...], known: int = 0, bitmap: bytes | None = None) -> DataFrame:
+    """(grp, phrase, words, f): weighted counts of the phrases of these sizes inside the distinct chunks, as far as all their
+    parts of ``known`` words are in the bitmap."""
     held = dictionary.sparkSession.sparkContext.broadcast(bitmap)
-    schema = pa.schema([("grp", pa.string()), ("phrase", pa.binary()), ("f", pa.int64())])
+    schema = pa.schema([("grp", pa.string()), ("phrase", pa.binary()), ("words", pa.int32()), ("f", pa.int64())])
 
     def counted(batches):
         bits = None if held.value is None else np.frombuffer(held.value, np.uint8)
-        kept: dict = {}
+        hashes, kept = Hashes(), {}
 
         def flush(g):
             chunks, weights, _ = kept.pop(g)
-            phrases, total = _counted(g, chunks, weights, size, bits)
-            for at in range(0, len(phrases), 1 << 17):
-                part = phrases[at:at + (1 << 17)]
-                yield pa.RecordBatch.from_arrays([pa.array([g] * len(part), pa.string()), pa.array(part, pa.binary()),
-                                                  pa.array(total[at:at + (1 << 17)], pa.int64())], schema=schema)
+            for size, phrases, total in _counted(g, chunks, weights, sizes, known, bits, hashes):
+                for at in range(0, len(phrases), 1 << 17):
+                    part = phrases[at:at + (1 << 17)]
+                    yield pa.RecordBatch.from_arrays([pa.array([g] * len(part), pa.string()), pa.array(part, pa.binary()), pa.array([size] * len(part), pa.int32()),
+                                                      pa.array(total[at:at + (1 << 17)], pa.int64())], schema=schema)
+        held_words = 0
         for b in batches:
             for g, chunk, n in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 mine = kept.setdefault(g, [[], [], 0])
                 mine[0].append(chunk)
                 mine[1].append(n)
-                mine[2] += chunk.count(b" ") + 1
-                if sum(x[2] for x in kept.values()) > BATCH_WORDS:
-                    yield from flush(max(kept, key=lambda x: kept[x][2]))
+                size_ = chunk.count(b" ") + 1
+                mine[2] += size_
+                held_words += size_
+                if held_words > BATCH_WORDS:  # the group with the most words goes
+                    most = max(kept, key=lambda x: kept[x][2])
+                    held_words -= kept[most][2]
+                    yield from flush(most)
         for g in list(kept):
             yield from flush(g)
-    rows = dictionary.select("grp", "chunk", "n").mapInArrow(counted, "grp string, phrase binary, f bigint")
-    return rows.groupBy("grp", "phrase").agg(F.sum("f").alias("f"))
+    rows = dictionary.select("grp", "chunk", "n").mapInArrow(counted, "grp string, phrase binary, words int, f bigint")
+    return rows.groupBy("grp", "phrase", "words").agg(F.sum("f").alias("f"))
 
 
 def bitmap_of(frequent: DataFrame, bits: int = BITMAP_BITS) -> bytes:
@@ -187,10 +192,11 @@ def bitmap_of(frequent: DataFrame, bits: int = BITMAP_BITS) -> bytes:
     schema = pa.schema([("part", pa.int32()), ("bits", pa.binary())])
 
     def mapped(batches):
-        mine: dict = {}
+        hashes, mine = Hashes(), {}
         for b in batches:
             for g, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                at = _hashed(g, p) >> 64 - bits
+                words = p.split(b" ")
+                at = int(_places(g, np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), len(words), bits)[0])
                 if at >> piece not in mine:
                     mine[at >> piece] = bytearray(1 << piece - 3)
                 mine[at >> piece][(at & (1 << piece) - 1) >> 3] |= 1 << (at & 7)
@@ -210,13 +216,12 @@ def bitmap_of(frequent: DataFrame, bits: int = BITMAP_BITS) -> bytes:
 def frequent_phrases(docs: DataFrame, group: str = "lang", text: str = "text", least: int = 30, trigger: int = TRIGGER) -> tuple[DataFrame, DataFrame]:
     """((grp, phrase, words, f) of all phrases of 1 to ``MAX_WORDS`` words with f >= ``least``, (grp, n): words a group)."""
     dictionary = stored(parse(docs, group, text, trigger), "phrases-dictionary")
-    single = stored(count_phrases(dictionary, 1), "phrases-words")
+    single = stored(count_phrases(dictionary, (1,)), "phrases-words")
     totals = single.groupBy("grp").agg(F.sum("f").alias("n"))
     levels = [single.where(F.col("f") >= least)]
-    for size in range(2, MAX_WORDS + 1):
-        levels.append(stored(count_phrases(dictionary, size, bitmap_of(levels[-1])).where(F.col("f") >= least), f"phrases-{size}"))
-    every = reduce(DataFrame.unionByName, [x.withColumn("words", F.lit(k)) for k, x in enumerate(levels, 1)])
-    return every.withColumn("phrase", F.col("phrase").cast("string")), totals
+    for known, sizes in ((1, (2,)), (2, tuple(range(3, MAX_WORDS + 1)))):
+        levels.append(stored(count_phrases(dictionary, sizes, known, bitmap_of(levels[-1])).where(F.col("f") >= least), f"phrases-{sizes[0]}"))
+    return reduce(DataFrame.unionByName, levels).withColumn("phrase", F.col("phrase").cast("string")), totals
 
 
 def collocations(docs: DataFrame, group: str = "lang", text: str = "text", least: int = 30, share: int = 80, top: int = 2000,

@@ -34,8 +34,10 @@ def test_every_phrase_is_in_one_chunk(trigger):
             parts = Counter(tuple(w[i:i + k]) for w in (x.split(b" ") for x in chunks) for i in range(len(w) - P.OVERLAP))
             assert every == parts
             if chunks:
-                got, total = P._counted("en", chunks, [3] * len(chunks), k, np.full(1 << P.BITMAP_BITS - 3, 255, np.uint8) if k > 1 else None, hashes)
-                assert dict(zip(got, total.tolist(), strict=True)) == {b" ".join(p): 3 * n for p, n in every.items() if P.STOP not in p and len(p) == k}
+                bits = np.full(1 << P.BITMAP_BITS - 3, 255, np.uint8)
+                got = {p: n for known in (0, 1, 2)[:k] for _, ps, total in P._counted("en", chunks, [3] * len(chunks), (k,), known, bits, hashes)
+                       for p, n in zip(ps, total.tolist(), strict=True)}
+                assert got == {b" ".join(p): 3 * n for p, n in every.items() if P.STOP not in p and len(p) == k}
 
 
 @pytest.mark.parametrize("trigger,batch", [(3, 50), (64, P.BATCH_WORDS)])
