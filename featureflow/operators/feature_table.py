@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -57,17 +57,22 @@ def feature_table_spec(spark: SparkSession, name: str) -> FeatureTableSpec:
                             props.get("featureflow.description", ""))
 
 
-def _one_per_key(updates: DataFrame, keys: list[str], order_col: str | None) -> DataFrame:
-    """One row a key: the newest by ``order_col``, of equals (or without it) the largest row."""
+def one_per_key(updates: DataFrame, keys: Sequence[str], order_col: str | None = None) -> DataFrame:
+    """One row a key: the newest by ``order_col``, of equals (or without it) the largest row. Ranked with
+    ``row_number = 1``: a hot key is cut to one row in every task before the shuffle."""
     rest = [c for c in updates.columns if c not in keys]
     if not rest:
         return updates.distinct()
-    first = [order_col] if order_col else []
-    order = F.struct(*[F.col(c) for c in first + [c for c in rest if c not in first]])
-    return updates.groupBy(*keys).agg(F.max(order).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    first = [order_col] if order_col in rest else []
+    order = [F.desc_nulls_last(c) for c in first + [c for c in rest if c not in first]]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    name = "_rank"
+    while name in updates.columns:
+        name = "_" + name
+    return updates.withColumn(name, rank).where(F.col(name) == 1).select(*updates.columns)
 
 
-def merge_features(target: DataFrame, updates: DataFrame, keys: Sequence[str], order_col: str | None = None) -> DataFrame:
+def merge_features(target: DataFrame, updates: DataFrame, keys: Sequence[str], order_col: str | None = None, unique: bool = False) -> DataFrame:
     """Upsert ``updates`` into ``target`` on ``keys``.
 
     * matched key: columns present in ``updates`` take the update's value (also a
@@ -77,10 +82,10 @@ def merge_features(target: DataFrame, updates: DataFrame, keys: Sequence[str], o
     One full outer join: each side is shuffled once on the key. Idempotent:
     merging the same updates twice gives the same table. Updates are reduced to one row
     a key first and null keys match each other, so a key never gets a second row. With
-    ``order_col`` a stored row that is newer than its update stays.
+    ``order_col`` a stored row that is newer than its update stays. ``unique``: the updates have one row a key already.
     """
     keys = list(keys)
-    updates = _one_per_key(updates, keys, order_col)
+    updates = updates if unique else one_per_key(updates, keys, order_col)
     t_cols = [c for c in target.columns if c not in keys]
     u_cols = [c for c in updates.columns if c not in keys]
     t = target.select(*keys, F.struct(*t_cols).alias("_t"), F.lit(True).alias("_tp"))
@@ -242,7 +247,7 @@ def upsert_table(spark: SparkSession, updates: DataFrame, keys: Sequence[str] |
     keys = stored_keys or keys  # in the stored order, which the bucket depends on
     if not known:
         _write_meta(spark, path, n_buckets, keys)
-    upd = _one_per_key(updates, keys, order_col).withColumn(BUCKET_COL, key_bucket(keys, n_buckets))
+    upd = one_per_key(updates, keys, order_col).withColumn(BUCKET_COL, key_bucket(keys, n_buckets))
     current = read_feature_table(spark, path) if known else None
     if current is None:
         merged = upd
@@ -253,7 +258,7 @@ def upsert_table(spark: SparkSession, updates: DataFrame, keys: Sequence[str] |
         if not touched:
             return
         cur = current.where(F.col(BUCKET_COL).isin(touched))
-        merged = merge_features(cur, upd, [*keys, BUCKET_COL], order_col)
+        merged = merge_features(cur, upd, [*keys, BUCKET_COL], order_col, unique=True)
     # the partitions being replaced are also being read: materialise first
     merged = materialize(merged)
     (merged.hint("rebalance", BUCKET_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

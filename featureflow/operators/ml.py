@@ -21,7 +21,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -282,24 +282,31 @@ def score_batch(df: DataFrame, model: PipelineModel | ScoringModel, keep: Sequen
     return scored.select("_in.*", "score", shown.alias("prediction"))
 
 
-def score_linear(df: DataFrame, weights: Mapping[str, float], bias: float = 0.0, threshold: float = 0.5) -> DataFrame:
-    """L6 with fixed weights: logistic score as a native expression (SQL-checkable)."""
+def linear_margin(weights: Mapping[str, float], bias: float = 0.0) -> Column:
+    """bias + sum of weight x column; nulls count as zero."""
     z = F.lit(bias)
     for c, w in weights.items():
         z = z + F.lit(w) * F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+    return z
+
+
+def score_linear(df: DataFrame, weights: Mapping[str, float], bias: float = 0.0, threshold: float = 0.5) -> DataFrame:
+    """L6 with fixed weights: logistic score as a native expression (SQL-checkable)."""
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-linear_margin(weights, bias)))
     return df.withColumns({"score": p, "prediction": (p > threshold).cast("int")})
 
 
 @dataclass
 class LinearModel:
-    """``score_linear`` with its weights, where a fitted model is expected."""
+    """``score_linear`` with its weights, where a fitted model is expected; ``margin`` adds a column of that name."""
     weights: Mapping[str, float]
     bias: float = 0.0
     threshold: float = 0.5
+    margin: bool = False
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return score_linear(df, self.weights, self.bias, self.threshold)
+        scored = score_linear(df, self.weights, self.bias, self.threshold)
+        return scored.withColumn("margin", linear_margin(self.weights, self.bias)) if self.margin else scored
 
 
 BUCKET_ROWS = 100_000  # rows that are permuted among themselves, about
