@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from featureflow.functions import columns as C
+from featureflow.operators import asof_ranges as AR
 from featureflow.operators import clean as CL
 from featureflow.operators import explain as EX
 from featureflow.operators import ml as ML
@@ -19,6 +20,8 @@ from featureflow.plans.queries import _t
 from featureflow.plans.queries_ml import LINEAR_B, LINEAR_W, _labeled
 from featureflow.plans.registry import ORACLES, query
 from featureflow.session import materialize, scratch_path
+from featureflow.streaming import asof as SA
+from featureflow.streaming import streams as ST
 
 W = S.with_
 r4 = C.round_metric
@@ -96,3 +99,48 @@ def q_row_explanations(spark, d):
     background = EX.background_rows(CL.split_of(data, "train"), list(LINEAR_W), "customer_id")
     out = EX.shapley_values(CL.split_of(data, "validate").drop("split"), model, list(LINEAR_W), "customer_id", background, "margin")
     return out.select("customer_id", "column", *[r4(c).alias(c) for c in ("value", "output", "base")])
+
+
+@query("pit_lookup_hot", """
+WITH r AS (SELECT o_orderkey, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey END AS k, o_totalprice,
+                  CASE WHEN o_custkey % 3 = 0 THEN TIMESTAMP '2000-01-01 00:00:00' + to_seconds(o_orderkey % 3600) ELSE o_orderdate END AS ts FROM orders),
+f AS (SELECT k, ts, max(o_orderkey) AS feature_order, arg_max(o_totalprice, o_orderkey) AS price FROM r WHERE o_orderkey % 2 = 0 GROUP BY ALL),
+l AS (SELECT o_orderkey, k, ts FROM r WHERE o_orderkey % 2 = 1)
+SELECT l.o_orderkey, l.k, l.ts, f.feature_order, f.price FROM l ASOF LEFT JOIN f ON l.k = f.k AND l.ts >= f.ts""")
+def q_pit_lookup_hot(spark, d):
+    """As-of lookup where one key has a third of all rows, all of them within an hour."""
+    o = _t(spark, d).orders
+    hot = F.col("o_custkey") % 3 == 0
+    at = (F.lit(dt.datetime(2000, 1, 1)) + F.make_dt_interval(secs=F.col("o_orderkey") % 3600)).cast("timestamp_ntz")
+    r = o.select("o_orderkey", F.when(hot, 0).otherwise(F.col("o_custkey")).cast("long").alias("k"), "o_totalprice",
+                 F.when(hot, at).otherwise(F.col("o_orderdate").cast("timestamp_ntz")).alias("ts"))
+    features = r.where("o_orderkey % 2 = 0").select("k", "ts", F.col("o_orderkey").alias("feature_order"), F.col("o_totalprice").alias("price"))
+    return AR.lookup_asof_ranges(r.where("o_orderkey % 2 = 1").select("o_orderkey", "k", "ts"), features, ["k"], "ts", tie_breakers=["feature_order"])
+
+
+@query("stream_score_asof", f"""
+WITH l AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+f AS (SELECT user_id, ts, arg_max(value, event_id) AS value FROM events WHERE event_type = 'click' GROUP BY ALL),
+j AS (SELECT l.*, f.value FROM l ASOF LEFT JOIN f ON l.user_id = f.user_id AND l.ts >= f.ts),
+w AS (SELECT (epoch_ms(max(ts)) - 3600000) * 1000 AS us FROM events WHERE event_type IN ('purchase', 'click'))
+SELECT event_id, user_id, ts, value, {S.r4('1.0 / (1.0 + exp(-(-1.0 + 0.02 * coalesce(value, 0))))')} AS score
+FROM j, w WHERE epoch_us(ts) < w.us""")
+def q_stream_score_asof(spark, d):
+    """Purchases scored on a stream with the value of the user's last click, landed and processed in six steps."""
+    events = _t(spark, d).events.select("event_id", "ts", "user_id", "event_type", "value").where("event_type IN ('purchase', 'click')")
+    src, out, ck = (scratch_path(spark, n) for n in ("events_asof", "stream_asof", "ck_asof"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        return spark.createDataFrame([], "event_id bigint, user_id bigint, ts timestamp_ntz, value double, score double")
+    model = ML.LinearModel({"value": 0.02}, -1.0)
+    steps = 6
+    cuts = [first + (last - first) * i / steps for i in range(steps)] + [last + dt.timedelta(microseconds=1)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        bound = lambda x: F.lit(x).cast("timestamp_ntz")
+        events.where((F.col("ts") >= bound(a)) & (F.col("ts") < bound(b))).write.mode("append").parquet(src)
+        stream = ST.read_stream(spark, src, events.schema, max_files=None)
+        clicks = stream.where("event_type = 'click'").select("user_id", "ts", F.col("event_id").alias("click_id"), "value")
+        bought = stream.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+        joined = SA.stream_asof(bought, clicks, ["user_id"], "ts", "ts", ["value"], "1 hour", ["click_id"])
+        ST.stream_score(joined, lambda s: model.transform(s).select("event_id", "user_id", "ts", "value", r4("score").alias("score")), out, ck)
+    return spark.read.parquet(out)
