@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from featureflow.functions import columns as C
 from featureflow.operators import asof_ranges as AR
 from featureflow.operators import clean as CL
+from featureflow.operators import drift_windows as DW
 from featureflow.operators import explain as EX
 from featureflow.operators import ml as ML
+from featureflow.operators import rollup as RU
 from featureflow.operators import versioned as VT
 from featureflow.plans import fixtures as FX
 from featureflow.plans import queries_clean as QC
@@ -144,3 +146,70 @@ def q_stream_score_asof(spark, d):
         joined = SA.stream_asof(bought, clicks, ["user_id"], "ts", "ts", ["value"], "1 hour", ["click_id"])
         ST.stream_score(joined, lambda s: model.transform(s).select("event_id", "user_id", "ts", "value", r4("score").alias("score")), out, ck)
     return spark.read.parquet(out)
+
+
+@query("profile_rollup", f"""
+WITH b AS (SELECT date_trunc('day', ts) AS w, event_type, CAST(value AS DOUBLE) AS value, CAST(user_id AS DOUBLE) AS user_id FROM events),
+u AS (SELECT w, event_type, 'value' AS column_name, value AS x FROM b UNION ALL SELECT w, event_type, 'user_id', user_id FROM b),
+p AS (SELECT w, event_type, column_name, count(*) AS count, count(*) - count(x) AS num_nulls, {S.r6(S.r6('sum(x)') + ' / count(x)')} AS mean,
+             {S.r6('stddev_samp(x)')} AS stddev, min(x) AS min, max(x) AS max
+      FROM u GROUP BY GROUPING SETS ((w, event_type, column_name), (w, column_name)))
+SELECT w AS window_start, coalesce(event_type, '*') AS event_type, column_name, count, num_nulls, mean, stddev, min, max, true AS sketches_fit FROM p""")
+def q_profile_rollup(spark, d):
+    """Days, by type and of all types, from stored states of hours. ``sketches_fit``: the distinct count is within 10 % of
+    the exact one (six standard errors) and the median's rank within 5 % of a half."""
+    events = _t(spark, d).events
+    path = scratch_path(spark, "profile_states")
+    RU.profile_states(events, "ts", "1 hour", ["value", "user_id"], ["event_type"]).write.parquet(path)
+    states = spark.read.parquet(path)
+    days = RU.roll_up(states, "1 day", ["event_type"])
+    every = days.unionByName(RU.roll_up(states, "1 day").withColumn("event_type", F.lit("*")))
+    p = RU.profile_of(every, {"median": 0.5})
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start")
+    x = F.explode(F.create_map(F.lit("value"), F.col("value").cast("double"), F.lit("user_id"), F.col("user_id").cast("double"))).alias("column_name", "x")
+    rows = events.select(day, F.explode(F.array("event_type", F.lit("*"))).alias("event_type"), "value", "user_id").select("window_start", "event_type", x)
+    rows = rows.join(p.select("window_start", "event_type", "column_name", "median"), ["window_start", "event_type", "column_name"])
+    exact = rows.groupBy("window_start", "event_type", "column_name").agg(
+        F.count_distinct("x").alias("d"), F.avg((F.col("x") < F.col("median")).cast("int")).alias("under"), F.avg((F.col("x") <= F.col("median")).cast("int")).alias("upto"))
+    fit = (F.abs(F.col("num_distinct_approx") - F.col("d")) <= 0.1 * F.col("d") + 1) & (F.col("under") <= 0.55) & (F.col("upto") >= 0.45)
+    return p.join(exact, ["window_start", "event_type", "column_name"]).select(
+        "window_start", "event_type", "column_name", "count", "num_nulls", "mean", "stddev", "min", "max", fit.alias("sketches_fit"))
+
+
+_DRIFT_ROWS = """
+e AS (SELECT date_trunc('day', ts) AS w, CASE WHEN day(ts) = 10 AND event_type = 'signup' THEN 'brand new' WHEN day(ts) = 20 AND event_type = 'error' THEN NULL
+             ELSE event_type END AS c FROM events WHERE day(ts) <> 15),
+h AS (SELECT w, c, count(*) AS n FROM e GROUP BY ALL)"""
+
+
+def _drift_sql(kind: str, refs: str) -> str:
+    """``refs``: a table (w, c, m) of each window's reference."""
+    return f"""
+SELECT w AS window_start, '{kind}' AS drift_type, any_value(total) AS count, {S.r6('sum(abs(p - q)) / 2')} AS tv_distance,
+       {S.r6('greatest(sum((CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2), 0)')} AS js_divergence,
+       {S.r6('sum((greatest(p, 1e-4) - greatest(q, 1e-4)) * ln(greatest(p, 1e-4) / greatest(q, 1e-4)))')} AS psi,
+       count(*) FILTER (WHERE q = 0) AS new_categories, count(*) FILTER (WHERE p = 0) AS gone_categories
+FROM (SELECT coalesce(a.w, r.w) AS w, t.total, coalesce(a.n, 0) / t.total AS p, coalesce(r.m, 0) / rt.total AS q
+      FROM h a FULL JOIN ({refs}) r ON a.w = r.w AND a.c IS NOT DISTINCT FROM r.c
+      JOIN t ON t.w = coalesce(a.w, r.w) JOIN (SELECT w, sum(m) AS total FROM ({refs}) GROUP BY w) rt ON rt.w = coalesce(a.w, r.w)) GROUP BY w"""
+
+
+@query("drift_over_windows", f"""
+WITH {_DRIFT_ROWS},
+t AS (SELECT w, sum(n)::BIGINT AS total FROM h GROUP BY w),
+pv AS (SELECT w, lag(w) OVER (ORDER BY w) AS prev FROM t),
+days AS (SELECT unnest(generate_series((SELECT min(w) FROM t), (SELECT max(w) FROM t), INTERVAL 1 DAY)) AS w),
+m AS ({_drift_sql('consecutive', 'SELECT pv.w, x.c, x.n AS m FROM pv JOIN h x ON x.w = pv.prev')}
+UNION ALL {_drift_sql('baseline', "SELECT t.w, x.c, x.m FROM t, (SELECT c, sum(n) AS m FROM h WHERE w < TIMESTAMP '2024-01-08 00:00:00' GROUP BY c) x")})
+SELECT days.w AS window_start, k.drift_type, coalesce(t.total, 0) AS count, tv_distance, js_divergence, psi, new_categories, gone_categories
+FROM days CROSS JOIN (SELECT unnest(['consecutive', 'baseline']) AS drift_type) k
+LEFT JOIN t ON t.w = days.w LEFT JOIN m ON m.window_start = days.w AND m.drift_type = k.drift_type""")
+def q_drift_over_windows(spark, d):
+    """Daily drift of the event type, with a day of a new category, one of null categories and one without rows."""
+    e, day = _t(spark, d).events, F.dayofmonth("ts")
+    kind = F.when((day == 10) & (F.col("event_type") == "signup"), "brand new").when((day == 20) & (F.col("event_type") == "error"), F.lit(None)).otherwise(F.col("event_type"))
+    path = scratch_path(spark, "window_histogram")
+    DW.window_histogram(e.where(day != 15), "ts", "1 day", kind).write.parquet(path)
+    hist = spark.read.parquet(path)
+    baseline = hist.where(F.col("window_start") < F.lit(dt.datetime(2024, 1, 8)).cast("timestamp_ntz")).select("category", "n")
+    return DW.drift_over_windows(hist, "1 day", baseline)
