@@ -27,7 +27,7 @@ from featureflow.llm.common import LiteralMap, c, let, stored, text_of
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
 
 DICTIONARY_WORDS = 50_000  # words folded by Spark for the broadcast dictionary
-MEMO_WORDS = 600_000  # words a Python worker remembers besides; it forgets them all when there are more
+MEMO_WORDS = 300_000  # words a Python worker remembers besides; it forgets them all when there are more
 TOGETHER = 48  # bytes up to which words are merged many at a time
 LONG_WORD = 256  # bytes from which a heap finds the lowest pair
 DICTIONARY_WORD_CHARS = 64  # longer words are not in the dictionary
