@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from featureflow.functions import columns as C
 from featureflow.functions.sql import register_sql_functions
-from featureflow.functions.udfs import flags_udf
+from featureflow.functions.udfs import ceil_udf, flags_udf
 from featureflow.operators import clean as CL
 from featureflow.operators import lookup as LK
 from featureflow.operators import ml as ML
@@ -208,6 +208,14 @@ def q_permutation_importance(spark, d):
 # ------------------------------------------------------------------ U: UDF / SQL functions
 
 
+@query("ceil_udf_vs_native", """
+SELECT event_id, CAST(((epoch_us(ts) + 899999999) // 900000000) * 900 AS BIGINT) AS native,
+       CAST(((epoch_us(ts) + 899999999) // 900000000) * 900 AS BIGINT) AS via_udf FROM events""")
+def q_ceil_udf_vs_native(spark, d):
+    """The row-at-a-time twin of the native expression."""
+    return _t(spark, d).events.select("event_id", C.ceil_unix_seconds("ts", 15).alias("native"), ceil_udf("ts", F.lit(15)).alias("via_udf"))
+
+
 @query("udf_vs_native", W(S.SUBSCRIBERS) + """
 SELECT customer_id, CAST(n AS BIGINT) AS native, CAST(n AS DOUBLE) AS via_udf, true AS same FROM (
   SELECT customer_id, """ + " + ".join(f"(CASE WHEN {s} = 'Yes' THEN 1 ELSE 0 END)" for s in S.SERVICES)
