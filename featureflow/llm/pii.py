@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from featureflow.llm.common import c, fresh, stored, text_of
+from featureflow.llm.common import c, fresh, let, stored, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -62,32 +62,85 @@ def _checked(kind: str):
     return lambda x: _valid(kind, x["m"])
 
 
-SPAN = "array<struct<s:int,e:int,m:string>>"
+SPAN = "struct<s:int,e:int,m:string,b:string>"  # start, end, match, the text just before it
+CHUNK = 128   # items whose results one array grows by before it is put aside: a fold copies what it has at every step
+BLOCK = 1024  # code points of a piece of text that a cut reads
+
+
+def _fold(items: Column, state: dict[str, Column], step, kind: str) -> Column:
+    """The array of what ``step(state, item) -> (next state, output)`` puts out for one item after the other, ``kind`` its
+    type. The items are folded chunk by chunk, so long arrays take time in proportion to their length."""
+    def put(st, out):
+        return F.struct(*[st[k].alias(k) for k in state], out.alias("out"))
+
+    def one(a, x):
+        st, out = step(a, x)
+        return put(st, F.concat(a["out"], F.array(out)))
+
+    def chunk(part, a):
+        return F.aggregate(part, put(a, F.array().cast(f"array<{kind}>")), one)
+
+    def whole(it):
+        start = put(state, F.array().cast(f"array<array<{kind}>>"))
+        at = F.sequence(F.lit(1), F.size(it), F.lit(CHUNK))
+        return F.flatten(F.aggregate(at, start, lambda a, i: let(chunk(F.slice(it, i, F.lit(CHUNK)), a), lambda r: put(r, F.concat(a["out"], F.array(r["out"])))),
+                                     lambda a: a["out"]))
+    return let(items, lambda it: F.when(F.size(it) > 0, whole(it)).otherwise(F.array().cast(f"array<{kind}>")))
+
+
+def _tail(*parts: Column) -> Column:
+    return F.substring(F.concat(*parts), -CONTEXT_CHARS, CONTEXT_CHARS)
 
 
 def _spans(text: Column, rx: str, found: Column, keep) -> Column:
-    """Spans (s, e, m) in code points of the matches ``found`` of ``rx``: the gaps between the matches
-    (the text split by the expression) give the offsets."""
+    """Spans (s, e, m, b) in code points of the matches ``found`` of ``rx``: the gaps between the matches (the text split by
+    the expression) give the offsets and the text before each."""
+    def step(a, x):
+        s = a["at"] + F.length(x["g"])
+        e = s + F.length(x["m"])
+        before = _tail(a["tail"], x["g"])
+        return {"at": e, "tail": _tail(a["tail"], x["g"], x["m"])}, F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"), before.alias("b"))
     gaps = F.split(text, rx, -1)
-    step = lambda a, x: F.struct(
-        (a["at"] + F.length(x["g"]) + F.length(x["m"])).alias("at"),
-        F.concat(a["out"], F.array(F.struct((a["at"] + F.length(x["g"])).alias("s"), (a["at"] + F.length(x["g"]) + F.length(x["m"])).alias("e"),
-                                            x["m"].alias("m")))).alias("out"))
     pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("g"), found.alias("m"))
-    folded = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")), step, lambda a: a["out"])
-    return F.when(F.size(found) > 0, F.filter(folded, keep)).otherwise(F.array().cast(SPAN))
+    folded = _fold(pairs, {"at": F.lit(0), "tail": F.lit("")}, step, SPAN)
+    return F.when(F.size(found) > 0, F.filter(folded, keep)).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def _apart(spans: Column, others: Column) -> Column:
+    """Those of ``spans`` that overlap none of ``others``: both are sorted by start and walked forth, keeping how far others
+    reach, and back, keeping where the next one starts."""
+    row = "struct<s:int,c:int,e:int,m:string,b:string,ok:boolean>"
+    none = F.lit(None).cast("string")
+
+    def rows(col, no, m, b):
+        return F.transform(col, lambda x: F.struct(x["s"].alias("s"), F.lit(no).alias("c"), x["e"].alias("e"), m(x).alias("m"), b(x).alias("b"),
+                                                   F.lit(True).alias("ok")))
+
+    def marked(x, ok):
+        return F.struct(*[x[k].alias(k) for k in ("s", "c", "e", "m", "b")], (x["ok"] & ((x["c"] == 0) | ok)).alias("ok"))
+    both = F.array_sort(F.concat(rows(others, 0, lambda x: none, lambda x: none), rows(spans, 1, lambda x: x["m"], lambda x: x["b"])))
+    forth = _fold(both, {"reach": F.lit(0)}, lambda a, x: (
+        {"reach": F.when(x["c"] == 0, F.greatest(a["reach"], x["e"])).otherwise(a["reach"])}, marked(x, a["reach"] <= x["s"])), row)
+    back = _fold(F.reverse(forth), {"next": F.lit(2**31 - 1)}, lambda a, x: (
+        {"next": F.when(x["c"] == 0, x["s"]).otherwise(a["next"])}, marked(x, a["next"] >= x["e"])), row)
+    free = F.transform(F.filter(F.reverse(back), lambda x: (x["c"] == 1) & x["ok"]),
+                       lambda x: F.struct(*[x[k].alias(k) for k in ("s", "e", "m", "b")]))
+    return F.when((F.size(spans) > 0) & (F.size(others) > 0), free).otherwise(spans)
 
 
 def _norm(words: Column) -> Column:
     return F.regexp_replace(F.lower(words), "[0-9]", "0")
 
 
-def _patterns(text: Column, start: Column) -> Column:
-    """Left-context patterns before a code point position: the last word, and the last two words. A word cut
-    by the window's edge is no pattern; the text's start is the word ^."""
-    before = F.substring(text, F.greatest(F.lit(1), start + 1 - CONTEXT_CHARS), F.least(start, F.lit(CONTEXT_CHARS)))
+def _patterns(before: Column, start: Column) -> Column:
+    """Left-context patterns of a code point position from the text before it (its last CONTEXT_CHARS): the last word, and
+    the last two words. A word cut by the window's edge is no pattern; the text's start is the word ^."""
     w = F.split(F.concat(F.when(start < CONTEXT_CHARS, F.lit("^ ")).otherwise(F.lit("")), before), r"[\x20\x09-\x0D]+")
     w = F.filter(w, lambda x: x != "")
+    return let(w, lambda v: _last_words(v, start))
+
+
+def _last_words(w: Column, start: Column) -> Column:
     one = F.when((F.size(w) >= 2) | (start < CONTEXT_CHARS), F.element_at(w, -1))
     two = F.when((F.size(w) >= 3) | ((F.size(w) == 2) & (start < CONTEXT_CHARS)),
                  F.concat(F.get(w, F.size(w) - 2), F.lit(" "), F.get(w, F.size(w) - 1)))
@@ -113,7 +166,7 @@ def scan(docs: DataFrame, text_col: str, prefix: list[str], keep_text: bool = Tr
         d = d.withColumn(s, _spans(t, BASE[k], c(m), _checked(k)))
     for rx, m, s in zip((TOKEN, GROUP), found[-2:], spans[-2:], strict=True):
         d = d.withColumn(s, _spans(t, rx, c(m), lambda x: F.lit(True)))
-    ctx = lambda x: _patterns(t, x["s"]).alias("ctx")
+    ctx = lambda x: _patterns(x["b"], x["s"]).alias("ctx")
 
     def named(kind):
         return lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), ctx(x))
@@ -122,17 +175,17 @@ def scan(docs: DataFrame, text_col: str, prefix: list[str], keep_text: bool = Tr
 
     def trimmed(lead_rx):
         def trim(x):
-            lead = F.length(x["m"]) - F.length(F.regexp_replace(x["m"], lead_rx, ""))
-            core = F.regexp_replace(F.regexp_replace(x["m"], lead_rx, ""), EDGE[EDGE.index("|") + 1:], "")
+            core = F.regexp_replace(x["m"], lead_rx, "")
+            lead = F.length(x["m"]) - F.length(core)
+            core = F.regexp_replace(core, EDGE[EDGE.index("|") + 1:], "")
             at = x["s"] + lead
-            return F.struct(at.alias("s"), (at + F.length(core)).alias("e"), core.alias("m"))
+            return F.struct(at.alias("s"), (at + F.length(core)).alias("e"), core.alias("m"), _tail(x["b"], F.substring(x["m"], F.lit(1), lead)).alias("b"))
         return trim
     long = lambda x: (F.length(F.regexp_replace(x["m"], "[^0-9]", "")) >= MIN_DIGITS) | x["m"].contains("@")
-    apart = lambda x, others: ~F.exists(others, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-    free = lambda col, rx: F.filter(F.filter(F.transform(col, trimmed(rx)), long), lambda x: apart(x, c(base)))
+    free = lambda col, rx: _apart(F.filter(F.transform(col, trimmed(rx)), long), c(base))
     d = d.withColumn(spans[-1], free(c(spans[-1]), LEAD))
-    tok = F.filter(free(c(spans[-2]), EDGE[:EDGE.index("|")]), lambda x: apart(x, c(spans[-1])))  # a group is one candidate
-    free = F.concat(c(spans[-1]), tok)
+    d = d.withColumn(spans[-2], free(c(spans[-2]), EDGE[:EDGE.index("|")]))
+    free = F.concat(c(spans[-1]), _apart(c(spans[-2]), c(spans[-1])))  # a group is one candidate
     d = d.withColumn(cand, F.transform(free, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), ctx(x))))
     d = d.drop(*found, *spans) if keep_text else d.drop(*found, *spans, text_col)
     return stored(d.withColumn(rid, F.monotonically_increasing_id()), "pii-scan")
@@ -197,10 +250,16 @@ def redact(text: Column, spans: Column) -> Column:
     t = text_of(text)
     order = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
 
-    def step(a, x):
-        piece = F.concat(F.substring(t, a["at"] + 1, x["s"] - a["at"]), F.get(tags, x["k"]))
-        return F.when(x["s"] >= a["at"], F.struct(x["e"].alias("at"), F.concat(a["out"], F.array(piece)).alias("out"))).otherwise(
-            F.struct(F.greatest(a["at"], x["e"]).alias("at"), a["out"].alias("out")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate(order, start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(t, a["at"] + 1, F.length(t))))
+    def cut(blocks, lo, hi):  # code points lo to hi, read from their blocks alone
+        first = F.floor(lo / BLOCK).cast("int")
+        n = F.greatest(F.lit(0), F.ceil(hi / BLOCK).cast("int") - first)
+        return F.substring(F.array_join(F.slice(blocks, first + 1, n), ""), lo - first * BLOCK + 1, F.greatest(F.lit(0), hi - lo))
+
+    def replaced(blocks):
+        def step(a, x):
+            piece = F.when(x["s"] >= a["at"], F.concat(cut(blocks, a["at"], x["s"]), F.get(tags, x["k"]))).otherwise(F.lit(""))
+            return {"at": F.greatest(a["at"], x["e"])}, piece
+        return F.array_join(_fold(order, {"at": F.lit(0)}, step, "string"), "")
+    last = F.array_max(F.transform(spans, lambda x: x["e"]))
+    done = F.concat(let(F.regexp_extract_all(t, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), replaced), F.substring(t, last + 1, F.length(t)))
     return F.when(F.size(spans) > 0, done).otherwise(text)
