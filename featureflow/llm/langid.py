@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import sys
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,36 +18,46 @@ import regex
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from featureflow.llm.common import c, fresh, text_of, words
+from featureflow.llm.common import c, let, text_of, words
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
 
 TRAIN_DOCS = 3000     # labelled documents that the model is fitted on, at most, over the labels in equal shares
 TRAIN_LABELS = 300    # (at least 10 a label, so many labels at most: those of the most documents), the first by a hash of their id,
-TRAIN_WORDS = 400     # and words of each: the bounds of the training sample
+TRAIN_WORDS = 400     # and words of each, the bounds of the training sample: a longer text gives stretches of STRETCH words
+STRETCH = 20          # that lie evenly from its first word to its last
 SPACE = 1 << 17       # hashed features
-MAX_GRAMS = 16        # features of a word: longer words keep the trigrams of their ends
+PIECE = 1 << 16       # features that are summed at a time
 STEPS, BATCH, LENGTH = 600, 64, 40
 GROUP = 256           # texts of like length that go through forward-backward together
 MEMO_WORDS = 800_000  # words whose features a Python worker remembers
 WORD = regex.compile(r"\p{L}+")
 
 
-def word_features(word: str) -> list[int]:
-    """Hashed ids: the word, affixes of one to three characters, trigrams with word ends."""
+def word_features(word: str) -> Iterator[list[int]]:
+    """Hashed ids, at most PIECE at a time: the word, affixes of one to three characters, all trigrams with word ends."""
     w = f"^{word}$"
     names = ["w" + word, *[f"p{word[:n]}" for n in (1, 2, 3)], *[f"s{word[-n:]}" for n in (1, 2, 3)]]
-    grams = [w[i:i + 3] for i in range(len(w) - 2)]
-    room = MAX_GRAMS - len(names)
-    if len(grams) > room:
-        grams = grams[: room // 2] + grams[-(room - room // 2):]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % SPACE for x in names + grams]
-
-
-def _padded(found: list[list[int]]) -> np.ndarray:
-    out = np.full((len(found), MAX_GRAMS), SPACE, np.int64)  # row SPACE of the weights stays zero
-    for i, f in enumerate(found):
-        out[i, : len(f)] = f
+    for lo in range(0, len(w) - 2, PIECE):
+        grams = [w[i:i + 3] for i in range(lo, min(lo + PIECE, len(w) - 2))]
+        yield [zlib.crc32(x.encode("utf-8", "surrogatepass")) % SPACE for x in (names + grams if lo == 0 else grams)]
+
+
+def word_scores(found: list[str], emit: np.ndarray) -> np.ndarray:
+    """Label scores (words, L): the sums of the words' feature weights."""
+    out = np.zeros((len(found), emit.shape[1]), emit.dtype)
+    flat, rows, starts = [], [], []
+
+    def flush():
+        np.add.at(out, rows, np.add.reduceat(emit[flat], starts, axis=0))
+        flat.clear(), rows.clear(), starts.clear()
+    for i, word in enumerate(found):
+        for piece in word_features(word):
+            rows.append(i), starts.append(len(flat)), flat.extend(piece)
+            if len(flat) >= PIECE:
+                flush()
+    if rows:
+        flush()
     return out
 
 
@@ -79,19 +90,19 @@ def forward_backward(emit: np.ndarray, step: np.ndarray, size: np.ndarray, pairs
 
 
 def fit(samples: list[tuple[str, list[str]]], seed: int = 7) -> dict:
-    """Weights from (language, words) samples: {langs, emit (SPACE + 1, L), step (L, L)}. Training sequences join
+    """Weights from (language, words) samples: {langs, emit (SPACE, L), step (L, L)}. Training sequences join
     stretches of 4 to 20 words of random samples, so transitions see both staying and switching."""
     langs = sorted({lang for lang, w in samples if w})
     n = len(langs)
-    model = {"langs": langs, "emit": np.zeros((SPACE + 1, max(n, 1)), np.float32), "step": np.zeros((max(n, 1),) * 2, np.float32)}
+    model = {"langs": langs, "emit": np.zeros((SPACE, max(n, 1)), np.float32), "step": np.zeros((max(n, 1),) * 2, np.float32)}
     if n < 2:
         return model
     vocab: dict[str, int] = {}
     by = {k: [np.array([vocab.setdefault(x, len(vocab)) for x in w]) for lang, w in samples if lang == lang_k and w]
           for k, lang_k in enumerate(langs)}
-    grams, rng = _padded([word_features(w) for w in vocab]), np.random.default_rng(seed)
-    emit, step = np.zeros((SPACE + 1, n)), np.zeros((n, n))
-    seen, seen_step = np.full((SPACE + 1, n), 1e-3), np.full((n, n), 1e-3)
+    grams, rng = [np.array([i for piece in word_features(w) for i in piece]) for w in vocab], np.random.default_rng(seed)
+    emit, step = np.zeros((SPACE, n)), np.zeros((n, n))
+    seen, seen_step = np.full((SPACE, n), 1e-3), np.full((n, n), 1e-3)
     for _ in range(STEPS):
         ids, gold = np.zeros((BATCH, LENGTH), np.int64), np.zeros((BATCH, LENGTH), np.int64)
         for b in range(BATCH):
@@ -103,17 +114,17 @@ def fit(samples: list[tuple[str, list[str]]], seed: int = 7) -> dict:
                 start = int(rng.integers(len(doc) - size + 1))
                 ids[b, at:at + size], gold[b, at:at + size] = doc[start:start + size], k
                 at += size
-        f = grams[ids]                                              # (B, T, F)
-        e = emit[f].sum(axis=2).transpose(1, 0, 2)
+        f = [grams[w] for w in ids.ravel()]
+        sizes, f = np.array([len(x) for x in f]), np.concatenate(f)
+        e = np.add.reduceat(emit[f], np.cumsum(sizes) - sizes, axis=0).reshape(BATCH, LENGTH, n).transpose(1, 0, 2)
         expected = np.zeros((n, n))
         p = forward_backward(e, step, np.full(BATCH, LENGTH), expected).transpose(1, 0, 2)
         grad = np.eye(n)[gold] - p
-        flat = np.repeat(grad.reshape(-1, n), MAX_GRAMS, axis=0)
-        g = np.stack([np.bincount(f.reshape(-1), flat[:, k], SPACE + 1) for k in range(n)], axis=1) / BATCH
+        flat = np.repeat(grad.reshape(-1, n), sizes, axis=0)
+        g = np.stack([np.bincount(f, flat[:, k], SPACE) for k in range(n)], axis=1) / BATCH
         pair = -expected
         np.add.at(pair, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), 1.0)
         pair /= BATCH
-        g[SPACE] = 0
         seen += g * g
         emit += 0.3 * g / np.sqrt(seen)
         seen_step += pair * pair
@@ -122,9 +133,16 @@ def fit(samples: list[tuple[str, list[str]]], seed: int = 7) -> dict:
     return model
 
 
+def _stretches(w: Column) -> Column:
+    n = TRAIN_WORDS // STRETCH
+    start = lambda i: F.floor(i * (F.size(w) - STRETCH) / (n - 1)).cast("int") + 1
+    some = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.slice(w, start(i), F.lit(STRETCH))))
+    return F.when(F.size(w) <= TRAIN_WORDS, w).otherwise(some)
+
+
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, docs_bound: int = TRAIN_DOCS) -> DataFrame:
-    """(lang, w): about ``docs_bound`` labelled documents outside the held-out part, TRAIN_WORDS words of each. Rows without
-    a label, an id or a text take no part; repeated ids and rows stay within their label's bound."""
+    """(lang, w): about ``docs_bound`` labelled documents outside the held-out part, TRAIN_WORDS words of each, from all over
+    its text. Rows without a label, an id or a text take no part; repeated ids and rows stay within their label's bound."""
     key = F.xxhash64(c(id_col).cast("string"))
     ok = c(lang_col).isNotNull() & c(id_col).isNotNull() & ~held_out(c(id_col)) & c(text_col).isNotNull()
     rest = docs.where(ok).select(c(lang_col).cast("string").alias("lang"), key.alias("key"), c(text_col).alias("text"))
@@ -137,7 +155,7 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     near = rest.select("lang", "key").withColumn("no", F.row_number().over(Window.partitionBy("lang").orderBy("key")))
     last = near.where(F.col("no") <= docs_bound).where(F.col("no") <= bound[F.col("lang")]).groupBy("lang").agg(F.max("key").alias("last"))
     low = F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " ")
-    top = rest.join(F.broadcast(last), "lang").where("key <= last").select("lang", "key", F.slice(words(low), 1, TRAIN_WORDS).alias("w"))
+    top = rest.join(F.broadcast(last), "lang").where("key <= last").select("lang", "key", let(words(low), _stretches).alias("w"))
     no = F.row_number().over(Window.partitionBy("lang").orderBy("key", "w"))  # repeated ids: no more than the bound
     return top.withColumn("no", no).where(F.col("no") <= bound[F.col("lang")]).orderBy("key", "lang", "w").select("lang", "w")
 
@@ -164,9 +182,8 @@ class WordScores(dict):
         if not self:
             self.table = np.zeros((0, emit.shape[1]), np.float32)
         parts = [self.table[: len(self)]]
-        parts += [emit[_padded([word_features(w) for w in new[at:at + 4096]])].sum(axis=1) for at in range(0, len(new), 4096)]
         first = len(self)
-        self.table = np.concatenate(parts)
+        self.table = np.concatenate([*parts, word_scores(new, emit)])
         self.update(zip(new, range(first, first + len(new)), strict=True))
 
 

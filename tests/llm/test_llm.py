@@ -402,3 +402,48 @@ def test_rare_languages_are_learned_and_numbers_are_no_letters(spark):
     odd = spark.createDataFrame([("½ ² ① Ⅷ",), ("qzik wqaz zzyq qwqx " * 9,)], "text string")
     got = [r.language.lang for r in langid.predict(odd, model).collect()]
     assert got == ["und", "zz"]
+
+
+def test_pii_long_texts_take_time_in_proportion(spark):
+    n = 3000  # more than one chunk of a fold, more than one block of a cut
+    text = " ".join(f"mail ü{i} u{i}@ex.org no {10000 + i}" for i in range(n))
+    r = pii.find_pii(spark.createDataFrame([(text,)], "text string"), "text", "p").select(
+        pii.span_text(F.col("p.base")).alias("b"), pii.redact(F.col("text"), F.col("p.spans")).alias("t"), F.size("p.spans").alias("n")).first()
+    assert r.b == ",".join(f"{k}:{a}:{e}" for k, a, e in B.pii(text))
+    assert r.t == " ".join(f"mail ü{i} <EMAIL> no {10000 + i}" for i in range(n)) and r.n == n
+
+
+def test_pii_candidates_apart_from_base_spans(spark):
+    spans = [(2 * i * 7 % 101, 2 * i * 7 % 101 + 1 + i % 9) for i in range(40)]
+    others = [(i * 13 % 97, i * 13 % 97 + 1 + i % 4) for i in range(12)]
+    df = spark.createDataFrame([(spans, others), (spans, []), ([], others), ([], [])], "a array<struct<s:int,e:int>>, b array<struct<s:int,e:int>>")
+    full = lambda n: F.transform(n, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit("m").alias("m"), F.lit("b").alias("b")))
+    got = df.select(pii._apart(full("a"), full("b")).alias("x"), "a", "b").collect()
+    for r in got:
+        assert sorted((x.s, x.e) for x in r.x) == sorted((x.s, x.e) for x in r.a if not any(y.s < x.e and x.s < y.e for y in r.b))
+
+
+def test_pii_redaction_of_overlapping_spans(spark):
+    text = "x" * 1500 + "é" * 1500 + "y"
+    spans = [(0, 1020, 1030), (1, 1025, 2100), (2, 2100, 2101), (3, 2990, 3001)]
+    df = spark.createDataFrame([(text, spans), (text, []), ("", [])], "text string, s array<struct<k:int,s:int,e:int>>")
+    got = [r[0] for r in df.select(pii.redact(F.col("text"), F.col("s"))).collect()]
+    assert got == [text[:1020] + "<EMAIL><CARD>" + text[2101:2990] + "<PHONE>", text, ""]
+
+
+def test_training_words_come_from_all_over_a_text(spark):
+    long = " ".join(f"{'abcdefghij'[i // 1000]}{'klmnopqrst'[i // 100 % 10]}" for i in range(10000))
+    rows = [(i, long if i < 8 else "kurz und gut", "xx" if i < 8 else "de") for i in range(40)]
+    got = [r.w for r in langid.training_sample(spark.createDataFrame(rows, "doc_id int, text string, lang string"), "doc_id", "text", "lang").collect()]
+    every = [w for w in got if len(w) == langid.TRAIN_WORDS]
+    assert every and all({x[0] for x in w} == set("abcdefghij") and w[0] == "ak" and w[-1] == "jt" for w in every)
+    assert all(w == ["kurz", "und", "gut"] for w in got if len(w) != langid.TRAIN_WORDS)
+
+
+def test_all_trigrams_of_long_words_count():
+    rng = np.random.default_rng(0)
+    emit = rng.normal(size=(langid.SPACE, 3))
+    found = ["a", "straße", "x" * 30, "".join(rng.choice(list("abcdef"), 150_000))]
+    plain = [sum(emit[i] for piece in langid.word_features(w) for i in piece) for w in found]
+    assert np.allclose(langid.word_scores(found, emit), plain)
+    assert [sum(len(p) for p in langid.word_features(w)) for w in found] == [7 + len(w) for w in found]
