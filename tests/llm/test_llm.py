@@ -255,6 +255,25 @@ def test_nearest(spark):
     assert ann.nearest(small, small.limit(1)).count() == 2 and ann.nearest(small.limit(0), small.limit(0)).count() == 0
 
 
+def test_collisions_decide_who_is_verified():
+    """Directions without contrast, the hardest case: few vectors are compared, and a known bound needs one round."""
+    x = np.random.default_rng(3).standard_normal((2000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    free, bound, hit, kept = ann.Block(np.arange(2000), x), ann.Block(np.arange(2000), x), 0, 0
+    for q in range(0, 2000, 100):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        want = set(np.argsort(d)[:10].tolist())
+        hit += len(want & set(free.search(x[q], q, 10)[0].tolist()))
+        kept += len(want & set(bound.search(x[q], q, 10, float(np.sort(d)[9]))[0].tolist()))
+    assert hit >= 180 and kept >= 180
+    assert free.verified < 0.2 * 20 * 2000 and bound.verified < 0.2 * 20 * 2000
+    rows = np.sort(np.random.default_rng(4).integers(0, 9, (5, 33)).astype(float), axis=1)
+    for at in (-1.0, 0.0, 3.0, 3.5, 8.0, 9.0):
+        for after in (False, True):
+            assert ann._places(rows, np.full(5, at), after).tolist() == [int(np.searchsorted(r, at, "right" if after else "left")) for r in rows]
+
+
 def test_repeated_spans(spark):
     sentence = lambda n: " ".join(rng.choice(WORDS) for _ in range(n)).capitalize() + "."
     passage = " ".join(sentence(12) for _ in range(5))
