@@ -153,6 +153,47 @@ def test_mixing(spark):
     assert mixing.mix(df.limit(0), out="m").count() == 0
 
 
+def test_mixing_dual(spark):
+    """Rates against the dual solved by plain bisection in numpy: every source meets its target, the length multiplier
+    is shared by all sources, and the mix's words lie in texts about as long as the corpus's."""
+    g = np.random.default_rng(5)
+    rows = [(s, k, int(g.integers(1, 40)), float(round(g.integers(1, 40) * 2.0 ** (k / 4)))) for s, lo, hi in
+            (("a", 2, 20), ("b", 10, 40), ("c", 5, 6), (None, 0, 30), ("e", 30, 44)) for k in range(lo, hi)]
+    groups = spark.createDataFrame(rows, "source string, class int, n bigint, words double")
+    sums = groups.groupBy("source").agg(F.sum("words").cast("long").alias("source_size"))
+    sums = sums.unionByName(spark.createDataFrame([("zero", 0)], sums.schema))
+    targets = mixing.source_targets(sums)
+    got = mixing.solve_rates(groups, targets).select("source", "target", F.explode("classes").alias("k")).select("source", "target", "k.*").collect()
+    w, k = np.array([r.words for r in got]), np.array([r["class"] for r in got], float)
+    mean = (w * k).sum() / w.sum()
+    x = (k - mean) / np.sqrt((w * (k - mean) ** 2).sum() / w.sum())
+
+    def rates(mu):
+        out = np.zeros(len(got))
+        for s in {r.source for r in got}:
+            at = np.array([r.source == s for r in got])
+            t, lo, hi = got[int(np.argmax(at))].target, -60.0, 60.0
+            for _ in range(200):
+                mid = (lo + hi) / 2
+                lo, hi = (mid, hi) if (w[at] * np.minimum(3, np.exp(mid + mu * x[at]))).sum() < t else (lo, mid)
+            out[at] = np.minimum(3, np.exp(hi + mu * x[at]))
+        return out
+    lo, hi = -5.0, 5.0
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if -mixing.PENALTY * w.sum() * mid - (w * rates(mid) * x).sum() > 0 else (lo, mid)
+    want, flat = rates(lo), rates(0.0)
+    assert np.allclose([r.rate for r in got], want, rtol=1e-6)
+    assert abs((w * want * x).sum()) < 0.3 * abs((w * flat * x).sum()) and np.abs(want - flat).max() > 0.05
+
+
+def test_mixing_tells_rows_apart_by_all_columns(spark):
+    rows = [(1, "s", "same words here", i) for i in range(40)] + [(2, "t", "other " * 300, 0)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string, extra int")
+    runs = [sorted(map(tuple, mixing.mix(df.repartition(n), out="m").select("extra", "m.copies", "source").collect())) for n in (1, 5)]
+    assert runs[0] == runs[1]
+
+
 def test_bpe(spark):
     enc = B.tokenizer(Q.VOCABULARY)
     got = bpe.encode(frame(spark), Q.VOCABULARY, "text", "ids", limit=20)
