@@ -75,7 +75,7 @@ def weighted_f1(df: DataFrame, label: str = "label", pred: str = "prediction",
     per_pred = cm.groupBy(*g, F.col(pred).alias("cls")).agg(F.sum("n").alias("predicted"))
     per = join_null_safe(per_true, per_pred, [*g, "cls"], "left")
     f1 = _safe_div(2 * F.col("tp"), F.col("support") + F.coalesce(F.col("predicted"), F.lit(0)))
-    out = per.groupBy(*g).agg((F.sum(f1 * F.col("support")) / F.sum("support")).alias("weighted_f1"))
+    out = per.groupBy(*g).agg(F.try_divide(F.sum(f1 * F.col("support")), F.sum("support")).alias("weighted_f1"))
     if digits is not None:
         out = out.withColumn("weighted_f1", round_metric("weighted_f1", digits))
     return out
@@ -119,6 +119,12 @@ def _attach_totals(df: DataFrame, g: DataFrame, gc: list[str], aggs: dict[str, C
 QUANTILE_BUCKETS, MOST_BUCKETS = 64, 1024  # per group: as many as shuffle partitions, within these bounds
 
 
+def _cuts_below(cuts: str, n: int, x: Column) -> Column:
+    """How many of a row's ``n`` sorted cuts lie below x: a bisection, log2(n) comparisons a row."""
+    halves = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
+    return F.aggregate(halves, F.lit(0), lambda at, by: F.when(F.get(F.col(cuts), at + by - 1) < x, at + by).otherwise(at))
+
+
 def running_sums(g: DataFrame, group_cols: Sequence[str], order_col: str, value_cols: Sequence[str],
                  descending: bool = False, inclusive: bool = True, n_buckets: int | None = None,
                  buckets: str = "quantile") -> DataFrame:
@@ -140,8 +146,9 @@ def running_sums(g: DataFrame, group_cols: Sequence[str], order_col: str, value_
     if buckets == "quantile":
         n = n_buckets or max(QUANTILE_BUCKETS, min(MOST_BUCKETS, int(g.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
         probs = [i / n for i in range(1, n)]
-        gb = _attach_totals(g, g, gc, {"_cuts": F.percentile_approx(x, probs, 10 * n)})
-        b = F.size(F.filter(F.col("_cuts"), lambda c: c < x))  # cuts below the value: monotone in x
+        seen = F.when(F.col(value_cols[0]).isNotNull(), x)  # reads what the sums read, so that both share one exchange
+        gb = _attach_totals(g, g, gc, {"_cuts": F.percentile_approx(seen, probs, 10 * n)})
+        b = _cuts_below("_cuts", n - 1, x)  # monotone in x
         gb = gb.withColumn("_b", (F.lit(n - 1) - b if descending else b).cast("int")).drop("_cuts")
     else:
         n = n_buckets or N_BUCKETS
@@ -191,15 +198,16 @@ def pr_curve(df: DataFrame, score: str = "score", label: str = "label", positive
 def roc_auc(df: DataFrame, score: str = "score", label: str = "label", positive=1,
             group_cols: Sequence[str] = (), digits: int | None = 4) -> DataFrame:
     """Area under the ROC curve = P(score+ > score-) + 0.5 P(tie) (rank-sum form)."""
-    gc = list(group_cols)
-    g = score_counts(df, score, label, positive, gc)
+    return _auc(score_counts(df, score, label, positive, group_cols), list(group_cols), digits)
+
+
+def _auc(g: DataFrame, gc: list[str], digits: int | None) -> DataFrame:
     rs = running_sums(g, gc, "score", ["neg"], descending=False, inclusive=False)
     part = rs.groupBy(*gc).agg(
         F.sum(F.col("pos") * (F.col("cum_neg") + F.lit(0.5) * F.col("neg"))).alias("_u"),
         F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     auc = _safe_div(F.col("_u"), F.col("_P") * F.col("_N"))
-    out = part.select(*gc, (round_metric(auc, digits) if digits is not None else auc).alias("auc"))
-    return out
+    return part.select(*gc, (round_metric(auc, digits) if digits is not None else auc).alias("auc"))
 
 
 def _clamped(score: str, eps: float) -> Column:
@@ -220,16 +228,19 @@ def metrics_by_split(df: DataFrame, split: str = "split", score: str = "score",
                      pred: str = "prediction", positive=1, digits: int = 4, eps: float = 1e-15) -> DataFrame:
     """Per split: counts, accuracy/precision/recall/F1, weighted F1, log-loss, AUC.
 
-    One grouped pass to (split, label, prediction) gives every count-based metric and the
-    log-loss; the AUC reads the rows per distinct score. A null split is a split of its own;
-    null scores take no part in log-loss and AUC.
+    The rows are read and shuffled once, to counts per (split, score, label, prediction); count-based metrics, log-loss
+    and AUC all start from those, over a shared exchange. A null split is a split of its own; null scores take no part
+    in log-loss and AUC.
     """
     g = [split]
-    p = _clamped(score, eps)
+    base = df.groupBy(F.col(split), F.col(score).cast("double").alias("_score"), F.col(label), F.col(pred)).agg(F.count(F.lit(1)).alias("_c"))
+    p = _clamped("_score", eps)
     y = F.coalesce(F.col(label) == F.lit(positive), F.lit(False))
-    term = -F.when(y, F.log(p)).otherwise(F.log(F.lit(1.0) - p))
-    cells = df.groupBy(*g, label, pred).agg(F.count(F.lit(1)).alias("_n"), F.sum(term).alias("_ll"),
-                                            F.count(term).alias("_nll"))
+    term = -F.when(y, F.log(p)).otherwise(F.log(F.lit(1.0) - p)) * F.col("_c")
+    known = F.when(F.col("_score").isNotNull(), F.col("_c")).otherwise(0)  # no filter: it would part the two plans below the exchange
+    cells = base.groupBy(*g, label, pred).agg(F.sum("_c").alias("_n"), F.sum(term).alias("_ll"), F.sum(known).alias("_nll"))
+    per_score = base.groupBy(*g, F.col("_score").alias("score")).agg(
+        F.sum(F.when(y, known).otherwise(0)).alias("pos"), F.sum(F.when(y, 0).otherwise(known)).alias("neg"))
     yy = F.coalesce(F.col(label) == F.lit(positive), F.lit(False))
     pp = F.coalesce(F.col(pred) == F.lit(positive), F.lit(False))
     counts = cells.groupBy(*g).agg(
@@ -237,12 +248,12 @@ def metrics_by_split(df: DataFrame, split: str = "split", score: str = "score",
         F.sum(F.when(~yy & pp, F.col("_n")).otherwise(0)).alias("fp"),
         F.sum(F.when(yy & ~pp, F.col("_n")).otherwise(0)).alias("fn"),
         F.sum(F.when(~yy & ~pp, F.col("_n")).otherwise(0)).alias("tn"),
-        (F.sum("_ll") / F.sum("_nll")).alias("_log_loss"))
+        F.try_divide(F.sum("_ll"), F.sum("_nll")).alias("_log_loss"))
     out = _with_rates(counts, digits).withColumn("log_loss", round_metric("_log_loss", digits)).drop("_log_loss")
-    wf = weighted_f1(cells.where(F.col(label).isNotNull()).select(*g, label, pred, "_n"), label, pred, g,
-                     digits, count_col="_n")
+    labelled = F.when(F.col(label).isNotNull(), F.col("_n")).otherwise(0)  # no filter here either
+    wf = weighted_f1(cells.select(*g, label, pred, labelled.alias("_n")), label, pred, g, digits, count_col="_n")
     out = join_null_safe(out, wf, g, "left")
-    out = join_null_safe(out, roc_auc(df, score, label, positive, g, digits), g, "left")
+    out = join_null_safe(out, _auc(per_score, g, digits), g, "left")
     return out
 
 

@@ -216,6 +216,15 @@ def _steps_col(h: Column, spec: Steps) -> Column:
     return (F.lit(spec.lo) + (h % n) * F.lit(spec.step)).cast(spec.dtype)
 
 
+def generate_rows(spark: SparkSession, rows: int, specs: Mapping[str, Choice | Steps | Template | TimeSteps], key: str = "id",
+                  seed: int = 42, first: int = 0) -> DataFrame:
+    """S12 by a row count: ``rows`` keys from ``first`` on, dealt over the cluster by ``spark.range``. A row depends on its key
+    and the seed alone, so a longer table begins with the shorter one and parts can be made apart."""
+    if rows < 0:
+        raise ValueError("rows must not be negative")
+    return generate_table(spark.range(first, first + rows).withColumnRenamed("id", key), key, specs, seed)
+
+
 def generate_table(ids: DataFrame, key: str, specs: Mapping[str, Choice | Steps | Template | TimeSteps],
                    seed: int = 42) -> DataFrame:
     """Add synthetic columns to a keyed frame (weighted choices, stepped ranges,
