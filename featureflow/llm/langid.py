@@ -18,13 +18,14 @@ import regex
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from featureflow.llm.common import c, let, text_of, words
+from featureflow.llm.common import c, let, stored, text_of, words
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
 
 TRAIN_DOCS = 3000     # labelled documents that the model is fitted on, at most, over the labels in equal shares
 TRAIN_LABELS = 300    # (at least 10 a label, so many labels at most: those of the most documents), the first by a hash of their id,
 TRAIN_WORDS = 400     # and words of each, the bounds of the training sample: a longer text gives stretches of STRETCH words
+HASH_BITS = 16        # of the hash bins that the sample is cut by
 STRETCH = 20          # that lie evenly from its first word to its last
 SPACE = 1 << 17       # hashed features
 PIECE = 1 << 16       # features that are summed at a time
@@ -142,22 +143,29 @@ def _stretches(w: Column) -> Column:
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, docs_bound: int = TRAIN_DOCS) -> DataFrame:
     """(lang, w): about ``docs_bound`` labelled documents outside the held-out part, TRAIN_WORDS words of each, from all over
-    its text. Rows without a label, an id or a text take no part; repeated ids and rows stay within their label's bound."""
+    its text. Rows without a label, an id or a text take no part; rows of one id and label count once, with the smallest text.
+
+    The first documents by a hash of their id are found from a label's histogram of hashes, so a label's window task sees
+    about as many rows as it gives, however many documents and repeated rows the label has."""
     key = F.xxhash64(c(id_col).cast("string"))
     ok = c(lang_col).isNotNull() & c(id_col).isNotNull() & ~held_out(c(id_col)) & c(text_col).isNotNull()
     rest = docs.where(ok).select(c(lang_col).cast("string").alias("lang"), key.alias("key"), c(text_col).alias("text"))
-    counts = rest.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(TRAIN_LABELS).collect()
+    bin_ = F.shiftright("key", 64 - HASH_BITS)
+    hist = rest.select("lang", "key").distinct().groupBy("lang", bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    hist = stored(hist, "langid-hashes")  # 2 ** HASH_BITS rows a label at most
+    counts = hist.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "lang").limit(TRAIN_LABELS).collect()
     share, left = {}, docs_bound
     for i, r in enumerate(sorted(counts, key=lambda r: (r.n, r.lang))):  # what rare labels leave goes to the others
         share[r.lang] = max(10, min(r.n, left // (len(counts) - i)))
         left -= min(share[r.lang], r.n)
     bound = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))]) if share else F.lit(None).cast("map<string,int>")
-    near = rest.select("lang", "key").withColumn("no", F.row_number().over(Window.partitionBy("lang").orderBy("key")))
-    last = near.where(F.col("no") <= docs_bound).where(F.col("no") <= bound[F.col("lang")]).groupBy("lang").agg(F.max("key").alias("last"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("bin")) - F.col("n")
+    last = hist.withColumn("before", before).where(F.col("before") < bound[F.col("lang")]).groupBy("lang").agg(F.max("bin").alias("last"))
+    top = rest.join(F.broadcast(last), "lang").where(bin_ <= F.col("last")).groupBy("lang", "key").agg(F.min("text").alias("text"))
+    no = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
     low = F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " ")
-    top = rest.join(F.broadcast(last), "lang").where("key <= last").select("lang", "key", let(words(low), _stretches).alias("w"))
-    no = F.row_number().over(Window.partitionBy("lang").orderBy("key", "w"))  # repeated ids: no more than the bound
-    return top.withColumn("no", no).where(F.col("no") <= bound[F.col("lang")]).orderBy("key", "lang", "w").select("lang", "w")
+    top = top.withColumn("no", no).where(F.col("no") <= bound[F.col("lang")])
+    return top.orderBy("key", "lang").select("lang", let(words(low), _stretches).alias("w"))
 
 
 def held_out(id_col: Column) -> Column:

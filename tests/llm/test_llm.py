@@ -3,6 +3,7 @@ repeated rows, empty tables, extra columns with clashing names."""
 import os
 import random
 import sys
+import zlib
 
 import numpy as np
 import pytest
@@ -491,6 +492,22 @@ def test_pii_redaction_of_overlapping_spans(spark):
     assert got == [text[:1020] + "<EMAIL><CARD>" + text[2101:2990] + "<PHONE>", text, ""]
 
 
+def test_training_sample_is_the_first_by_hash(spark):
+    """Against plain sorting: shares of the labels, one row an id and label however often it is repeated, and its smallest text."""
+    import xxhash
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    key = lambda i: signed(xxhash.xxh64_intdigest(str(i).encode(), 42))
+    rows = [(i, f"wort nummer{'abcdefghij'[i % 10]}", "de") for i in range(900)] + [(i, "two words", "en") for i in range(900, 912)]
+    rows += [(5, "eins zwei", "de")] * 600 + [(5, "aa", "de"), (None, "x", "de"), (7, None, "de"), (8, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    got = [(r.lang, " ".join(r.w)) for r in langid.training_sample(df, "doc_id", "text", "lang", 100).collect()]
+    free = {(i, lang): None for i, t, lang in rows if i is not None and t and lang and zlib.crc32(str(i).encode()) % 4 != 2}
+    few = [x for x in free if x[1] == "en"]
+    many = sorted((x for x in free if x[1] == "de"), key=lambda x: key(x[0]))[:100 - len(few)]
+    text = lambda x: min(t for i, t, lang in rows if (i, lang) == x and t)
+    assert sorted(got) == sorted((x[1], text(x)) for x in few + many)
+
+
 def test_training_words_come_from_all_over_a_text(spark):
     long = " ".join(f"{'abcdefghij'[i // 1000]}{'klmnopqrst'[i // 100 % 10]}" for i in range(10000))
     rows = [(i, long if i < 8 else "kurz und gut", "xx" if i < 8 else "de") for i in range(40)]
