@@ -120,6 +120,9 @@ def q_pit_lookup_hot(spark, d):
     return AR.lookup_asof_ranges(r.where("o_orderkey % 2 = 1").select("o_orderkey", "k", "ts"), features, ["k"], "ts", tie_breakers=["feature_order"])
 
 
+ASOF_GROUP_ROWS = 10_000  # rows of a group of users over all steps: so many more groups as there are more rows
+
+
 @query("stream_score_asof", f"""
 WITH l AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
 f AS (SELECT user_id, ts, arg_max(value, event_id) AS value FROM events WHERE event_type = 'click' GROUP BY ALL),
@@ -131,11 +134,11 @@ def q_stream_score_asof(spark, d):
     """Purchases scored on a stream with the value of the user's last click, landed and processed in six steps."""
     events = _t(spark, d).events.select("event_id", "ts", "user_id", "event_type", "value").where("event_type IN ('purchase', 'click')")
     src, out, ck = (scratch_path(spark, n) for n in ("events_asof", "stream_asof", "ck_asof"))
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    first, last, n = events.agg(F.min("ts"), F.max("ts"), F.count(F.lit(1))).first()
     if first is None:
         return spark.createDataFrame([], "event_id bigint, user_id bigint, ts timestamp_ntz, value double, score double")
     model = ML.LinearModel({"value": 0.02}, -1.0)
-    steps = 6
+    steps, groups = 6, max(64, n // ASOF_GROUP_ROWS)
     cuts = [first + (last - first) * i / steps for i in range(steps)] + [last + dt.timedelta(microseconds=1)]
     for a, b in zip(cuts, cuts[1:], strict=False):
         bound = lambda x: F.lit(x).cast("timestamp_ntz")
@@ -143,7 +146,7 @@ def q_stream_score_asof(spark, d):
         stream = ST.read_stream(spark, src, events.schema, max_files=None)
         clicks = stream.where("event_type = 'click'").select("user_id", "ts", F.col("event_id").alias("click_id"), "value")
         bought = stream.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
-        joined = SA.stream_asof(bought, clicks, ["user_id"], "ts", "ts", ["value"], "1 hour", ["click_id"])
+        joined = SA.stream_asof(bought, clicks, ["user_id"], "ts", "ts", ["value"], "1 hour", ["click_id"], groups=groups)
         ST.stream_score(joined, lambda s: model.transform(s).select("event_id", "user_id", "ts", "value", r4("score").alias("score")), out, ck)
     return spark.read.parquet(out)
 

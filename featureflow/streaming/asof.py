@@ -1,9 +1,10 @@
 """Point-in-time lookups between two streams, for scoring with a model on the way.
 
-State per key: the feature rows that a label may still need, and the labels that wait. A label is answered when the
+Held per key: the feature rows that a label may still need, and the labels that wait. A label is answered when the
 watermark has passed its time: then every feature row that is at most ``delay`` late has come, whichever stream was ahead.
 Feature rows older than the newest one behind the watermark are dropped, and all of them once they are older than
-``max_age``, so a key's state is bounded by what arrives within the delay.
+``max_age``, so what is held of a key is bounded by what arrives within the delay. Keys share state by groups of their
+hash: a call of the Python function costs milliseconds, so it must not come once a key and micro-batch.
 """
 
 from __future__ import annotations
@@ -48,10 +49,16 @@ def answer(features: list[tuple[int, list, str]], labels: list[tuple[int, str]],
 
 
 def stream_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], label_ts: str, feature_ts: str, feature_cols: Sequence[str],
-                delay: str, tie_breakers: Sequence[str] = (), max_age_seconds: float | None = None) -> DataFrame:
+                delay: str, tie_breakers: Sequence[str] = (), max_age_seconds: float | None = None, groups: int = 1024) -> DataFrame:
     """The label stream with the newest feature row of its key as of its time: the rows of the batch lookup, for labels
     that the watermark has passed. Rows later than ``delay`` are dropped; labels without a key or a time pass at once with
-    null features; features without one never match; a label is answered once, however micro-batches are cut."""
+    null features; features without one never match; a label is answered once, however micro-batches are cut.
+
+    ``groups``: into how many groups keys are hashed. A group's state and its rows of a micro-batch meet in one call, so
+    choose it such that a few thousand rows of a micro-batch fall to each; as with shuffle partitions, a checkpoint keeps
+    the number it began with."""
+    if groups < 1:
+        raise ValueError("groups must be positive")
     l_schema = labels.schema
     f_schema = StructType([features.schema[c] for c in feature_cols])
     age = None if max_age_seconds is None else int(max_age_seconds * 1_000_000)
@@ -61,30 +68,45 @@ def stream_asof(labels: DataFrame, features: DataFrame, keys: Sequence[str], lab
                          F.lit(side).alias("side"), F.to_json(F.array(*ties), JSON).alias("tie") if ties else F.lit("[]").alias("tie"),
                          F.to_json(F.struct(*cols), JSON).alias("row"))
     whole = lambda ts: F.col(ts).isNotNull() & ~F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    group = F.pmod(F.xxhash64("k"), F.lit(groups)).cast("int").alias("g")
     both = rows(labels.where(whole(label_ts)), label_ts, 1, labels.columns, ()).unionByName(
-        rows(features.where(whole(feature_ts)), feature_ts, 0, feature_cols, tie_breakers)).withWatermark("t", delay)
+        rows(features.where(whole(feature_ts)), feature_ts, 0, feature_cols, tie_breakers)).select(group, "*").withWatermark("t", delay)
 
     def matched(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        known, wait = pickle.loads(state.get[0]) if state.exists else ([], [])  # noqa: S301 (written below)
+        began, held = pickle.loads(state.get[0]) if state.exists else (groups, {})  # noqa: S301 (written below)
+        if began != groups:
+            raise ValueError(f"the checkpoint was begun with {began} groups, not {groups}")
+        touched = set()
         if not state.hasTimedOut:
             for b in batches:
-                for us, side, tie, row in zip(b["us"].tolist(), b["side"].tolist(), b["tie"].tolist(), b["row"].tolist(), strict=True):
+                touched.update(b["k"])
+                for k, us, side, tie, row in zip(*[b[c].tolist() for c in ("k", "us", "side", "tie", "row")], strict=True):
+                    known, wait = held.setdefault(k, ([], []))
                     if side:
                         wait.append((us, row))
                     else:
                         known.append((us, json.loads(tie), row))
         watermark = state.getCurrentWatermarkMs()
-        done, known, wait = answer(known, wait, watermark * 1000, age)
-        if known or wait:
-            state.update((pickle.dumps((known, wait)),))
-            until = min([t for t, _ in wait] or [known[-1][0] + (age or 0)]) // 1000
-            if wait or age is not None:  # wakes the key up when a label is due, or its last feature too old
-                state.setTimeoutTimestamp(max(until, watermark + 1))
+        done, due = [], []
+        for k, (known, wait) in list(held.items()):
+            if k in touched or wait or age is not None:
+                answered, known, wait = answer(known, wait, watermark * 1000, age)
+                done += answered
+                if not (known or wait):
+                    del held[k]
+                    continue
+                held[k] = known, wait
+            if wait or age is not None:  # wakes the group up when a label is due, or a key's last feature too old
+                due.append(min([t for t, _ in wait] or [known[-1][0] + age]) // 1000)
+        if held:
+            state.update((pickle.dumps((groups, held)),))
+            if due:
+                state.setTimeoutTimestamp(max(min(due), watermark + 1))
         elif state.exists:
             state.remove()
         if done:
             yield pd.DataFrame(done, columns=["l", "f"])
-    out = both.groupBy("k").applyInPandasWithState(matched, "l string, f string", "held binary", "append", GroupStateTimeout.EventTimeTimeout)
+    out = both.groupBy("g").applyInPandasWithState(matched, "l string, f string", "held binary", "append", GroupStateTimeout.EventTimeTimeout)
     out = out.select(F.from_json("l", l_schema, JSON).alias("l"), F.from_json("f", f_schema, JSON).alias("f"))
     names = [*[F.col("l")[c].alias(c) for c in labels.columns], *[F.col("f")[c].alias(c) for c in feature_cols]]
     loose = labels.where(~whole(label_ts)).select(*labels.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in f_schema])

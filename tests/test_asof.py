@@ -2,6 +2,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from featureflow.operators import asof_ranges as AR
@@ -81,3 +82,40 @@ def test_streams_in_any_order_within_the_delay(spark):
     want = batch.where((F.col("ts") < F.lit(passed).cast("timestamp_ntz")) | F.col("k").isNull())
     got = rows(spark.read.parquet(out))
     assert got == rows(want) and len(got) > 250
+
+
+def test_stream_keys_share_state_by_groups(spark):
+    """2,000 keys in two micro-batches: the rows of the batch form, from no more states than groups. Before, each key had one."""
+    schema = "id bigint, k bigint, ts timestamp_ntz, side int, v double"
+    every = [(i, i % 2000, T0 + dt.timedelta(seconds=i % 1999 + 6000 * (i // 4000)), i // 2000 % 2, float(i)) for i in range(8000)]
+    df = spark.createDataFrame(every, schema)
+    labels = lambda d: d.where("side = 1").select("id", "k", "ts")
+    features = lambda d: d.where("side = 0").select("k", F.col("ts").alias("fts"), F.col("id").alias("no"), "v")
+    last = F.lit(max(r[2] for r in every) - dt.timedelta(minutes=5)).cast("timestamp_ntz")
+    for age, options in ((None, {}), (6000, {"groups": 1}), (3, {"groups": 7})):
+        src, out, ck = (scratch_path(spark, x) for x in ("s_src", "s_out", "s_ck"))
+        for part in (df.where("id < 4000"), df.where("id >= 4000")):
+            part.coalesce(2).write.mode("append").parquet(src)
+            stream = ST.read_stream(spark, src, df.schema, max_files=None)
+            joined = SA.stream_asof(labels(stream), features(stream), ["k"], "ts", "fts", ["v"], "5 minutes", ["no"], age, **options)
+            q = joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start()
+            q.awaitTermination()
+            held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+            assert held and max(held) <= options.get("groups", 1024)
+        want = lookup_asof(labels(df), features(df), ["k"], "ts", "fts", ["v"], ["no"], age and f"{age} seconds").where(F.col("ts") < last)
+        got = rows(spark.read.parquet(out))
+        assert got == rows(want) and len(got) > 3000 and len({r[3] for r in got}) > 100
+
+
+def test_stream_keeps_its_number_of_groups(spark):
+    src, out, ck = (scratch_path(spark, x) for x in ("s_src", "s_out", "s_ck"))
+    df = spark.createDataFrame([(i, "a", T0 + dt.timedelta(hours=i), i % 2, float(i)) for i in range(4)], "id bigint, k string, ts timestamp_ntz, side int, v double")
+
+    def step(groups):
+        df.write.mode("append").parquet(src)
+        stream = ST.read_stream(spark, src, df.schema, max_files=None)
+        labels, features = stream.where("side = 1").select("id", "k", "ts"), stream.where("side = 0").select("k", "ts", "v")
+        ST.stream_score(SA.stream_asof(labels, features, ["k"], "ts", "ts", ["v"], "5 hours", groups=groups), lambda s: s, out, ck)
+    step(1)
+    with pytest.raises(Exception, match="begun with 1 groups"):
+        step(2)
